@@ -36,13 +36,15 @@ def change_feed_messages(changes: DataFrame, table: str = "order_info", event_ty
 
 
 def as_change_entries(df: DataFrame, table: str, event_type, entry_type: str = ROWDATA,
-                      columns: list[str] | None = None) -> DataFrame:
+                      columns: list[str] | None = None, execute_time=None) -> DataFrame:
     """Wrap each row of ``df`` as a one-row change entry (values rendered as text).
 
-    ``event_type`` is a literal or a Column (e.g. derived from a status).
+    ``event_type`` is a literal or a Column (e.g. derived from a status);
+    ``execute_time`` a Column giving the entry's commit time (NULL if absent).
     """
     columns = columns or df.columns
     cols = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
     et = event_type if not isinstance(event_type, str) else F.lit(event_type)
-    return df.select(F.lit(table).alias("table"), F.lit(entry_type).alias("entry_type"),
+    xt = (execute_time if execute_time is not None else F.lit(None)).cast("timestamp")
+    return df.select(xt.alias("execute_time"), F.lit(table).alias("table"), F.lit(entry_type).alias("entry_type"),
                      et.alias("event_type"), F.array(cols).alias("rows"))

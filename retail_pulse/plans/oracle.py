@@ -127,6 +127,16 @@ UNION ALL SELECT 'order_amount', '新增交易额',
         "alert_doc": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
   len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
   epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
+        "dau_stream": f"SELECT mid, log_date, log_hour, event_id, ts_ms FROM ({_dedup()})",
+        "alert_stream": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
+  len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
+  epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a
+WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        "gmv_stream": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+  o_totalprice AS total_amount,
+  CASE WHEN length(t) >= 11 THEN substr(t, 1, 3) || '****' || substr(t, 8, 4) ELSE '****' END AS consignee_tel,
+  strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour
+FROM (SELECT *, '1' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS t FROM orders) WHERE o_orderstatus = 'F'""",
         "search_hits": _search_base() + """, st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS avgdl,
   count(*) FILTER (WHERE tf0 > 0)::DOUBLE AS df0, count(*) FILTER (WHERE tf1 > 0)::DOUBLE AS df1 FROM s)
 SELECT doc_id, round(

@@ -45,6 +45,7 @@ CHANGE_COLUMN = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 CHANGE_EVENT = T.StructType([
+    T.StructField("execute_time", T.TimestampType()),
     T.StructField("table", T.StringType()),
     T.StructField("entry_type", T.StringType()),
     T.StructField("event_type", T.StringType()),

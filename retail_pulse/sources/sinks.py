@@ -21,12 +21,21 @@ from retail_pulse.operators.dedup import first_per_key
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int, partition_cols: list[str] | None = None,
-                          fmt: str = "parquet") -> None:
-    """Idempotent append of one micro-batch: overwrite only ``(partition_cols..., _batch_id=n)``."""
-    parts = list(partition_cols or []) + ["_batch_id"]
-    df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint")) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*parts).format(fmt).save(path)
+                          fmt: str = "parquet", sort_cols: list[str] | None = None) -> None:
+    """Idempotent append of one micro-batch: overwrite only ``(partition_cols..., _batch_id=n)``.
+
+    With partition columns the output is ``REBALANCE``d on them first: AQE
+    packs each folder's rows into few tasks (few files per folder and batch)
+    and still splits a folder that holds a hot share of the rows.
+    """
+    parts = list(partition_cols or [])
+    out = df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
+    if parts:
+        out = out.hint("rebalance", *parts)
+    if sort_cols:
+        out = out.sortWithinPartitions(*(parts + sort_cols))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*(parts + ["_batch_id"])).format(fmt).save(path)
 
 
 def upper_case_columns(df: DataFrame, columns: list[str], targets: list[str]) -> DataFrame:
