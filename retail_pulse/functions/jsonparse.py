@@ -21,12 +21,18 @@ def parse_json_column(df: DataFrame, schema: T.StructType, casts: dict[str, str]
     Adds ``_parse_ok`` (JSON object parsed and every declared cast succeeded
     where text was present) and ``_reject_reason``. ``keep`` lists input
     columns carried through (e.g. a Kafka offset or a batch id).
+
+    The parsed row leaves through ``inline(array(struct(..)))`` (a Generate):
+    Catalyst cannot push a filter on generated columns below it, so a later
+    ``where(_parse_ok)`` does not copy ``from_json`` into the filter and the
+    parser runs once per message instead of once per reference.
     """
     casts = casts or {}
+    keep = keep or []
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value_col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    out = df.select(*(keep or []), F.col(value_col).alias("_raw"), parsed.alias("_r"))
+    out = df.select(*keep, F.col(value_col).alias("_raw"), parsed.alias("_r"))
     cols = []
     bad_cast = F.lit(False)
     for f in schema.fields:
@@ -39,8 +45,8 @@ def parse_json_column(df: DataFrame, schema: T.StructType, casts: dict[str, str]
             cols.append(raw.alias(f.name))
     not_json = F.col("_r").isNull() | F.col(f"_r.{_CORRUPT}").isNotNull()
     reason = F.when(not_json, F.lit("malformed_json")).when(bad_cast, F.lit("bad_number"))
-    return out.select(*(keep or []), "_raw", *cols, reason.alias("_reject_reason")) \
-        .withColumn("_parse_ok", F.col("_reject_reason").isNull())
+    row = F.struct(*[F.col(k) for k in keep], F.col("_raw"), *cols, reason.alias("_reject_reason"))
+    return out.select(F.inline(F.array(row))).withColumn("_parse_ok", F.col("_reject_reason").isNull())
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,15 +20,23 @@ BM25_B = 0.75
 
 # Java regex (executor side) and the equivalent Python ``regex`` patterns.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+EDGE_SEPARATORS = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 HAN_CHAR_JAVA = r"(\p{IsHan})"
 HAN_CHAR_PY = r"(\p{Han})"
 
 
 def tokens(text) -> Column:
-    """Document text -> array of analyzed tokens (empty strings removed)."""
+    """Document text -> array of analyzed tokens.
+
+    Separators at both ends are trimmed before the split, so no empty tokens
+    appear and no per-element lambda is needed (``filter`` with a lambda is
+    interpreted, not code-generated).
+    """
     t = F.col(text) if isinstance(text, str) else text
     spaced = F.regexp_replace(F.lower(t), HAN_CHAR_JAVA, " $1 ")
-    return F.filter(F.split(spaced, TOKEN_SPLIT), lambda x: x != F.lit(""))
+    trimmed = F.regexp_replace(spaced, EDGE_SEPARATORS, "")
+    return F.when(trimmed == F.lit(""), F.array().cast("array<string>")) \
+        .otherwise(F.split(trimmed, TOKEN_SPLIT))
 
 
 def analyze(query: str) -> list[str]:
@@ -38,8 +46,8 @@ def analyze(query: str) -> list[str]:
 
 
 def term_freq(tok: Column, term: str) -> Column:
-    """Occurrences of ``term`` in a token array."""
-    return F.size(F.filter(tok, lambda x: x == F.lit(term)))
+    """Occurrences of ``term`` in a token array (``array_remove`` is code-generated)."""
+    return F.size(tok) - F.size(F.array_remove(tok, F.lit(term)))
 
 
 def bm25_idf(n_docs: Column, doc_freq: Column) -> Column:

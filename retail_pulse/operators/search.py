@@ -11,8 +11,7 @@ Plan shape:
   explode and no shuffle of tokens;
 * index statistics (doc count, mean length, document frequency per query
   term) are over the *whole* index, not the filtered set, and come from one
-  global aggregate used as a scalar subquery (one row, reused by every
-  reference to it);
+  global aggregate (one row) whose values are inlined into the scoring pass;
 * the page is ``ORDER BY score DESC, id LIMIT offset+size`` -> a
   ``TakeOrderedAndProject`` (per-task top-k, then a k-row merge);
 * total and buckets need no score and skip the statistics pass.
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_pulse.functions.text import analyze, bm25_idf, bm25_term, term_freq, tokens
+from retail_pulse.sources.tables import balanced
 
 
 @dataclass
@@ -51,11 +51,20 @@ def _tf_cols(terms: list[str]) -> list[str]:
     return [f"_tf{i}" for i in range(len(terms))]
 
 
-def analyzed(docs: DataFrame, text_col: str, terms: list[str], keep: list[str]) -> DataFrame:
-    """Per document: kept columns, ``_dl`` (token count) and ``_tf{i}`` per query term."""
-    tok = tokens(text_col)
-    return docs.select(*keep, F.size(tok).alias("_dl"),
-                       *[term_freq(tok, t).alias(c) for t, c in zip(terms, _tf_cols(terms))])
+def analyzed(docs: DataFrame, text_col: str, terms: list[str], keep: list[str],
+             operator: str = "or") -> DataFrame:
+    """Per document: kept columns, ``_dl`` (token count), ``_tf{i}`` per query term, ``_m`` (match).
+
+    The token array is its own projection, referenced by the length and
+    every term count; Catalyst keeps it computed once per document rather
+    than inlining the regex split into each reference. Callers never put the
+    match flag in a plain ``where``: Catalyst would push that predicate (and
+    the tokenizer inside it) below the repartition that spreads the work.
+    """
+    tok = balanced(docs.select(*keep, text_col)).select(*keep, tokens(text_col).alias("_tok"))
+    tfs = [term_freq(F.col("_tok"), t).alias(c) for t, c in zip(terms, _tf_cols(terms))]
+    base = tok.select(*keep, F.size("_tok").alias("_dl"), *tfs)
+    return base.withColumn("_m", _matched(terms, operator))
 
 
 def _matched(terms: list[str], operator: str) -> Column:
@@ -77,49 +86,63 @@ def index_stats(docs: DataFrame, text_col: str, terms: list[str]) -> DataFrame:
                       for i, c in enumerate(_tf_cols(terms))])
 
 
-def matches(docs: DataFrame, q: BoolQuery, keep: list[str]) -> DataFrame:
-    """Documents passing the filter and the match (no score)."""
-    terms = q.terms()
-    base = analyzed(docs.where(q.filter_condition()), q.text_col, terms, keep)
-    return base.where(_matched(terms, q.operator)).select(*keep)
-
+def scored(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None = 6) -> DataFrame:
+    """Filtered documents with ``score`` (BM25 over whole-index statistics), NULL when not matched.
 
-def scored_matches(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None = 6) -> DataFrame:
-    """Matching documents with ``score`` (BM25 over whole-index statistics)."""
+    The statistics pass is one global aggregate (exactly one row of
+    ``2 + len(terms)`` numbers); its values are inlined as literals into the
+    scoring pass. This is what a scalar subquery does, but evaluated once
+    instead of once per reference.
+    """
     terms = q.terms()
-    stats = F.struct(*[F.col(c) for c in index_stats(docs, q.text_col, terms).columns])
-    stats_row = index_stats(docs, q.text_col, terms).select(stats.alias("s")).scalar()
-    base = analyzed(docs.where(q.filter_condition()), q.text_col, terms, keep) \
-        .where(_matched(terms, q.operator))
+    st = index_stats(docs, q.text_col, terms).first()
+    base = analyzed(docs.where(q.filter_condition()), q.text_col, terms, keep, q.operator)
+    if st is None or not st["n_docs"]:
+        return base.select(*keep, F.lit(None).cast("double").alias("score"))
+    n_docs, avgdl = F.lit(float(st["n_docs"])), F.lit(float(st["avgdl"]))
     score = F.lit(0.0)
     for i, c in enumerate(_tf_cols(terms)):
-        idf = bm25_idf(stats_row["n_docs"], stats_row[f"_df{i}"])
-        score = score + bm25_term(F.col(c).cast("double"), F.col("_dl").cast("double"), stats_row["avgdl"], idf)
+        idf = bm25_idf(n_docs, F.lit(float(st[f"_df{i}"])))
+        score = score + bm25_term(F.col(c).cast("double"), F.col("_dl").cast("double"), avgdl, idf)
     if digits is not None:
         score = F.round(score, digits)
-    return base.select(*keep, score.alias("score"))
+    return base.select(*keep, F.when(F.col("_m"), score).alias("score"))
+
+
+def scored_matches(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None = 6) -> DataFrame:
+    """Only the matching documents with their score (for small inputs and tests)."""
+    return scored(docs, q, keep, digits).where(F.col("score").isNotNull())
 
 
 def hits_page(docs: DataFrame, q: BoolQuery, id_col: str, fields: list[str],
               offset: int = 0, size: int = 10) -> DataFrame:
-    """Page of hits ordered by score desc then id: (id, score, source fields)."""
+    """Page of hits ordered by score desc then id: (id, score, source fields).
+
+    Non-matches carry a NULL score and sort last, so the page is a plain
+    top-k (``TakeOrderedAndProject``) over the scored documents; NULL rows
+    that fill a short last page are dropped after the limit.
+    """
     keep = [id_col] + [f for f in fields if f != id_col]
-    s = scored_matches(docs, q, keep)
-    page = s.orderBy(F.col("score").desc(), F.col(id_col).asc())
+    s = scored(docs, q, keep)
+    page = s.orderBy(F.col("score").desc_nulls_last(), F.col(id_col).asc())
     if offset:
         page = page.offset(offset)
-    return page.limit(size).select(id_col, "score", *[f for f in fields if f != id_col])
+    return page.limit(size).where(F.col("score").isNotNull()) \
+        .select(id_col, "score", *[f for f in fields if f != id_col])
 
 
 def total_hits(docs: DataFrame, q: BoolQuery) -> DataFrame:
     """One row ``total``: number of matching documents (before paging)."""
-    return matches(docs, q, []).agg(F.count(F.lit(1)).cast("bigint").alias("total"))
+    base = analyzed(docs.where(q.filter_condition()), q.text_col, q.terms(), [], q.operator)
+    return base.agg(F.count_if(F.col("_m")).cast("bigint").alias("total"))
 
 
 def terms_buckets(docs: DataFrame, q: BoolQuery, key: str, max_field: str, size: int = 10) -> DataFrame:
     """Terms aggregation over all matches: (key, doc_count, max of ``max_field``), top ``size``
-    by doc_count desc then key asc."""
-    m = matches(docs, q, [key, max_field])
-    return m.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("doc_count"),
-                              F.max(max_field).alias(f"max_{max_field}")) \
+    by doc_count desc then key asc. Aggregates first (partial aggregation per task), then
+    drops keys without matches."""
+    base = analyzed(docs.where(q.filter_condition()), q.text_col, q.terms(), [key, max_field], q.operator)
+    agg = base.groupBy(key).agg(F.count_if(F.col("_m")).cast("bigint").alias("doc_count"),
+                                F.max(F.when(F.col("_m"), F.col(max_field))).alias(f"max_{max_field}"))
+    return agg.where(F.col("doc_count") > 0) \
         .orderBy(F.col("doc_count").desc(), F.col(key).asc()).limit(size)

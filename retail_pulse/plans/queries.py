@@ -104,7 +104,7 @@ def order_mask(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_parse(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as JSON messages with quoted numbers, parsed back with string schema + try_cast."""
-    msgs = to_json_messages(tb.order_info(tb.table(spark, sf, "orders")))
+    msgs = to_json_messages(tb.order_info(tb.balanced(tb.table(spark, sf, "orders"))))
     good, _bad = parse_records(msgs, ORDER_INFO, ORDER_TYPES)
     return good.select("id", "user_id", "order_status", "total_amount", "create_time")
 
@@ -112,7 +112,7 @@ def order_parse(spark: SparkSession, sf: str) -> DataFrame:
 def cdc_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Change feed built from orders (status F = INSERT, else UPDATE) and customers
     (user_info INSERTs) -> keep order_info INSERTs -> JSON -> typed, masked order rows."""
-    oi = tb.order_info(tb.table(spark, sf, "orders"))
+    oi = tb.order_info(tb.balanced(tb.table(spark, sf, "orders")))
     et = F.when(F.col("order_status") == F.lit("F"), F.lit(cdc.INSERT)).otherwise(F.lit(cdc.UPDATE))
     feed = cdc.as_change_entries(oi, "order_info", et).unionByName(
         cdc.as_change_entries(tb.table(spark, sf, "customer").select("c_custkey", "c_name"), "user_info", cdc.INSERT))

@@ -34,6 +34,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster's cores before CPU-heavy per-row work.
+
+    A file written as a single row group is read by one task however many
+    cores there are; when the scan has fewer partitions than the default
+    parallelism, a round-robin repartition to that parallelism spreads the
+    rows. On a large input (thousands of splits) this is a no-op, so no
+    shuffle is added where the scan is already parallel.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def startup_logs(events: DataFrame) -> DataFrame:
     """events -> startup-log shape: mid, uid, event_id, ts, ts_ms, log_date, log_hour."""
     return events.select(
