@@ -71,3 +71,17 @@ def check_metric(metric_id: str) -> str:
     if metric_id not in HOUR_METRICS:
         raise ValueError(f"unknown metric id {metric_id!r}; expected one of {HOUR_METRICS}")
     return metric_id
+
+
+def hour_maps_json(per_hour: DataFrame, today_col: str = "today", yesterday_col: str = "yesterday") -> DataFrame:
+    """(hour, today, yesterday) rows -> one JSON string ``{"today":{HH:v},"yesterday":{HH:v}}``.
+
+    Maps are sparse (hours without rows are absent, zero-fill is the
+    client's job) and keys are sorted; NULL values are left out.
+    """
+    def hour_map(col):
+        entries = F.collect_list(F.when(F.col(col).isNotNull() & (F.col(col) != 0),
+                                        F.struct(F.col("hour").alias("k"), F.col(col).alias("v"))))
+        return F.map_from_entries(F.array_sort(entries))
+    return per_hour.agg(F.to_json(F.struct(hour_map(today_col).alias("today"),
+                                           hour_map(yesterday_col).alias("yesterday"))).alias("json"))

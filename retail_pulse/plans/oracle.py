@@ -39,12 +39,12 @@ def _new_devices(d: str) -> str:
 def _alert_base() -> str:
     return """WITH e AS (
   SELECT json_extract_string(props, '$.k') AS mid, CAST(user_id AS VARCHAR) AS uid, event_type AS evid,
-         CAST(event_id AS VARCHAR) AS itemid, date_trunc('day', ts) AS ws FROM events),
+         CAST(NULL AS VARCHAR) AS itemid, date_trunc('day', ts) AS ws FROM events),
 t AS (SELECT ws, mid, evid, count(*) AS n FROM e GROUP BY ws, mid, evid),
 h AS (SELECT ws, mid, string_agg(evid || ':' || CAST(n AS VARCHAR), ',' ORDER BY evid) AS hist,
              sum(n)::BIGINT AS n_events, bool_or(evid = 'click') AS clicked FROM t GROUP BY ws, mid),
-c AS (SELECT ws, mid, list_sort(list(DISTINCT uid) FILTER (WHERE uid IS NOT NULL)) AS uids,
-             list_sort(list(DISTINCT itemid) FILTER (WHERE itemid IS NOT NULL)) AS items
+c AS (SELECT ws, mid, list_sort(coalesce(list(DISTINCT uid) FILTER (WHERE uid IS NOT NULL), []::VARCHAR[])) AS uids,
+             list_sort(coalesce(list(DISTINCT itemid) FILTER (WHERE itemid IS NOT NULL), []::VARCHAR[])) AS items
       FROM e WHERE evid = 'purchase' GROUP BY ws, mid),
 l AS (SELECT ws, mid, string_agg(evid, ',' ORDER BY evid) AS events FROM e GROUP BY ws, mid),
 a AS (SELECT h.ws, h.mid, c.uids, c.items, h.hist, h.n_events, l.events
@@ -152,6 +152,21 @@ SELECT *, (SELECT count(*) FROM d)::BIGINT AS total FROM d ORDER BY order_id, li
 LIMIT {Q.SALES_PAGE_SIZE} OFFSET {(Q.SALES_PAGE - 1) * Q.SALES_PAGE_SIZE}""",
         "stat_balance_shares": _shares(bal_case),
         "stat_segment_shares": _shares("c_mktsegment"),
+        "sale_detail_stats": f"""WITH d AS ({_sales_detail()}),
+j AS (SELECT c.c_mktsegment FROM d JOIN customer c ON d.user_id = c.c_custkey),
+g AS (SELECT c_mktsegment AS name, count(*)::BIGINT AS value FROM j GROUP BY 1)
+SELECT name, value, round(100.0::DOUBLE * value::DOUBLE / (SELECT count(*) FROM j)::DOUBLE, 4) AS percent FROM g""",
+        "sql_view": "SELECT event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS value FROM events GROUP BY event_type",
+        "doc_upsert": """SELECT CAST(d.doc_id AS VARCHAR) AS id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+        "json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
+        "dau_hours_json": f"""WITH d AS ({_dedup(_day('ts', Q.DAU_PREV, 2))}),
+p AS (SELECT log_hour AS hour, count(*) FILTER (WHERE log_date = '{Q.DAU_DATE}') AS today,
+             count(*) FILTER (WHERE log_date = '{Q.DAU_PREV}') AS yesterday FROM d GROUP BY log_hour)
+SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || today, ',' ORDER BY hour) || '}}'
+                                 FROM p WHERE today <> 0), '{{}}')
+    || ',"yesterday":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || yesterday, ',' ORDER BY hour) || '}}'
+                                 FROM p WHERE yesterday <> 0), '{{}}') || '}}' AS json""",
         "province_sales": f"""WITH c AS (SELECT c_nationkey AS n_nationkey, sum(o_totalprice) AS amt, count(*)::BIGINT AS n_orders
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey)
 SELECT c.n_nationkey, n.n_name, round(amt, 2) AS order_amount, n_orders,

@@ -10,6 +10,7 @@ timestamp so they reach the Parquet scan.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from retail_pulse.functions.time import create_date, create_hour, on_days
 from retail_pulse.operators import alert as A
 from retail_pulse.operators import cdc, dashboard, dedup, metrics, sales, search
 from retail_pulse.schemas import ORDER_INFO, ORDER_TYPES
+from retail_pulse.session import shared_dir
+from retail_pulse.sources import readers, sinks
 from retail_pulse.sources import tables as tb
 
 # Query parameters (shared with the oracle SQL).
@@ -209,6 +212,50 @@ def province_sales(spark: SparkSession, sf: str) -> DataFrame:
                               tb.table(spark, sf, "nation"), REGION_BAND_WIDTH)
 
 
+# --- SQL views, document index, JSON source/sink -------------------------------
+
+def sql_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Temp view + SQL string (Catalyst plans it like the DataFrame form)."""
+    view = readers.register_view(_events(spark, sf), "rp_events")
+    return spark.sql(f"SELECT event_type, count(*) AS n, round(sum(value), 2) AS value FROM {view} GROUP BY event_type")
+
+
+def doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed document index: index every document (batch 0), re-index the labelled ones with
+    their labels (batch 1, same ids replace), then scan the latest version per id."""
+    path = os.path.join(shared_dir(spark, "doc-index"), "documents")
+    docs = tb.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang", "source",
+                                                   "n_chars")
+    first = docs.select("*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+    sinks.upsert_documents(first, path, 0, order_col="n_chars")
+    labels = tb.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), "quality", "toxic")
+    sinks.upsert_documents(docs.join(labels, "id"), path, 1, order_col="n_chars")
+    return readers.document_index(spark, path).select("id", "lang", "source", "n_chars", "quality", "toxic")
+
+
+def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON messages to the offline message sink, read back with an inferred schema."""
+    path = os.path.join(shared_dir(spark, "json-messages"), "events")
+    sinks.write_messages(to_json_messages(_events(spark, sf)), path)
+    back = readers.json_lines(spark, path)
+    return back.select("event_id", "user_id", "event_type", "value", "props")
+
+
+def dau_hours_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Hour comparison in its JSON shape: sparse today/yesterday hour maps."""
+    d = _dau_day(spark, sf, DAU_PREV, days=2)
+    per_hour = dashboard.hour_compare(spark, d, DAU_DATE, DAU_PREV, "log_date", "log_hour", fill_zero=False)
+    return dashboard.hour_maps_json(per_hour)
+
+
+def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of matching sale rows per customer segment (the detail page's stat block)."""
+    detail = tb.sale_detail(tb.table(spark, sf, "lineitem"), tb.table(spark, sf, "orders"), tb.table(spark, sf, "part"))
+    cond = on_days("order_ts", SALES_MONTH_START, SALES_MONTH_DAYS) & sales.keyword_match("sku_name", SALES_KEYWORD)
+    cust = tb.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    return sales.shares(detail.where(cond).join(cust, "user_id"), F.col("c_mktsegment"))
+
+
 def _next_day(date: str) -> str:
     from retail_pulse.functions.time import day_bounds
     return day_bounds(date)[1].strftime("%Y-%m-%d")
@@ -237,4 +284,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stat_balance_shares": stat_balance_shares,
     "stat_segment_shares": stat_segment_shares,
     "province_sales": province_sales,
+    "sale_detail_stats": sale_detail_stats,
+    "sql_view": sql_view,
+    "doc_upsert": doc_upsert,
+    "json_roundtrip": json_roundtrip,
+    "dau_hours_json": dau_hours_json,
 }

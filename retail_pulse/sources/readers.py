@@ -114,3 +114,12 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
     latest version per id."""
     from retail_pulse.sources.sinks import latest_documents
     return latest_documents(spark.read.parquet(path))
+
+
+def register_view(df: DataFrame, name: str, replace: bool = True) -> str:
+    """Expose ``df`` to SQL as a temp view: create-or-replace, or create only if absent."""
+    if replace:
+        df.createOrReplaceTempView(name)
+    elif not df.sparkSession.catalog.tableExists(name):
+        df.createTempView(name)
+    return name

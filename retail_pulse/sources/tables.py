@@ -6,8 +6,10 @@ query does not use, so an adapter costs nothing at the scan.
 Column mapping used by the registered queries:
 
 * startup log: ``mid`` = ``uid`` = ``events.user_id``
-* event log:   ``mid`` = ``props.$.k``, ``uid`` = ``user_id``, ``evid`` = ``event_type``,
-               ``itemid`` = ``event_id``; coupon = ``purchase``, click = ``click``
+* event log:   ``mid`` = ``props.$.k``, ``uid`` = ``user_id``, ``evid`` = ``event_type``;
+               the table has no item column, so ``itemid`` is NULL (an id unique per
+               row would make the per-device item set grow with the row count);
+               coupon = ``purchase``, click = ``click``
 * order info:  ``orders`` with ``create_time`` rendered from ``o_orderdate`` and a
                synthetic 11-digit phone ``'1' || lpad(o_custkey, 10, '0')``
 """
@@ -61,7 +63,7 @@ def event_logs(events: DataFrame) -> DataFrame:
     """events -> event-log shape: mid, uid, evid, itemid, event_id, ts, log_date, log_hour."""
     return events.select(
         F.get_json_object("props", "$.k").alias("mid"), F.col("user_id").cast("string").alias("uid"),
-        F.col("event_type").alias("evid"), F.col("event_id").cast("string").alias("itemid"),
+        F.col("event_type").alias("evid"), F.lit(None).cast("string").alias("itemid"),
         "event_id", "ts", log_date("ts").alias("log_date"), log_hour("ts").alias("log_hour"))
 
 
