@@ -39,35 +39,45 @@ AVAILABLE_NOW = {"availableNow": True}
 TIMEOUT_S = 600
 
 
-def _await(q):
+# Micro-batch wall times (ms, ``triggerExecution``) of the last replay per job.
+BATCH_MS: dict[str, list[int]] = {}
+
+
+def _await(q, job: str):
     if not q.awaitTermination(TIMEOUT_S):
         q.stop()
         raise TimeoutError("streaming replay did not finish")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    for p in q.recentProgress:
+        if p.numInputRows:
+            BATCH_MS.setdefault(job, []).append(int(p.durationMs.get("triggerExecution", 0)))
 
 
 def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
+    BATCH_MS["dau_stream"] = []
     work = shared_dir(spark, "dau-stream")
     src, detail, ckpt = (os.path.join(work, p) for p in ("source", "detail", "checkpoint"))
     logs = tb.startup_logs(tb.table(spark, sf, "events")) \
         .select("mid", "uid", "event_id", "ts", "ts_ms", "log_date", "log_hour")
     for _ in replay_chunks(spark, logs, "ts", REPLAY_SLICES, src):
         stream = spark.readStream.schema(logs.schema).parquet(src)
-        _await(start_dau_stream(spark, stream, detail, ckpt, AVAILABLE_NOW, order_cols=["ts", "event_id"]))
+        _await(start_dau_stream(spark, stream, detail, ckpt, AVAILABLE_NOW, order_cols=["ts", "event_id"]),
+               "dau_stream")
     out_schema = T.StructType(logs.schema.fields + [T.StructField("_batch_id", T.LongType())])
     return spark.read.schema(out_schema).parquet(detail) \
         .select("mid", "log_date", "log_hour", "event_id", "ts_ms")
 
 
 def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
+    BATCH_MS["alert_stream"] = []
     work = shared_dir(spark, "alert-stream")
     src, docs, ckpt = (os.path.join(work, p) for p in ("source", "docs", "checkpoint"))
     ev = tb.event_logs(tb.table(spark, sf, "events")).select("mid", "uid", "evid", "itemid", "ts")
     for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src):
         stream = spark.readStream.schema(ev.schema).parquet(src)
         _await(SA.start_alert_stream(spark, stream, docs, ckpt, AVAILABLE_NOW, ALERT_WINDOW, None, ALERT_DELAY,
-                                     coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK))
+                                     coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_stream")
     latest = latest_documents(spark.read.parquet(docs))
     return latest.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
                          F.array_join("itemIds", ",").alias("item_ids"),
@@ -75,6 +85,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
+    BATCH_MS["gmv_stream"] = []
     work = shared_dir(spark, "gmv-stream")
     src, table, ckpt = (os.path.join(work, p) for p in ("source", "orders", "checkpoint"))
     oi = tb.order_info(tb.table(spark, sf, "orders"))
@@ -86,7 +97,7 @@ def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     # entries arrive in commit order: replay the feed in execute_time slices, one batch each
     for _ in replay_chunks(spark, feed, "execute_time", REPLAY_SLICES, src):
         changes = readers.change_feed_stream(spark, src, max_files_per_trigger=None)
-        _await(start_gmv_stream(spark, changes, table, ckpt, AVAILABLE_NOW))
+        _await(start_gmv_stream(spark, changes, table, ckpt, AVAILABLE_NOW), "gmv_stream")
     t = order_table(spark, table)
     return t.select(F.col("ID").alias("id"), F.col("USER_ID").alias("user_id"),
                     F.col("TOTAL_AMOUNT").alias("total_amount"), F.col("CONSIGNEE_TEL").alias("consignee_tel"),
