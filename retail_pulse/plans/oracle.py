@@ -137,6 +137,10 @@ WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
   CASE WHEN length(t) >= 11 THEN substr(t, 1, 3) || '****' || substr(t, 8, 4) ELSE '****' END AS consignee_tel,
   strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour
 FROM (SELECT *, '1' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS t FROM orders) WHERE o_orderstatus = 'F'""",
+        "sale_detail_stream": """SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS user_id,
+  l.l_partkey AS sku_id, p.p_name AS sku_name, l.l_quantity AS sku_num, l.l_extendedprice AS sku_price,
+  strftime(o.o_orderdate, '%Y-%m-%d') AS dt
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""",
         "search_hits": _search_base() + """, st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS avgdl,
   count(*) FILTER (WHERE tf0 > 0)::DOUBLE AS df0, count(*) FILTER (WHERE tf1 > 0)::DOUBLE AS df1 FROM s)
 SELECT doc_id, round(

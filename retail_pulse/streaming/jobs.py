@@ -30,6 +30,7 @@ from retail_pulse.sources.sinks import latest_documents
 from retail_pulse.streaming import alert as SA
 from retail_pulse.streaming.dau import start_dau_stream
 from retail_pulse.streaming.gmv import order_table, start_gmv_stream
+from retail_pulse.streaming.sales import start_sale_detail_stream
 from retail_pulse.streaming.runner import replay_chunks
 
 REPLAY_SLICES = 4
@@ -104,8 +105,30 @@ def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("CREATE_DATE").alias("create_date"), F.col("CREATE_HOUR").alias("create_hour"))
 
 
+def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and order lines replayed as two change streams (a line is committed with its order,
+    ``ts`` = order time + line number seconds), interval-joined, enriched with the SKU table."""
+    BATCH_MS["sale_detail_stream"] = []
+    work = shared_dir(spark, "sale-stream")
+    o_src, l_src, table, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "detail", "checkpoint"))
+    orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
+    lines = tb.table(spark, sf, "lineitem").join(orders.select("o_orderkey", "ts"),
+                                                 F.col("l_orderkey") == F.col("o_orderkey")) \
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+                (F.col("ts") + F.make_dt_interval(secs=F.col("l_linenumber").cast("decimal(18,6)"))).alias("ts"))
+    part = tb.table(spark, sf, "part")
+    slices = zip(replay_chunks(spark, orders, "ts", REPLAY_SLICES, o_src),
+                 replay_chunks(spark, lines, "ts", REPLAY_SLICES, l_src))
+    for _ in slices:
+        os_ = spark.readStream.schema(orders.schema).parquet(o_src)
+        ls_ = spark.readStream.schema(lines.schema).parquet(l_src)
+        _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW), "sale_detail_stream")
+    return spark.read.parquet(table).drop("_batch_id")
+
+
 STREAM_QUERIES = {
     "dau_stream": dau_stream,
     "alert_stream": alert_stream,
     "gmv_stream": gmv_stream,
+    "sale_detail_stream": sale_detail_stream,
 }

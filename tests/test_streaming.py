@@ -75,3 +75,26 @@ def test_run_until_done_raises_on_failure(spark, tmp_dir):
     import pytest
     with pytest.raises(Exception):
         run_until_done(w, 120)
+
+
+def test_sale_detail_interval_join(spark, tmp_dir):
+    from retail_pulse.streaming.sales import start_sale_detail_stream
+    o_src, l_src, table, ckpt = (os.path.join(tmp_dir, p) for p in ("o", "l", "t", "c"))
+    t0 = 1704067200000
+    orders = spark.createDataFrame([(1, 10, t0), (2, 20, t0 + 60_000)], "o_orderkey long, o_custkey long, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms")).drop("ms")
+    lines = spark.createDataFrame(
+        [(1, 1, 100, 1.0, 5.0, t0 + 1000),            # within an hour of its order: joined
+         (2, 1, 100, 2.0, 6.0, t0 + 60_000 + 7_200_000),  # two hours late: outside the bound
+         (3, 1, 100, 1.0, 1.0, t0)],                   # no order
+        "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms")).drop("ms")
+    part = spark.createDataFrame([(100, "small ring")], "p_partkey long, p_name string")
+    orders.write.parquet(o_src)
+    lines.write.parquet(l_src)
+    q = start_sale_detail_stream(spark, spark.readStream.schema(orders.schema).parquet(o_src),
+                                 spark.readStream.schema(lines.schema).parquet(l_src), part, table, ckpt,
+                                 {"availableNow": True})
+    assert q.awaitTermination(180)
+    got = [(r.order_id, r.user_id, r.sku_name, r.dt) for r in spark.read.parquet(table).collect()]
+    assert got == [(1, 10, "small ring", "2024-01-01")]
