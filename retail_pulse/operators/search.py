@@ -10,8 +10,9 @@ Plan shape:
   for the few query terms are computed per document, so there is no
   explode and no shuffle of tokens;
 * index statistics (doc count, mean length, document frequency per query
-  term) are over the *whole* index, not the filtered set, and come from one
-  global aggregate (one row) whose values are inlined into the scoring pass;
+  term) are over the *whole* index, not the filtered set; the scored search
+  analyzes the index once into a narrow per-document table, computes the
+  statistics (one row) from it and scores from it;
 * the page is ``ORDER BY score DESC, id LIMIT offset+size`` -> a
   ``TakeOrderedAndProject`` (per-task top-k, then a k-row merge);
 * total and buckets need no score and skip the statistics pass.
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_pulse.functions.text import analyze, bm25_idf, bm25_term, term_freq, tokens
+from retail_pulse.sources.sinks import materialize
 from retail_pulse.sources.tables import balanced
 
 
@@ -77,26 +79,33 @@ def _matched(terms: list[str], operator: str) -> Column:
     return out
 
 
-def index_stats(docs: DataFrame, text_col: str, terms: list[str]) -> DataFrame:
-    """One row: n_docs, avgdl, df per query term (``_df{i}``), over the whole index."""
-    base = analyzed(docs, text_col, terms, [])
+def _stats_of(base: DataFrame, terms: list[str]) -> DataFrame:
     return base.agg(F.count(F.lit(1)).cast("double").alias("n_docs"),
                     F.avg("_dl").alias("avgdl"),
                     *[F.count_if(F.col(c) > 0).cast("double").alias(f"_df{i}")
                       for i, c in enumerate(_tf_cols(terms))])
 
 
+def index_stats(docs: DataFrame, text_col: str, terms: list[str]) -> DataFrame:
+    """One row: n_docs, avgdl, df per query term (``_df{i}``), over the whole index."""
+    return _stats_of(analyzed(docs, text_col, terms, []), terms)
+
+
 def scored(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None = 6) -> DataFrame:
     """Filtered documents with ``score`` (BM25 over whole-index statistics), NULL when not matched.
 
-    The statistics pass is one global aggregate (exactly one row of
-    ``2 + len(terms)`` numbers); its values are inlined as literals into the
-    scoring pass. This is what a scalar subquery does, but evaluated once
-    instead of once per reference.
+    The index is analyzed once into a narrow per-document table (kept and
+    filter columns, length, term counts) written in the shared work folder;
+    the statistics aggregate (exactly one row of ``2 + len(terms)`` numbers)
+    and the scoring pass both read that table, so no document is tokenized
+    twice. The statistics are inlined as literals: what a scalar subquery
+    does, evaluated once instead of once per reference.
     """
     terms = q.terms()
-    st = index_stats(docs, q.text_col, terms).first()
-    base = analyzed(docs.where(q.filter_condition()), q.text_col, terms, keep, q.operator)
+    cols = list(dict.fromkeys(keep + list(q.term_filters)))
+    narrow = materialize(analyzed(docs, q.text_col, terms, cols, q.operator), "search-terms")
+    st = _stats_of(narrow, terms).first()
+    base = narrow.where(q.filter_condition())
     if st is None or not st["n_docs"]:
         return base.select(*keep, F.lit(None).cast("double").alias("score"))
     n_docs, avgdl = F.lit(float(st["n_docs"])), F.lit(float(st["avgdl"]))

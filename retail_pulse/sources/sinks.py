@@ -38,6 +38,20 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, partition_col
         .partitionBy(*(parts + ["_batch_id"])).format(fmt).save(path)
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared work folder and return the table.
+
+    Cuts the lineage for frames read by several jobs (one computation
+    instead of one per job) and survives executor loss, unlike a cache or a
+    local checkpoint. ``DataFrame.checkpoint`` is not used because without a
+    persisted input it computes the frame a second time to write it.
+    """
+    from retail_pulse.session import shared_dir
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def upper_case_columns(df: DataFrame, columns: list[str], targets: list[str]) -> DataFrame:
     """Positional projection of ``columns`` to the sink's upper-case ``targets``."""
     return df.select(*[F.col(c).alias(t) for c, t in zip(columns, targets)])
