@@ -31,7 +31,7 @@ from retail_pulse.streaming import alert as SA
 from retail_pulse.streaming.dau import start_dau_stream
 from retail_pulse.streaming.gmv import order_table, start_gmv_stream
 from retail_pulse.streaming.sales import start_sale_detail_stream
-from retail_pulse.streaming.runner import replay_chunks
+from retail_pulse.streaming.runner import replay_chunks, stream_conf
 
 REPLAY_SLICES = 4
 ALERT_WINDOW = "1 day"
@@ -126,9 +126,17 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(table).drop("_batch_id")
 
 
-STREAM_QUERIES = {
+def _with_stream_conf(fn):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with stream_conf(spark):
+            return fn(spark, sf)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+STREAM_QUERIES = {name: _with_stream_conf(fn) for name, fn in {
     "dau_stream": dau_stream,
     "alert_stream": alert_stream,
     "gmv_stream": gmv_stream,
     "sale_detail_stream": sale_detail_stream,
-}
+}.items()}

@@ -6,6 +6,7 @@ use ``availableNow`` (process what is there, then stop).
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 from pyspark.errors import AnalysisException
@@ -40,6 +41,34 @@ def run_until_done(writer, timeout_s: float = 600.0):
     return q
 
 
+@contextlib.contextmanager
+def stream_conf(spark: SparkSession, state_partitions: int | None = None):
+    """Session settings for starting a stateful stream, restored afterwards.
+
+    The number of state partitions is fixed when a checkpoint is first
+    created (from ``spark.sql.shuffle.partitions``); size it to the
+    cluster's cores rather than an arbitrary session default, and keep
+    state in RocksDB with changelog checkpointing.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
     """Batch read of a table folder, or None before its first write.
 
