@@ -21,6 +21,8 @@ from retail_pulse.functions.text import analyze, tokens
 
 # Age bands and their labels on the sales-detail page.
 AGE_BANDS = [(None, 20, "20岁以下"), (20, 30, "20-30岁"), (30, None, "30岁以上")]
+# Fixed value: the sales-detail page's date when the request has none.
+DEFAULT_DETAIL_DATE = "2019-03-04"
 # The map legend's bands (width 100, six bands 0-100 ... 500-600).
 MAP_BAND_WIDTH = 100
 MAP_BANDS = 6
@@ -94,3 +96,22 @@ def region_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     # nation is a fixed-size dimension (25 rows): safe to broadcast.
     return per_nation.join(F.broadcast(nation.select("n_nationkey", "n_name")), "n_nationkey") \
         .select("n_nationkey", "n_name", amount.alias("order_amount"), "n_orders", band.alias("band"))
+
+
+def detail_report(detail: DataFrame, users: DataFrame, date_col: str = "dt", date: str | None = None,
+                  keyword: str | None = None, keyword_col: str = "sku_name", page: int = 1, size: int = 20,
+                  order_cols: list[str] | None = None, user_key: str = "user_id",
+                  stat_groups: dict | None = None) -> dict[str, DataFrame]:
+    """Sales-detail page: ``total``, ``stat`` (one share table per group) and ``detail`` rows.
+
+    ``date`` defaults to the page's fixed default; an empty keyword means no
+    keyword filter. All parts read the same filtered rows; ``users`` (the
+    user dimension) is joined only for the statistics.
+    """
+    cond = (F.col(date_col) == F.lit(date or DEFAULT_DETAIL_DATE)) & keyword_match(keyword_col, keyword)
+    matched = detail.where(cond)
+    rows = detail_page(detail, cond, order_cols or [c for c in detail.columns], page, size, with_total=False)
+    total = matched.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
+    enriched = matched.join(users, user_key)
+    stats = {name: shares(enriched, expr) for name, expr in (stat_groups or {}).items()}
+    return {"total": total, "stat": stats, "detail": rows}

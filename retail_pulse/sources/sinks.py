@@ -93,6 +93,18 @@ def kafka_sink_options(brokers: str, topic: str) -> dict:
     return {"kafka.bootstrap.servers": brokers, "topic": topic}
 
 
+def write_kafka(messages: DataFrame, brokers: str, topic: str) -> None:
+    """Batch write of ``value`` messages to a topic (needs the Kafka connector on the classpath)."""
+    messages.select("value").write.format("kafka").options(**kafka_sink_options(brokers, topic)).save()
+
+
+def write_kafka_stream(messages: DataFrame, brokers: str, topic: str, checkpoint: str, trigger: dict):
+    """Streaming write of ``value`` messages to a topic; offsets and progress in ``checkpoint``."""
+    return messages.select("value").writeStream.format("kafka") \
+        .options(**kafka_sink_options(brokers, topic)).option("checkpointLocation", checkpoint) \
+        .trigger(**trigger).start()
+
+
 def write_messages(messages: DataFrame, path: str) -> None:
     """Offline message sink: one JSON message per line (``value`` column) as text files."""
     messages.select("value").write.mode("append").text(path)
@@ -101,3 +113,9 @@ def write_messages(messages: DataFrame, path: str) -> None:
 def console(df: DataFrame, n: int = 20) -> None:
     """Print rows (batch DataFrame) like the reference's debug print."""
     df.show(n, truncate=False)
+
+
+def console_stream(df: DataFrame, trigger: dict, output_mode: str = "append", n: int = 20):
+    """Print each micro-batch's rows (streaming DataFrame)."""
+    return df.writeStream.format("console").outputMode(output_mode).option("numRows", n) \
+        .option("truncate", "false").trigger(**trigger).start()
