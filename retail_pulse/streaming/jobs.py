@@ -26,7 +26,7 @@ from retail_pulse.operators import cdc
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
 from retail_pulse.sources import tables as tb
-from retail_pulse.sources.sinks import latest_documents
+from retail_pulse.sources.sinks import latest_documents, materialize
 from retail_pulse.streaming import alert as SA
 from retail_pulse.streaming.dau import start_dau_stream
 from retail_pulse.streaming.gmv import order_table, start_gmv_stream
@@ -112,10 +112,12 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     work = shared_dir(spark, "sale-stream")
     o_src, l_src, table, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "detail", "checkpoint"))
     orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
-    lines = tb.table(spark, sf, "lineitem").join(orders.select("o_orderkey", "ts"),
-                                                 F.col("l_orderkey") == F.col("o_orderkey")) \
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-                (F.col("ts") + F.make_dt_interval(secs=F.col("l_linenumber").cast("decimal(18,6)"))).alias("ts"))
+    # the line feed (each line stamped with its order's commit time) is built once, then sliced
+    lines = materialize(tb.table(spark, sf, "lineitem").join(orders.select("o_orderkey", "ts"),
+                                                             F.col("l_orderkey") == F.col("o_orderkey"))
+                        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+                                (F.col("ts") + F.make_dt_interval(secs=F.col("l_linenumber").cast("decimal(18,6)")))
+                                .alias("ts")), "sale-stream-lines")
     part = tb.table(spark, sf, "part")
     slices = zip(replay_chunks(spark, orders, "ts", REPLAY_SLICES, o_src),
                  replay_chunks(spark, lines, "ts", REPLAY_SLICES, l_src))
