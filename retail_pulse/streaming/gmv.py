@@ -15,11 +15,12 @@ count per batch bounded even when a batch spans years of late changes.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.functions.jsonparse import parse_records
+from retail_pulse.functions.jsonparse import parse_json_column, parse_records, split_quarantine
 from retail_pulse.functions.mask import mask_phone
 from retail_pulse.functions.time import create_date, create_hour
 from retail_pulse.operators import cdc
@@ -27,23 +28,37 @@ from retail_pulse.schemas import ORDER_FIELDS, ORDER_INFO, ORDER_TABLE_COLUMNS,
 from retail_pulse.sources.sinks import upper_case_columns, write_batch_partition
 
 
-def orders_from_messages(messages: DataFrame) -> DataFrame:
-    """Order messages -> typed order rows with create_date/create_hour and masked phone."""
-    good, _bad = parse_records(messages, ORDER_INFO, ORDER_TYPES)
+def finish_orders(good: DataFrame) -> DataFrame:
+    """Typed order rows -> with create_date/create_hour and masked phone."""
     return good.withColumn("consignee_tel", mask_phone("consignee_tel")) \
         .withColumn("create_date", create_date("create_time")) \
         .withColumn("create_hour", create_hour("create_time"))
 
 
-def orders_from_changes(changes: DataFrame) -> DataFrame:
-    return orders_from_messages(cdc.change_feed_messages(changes, "order_info", cdc.INSERT))
+def orders_from_messages(messages: DataFrame) -> DataFrame:
+    """Order messages -> finished order rows (rejects dropped; see :func:`order_batch_writer`)."""
+    good, _bad = parse_records(messages, ORDER_INFO, ORDER_TYPES)
+    return finish_orders(good)
+
+
+def parsed_changes(changes: DataFrame) -> DataFrame:
+    """Change entries -> every order message parsed, with ``_parse_ok`` / ``_reject_reason``."""
+    return parse_json_column(cdc.change_feed_messages(changes, "order_info", cdc.INSERT), ORDER_INFO, ORDER_TYPES)
 
 
-def order_batch_writer(table_path: str):
+def order_batch_writer(table_path: str, quarantine_path: str | None = None):
+    """``foreachBatch``: good rows to the order table, rejects (raw message + reason) to the
+    quarantine table; both idempotent under the batch id."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        out = upper_case_columns(batch, ORDER_FIELDS + ["create_date", "create_hour"], ORDER_TABLE_COLUMNS) \
-            .withColumn("CREATE_MONTH", F.substring("CREATE_DATE", 1, 7))
+        parsed = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by both writes
+        good, bad = split_quarantine(parsed)
+        out = upper_case_columns(finish_orders(good), ORDER_FIELDS + ["create_date", "create_hour"],
+                                 ORDER_TABLE_COLUMNS).withColumn("CREATE_MONTH", F.substring("CREATE_DATE", 1, 7))
         write_batch_partition(out, table_path, batch_id, ["CREATE_MONTH"], sort_cols=["CREATE_DATE"])
+        # checked on the cached batch: no quarantine write job when there are no rejects
+        if quarantine_path and not bad.isEmpty():
+            write_batch_partition(bad, quarantine_path, batch_id)
+        parsed.unpersist()
     return process
 
 
@@ -58,6 +73,7 @@ def order_table(spark: SparkSession, table_path: str, dates: list[str] | None =
     return t
 
 
-def start_gmv_stream(spark: SparkSession, changes: DataFrame, table_path: str, checkpoint: str, trigger: dict):
-    return orders_from_changes(changes).writeStream.foreachBatch(order_batch_writer(table_path)) \
+def start_gmv_stream(spark: SparkSession, changes: DataFrame, table_path: str, checkpoint: str, trigger: dict,
+                     quarantine_path: str | None = None):
+    return parsed_changes(changes).writeStream.foreachBatch(order_batch_writer(table_path, quarantine_path)) \
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()

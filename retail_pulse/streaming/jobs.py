@@ -88,7 +88,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
 def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     BATCH_MS["gmv_stream"] = []
     work = shared_dir(spark, "gmv-stream")
-    src, table, ckpt = (os.path.join(work, p) for p in ("source", "orders", "checkpoint"))
+    src, table, bad, ckpt = (os.path.join(work, p) for p in ("source", "orders", "quarantine", "checkpoint"))
     oi = tb.order_info(tb.table(spark, sf, "orders"))
     et = F.when(F.col("order_status") == F.lit("F"), F.lit(cdc.INSERT)).otherwise(F.lit(cdc.UPDATE))
     xt = F.to_timestamp("create_time")
@@ -98,7 +98,7 @@ def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     # entries arrive in commit order: replay the feed in execute_time slices, one batch each
     for _ in replay_chunks(spark, feed, "execute_time", REPLAY_SLICES, src):
         changes = readers.change_feed_stream(spark, src, max_files_per_trigger=None)
-        _await(start_gmv_stream(spark, changes, table, ckpt, AVAILABLE_NOW), "gmv_stream")
+        _await(start_gmv_stream(spark, changes, table, ckpt, AVAILABLE_NOW, quarantine_path=bad), "gmv_stream")
     t = order_table(spark, table)
     return t.select(F.col("ID").alias("id"), F.col("USER_ID").alias("user_id"),
                     F.col("TOTAL_AMOUNT").alias("total_amount"), F.col("CONSIGNEE_TEL").alias("consignee_tel"),

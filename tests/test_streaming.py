@@ -98,3 +98,23 @@ def test_sale_detail_interval_join(spark, tmp_dir):
     assert q.awaitTermination(180)
     got = [(r.order_id, r.user_id, r.sku_name, r.dt) for r in spark.read.parquet(table).collect()]
     assert got == [(1, 10, "small ring", "2024-01-01")]
+
+
+def test_order_stream_quarantines_bad_rows(spark, tmp_dir):
+    from retail_pulse.schemas import CHANGE_EVENT
+    from retail_pulse.streaming.gmv import order_table, start_gmv_stream
+    src, table, bad, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "t", "q", "c"))
+
+    def row(**kv):
+        return [{"name": k, "value": v} for k, v in kv.items()]
+    entries = [(None, "order_info", "ROWDATA", "INSERT",
+                [row(id="1", total_amount="10.5", create_time="2024-01-01 09:05:06", consignee_tel="13812345678"),
+                 row(id="2", total_amount="abc", create_time="2024-01-01 10:00:00")])]
+    spark.createDataFrame(entries, CHANGE_EVENT).write.parquet(src)
+    changes = spark.readStream.schema(CHANGE_EVENT).parquet(src)
+    q = start_gmv_stream(spark, changes, table, ckpt, {"availableNow": True}, quarantine_path=bad)
+    assert q.awaitTermination(180)
+    good = order_table(spark, table, ["2024-01-01"]).collect()
+    assert [(r.ID, r.TOTAL_AMOUNT, r.CONSIGNEE_TEL, r.CREATE_HOUR) for r in good] == [("1", 10.5, "138****5678", "09")]
+    rejects = spark.read.parquet(bad).collect()
+    assert [r._reject_reason for r in rejects] == ["bad_number"] and '"abc"' in rejects[0]._raw
