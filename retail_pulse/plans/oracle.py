@@ -128,6 +128,11 @@ UNION ALL SELECT 'order_amount', '新增交易额',
   len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
   epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
         "dau_stream": f"SELECT mid, log_date, log_hour, event_id, ts_ms FROM ({_dedup()})",
+        "startup_stream": f"""SELECT DISTINCT mid, log_date, log_hour, ts_ms FROM (
+  SELECT user_id AS mid, strftime(ts, '%Y-%m-%d') AS log_date, strftime(ts, '%H') AS log_hour,
+         epoch_us(ts) // 1000 AS ts_ms,
+         min(epoch_us(ts) // 1000) OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d')) AS first_ms
+  FROM events) WHERE ts_ms = first_ms""",
         "alert_stream": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
   len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
   epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a

@@ -28,7 +28,9 @@ from retail_pulse.sources import readers
 from retail_pulse.sources import tables as tb
 from retail_pulse.sources.sinks import latest_documents, materialize
 from retail_pulse.streaming import alert as SA
-from retail_pulse.streaming.dau import start_dau_stream
+from retail_pulse.functions.jsonparse import to_json_messages
+from retail_pulse.functions.time import to_millis
+from retail_pulse.streaming.dau import start_dau_stream, startup_from_messages
 from retail_pulse.streaming.gmv import order_table, start_gmv_stream
 from retail_pulse.streaming.sales import start_sale_detail_stream
 from retail_pulse.streaming.runner import replay_chunks, stream_conf
@@ -70,6 +72,26 @@ def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
         .select("mid", "log_date", "log_hour", "event_id", "ts_ms")
 
 
+def startup_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Startup logs as JSON messages (epoch-ms ``ts``) in text files -> text stream -> parse with
+    the string schema + try_cast -> log_date/log_hour from epoch ms -> DAU foreachBatch."""
+    BATCH_MS["startup_stream"] = []
+    work = shared_dir(spark, "startup-stream")
+    src, detail, ckpt = (os.path.join(work, p) for p in ("messages", "detail", "checkpoint"))
+    ev = tb.table(spark, sf, "events")
+
+    def as_messages(part: DataFrame) -> DataFrame:
+        return to_json_messages(part.select(F.col("user_id").cast("string").alias("mid"),
+                                            F.col("user_id").cast("string").alias("uid"),
+                                            F.col("event_type").alias("type"), to_millis("ts").alias("ts")))
+    for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src, fmt="text", project=as_messages):
+        logs = startup_from_messages(readers.message_stream(spark, src, max_files_per_trigger=None))
+        _await(start_dau_stream(spark, logs, detail, ckpt, AVAILABLE_NOW,
+                                order_cols=["ts", "uid", "type"]), "startup_stream")
+    return spark.read.parquet(detail).select(F.col("mid").cast("bigint").alias("mid"), "log_date", "log_hour",
+                                             F.col("ts").alias("ts_ms"))
+
+
 def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     BATCH_MS["alert_stream"] = []
     work = shared_dir(spark, "alert-stream")
@@ -138,6 +160,7 @@ def _with_stream_conf(fn):
 
 STREAM_QUERIES = {name: _with_stream_conf(fn) for name, fn in {
     "dau_stream": dau_stream,
+    "startup_stream": startup_stream,
     "alert_stream": alert_stream,
     "gmv_stream": gmv_stream,
     "sale_detail_stream": sale_detail_stream,

@@ -109,9 +109,13 @@ class BatchCounts:
         return out
 
 
-def replay_chunks(spark: SparkSession, df: DataFrame, ts_col: str, n_chunks: int, dest: str):
+def replay_chunks(spark: SparkSession, df: DataFrame, ts_col: str, n_chunks: int, dest: str,
+                  fmt: str = "parquet", project=None):
     """Yield after appending each of ``n_chunks`` equal-width time slices of ``df`` to ``dest``.
 
+    ``project`` maps a slice to what is written (e.g. one JSON ``value`` per
+    row with ``fmt="text"``).
+
     Used to drive a file-source stream in event-time order: the caller runs
     its ``availableNow`` query after each yield, so every slice becomes one
     micro-batch. Bounds come from one min/max aggregate (a single row).
@@ -135,5 +139,6 @@ def replay_chunks(spark: SparkSession, df: DataFrame, ts_col: str, n_chunks: int
         cond = F.col(ts_col) >= bound(lo + step * k) if k else F.lit(True)
         if k < n_chunks - 1:
             cond = cond & (F.col(ts_col) < bound(lo + step * (k + 1)))
-        df.where(cond).write.mode("append").parquet(dest)
+        part = df.where(cond)
+        (project(part) if project else part).write.mode("append").format(fmt).save(dest)
         yield k
