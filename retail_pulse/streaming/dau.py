@@ -18,7 +18,6 @@ never goes through the driver: it is a table scan joined on executors.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,10 +49,9 @@ def dau_batch_writer(spark: SparkSession, detail_path: str, order_cols: list[str
             first = counts.tap(first, "in_batch")
         schema = T.StructType(list(first.schema.fields) + [T.StructField("_batch_id", T.LongType())])
         detail = read_if_exists(spark, detail_path, schema)
-        cached = detail is not None
-        if cached:
-            # used by the date semi-join and the anti-join: compute the dedup once
-            deduped = first.persist(StorageLevel.MEMORY_AND_DISK)
+        if detail is not None:
+            # the dedup feeds the date semi-join and the anti-join; AQE reuses its shuffle stage
+            deduped = first
             seen = detail.where(F.col("_batch_id") < F.lit(int(batch_id))) \
                 .join(deduped.select(date_col).distinct(), date_col, "left_semi") \
                 .select(mid, date_col)
@@ -61,8 +59,6 @@ def dau_batch_writer(spark: SparkSession, detail_path: str, order_cols: list[str
         if counts:
             first = counts.tap(first, "new")
         write_batch_partition(first, detail_path, batch_id, [date_col])
-        if cached:
-            deduped.unpersist()
         if counts:
             counts.collect(batch_id)
 
