@@ -20,3 +20,13 @@ def test_json_lines_inferred_schema(spark, tmp_dir):
     assert dict(df.dtypes) == {"age": "bigint", "name": "string"}
     df.createOrReplaceTempView("stu")
     assert spark.sql("select name from stu where age > 20 order by name").collect()[0].name == "ann"
+
+
+def test_register_view_create_only_if_absent(spark):
+    first = spark.createDataFrame([(1,)], "x int")
+    second = spark.createDataFrame([(2,)], "x int")
+    readers.register_view(first, "rp_once", replace=False)
+    readers.register_view(second, "rp_once", replace=False)  # exists: kept
+    assert spark.sql("select x from rp_once").first().x == 1
+    readers.register_view(second, "rp_once")  # create-or-replace
+    assert spark.sql("select x from rp_once").first().x == 2

@@ -118,3 +118,22 @@ def test_order_stream_quarantines_bad_rows(spark, tmp_dir):
     assert [(r.ID, r.TOTAL_AMOUNT, r.CONSIGNEE_TEL, r.CREATE_HOUR) for r in good] == [("1", 10.5, "138****5678", "09")]
     rejects = spark.read.parquet(bad).collect()
     assert [r._reject_reason for r in rejects] == ["bad_number"] and '"abc"' in rejects[0]._raw
+
+
+def test_processing_time_trigger_and_console_sink(spark, tmp_dir):
+    from retail_pulse.sources.sinks import console_stream
+    from retail_pulse.streaming.runner import TRIGGERS, trigger_kwargs
+    assert trigger_kwargs("dau") == {"processingTime": "3 seconds"}
+    assert trigger_kwargs(available_now=True) == {"availableNow": True}
+    assert TRIGGERS["alert_slow"] == "5 seconds"
+    src, path, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "dau", "ckpt"))
+    _batch(spark, [("m1", "d1", 5, 1), ("m1", "d1", 4, 2)]).write.parquet(src)
+    stream = spark.readStream.schema(LOG).parquet(src)
+    q = start_dau_stream(spark, stream, path, ckpt, trigger_kwargs("dau"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [r.ts for r in spark.read.parquet(path).collect()] == [4]
+    c = console_stream(stream, {"availableNow": True})
+    assert c.awaitTermination(120)
