@@ -9,9 +9,14 @@ line is committed within ``max_delay`` after the order:
 With watermarks on both sides, Spark keeps each side's join state only
 until the other side's watermark makes a match impossible, so state is
 bounded by ``max_delay + watermark delay`` worth of orders and lines, not
-by the history. The SKU dimension is a static table (stream-static join,
-planned per micro-batch; AQE broadcasts it only if it is measured small).
-Each micro-batch appends its rows under ``_batch_id`` (idempotent on replay).
+by the history.
+
+The SKU enrichment runs in ``foreachBatch`` as an ordinary batch join of
+the micro-batch's joined lines with the SKU table: there AQE plans it
+(broadcast only when the SKU side is measured small, otherwise a
+sort-merge join with hot SKUs split), which a stream-static join inside
+the streaming plan would not get. Each micro-batch appends its rows under
+``_batch_id`` (idempotent on replay).
 """
 
 from __future__ import annotations
@@ -22,19 +27,23 @@ from pyspark.sql import functions as F
 from retail_pulse.sources.sinks import write_batch_partition
 
 
-def sale_detail_stream(orders: DataFrame, lines: DataFrame, part: DataFrame,
-                       max_delay: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
-    """Streaming wide sale rows from (o_orderkey, o_custkey, ts) and
-    (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts) streams."""
+def order_line_stream(orders: DataFrame, lines: DataFrame, max_delay: str = "1 hour",
+                      watermark: str = "10 minutes") -> DataFrame:
+    """Streaming interval join of (o_orderkey, o_custkey, ts) and
+    (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts)."""
     o = orders.select("o_orderkey", "o_custkey", F.col("ts").cast("timestamp").alias("o_ts")) \
         .withWatermark("o_ts", watermark)
     li = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
                       F.col("ts").cast("timestamp").alias("l_ts")).withWatermark("l_ts", watermark)
     cond = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_ts") >= F.col("o_ts")) & \
         (F.col("l_ts") <= F.col("o_ts") + F.expr(f"INTERVAL {max_delay}"))
-    joined = li.join(o, cond, "inner")
+    return li.join(o, cond, "inner")
+
+
+def enrich_with_sku(order_lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Joined order lines x SKU table -> wide sale rows (a batch join)."""
     p = part.select("p_partkey", "p_name")
-    return joined.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+    return order_lines.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("sku_id"),
         F.col("p_name").alias("sku_name"), F.col("l_quantity").alias("sku_num"),
@@ -44,6 +53,6 @@ def sale_detail_stream(orders: DataFrame, lines: DataFrame, part: DataFrame,
 def start_sale_detail_stream(spark: SparkSession, orders: DataFrame, lines: DataFrame, part: DataFrame,
                              table_path: str, checkpoint: str, trigger: dict, **kw):
     def process(batch: DataFrame, batch_id: int) -> None:
-        write_batch_partition(batch, table_path, batch_id)
-    return sale_detail_stream(orders, lines, part, **kw).writeStream.outputMode("append") \
+        write_batch_partition(enrich_with_sku(batch, part), table_path, batch_id)
+    return order_line_stream(orders, lines, **kw).writeStream.outputMode("append") \
         .foreachBatch(process).option("checkpointLocation", checkpoint).trigger(**trigger).start()
