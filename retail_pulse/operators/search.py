@@ -86,11 +86,6 @@ def _stats_of(base: DataFrame, terms: list[str]) -> DataFrame:
                       for i, c in enumerate(_tf_cols(terms))])
 
 
-def index_stats(docs: DataFrame, text_col: str, terms: list[str]) -> DataFrame:
-    """One row: n_docs, avgdl, df per query term (``_df{i}``), over the whole index."""
-    return _stats_of(analyzed(docs, text_col, terms, []), terms)
-
-
 def scored(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None = 6) -> DataFrame:
     """Filtered documents with ``score`` (BM25 over whole-index statistics), NULL when not matched.
 

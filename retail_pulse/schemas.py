@@ -65,6 +65,7 @@ TOPIC_USER_INFO = "TOPIC_USER_INFO"
 ES_ALERT_INDEX = "gmall_coupon_alert"
 ES_SALE_DETAIL_INDEX = "gmall2021_sale_detail"
 ES_SALE_DETAIL_QUERY = "gmall2021_sale_detail-query"
+ALERT_INDEX_SUFFIX = "0726"
 
 # Source registry: logical stream -> (topic, parse schema, typed casts).
 SOURCES = {

@@ -20,7 +20,6 @@ CONSUMER_GROUP = "bigdata2021"
 STARTING_OFFSETS = "latest"
 # Fixed value: change-feed subscription pattern.
 CDC_TABLE_PATTERN = "gmall.*"
-CDC_BATCH_SIZE = 100
 
 
 def kafka_options(brokers: str, topic: str, group: str = CONSUMER_GROUP,

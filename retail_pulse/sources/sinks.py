@@ -83,9 +83,9 @@ def latest_documents(versions: DataFrame, id_col: str = "id") -> DataFrame:
     return latest.drop("_batch_id", "_seq")
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """Last write wins per key, by ``order_cols`` descending."""
-    return first_per_key(df, keys, [F.col(c).desc() for c in order_cols])
+def index_name(prefix: str, suffix: str) -> str:
+    """Date- or release-suffixed index (table folder) name."""
+    return f"{prefix}{suffix}"
 
 
 def kafka_sink_options(brokers: str, topic: str) -> dict:

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from retail_pulse.functions.jsonparse import parse_records
 from retail_pulse.functions.time import log_date, log_hour, ms_to_timestamp
 from retail_pulse.operators.dedup import dedup_device_day, drop_seen
-from retail_pulse.schemas import STARTUP_LOG, STARTUP_TYPES
+from retail_pulse.schemas import DAU_TABLE_COLUMNS, STARTUP_LOG, STARTUP_TYPES
 from retail_pulse.sources.sinks import write_batch_partition
 from retail_pulse.streaming.runner import BatchCounts, read_if_exists
 
@@ -65,6 +65,13 @@ def dau_batch_writer(spark: SparkSession, detail_path: str, order_cols: list[str
     return process
 
 
+def dau_table_view(detail: DataFrame) -> DataFrame:
+    """Detail rows in the serving table's upper-case columns (positional projection)."""
+    cols = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "log_date", "log_hour", "ts"]
+    present = [F.col(c) if c in detail.columns else F.lit(None).cast("string") for c in cols]
+    return detail.select(*[c.alias(t) for c, t in zip(present, DAU_TABLE_COLUMNS)])
+
+
 def start_dau_stream(spark: SparkSession, source: DataFrame, detail_path: str, checkpoint: str,
                      trigger: dict, order_cols: list[str] | None = None, counts: BatchCounts | None = None,
                      query_name: str | None = None):

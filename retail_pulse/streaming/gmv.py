@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.functions.jsonparse import parse_json_column, parse_records, split_quarantine
+from retail_pulse.functions.jsonparse import parse_json_column, split_quarantine
 from retail_pulse.functions.mask import mask_phone
 from retail_pulse.functions.time import create_date, create_hour
 from retail_pulse.operators import cdc
@@ -35,12 +35,6 @@ def finish_orders(good: DataFrame) -> DataFrame:
         .withColumn("create_hour", create_hour("create_time"))
 
 
-def orders_from_messages(messages: DataFrame) -> DataFrame:
-    """Order messages -> finished order rows (rejects dropped; see :func:`order_batch_writer`)."""
-    good, _bad = parse_records(messages, ORDER_INFO, ORDER_TYPES)
-    return finish_orders(good)
-
-
 def parsed_changes(changes: DataFrame) -> DataFrame:
     """Change entries -> every order message parsed, with ``_parse_ok`` / ``_reject_reason``."""
     return parse_json_column(cdc.change_feed_messages(changes, "order_info", cdc.INSERT), ORDER_INFO, ORDER_TYPES)

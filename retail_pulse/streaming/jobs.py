@@ -26,7 +26,8 @@ from retail_pulse.operators import cdc
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
 from retail_pulse.sources import tables as tb
-from retail_pulse.sources.sinks import latest_documents, materialize
+from retail_pulse.schemas import ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, ES_SALE_DETAIL_INDEX, ES_SALE_DETAIL_QUERY
+from retail_pulse.sources.sinks import index_name, latest_documents, materialize
 from retail_pulse.streaming import alert as SA
 from retail_pulse.functions.jsonparse import to_json_messages
 from retail_pulse.functions.time import to_millis
@@ -95,7 +96,8 @@ def startup_stream(spark: SparkSession, sf: str) -> DataFrame:
 def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     BATCH_MS["alert_stream"] = []
     work = shared_dir(spark, "alert-stream")
-    src, docs, ckpt = (os.path.join(work, p) for p in ("source", "docs", "checkpoint"))
+    src, ckpt = os.path.join(work, "source"), os.path.join(work, "checkpoint")
+    docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
     ev = tb.event_logs(tb.table(spark, sf, "events")).select("mid", "uid", "evid", "itemid", "ts")
     for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src):
         stream = spark.readStream.schema(ev.schema).parquet(src)
@@ -132,7 +134,8 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     ``ts`` = order time + line number seconds), interval-joined, enriched with the SKU table."""
     BATCH_MS["sale_detail_stream"] = []
     work = shared_dir(spark, "sale-stream")
-    o_src, l_src, table, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "detail", "checkpoint"))
+    o_src, l_src, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "checkpoint"))
+    table = os.path.join(work, ES_SALE_DETAIL_INDEX)
     orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
     # the line feed (each line stamped with its order's commit time) is built once, then sliced
     lines = materialize(tb.table(spark, sf, "lineitem").join(orders.select("o_orderkey", "ts"),
@@ -147,7 +150,9 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
         os_ = spark.readStream.schema(orders.schema).parquet(o_src)
         ls_ = spark.readStream.schema(lines.schema).parquet(l_src)
         _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW), "sale_detail_stream")
-    return spark.read.parquet(table).drop("_batch_id")
+    # the query alias is a view over the index table
+    readers.register_view(spark.read.parquet(table).drop("_batch_id"), ES_SALE_DETAIL_QUERY)
+    return spark.table(f"`{ES_SALE_DETAIL_QUERY}`")
 
 
 def _with_stream_conf(fn):

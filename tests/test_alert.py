@@ -29,6 +29,15 @@ def test_alert_hit(spark):
     assert len(doc.events) == 4
 
 
+def test_document_has_the_alert_record_fields(spark):
+    from retail_pulse.schemas import COUPON_ALERT
+    rows = [("m1", f"u{i}", "coupon", "i1", i) for i in range(3)]
+    doc = A.alert_documents(A.coupon_alerts(events(spark, rows), "5 minutes"), expand=True)
+    assert set(COUPON_ALERT.fieldNames()) <= set(doc.columns)
+    assert {f.name: f.dataType for f in doc.schema.fields if f.name in COUPON_ALERT.fieldNames()} == \
+        {f.name: f.dataType for f in COUPON_ALERT.fields}
+
+
 def test_same_uid_three_times_no_alert(spark):
     rows = [("m1", "u1", "coupon", "i1", s) for s in (1, 2, 3)]
     assert alerts(spark, rows) == []

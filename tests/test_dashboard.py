@@ -37,14 +37,14 @@ def test_metric_cards_shape(spark):
 def test_detail_report_parts(spark):
     from pyspark.sql import functions as F
 
-    from retail_pulse.operators.sales import bucket_by, detail_report
+    from retail_pulse.operators.sales import AGE_BANDS, bucket_by, detail_report
     detail = spark.createDataFrame(
         [(1, 1, 10, "small ring", "2019-03-04"), (2, 1, 11, "red ring", "2019-03-04"),
          (3, 1, 10, "blue bolt", "2019-03-04"), (4, 1, 12, "old ring", "2019-03-05")],
         "order_id long, line_no int, user_id long, sku_name string, dt string")
     users = spark.createDataFrame([(10, "M", 19), (11, "F", 33), (12, "F", 25)],
                                   "user_id long, gender string, age int")
-    age = [(None, 20, "20岁以下"), (20, 30, "20-30岁"), (30, None, "30岁以上")]
+    age = AGE_BANDS
     rep = detail_report(detail, users, keyword="ring", page=1, size=1, order_cols=["order_id"],
                         stat_groups={"gender": F.col("gender"), "age": bucket_by("age", age)})
     assert rep["total"].first().total == 2

@@ -30,3 +30,12 @@ def test_register_view_create_only_if_absent(spark):
     assert spark.sql("select x from rp_once").first().x == 1
     readers.register_view(second, "rp_once")  # create-or-replace
     assert spark.sql("select x from rp_once").first().x == 2
+
+
+def test_connector_readers_are_wired(spark):
+    """Kafka is not on this image's classpath: the readers must reach the data source lookup."""
+    import pytest
+    with pytest.raises(Exception, match="(?i)kafka"):
+        readers.kafka_batch(spark, "localhost:1", "GMALL_ORDER").collect()
+    with pytest.raises(Exception, match="(?i)kafka"):
+        readers.kafka_stream(spark, "localhost:1", "startup")

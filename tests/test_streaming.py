@@ -137,3 +137,15 @@ def test_processing_time_trigger_and_console_sink(spark, tmp_dir):
     assert [r.ts for r in spark.read.parquet(path).collect()] == [4]
     c = console_stream(stream, {"availableNow": True})
     assert c.awaitTermination(120)
+
+
+def test_serving_scan_and_upper_case_view(spark, tmp_dir):
+    from retail_pulse.sources.readers import detail_table
+    from retail_pulse.streaming.dau import dau_table_view
+    path = os.path.join(tmp_dir, "dau")
+    fn = dau_batch_writer(spark, path, ["ts", "event_id"])
+    fn(_batch(spark, [("m1", "2024-01-01", 5, 1), ("m2", "2024-01-02", 7, 2)]), 0)
+    day = detail_table(spark, path, "log_date", ["2024-01-02"])
+    assert [r.mid for r in day.collect()] == ["m2"]
+    view = dau_table_view(day.withColumn("log_date", F.col("log_date").cast("string")))
+    assert view.columns[:2] == ["MID", "UID"] and view.first().LOGDATE == "2024-01-02"
