@@ -150,9 +150,9 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
         os_ = spark.readStream.schema(orders.schema).parquet(o_src)
         ls_ = spark.readStream.schema(lines.schema).parquet(l_src)
         _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW), "sale_detail_stream")
-    # the query alias is a view over the index table
-    readers.register_view(spark.read.parquet(table).drop("_batch_id"), ES_SALE_DETAIL_QUERY)
-    return spark.table(f"`{ES_SALE_DETAIL_QUERY}`")
+    # the query alias is a view over the index table (view names take no "-")
+    alias = readers.register_view(spark.read.parquet(table).drop("_batch_id"), ES_SALE_DETAIL_QUERY.replace("-", "_"))
+    return spark.table(alias)
 
 
 def _with_stream_conf(fn):
