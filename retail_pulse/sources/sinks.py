@@ -83,6 +83,21 @@ def latest_documents(versions: DataFrame, id_col: str = "id") -> DataFrame:
     return latest.drop("_batch_id", "_seq")
 
 
+def compact_documents(spark, path: str, out_path: str, id_col: str = "id") -> None:
+    """Rewrite a keyed-upsert table as a single version (the latest per id) at ``out_path``.
+
+    Readers switch to the compacted folder; the source stays untouched, so a
+    failed compaction never loses versions. Later upserts append to the new
+    folder with batch ids above the compacted one.
+    """
+    versions = spark.read.parquet(path)
+    top = versions.agg(F.max("_batch_id")).first()[0]
+    latest = latest_documents(versions, id_col)
+    latest.withColumn("_seq", F.lit(0).cast("bigint")) \
+        .withColumn("_batch_id", F.lit(int(top if top is not None else 0)).cast("bigint")) \
+        .write.mode("overwrite").partitionBy("_batch_id").parquet(out_path)
+
+
 def index_name(prefix: str, suffix: str) -> str:
     """Date- or release-suffixed index (table folder) name."""
     return f"{prefix}{suffix}"

@@ -35,3 +35,16 @@ def test_batch_partition_write_is_idempotent(spark, tmp_dir):
     t = spark.read.parquet(path)
     assert t.count() == 3
     assert t.where("_batch_id = 1").count() == 1
+
+
+def test_compaction_keeps_latest_versions(spark, tmp_dir):
+    from retail_pulse.sources.sinks import compact_documents
+    path, out = os.path.join(tmp_dir, "docs"), os.path.join(tmp_dir, "docs_compact")
+    upsert_documents(spark.createDataFrame([("1", "a"), ("2", "b")], DOC), path, 0)
+    upsert_documents(spark.createDataFrame([("1", "a2")], DOC), path, 1)
+    compact_documents(spark, path, out)
+    compacted = spark.read.parquet(out)
+    assert compacted.count() == 2
+    assert {r.id: r.name for r in latest_documents(compacted).collect()} == {"1": "a2", "2": "b"}
+    upsert_documents(spark.createDataFrame([("2", "b2")], DOC), out, 2)  # later upserts still win
+    assert {r.id: r.name for r in latest_documents(spark.read.parquet(out)).collect()} == {"1": "a2", "2": "b2"}
