@@ -176,6 +176,14 @@ SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' |
                                  FROM p WHERE today <> 0), '{{}}')
     || ',"yesterday":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || yesterday, ',' ORDER BY hour) || '}}'
                                  FROM p WHERE yesterday <> 0), '{{}}') || '}}' AS json""",
+        "gmv_hours_json": f"""WITH p AS (SELECT {_H} AS hour,
+    round(sum(value) FILTER (WHERE {_D} = '{Q.DAU_DATE}')::DOUBLE, 2) AS today,
+    round(sum(value) FILTER (WHERE {_D} = '{Q.DAU_PREV}')::DOUBLE, 2) AS yesterday
+  FROM events WHERE {_day('ts', Q.DAU_PREV, 2)} AND event_type = 'purchase' GROUP BY 1)
+SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || CAST(today AS VARCHAR), ',' ORDER BY hour) || '}}'
+                                 FROM p WHERE today IS NOT NULL AND today <> 0), '{{}}')
+    || ',"yesterday":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || CAST(yesterday AS VARCHAR), ',' ORDER BY hour) || '}}'
+                                 FROM p WHERE yesterday IS NOT NULL AND yesterday <> 0), '{{}}') || '}}' AS json""",
         "province_sales": f"""WITH c AS (SELECT c_nationkey AS n_nationkey, sum(o_totalprice) AS amt, count(*)::BIGINT AS n_orders
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey)
 SELECT c.n_nationkey, n.n_name, round(amt, 2) AS order_amount, n_orders,

@@ -243,11 +243,21 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def dau_hours_json(spark: SparkSession, sf: str) -> DataFrame:
     """Hour comparison in its JSON shape: sparse today/yesterday hour maps."""
+    dashboard.check_metric("dau")
     d = _dau_day(spark, sf, DAU_PREV, days=2)
     per_hour = dashboard.hour_compare(spark, d, DAU_DATE, DAU_PREV, "log_date", "log_hour", fill_zero=False)
     return dashboard.hour_maps_json(per_hour)
 
 
+def gmv_hours_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Hour comparison of order value in its JSON shape (metric id ``order_amount``)."""
+    dashboard.check_metric("order_amount")
+    p = _purchases(spark, sf, DAU_PREV, days=2)
+    per_hour = dashboard.hour_compare(spark, p, DAU_DATE, DAU_PREV, "log_date", "log_hour", amount_col="value",
+                                      fill_zero=False)
+    return dashboard.hour_maps_json(per_hour)
+
+
 def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Share of matching sale rows per customer segment (the detail page's stat block)."""
     detail = tb.sale_detail(tb.table(spark, sf, "lineitem"), tb.table(spark, sf, "orders"), tb.table(spark, sf, "part"))
@@ -289,4 +299,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_upsert": doc_upsert,
     "json_roundtrip": json_roundtrip,
     "dau_hours_json": dau_hours_json,
+    "gmv_hours_json": gmv_hours_json,
 }
