@@ -69,11 +69,18 @@ def jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = Non
     return r.load()
 
 
-def json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON-lines files; inferred schema unless one is given."""
+def json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               sampling_ratio: float | None = None) -> DataFrame:
+    """JSON-lines files; inferred schema unless one is given.
+
+    Inference reads every file once before the query runs; on large inputs
+    pass a ``schema`` or a ``sampling_ratio`` (fraction of rows inspected).
+    """
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
+    elif sampling_ratio is not None:
+        r = r.option("samplingRatio", str(sampling_ratio))
     return r.json(path)
 
 
