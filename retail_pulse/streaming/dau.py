@@ -81,3 +81,17 @@ def start_dau_stream(spark: SparkSession, source: DataFrame, detail_path: str, c
     if query_name:
         w = w.queryName(query_name)
     return w.start()
+
+
+def first_arrivals(logs: DataFrame, delay: str = "1 day", mid: str = "mid", date_col: str = "log_date",
+                   ts: str = "ts_event") -> DataFrame:
+    """Low-latency variant: first *arriving* record per (mid, log_date), state kept for ``delay``.
+
+    ``dropDuplicatesWithinWatermark`` needs no ``foreachBatch`` and its state
+    is bounded by the watermark, but it keeps the first record to arrive,
+    not the earliest by time: a record of the same device-day with an
+    earlier timestamp in a later batch is dropped. It equals the min-ts
+    dedup when records arrive in time order. ``ts`` must be a TIMESTAMP
+    column (the event time the watermark tracks).
+    """
+    return logs.withWatermark(ts, delay).dropDuplicatesWithinWatermark([mid, date_col])

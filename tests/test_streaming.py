@@ -149,3 +149,25 @@ def test_serving_scan_and_upper_case_view(spark, tmp_dir):
     assert [r.mid for r in day.collect()] == ["m2"]
     view = dau_table_view(day.withColumn("log_date", F.col("log_date").cast("string")))
     assert view.columns[:2] == ["MID", "UID"] and view.first().LOGDATE == "2024-01-02"
+
+
+def test_first_arrivals_keeps_arrival_order(spark, tmp_dir):
+    from retail_pulse.streaming.dau import first_arrivals
+    src = os.path.join(tmp_dir, "src")
+    schema = "mid string, log_date string, ms long"
+    spark.createDataFrame([("m1", "2024-01-01", 1704067205000)], schema).write.parquet(os.path.join(src, "a"))
+    stream = spark.readStream.schema(schema).parquet(os.path.join(src, "*")) \
+        .withColumn("ts_event", F.timestamp_millis("ms"))
+    out = first_arrivals(stream, "1 hour")
+    q = out.writeStream.format("memory").queryName("rp_first_arrivals").outputMode("append") \
+        .option("checkpointLocation", os.path.join(tmp_dir, "c")).start()
+    try:
+        q.processAllAvailable()
+        # later batch: same device-day with an earlier timestamp, and a new device
+        spark.createDataFrame([("m1", "2024-01-01", 1704067201000), ("m2", "2024-01-01", 1704067209000)],
+                              schema).write.parquet(os.path.join(src, "b"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.mid, r.ms) for r in spark.sql("select * from rp_first_arrivals").collect())
+    assert got == [("m1", 1704067205000), ("m2", 1704067209000)]
