@@ -21,9 +21,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_pulse.operators import alert as A
-from retail_pulse.sources.sinks import upsert_documents
+from retail_pulse.sources.sinks import latest_documents, upsert_documents
 
 # 1-minute slide for the 5-minute window: documents are keyed per device-minute,
 # so a finer slide would only repeat rows without adding documents.
@@ -43,6 +44,20 @@ def stage_one(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | No
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("_items"))
 
 
+# Stored alert document versions (as written by ``upsert_documents``).
+ALERT_DOC_TABLE = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("mid", T.StringType()),
+    T.StructField("uids", T.ArrayType(T.StringType())), T.StructField("itemIds", T.ArrayType(T.StringType())),
+    T.StructField("events", T.ArrayType(T.StringType())), T.StructField("n_events", T.LongType()),
+    T.StructField("ts", T.LongType()), T.StructField("_seq", T.LongType()), T.StructField("_batch_id", T.LongType()),
+])
+
+
+def alert_index(spark: SparkSession, docs_path: str) -> DataFrame:
+    """Latest alert document per id (empty, not an error, before the first alert)."""
+    return latest_documents(spark.read.schema(ALERT_DOC_TABLE).parquet(docs_path))
+
+
 def alert_batch_writer(docs_path: str, coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT,
                        min_users: int = A.MIN_COUPON_USERS):
     def process(batch: DataFrame, batch_id: int) -> None:

@@ -5,13 +5,21 @@ the table the job wrote, so the result can be checked against the batch
 operator / SQL. Work folders live under the session's shared
 ``spark.checkpoint.dir``; each call uses a fresh sub-folder.
 
-* ``dau_stream``: events in 4 event-time slices, one ``availableNow`` run per
-  slice from the same checkpoint (so each slice is one micro-batch and every
-  run after the first is a restart from the checkpoint).
-* ``alert_stream``: the same replay through the watermarked window job;
-  only windows closed by the watermark are emitted (append mode).
-* ``gmv_stream``: a change feed built from orders and customers, read two
-  files per micro-batch.
+Every replay writes its source in 4 event-time slices and runs the query
+with ``availableNow`` after each slice from the same checkpoint, so each
+slice is one micro-batch and every run after the first is a restart from
+the checkpoint.
+
+* ``dau_stream``: startup records -> DAU ``foreachBatch`` (dedup, seen-set
+  anti join, idempotent write).
+* ``startup_stream``: the same through JSON text messages and the string
+  schema parse.
+* ``alert_stream``: the watermarked window job; only windows closed by the
+  watermark are emitted (append mode).
+* ``gmv_stream``: a change feed built from orders and customers, in commit
+  order -> order table (+ quarantine).
+* ``sale_detail_stream``: order and line change streams -> interval join ->
+  SKU enrichment.
 """
 
 from __future__ import annotations
@@ -26,8 +34,9 @@ from retail_pulse.operators import cdc
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
 from retail_pulse.sources import tables as tb
-from retail_pulse.schemas import ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, ES_SALE_DETAIL_INDEX, ES_SALE_DETAIL_QUERY
-from retail_pulse.sources.sinks import index_name, latest_documents, materialize
+from retail_pulse.schemas import (ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, ES_SALE_DETAIL_INDEX, ES_SALE_DETAIL_QUERY,
+                                  STARTUP_LOG)
+from retail_pulse.sources.sinks import index_name, materialize
 from retail_pulse.streaming import alert as SA
 from retail_pulse.functions.jsonparse import to_json_messages
 from retail_pulse.functions.time import to_millis
@@ -89,8 +98,13 @@ def startup_stream(spark: SparkSession, sf: str) -> DataFrame:
         logs = startup_from_messages(readers.message_stream(spark, src, max_files_per_trigger=None))
         _await(start_dau_stream(spark, logs, detail, ckpt, AVAILABLE_NOW,
                                 order_cols=["ts", "uid", "type"]), "startup_stream")
-    return spark.read.parquet(detail).select(F.col("mid").cast("bigint").alias("mid"), "log_date", "log_hour",
-                                             F.col("ts").alias("ts_ms"))
+    # partition values are typed by the table's schema, not guessed (log_date stays a string)
+    detail_schema = T.StructType([T.StructField(c, T.LongType() if c == "ts" else T.StringType())
+                                  for c in STARTUP_LOG.fieldNames()]
+                                 + [T.StructField("log_hour", T.StringType()), T.StructField("log_date", T.StringType()),
+                                    T.StructField("_batch_id", T.LongType())])
+    return spark.read.schema(detail_schema).parquet(detail).select(
+        F.col("mid").cast("bigint").alias("mid"), "log_date", "log_hour", F.col("ts").alias("ts_ms"))
 
 
 def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +117,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
         stream = spark.readStream.schema(ev.schema).parquet(src)
         _await(SA.start_alert_stream(spark, stream, docs, ckpt, AVAILABLE_NOW, ALERT_WINDOW, None, ALERT_DELAY,
                                      coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_stream")
-    latest = latest_documents(spark.read.parquet(docs))
+    latest = SA.alert_index(spark, docs)
     return latest.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
                          F.array_join("itemIds", ",").alias("item_ids"),
                          F.array_join("events", ",").alias("events"), "ts")
