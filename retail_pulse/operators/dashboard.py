@@ -53,17 +53,21 @@ def hour_compare(spark: SparkSession, detail: DataFrame, today: str, yesterday:
         "hour", F.coalesce("today", zero).alias("today"), F.coalesce("yesterday", zero).alias("yesterday"))
 
 
-def metric_cards(dau_total: DataFrame, new_mid: DataFrame, gmv_total: DataFrame) -> DataFrame:
-    """Three rows (id, name, value as double) from three one-row aggregates."""
+def metric_cards(dau_total: DataFrame, new_mid: DataFrame, gmv_total: DataFrame,
+                 keep_order: bool = False) -> DataFrame:
+    """Three rows (id, name, value as double) from three one-row aggregates.
+
+    ``keep_order`` keeps a ``_pos`` column (card position) for the JSON shape.
+    """
     parts = []
-    for (mid, name), df in zip(METRIC_CARDS, [dau_total, new_mid, gmv_total]):
+    for pos, ((mid, name), df) in enumerate(zip(METRIC_CARDS, [dau_total, new_mid, gmv_total])):
         col = df.columns[0]
         parts.append(df.select(F.lit(mid).alias("id"), F.lit(name).alias("name"),
-                               F.col(col).cast("double").alias("value")))
+                               F.col(col).cast("double").alias("value"), F.lit(pos).alias("_pos")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.drop("_pos") if not keep_order else out
 
 
 def check_metric(metric_id: str) -> str:
@@ -85,3 +89,13 @@ def hour_maps_json(per_hour: DataFrame, today_col: str = "today", yesterday_col:
         return F.map_from_entries(F.array_sort(entries))
     return per_hour.agg(F.to_json(F.struct(hour_map(today_col).alias("today"),
                                            hour_map(yesterday_col).alias("yesterday"))).alias("json"))
+
+
+def metric_cards_json(cards: DataFrame) -> DataFrame:
+    """Card rows (with ``_pos``) -> one JSON list ``[{"id","name","value"}]`` in card order.
+
+    The list has exactly one element per card (three rows), so gathering it
+    into one value is bounded; a NULL value is left out of its object.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("_pos", F.struct("id", "name", "value").alias("card"))))
+    return cards.agg(F.to_json(F.transform(entries, lambda e: e["card"])).alias("json"))

@@ -121,6 +121,15 @@ FROM s LEFT JOIN p ON s.hour = p.hour""",
 UNION ALL SELECT 'new_mid', '新增设备', (SELECT new_mid FROM ({_new_devices(Q.NEW_DEVICE_DATE)}))::DOUBLE
 UNION ALL SELECT 'order_amount', '新增交易额',
   (SELECT round(sum(value)::DOUBLE, 2) FROM events WHERE {_day('ts', Q.NEW_DEVICE_DATE)} AND event_type = 'purchase')::DOUBLE""",
+        "metric_cards_json": f"""WITH v AS (
+  SELECT (SELECT count(*) FROM ({_dedup(_day('ts', Q.NEW_DEVICE_DATE))}))::DOUBLE AS dau,
+         (SELECT new_mid FROM ({_new_devices(Q.NEW_DEVICE_DATE)}))::DOUBLE AS new_mid,
+         (SELECT round(sum(value)::DOUBLE, 2) FROM events
+          WHERE {_day('ts', Q.NEW_DEVICE_DATE)} AND event_type = 'purchase')::DOUBLE AS gmv)
+SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
+    || '}},{{"id":"new_mid","name":"新增设备","value":' || CAST(new_mid AS VARCHAR)
+    || '}},{{"id":"order_amount","name":"新增交易额"' || coalesce(',"value":' || CAST(gmv AS VARCHAR), '')
+    || '}}]' AS json FROM v""",
         "coupon_alert": _alert_base() + """SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, mid,
   len(uids)::BIGINT AS n_uids, array_to_string(uids, ',') AS uids, len(items)::BIGINT AS n_items,
   n_events, hist AS events FROM a""",

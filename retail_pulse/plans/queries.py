@@ -139,12 +139,21 @@ def hour_compare_gmv(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.hour_compare(spark, p, DAU_DATE, DAU_PREV, "log_date", "log_hour", amount_col="value")
 
 
-def metric_cards(spark: SparkSession, sf: str) -> DataFrame:
+def _cards(spark, sf, keep_order=False):
     dau = metrics.count_total(_dau_day(spark, sf, NEW_DEVICE_DATE), "dau")
     ev = _events(spark, sf).where(F.col("ts") < F.lit(f"{_next_day(NEW_DEVICE_DATE)} 00:00:00").cast("timestamp_ntz"))
     new = dedup.new_devices_count(tb.startup_logs(ev), NEW_DEVICE_DATE)
     gmv = metrics.sum_total(_purchases(spark, sf, NEW_DEVICE_DATE), "value", "order_amount")
-    return dashboard.metric_cards(dau, new, gmv)
+    return dashboard.metric_cards(dau, new, gmv, keep_order)
+
+
+def metric_cards(spark: SparkSession, sf: str) -> DataFrame:
+    return _cards(spark, sf)
+
+
+def metric_cards_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric cards in their JSON list shape."""
+    return dashboard.metric_cards_json(_cards(spark, sf, keep_order=True))
 
 
 # --- coupon alert -----------------------------------------------------------
@@ -285,6 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_compare": hour_compare,
     "hour_compare_gmv": hour_compare_gmv,
     "metric_cards": metric_cards,
+    "metric_cards_json": metric_cards_json,
     "coupon_alert": coupon_alert,
     "alert_doc": alert_doc,
     "search_hits": search_hits,
