@@ -20,6 +20,7 @@ def test_only_order_info_inserts_become_messages(spark):
 
 
 def test_subscription_pattern(spark):
-    from retail_pulse.sources.readers import subscribed
-    df = spark.createDataFrame([("gmall", "order_info"), ("other", "order_info")], "db string, table string")
-    assert [r.db for r in subscribed(df, "gmall\\..*", schema_col="db").collect()] == ["gmall"]
+    from retail_pulse.sources.readers import CDC_TABLE_PATTERN, subscribed
+    db = CDC_TABLE_PATTERN.split(".")[0]
+    df = spark.createDataFrame([(db, "order_info"), ("other", "order_info")], "db string, table string")
+    assert [r.db for r in subscribed(df, CDC_TABLE_PATTERN, schema_col="db").collect()] == [db]
