@@ -55,6 +55,8 @@ def stream_conf(spark: SparkSession, state_partitions: int | None = None):
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # the exact state row count is only a metric; tracking it costs a read before every write
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     }
     old = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
