@@ -34,7 +34,7 @@ from retail_pulse.sources.sinks import index_name, kafka_sink_options
 from retail_pulse.streaming import alert as SA
 from retail_pulse.streaming.dau import start_dau_stream, startup_from_messages
 from retail_pulse.streaming.gmv import order_batch_writer
-from retail_pulse.streaming.runner import trigger_kwargs
+from retail_pulse.streaming.runner import BatchCounts, trigger_kwargs
 
 APPS = ("dau", "orders", "alert", "cdc")
 
@@ -60,7 +60,7 @@ def orders_from_messages(messages: DataFrame) -> DataFrame:
 
 
 def start_app(spark: SparkSession, app: str, source: str, location: str, work: str, trigger: dict,
-              sink: str = "files", out: str | None = None):
+              sink: str = "files", out: str | None = None, counts: BatchCounts | None = None):
     """Start one application; returns the running ``StreamingQuery``.
 
     ``sink``/``out`` apply to ``cdc``: order messages to a Kafka topic (``out`` = brokers) or
@@ -69,9 +69,10 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
     ckpt = os.path.join(work, "checkpoints", app)
     if app == "dau":
         logs = startup_from_messages(message_source(spark, source, location, "startup"))
+        # per-batch counts (raw, after in-batch dedup, new) ride on the batch's own write job
         return start_dau_stream(spark, logs, os.path.join(work, "dau_detail"), ckpt, trigger,
                                 order_cols=["ts", "uid", "appid", "area", "os", "ch", "type", "vs"],
-                                query_name="dau")
+                                counts=counts or BatchCounts(printer=print), query_name="dau")
     if app == "orders":
         parsed = orders_from_messages(message_source(spark, source, location, "order"))
         writer = order_batch_writer(os.path.join(work, "order_info"), os.path.join(work, "order_quarantine"))

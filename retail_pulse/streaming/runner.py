@@ -95,9 +95,10 @@ class BatchCounts:
     and kept per batch id on the driver (one small dict per batch).
     """
 
-    def __init__(self):
+    def __init__(self, printer=None):
         self.by_batch: dict[int, dict[str, int]] = {}
         self._pending: dict[str, Observation] = {}
+        self._printer = printer  # e.g. print or a logger method: one line per batch
 
     def tap(self, df: DataFrame, point: str) -> DataFrame:
         obs = Observation(f"{point}")
@@ -108,6 +109,8 @@ class BatchCounts:
         out = {p: int(o.get.get("n", 0)) for p, o in self._pending.items()}
         self._pending = {}
         self.by_batch[int(batch_id)] = out
+        if self._printer:
+            self._printer(f"batch {batch_id}: " + ", ".join(f"{k}={v}" for k, v in out.items()))
         return out
 
 

@@ -41,7 +41,11 @@ def test_dau_app(spark, tmp_dir):
                            {"mid": "m2", "uid": "u2", "ts": T0 + 86_400_000}])
     with open(os.path.join(src, "a.json"), "a") as f:
         f.write("bad{\n")  # dropped by the parser, the batch goes on
-    assert start_app(spark, "dau", "files", src, work, AVAILABLE_NOW).awaitTermination(120)
+    from retail_pulse.streaming.runner import BatchCounts
+    lines = []
+    counts = BatchCounts(printer=lines.append)
+    assert start_app(spark, "dau", "files", src, work, AVAILABLE_NOW, counts=counts).awaitTermination(120)
+    assert lines == ["batch 0: raw=3, in_batch=2, new=2"]
     got = sorted((r.mid, r.log_date, r.ts) for r in spark.read.parquet(os.path.join(work, "dau_detail")).collect())
     assert [(m, str(d), t) for m, d, t in got] == [("m1", "2024-01-01", T0 + 1000), ("m2", "2024-01-02", T0 + 86_400_000)]
 

@@ -67,3 +67,17 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_sales_filters_reach_their_scans(spark):
+    p = plan(Q.sale_detail_page(spark, SF))
+    orders_scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "o_orderdate" in line)
+    assert "GreaterThanOrEqual(o_orderdate" in orders_scan  # month range pushed into the orders scan
+    part_scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "p_name" in line)
+    assert "array_contains" in part_scan  # keyword match evaluated at the part scan, before the join
+    assert "TakeOrderedAndProject" in p  # the page is a top-k, not a full sort
+
+
+def test_search_page_is_top_k(spark):
+    p = plan(Q.search_hits(spark, SF))
+    assert "TakeOrderedAndProject" in p
