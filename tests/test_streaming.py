@@ -171,3 +171,33 @@ def test_first_arrivals_keeps_arrival_order(spark, tmp_dir):
         q.stop()
     got = sorted((r.mid, r.ms) for r in spark.sql("select * from rp_first_arrivals").collect())
     assert got == [("m1", 1704067205000), ("m2", 1704067209000)]
+
+
+def test_crash_after_write_then_restart_is_exactly_once(spark, tmp_dir):
+    """Batch 1 writes its rows, then the job dies before the batch commits; the restart re-runs
+    batch 1 from the checkpoint and the table still holds each row once."""
+    src, path, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "dau", "ckpt"))
+    writer = dau_batch_writer(spark, path, ["ts", "event_id"])
+    state = {"crashed": False}
+
+    def crashing(df, batch_id):
+        writer(df, batch_id)
+        if batch_id == 1 and not state["crashed"]:
+            state["crashed"] = True
+            raise RuntimeError("simulated crash after the write, before the commit")
+
+    def run(fn):
+        stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+        return stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt) \
+            .trigger(availableNow=True).start()
+
+    _batch(spark, [("m1", "d1", 5, 1)]).coalesce(1).write.parquet(os.path.join(src, "a"))
+    _batch(spark, [("m2", "d1", 7, 2), ("m1", "d1", 3, 3)]).coalesce(1).write.parquet(os.path.join(src, "b"))
+    q = run(crashing)
+    import pytest
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
+    assert state["crashed"]
+    assert run(writer).awaitTermination(120)  # restart: batch 1 runs again
+    got = sorted((r.mid, r.ts, r._batch_id) for r in spark.read.parquet(path).collect())
+    assert got == [("m1", 5, 0), ("m2", 7, 1)]
