@@ -77,8 +77,18 @@ def alert_rule(profiles: DataFrame, min_users: int = MIN_COUPON_USERS) -> DataFr
     return profiles.where((F.size("uids") >= F.lit(min_users)) & ~F.col("clicked"))
 
 
+def hist_text(hist: Column) -> Column:
+    """``[(evid, n)]`` histogram -> ``"evid:n,evid:n"`` (sorted by evid)."""
+    return F.array_join(F.transform(hist, lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))), ",")
+
+
 def expand_events(hist: Column) -> Column:
-    """``[(evid, n)]`` histogram -> sorted event list with duplicates."""
+    """``[(evid, n)]`` histogram -> sorted event list with duplicates.
+
+    Only for the edge (exporting to a consumer that wants the flat list): the
+    result has one element per event, so it is as large as the device's
+    event count in the window. Stored documents keep the histogram.
+    """
     return F.flatten(F.transform(hist, lambda e: F.array_repeat(e["evid"], e["n"].cast("int"))))
 
 
@@ -86,8 +96,9 @@ def alert_documents(alerts: DataFrame, expand: bool = False) -> DataFrame:
     """Alert documents keyed by ``id = mid || minute(window end)``.
 
     ``ts`` is the window end in epoch ms (event time; the reference stamps
-    processing time). With ``expand`` the events histogram becomes the flat
-    list of the original record shape.
+    processing time). ``events`` is the exact histogram ``[(evid, n)]``
+    (bounded by the number of event types); ``expand`` turns it into the
+    flat list of the original record shape (see :func:`expand_events`).
     """
     end_ms = to_millis(F.col("window.end"))
     doc_id = F.concat(F.col("mid").cast("string"), minute_of(end_ms).cast("string"))

@@ -46,10 +46,8 @@ h AS (SELECT ws, mid, string_agg(evid || ':' || CAST(n AS VARCHAR), ',' ORDER BY
 c AS (SELECT ws, mid, list_sort(coalesce(list(DISTINCT uid) FILTER (WHERE uid IS NOT NULL), []::VARCHAR[])) AS uids,
              list_sort(coalesce(list(DISTINCT itemid) FILTER (WHERE itemid IS NOT NULL), []::VARCHAR[])) AS items
       FROM e WHERE evid = 'purchase' GROUP BY ws, mid),
-l AS (SELECT ws, mid, string_agg(evid, ',' ORDER BY evid) AS events FROM e GROUP BY ws, mid),
-a AS (SELECT h.ws, h.mid, c.uids, c.items, h.hist, h.n_events, l.events
+a AS (SELECT h.ws, h.mid, c.uids, c.items, h.hist, h.n_events
       FROM h JOIN c ON h.ws = c.ws AND h.mid IS NOT DISTINCT FROM c.mid
-             JOIN l ON h.ws = l.ws AND h.mid IS NOT DISTINCT FROM l.mid
       WHERE len(c.uids) >= 3 AND NOT h.clicked)
 """
 
@@ -134,7 +132,7 @@ SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
   len(uids)::BIGINT AS n_uids, array_to_string(uids, ',') AS uids, len(items)::BIGINT AS n_items,
   n_events, hist AS events FROM a""",
         "alert_doc": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
-  len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
+  len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, hist AS events,
   epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
         "dau_stream": f"SELECT mid, log_date, log_hour, event_id, ts_ms FROM ({_dedup()})",
         "startup_stream": f"""SELECT DISTINCT mid, log_date, log_hour, ts_ms FROM (
@@ -143,7 +141,7 @@ SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
          min(epoch_us(ts) // 1000) OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d')) AS first_ms
   FROM events) WHERE ts_ms = first_ms""",
         "alert_stream": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
-  len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, events,
+  len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, hist AS events,
   epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a
 WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
         "gmv_stream": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,

@@ -165,17 +165,16 @@ def _alerts(spark, sf):
 
 def coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
     a = _alerts(spark, sf)
-    hist = F.array_join(F.transform("events_hist", lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))), ",")
     return a.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "mid",
                     F.size("uids").cast("bigint").alias("n_uids"), F.array_join("uids", ",").alias("uids"),
-                    F.size("itemIds").cast("bigint").alias("n_items"), "n_events", hist.alias("events"))
+                    F.size("itemIds").cast("bigint").alias("n_items"), "n_events", A.hist_text(F.col("events_hist")).alias("events"))
 
 
 def alert_doc(spark: SparkSession, sf: str) -> DataFrame:
-    docs = A.alert_documents(_alerts(spark, sf), expand=True)
+    docs = A.alert_documents(_alerts(spark, sf))
     return docs.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
                        F.array_join("itemIds", ",").alias("item_ids"),
-                       F.array_join("events", ",").alias("events"), "ts")
+                       A.hist_text(F.col("events")).alias("events"), "ts")
 
 
 # --- search -----------------------------------------------------------------

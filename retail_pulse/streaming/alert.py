@@ -48,7 +48,9 @@ def stage_one(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | No
 ALERT_DOC_TABLE = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("mid", T.StringType()),
     T.StructField("uids", T.ArrayType(T.StringType())), T.StructField("itemIds", T.ArrayType(T.StringType())),
-    T.StructField("events", T.ArrayType(T.StringType())), T.StructField("n_events", T.LongType()),
+    T.StructField("events", T.ArrayType(T.StructType([T.StructField("evid", T.StringType()),
+                                                      T.StructField("n", T.LongType())]))),
+    T.StructField("n_events", T.LongType()),
     T.StructField("ts", T.LongType()), T.StructField("_seq", T.LongType()), T.StructField("_batch_id", T.LongType()),
 ])
 
@@ -62,7 +64,7 @@ def alert_batch_writer(docs_path: str, coupon: str = A.COUPON_EVENT, click: str
                        min_users: int = A.MIN_COUPON_USERS):
     def process(batch: DataFrame, batch_id: int) -> None:
         prof = A.fold_profiles(batch, coupon, click)
-        docs = A.alert_documents(A.alert_rule(prof, min_users), expand=True)
+        docs = A.alert_documents(A.alert_rule(prof, min_users))  # events kept as the bounded histogram
         upsert_documents(docs, docs_path, batch_id, "id", order_col="ts")
     return process
 

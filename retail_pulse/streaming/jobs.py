@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_pulse.operators import alert as A
 from retail_pulse.operators import cdc
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
@@ -120,7 +121,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     latest = SA.alert_index(spark, docs)
     return latest.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
                          F.array_join("itemIds", ",").alias("item_ids"),
-                         F.array_join("events", ",").alias("events"), "ts")
+                         A.hist_text(F.col("events")).alias("events"), "ts")
 
 
 def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:

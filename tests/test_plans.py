@@ -60,6 +60,7 @@ def test_alert_profile_is_partially_aggregated(spark):
     p = plan(Q.coupon_alert(spark, SF))
     assert "partial_collect_set" in p and "partial_count" in p
     assert "collect_list(evid" not in p  # no per-row event list
+    assert "array_repeat" not in plan(Q.alert_doc(spark, SF))  # documents keep the bounded histogram
 
 
 @pytest.mark.parametrize("name", [n for n in E.oracle_sql() if not n.endswith("_stream")])
