@@ -19,10 +19,12 @@ the window (sets), never by its number of events.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_pulse.functions.time import minute_of, to_millis
 from retail_pulse.operators import alert as A
 from retail_pulse.sources.sinks import latest_documents, upsert_documents
 
@@ -76,3 +78,69 @@ def start_alert_stream(spark: SparkSession, events: DataFrame, docs_path: str, c
     return agg.writeStream.outputMode("append") \
         .foreachBatch(alert_batch_writer(docs_path, coupon, click)) \
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+# --- low-latency variant: update mode + tombstones ----------------------------
+
+def live_profiles(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
+                  delay: str = "1 minute", coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT,
+                  ts: str = "ts") -> DataFrame:
+    """Streaming profile per (window, mid) from bounded aggregates only.
+
+    Emitted in update mode every micro-batch a device's window changes, so
+    an alert can be raised while the window is still open. Event types are
+    kept as a distinct set (multiplicities need the two-stage append job).
+    """
+    ev = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    w = F.window(F.col(ts), duration, slide) if slide else F.window(F.col(ts), duration)
+    is_coupon = F.col("evid") == F.lit(coupon)
+    return ev.groupBy(w.alias("window"), "mid").agg(
+        F.array_sort(F.collect_set(F.when(is_coupon, F.col("uid")))).alias("uids"),
+        F.array_sort(F.collect_set(F.when(is_coupon, F.col("itemid")))).alias("itemIds"),
+        F.array_sort(F.collect_set(F.col("evid"))).alias("event_types"),
+        F.count(F.lit(1)).cast("bigint").alias("n_events"),
+        F.max(F.col("evid") == F.lit(click)).alias("clicked"))
+
+
+LIVE_DOC_TABLE = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("mid", T.StringType()),
+    T.StructField("uids", T.ArrayType(T.StringType())), T.StructField("itemIds", T.ArrayType(T.StringType())),
+    T.StructField("event_types", T.ArrayType(T.StringType())), T.StructField("n_events", T.LongType()),
+    T.StructField("ts", T.LongType()), T.StructField("deleted", T.BooleanType()),
+    T.StructField("_seq", T.LongType()), T.StructField("_batch_id", T.LongType()),
+])
+
+
+def live_alert_index(spark: SparkSession, docs_path: str) -> DataFrame:
+    """Current alerts: latest version per id that is not a tombstone."""
+    return latest_documents(spark.read.schema(LIVE_DOC_TABLE).parquet(docs_path)) \
+        .where(~F.col("deleted")).drop("deleted")
+
+
+def live_alert_writer(spark: SparkSession, docs_path: str, min_users: int = A.MIN_COUPON_USERS):
+    """``foreachBatch`` for update mode: upsert qualifying profiles; tombstone only documents that
+    are live and whose profile stopped qualifying (never one per non-alerting device)."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        end_ms = to_millis(F.col("window.end"))
+        docs = batch.select(
+            F.concat(F.col("mid").cast("string"), minute_of(end_ms).cast("string")).alias("id"),
+            F.col("mid").cast("string").alias("mid"), "uids", "itemIds", "event_types", "n_events",
+            end_ms.alias("ts"),
+            (~((F.size("uids") >= F.lit(min_users)) & ~F.coalesce(F.col("clicked"), F.lit(False)))).alias("deleted"))
+        live = docs.where(~F.col("deleted"))
+        try:
+            current = live_alert_index(spark, docs_path).select("id")
+            gone = docs.where(F.col("deleted")).join(current, "id", "left_semi")
+            out = live.unionByName(gone)
+        except AnalysisException:  # no index yet: nothing to retract
+            out = live
+        upsert_documents(out, docs_path, batch_id, "id", order_col="ts")
+    return process
+
+
+def start_live_alert_stream(spark: SparkSession, events: DataFrame, docs_path: str, checkpoint: str,
+                            trigger: dict, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
+                            delay: str = "1 minute", coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT):
+    prof = live_profiles(events, duration, slide, delay, coupon, click)
+    return prof.writeStream.outputMode("update").foreachBatch(live_alert_writer(spark, docs_path)) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()

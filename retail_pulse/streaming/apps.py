@@ -60,11 +60,13 @@ def orders_from_messages(messages: DataFrame) -> DataFrame:
 
 
 def start_app(spark: SparkSession, app: str, source: str, location: str, work: str, trigger: dict,
-              sink: str = "files", out: str | None = None, counts: BatchCounts | None = None):
+              sink: str = "files", out: str | None = None, counts: BatchCounts | None = None,
+              live: bool = False):
     """Start one application; returns the running ``StreamingQuery``.
 
     ``sink``/``out`` apply to ``cdc``: order messages to a Kafka topic (``out`` = brokers) or
-    to text files (``out`` = folder, default under ``work``).
+    to text files (``out`` = folder, default under ``work``). ``live`` runs the alert app in
+    update mode (alerts while the window is open, retracted by tombstones).
     """
     ckpt = os.path.join(work, "checkpoints", app)
     if app == "dau":
@@ -81,6 +83,9 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
     if app == "alert":
         events = events_from_messages(message_source(spark, source, location, "event"))
         docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
+        if live:
+            return SA.start_live_alert_stream(spark, events, os.path.join(docs, "live"), ckpt + "_live", trigger,
+                                              coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
         return SA.start_alert_stream(spark, events, docs, ckpt, trigger, coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
     if app == "cdc":
         changes = readers.change_feed_stream(spark, location, max_files_per_trigger=None)
@@ -102,11 +107,13 @@ def main(argv=None) -> None:
     p.add_argument("--sink", choices=("kafka", "files"), default="files", help="cdc: where order messages go")
     p.add_argument("--out", default=None, help="cdc: Kafka brokers, or a folder for order messages")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    p.add_argument("--live", action="store_true", help="alert: update mode, alerts while windows are open")
     a = p.parse_args(argv)
     from retail_pulse.session import build_session
     spark = build_session(app_name=f"retail_pulse_{a.app}")
     clock = {"dau": "dau", "orders": "gmv", "alert": "alert", "cdc": "gmv"}[a.app]
-    q = start_app(spark, a.app, a.source, a.location, a.work, trigger_kwargs(clock, a.available_now), a.sink, a.out)
+    q = start_app(spark, a.app, a.source, a.location, a.work, trigger_kwargs(clock, a.available_now), a.sink, a.out,
+                  live=a.live)
     q.awaitTermination()
 
 

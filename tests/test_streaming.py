@@ -201,3 +201,31 @@ def test_crash_after_write_then_restart_is_exactly_once(spark, tmp_dir):
     assert run(writer).awaitTermination(120)  # restart: batch 1 runs again
     got = sorted((r.mid, r.ts, r._batch_id) for r in spark.read.parquet(path).collect())
     assert got == [("m1", 5, 0), ("m2", 7, 1)]
+
+
+def test_live_alerts_raise_early_and_retract_on_click(spark, tmp_dir):
+    from retail_pulse.streaming.alert import live_alert_index, start_live_alert_stream
+    src, docs, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "docs", "ckpt"))
+    schema = "mid string, uid string, evid string, itemid string, ms long"
+    t0 = 1704067200000
+
+    def land(name, rows):
+        spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_millis("ms")).drop("ms") \
+            .coalesce(1).write.parquet(os.path.join(src, name))
+
+    def run():
+        stream = spark.readStream.schema("mid string, uid string, evid string, itemid string, ts timestamp") \
+            .parquet(os.path.join(src, "*"))
+        q = start_live_alert_stream(spark, stream, docs, ckpt, {"availableNow": True}, "5 minutes", None, "1 minute")
+        assert q.awaitTermination(180)
+
+    land("a", [("m1", f"u{i}", "coupon", "i1", t0 + i * 1000) for i in range(3)] +
+         [("m2", "u1", "coupon", "i1", t0 + 1000)])
+    run()  # the window is still open: the alert is already there
+    live = live_alert_index(spark, docs).collect()
+    assert [(d.mid, d.uids, d.event_types) for d in live] == [("m1", ["u0", "u1", "u2"], ["coupon"])]
+    land("b", [("m1", "u0", "clickItem", "i1", t0 + 10_000)])
+    run()  # a click in the same window retracts it
+    assert live_alert_index(spark, docs).count() == 0
+    stored = spark.read.parquet(docs).select("mid", "deleted").collect()
+    assert sorted((r.mid, r.deleted) for r in stored) == [("m1", False), ("m1", True)]  # no rows for m2
