@@ -39,11 +39,17 @@ from retail_pulse.streaming.runner import BatchCounts, trigger_kwargs
 APPS = ("dau", "orders", "alert", "cdc")
 
 
-def message_source(spark: SparkSession, source: str, location: str, stream: str) -> DataFrame:
-    """``value`` strings of one logical stream from Kafka or from JSON-lines files."""
+def message_source(spark: SparkSession, source: str, location: str, stream: str,
+                   max_per_trigger: int | None = None) -> DataFrame:
+    """``value`` strings of one logical stream from Kafka or from JSON-lines files.
+
+    ``max_per_trigger`` caps one micro-batch (Kafka offsets or files), so a job
+    catching up on a backlog works through it in bounded batches.
+    """
     if source == "kafka":
-        return readers.kafka_stream(spark, location, stream).select("value")
-    return readers.message_stream(spark, location, max_files_per_trigger=None)
+        return readers.kafka_stream(spark, location, stream,
+                                    max_offsets_per_trigger=max_per_trigger).select("value")
+    return readers.message_stream(spark, location, max_files_per_trigger=max_per_trigger)
 
 
 def events_from_messages(messages: DataFrame) -> DataFrame:
@@ -61,7 +67,7 @@ def orders_from_messages(messages: DataFrame) -> DataFrame:
 
 def start_app(spark: SparkSession, app: str, source: str, location: str, work: str, trigger: dict,
               sink: str = "files", out: str | None = None, counts: BatchCounts | None = None,
-              live: bool = False):
+              live: bool = False, max_per_trigger: int | None = None):
     """Start one application; returns the running ``StreamingQuery``.
 
     ``sink``/``out`` apply to ``cdc``: order messages to a Kafka topic (``out`` = brokers) or
@@ -70,25 +76,25 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
     """
     ckpt = os.path.join(work, "checkpoints", app)
     if app == "dau":
-        logs = startup_from_messages(message_source(spark, source, location, "startup"))
+        logs = startup_from_messages(message_source(spark, source, location, "startup", max_per_trigger))
         # per-batch counts (raw, after in-batch dedup, new) ride on the batch's own write job
         return start_dau_stream(spark, logs, os.path.join(work, "dau_detail"), ckpt, trigger,
                                 order_cols=["ts", "uid", "appid", "area", "os", "ch", "type", "vs"],
                                 counts=counts or BatchCounts(printer=print), query_name="dau")
     if app == "orders":
-        parsed = orders_from_messages(message_source(spark, source, location, "order"))
+        parsed = orders_from_messages(message_source(spark, source, location, "order", max_per_trigger))
         writer = order_batch_writer(os.path.join(work, "order_info"), os.path.join(work, "order_quarantine"))
         return parsed.writeStream.queryName("orders").foreachBatch(writer) \
             .option("checkpointLocation", ckpt).trigger(**trigger).start()
     if app == "alert":
-        events = events_from_messages(message_source(spark, source, location, "event"))
+        events = events_from_messages(message_source(spark, source, location, "event", max_per_trigger))
         docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
         if live:
             return SA.start_live_alert_stream(spark, events, os.path.join(docs, "live"), ckpt + "_live", trigger,
                                               coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
         return SA.start_alert_stream(spark, events, docs, ckpt, trigger, coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
     if app == "cdc":
-        changes = readers.change_feed_stream(spark, location, max_files_per_trigger=None)
+        changes = readers.change_feed_stream(spark, location, max_files_per_trigger=max_per_trigger)
         messages = cdc.change_feed_messages(changes, "order_info", cdc.INSERT)
         if sink == "kafka":
             return messages.writeStream.format("kafka").options(**kafka_sink_options(out, TOPIC_ORDER)) \
@@ -108,12 +114,14 @@ def main(argv=None) -> None:
     p.add_argument("--out", default=None, help="cdc: Kafka brokers, or a folder for order messages")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--live", action="store_true", help="alert: update mode, alerts while windows are open")
+    p.add_argument("--max-per-trigger", type=int, default=None,
+                   help="cap per micro-batch: Kafka offsets, or files for file sources")
     a = p.parse_args(argv)
     from retail_pulse.session import build_session
     spark = build_session(app_name=f"retail_pulse_{a.app}")
     clock = {"dau": "dau", "orders": "gmv", "alert": "alert", "cdc": "gmv"}[a.app]
     q = start_app(spark, a.app, a.source, a.location, a.work, trigger_kwargs(clock, a.available_now), a.sink, a.out,
-                  live=a.live)
+                  live=a.live, max_per_trigger=a.max_per_trigger)
     q.awaitTermination()
 
 

@@ -68,5 +68,7 @@ def test_command_line(spark, tmp_dir):
     from retail_pulse.streaming.apps import main
     src, work = os.path.join(tmp_dir, "startup"), os.path.join(tmp_dir, "work")
     _lines(src, "a.json", [{"mid": "m1", "uid": "u1", "ts": T0}])
-    main(["dau", "--location", src, "--work", work, "--available-now"])
-    assert spark.read.parquet(os.path.join(work, "dau_detail")).count() == 1
+    _lines(src, "b.json", [{"mid": "m2", "uid": "u2", "ts": T0 + 1000}])
+    main(["dau", "--location", src, "--work", work, "--available-now", "--max-per-trigger", "1"])
+    t = spark.read.parquet(os.path.join(work, "dau_detail"))
+    assert t.count() == 2 and t.select("_batch_id").distinct().count() == 2  # one file per micro-batch
