@@ -98,6 +98,22 @@ def compact_documents(spark, path: str, out_path: str, id_col: str = "id") -> No
         .write.mode("overwrite").partitionBy("_batch_id").parquet(out_path)
 
 
+def compact_batches(spark, path: str, out_path: str, partition_cols: list[str] | None = None,
+                    schema=None) -> None:
+    """Rewrite an append-by-batch table (e.g. the DAU detail) with all its rows under one batch id.
+
+    Months of micro-batches leave one small folder per batch and partition;
+    the compacted copy holds the same rows, ``REBALANCE``d per partition into
+    few files, under the highest batch id seen (so readers that exclude
+    ``_batch_id >= n`` for later batches keep working). The source stays
+    untouched; pass ``schema`` when partition values are date strings.
+    """
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    rows = r.parquet(path)
+    top = rows.agg(F.max("_batch_id")).first()[0]
+    write_batch_partition(rows.drop("_batch_id"), out_path, int(top if top is not None else 0), partition_cols)
+
+
 def index_name(prefix: str, suffix: str) -> str:
     """Date- or release-suffixed index (table folder) name."""
     return f"{prefix}{suffix}"

@@ -48,3 +48,20 @@ def test_compaction_keeps_latest_versions(spark, tmp_dir):
     assert {r.id: r.name for r in latest_documents(compacted).collect()} == {"1": "a2", "2": "b"}
     upsert_documents(spark.createDataFrame([("2", "b2")], DOC), out, 2)  # later upserts still win
     assert {r.id: r.name for r in latest_documents(spark.read.parquet(out)).collect()} == {"1": "a2", "2": "b2"}
+
+
+def test_compact_batches_keeps_every_row(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from retail_pulse.sources.sinks import compact_batches
+    path, out = os.path.join(tmp_dir, "detail"), os.path.join(tmp_dir, "detail_compact")
+    for b in range(3):
+        df = spark.createDataFrame([(f"m{b}", "2024-01-01"), (f"n{b}", "2024-01-02")], "mid string, log_date string")
+        write_batch_partition(df, path, b, ["log_date"])
+    schema = T.StructType([T.StructField("mid", T.StringType()), T.StructField("log_date", T.StringType()),
+                           T.StructField("_batch_id", T.LongType())])
+    compact_batches(spark, path, out, ["log_date"], schema)
+    before = sorted((r.mid, r.log_date) for r in spark.read.schema(schema).parquet(path).collect())
+    after = spark.read.schema(schema).parquet(out)
+    assert sorted((r.mid, r.log_date) for r in after.collect()) == before
+    assert [r._batch_id for r in after.select("_batch_id").distinct().collect()] == [2]
