@@ -34,10 +34,17 @@ DEFAULT_WINDOW = "5 minutes"
 DEFAULT_SLIDE = "1 minute"
 
 
+def _timed(events: DataFrame, ts: str, delay: str, arrival_time: bool) -> DataFrame:
+    """Event time (the record's ``ts``) or arrival time (the micro-batch's clock), with a watermark."""
+    t = F.current_timestamp() if arrival_time else F.col(ts).cast("timestamp")
+    return events.withColumn(ts, t).withWatermark(ts, delay)
+
+
 def stage_one(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
-              delay: str = "1 minute", coupon: str = A.COUPON_EVENT, ts: str = "ts") -> DataFrame:
+              delay: str = "1 minute", coupon: str = A.COUPON_EVENT, ts: str = "ts",
+              arrival_time: bool = False) -> DataFrame:
     """Streaming: watermark + window + per (window, mid, evid) partial profile."""
-    ev = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    ev = _timed(events, ts, delay, arrival_time)
     w = F.window(F.col(ts), duration, slide) if slide else F.window(F.col(ts), duration)
     is_coupon = F.col("evid") == F.lit(coupon)
     return ev.groupBy(w.alias("window"), "mid", "evid").agg(
@@ -73,8 +80,8 @@ def alert_batch_writer(docs_path: str, coupon: str = A.COUPON_EVENT, click: str
 
 def start_alert_stream(spark: SparkSession, events: DataFrame, docs_path: str, checkpoint: str, trigger: dict,
                        duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE, delay: str = "1 minute",
-                       coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT):
-    agg = stage_one(events, duration, slide, delay, coupon)
+                       coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT, arrival_time: bool = False):
+    agg = stage_one(events, duration, slide, delay, coupon, arrival_time=arrival_time)
     return agg.writeStream.outputMode("append") \
         .foreachBatch(alert_batch_writer(docs_path, coupon, click)) \
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -84,14 +91,16 @@ def start_alert_stream(spark: SparkSession, events: DataFrame, docs_path: str, c
 
 def live_profiles(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
                   delay: str = "1 minute", coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT,
-                  ts: str = "ts") -> DataFrame:
+                  ts: str = "ts", arrival_time: bool = False) -> DataFrame:
     """Streaming profile per (window, mid) from bounded aggregates only.
 
     Emitted in update mode every micro-batch a device's window changes, so
     an alert can be raised while the window is still open. Event types are
     kept as a distinct set (multiplicities need the two-stage append job).
+    ``arrival_time`` windows by the micro-batch's clock instead of ``ts`` (the
+    reference's processing-time window over the last minutes of arrivals).
     """
-    ev = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    ev = _timed(events, ts, delay, arrival_time)
     w = F.window(F.col(ts), duration, slide) if slide else F.window(F.col(ts), duration)
     is_coupon = F.col("evid") == F.lit(coupon)
     return ev.groupBy(w.alias("window"), "mid").agg(
@@ -140,7 +149,8 @@ def live_alert_writer(spark: SparkSession, docs_path: str, min_users: int = A.MI
 
 def start_live_alert_stream(spark: SparkSession, events: DataFrame, docs_path: str, checkpoint: str,
                             trigger: dict, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
-                            delay: str = "1 minute", coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT):
-    prof = live_profiles(events, duration, slide, delay, coupon, click)
+                            delay: str = "1 minute", coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT,
+                            arrival_time: bool = False):
+    prof = live_profiles(events, duration, slide, delay, coupon, click, arrival_time=arrival_time)
     return prof.writeStream.outputMode("update").foreachBatch(live_alert_writer(spark, docs_path)) \
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()

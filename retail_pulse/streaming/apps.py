@@ -67,7 +67,7 @@ def orders_from_messages(messages: DataFrame) -> DataFrame:
 
 def start_app(spark: SparkSession, app: str, source: str, location: str, work: str, trigger: dict,
               sink: str = "files", out: str | None = None, counts: BatchCounts | None = None,
-              live: bool = False, max_per_trigger: int | None = None):
+              live: bool = False, max_per_trigger: int | None = None, arrival_time: bool = False):
     """Start one application; returns the running ``StreamingQuery``.
 
     ``sink``/``out`` apply to ``cdc``: order messages to a Kafka topic (``out`` = brokers) or
@@ -91,8 +91,9 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
         docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
         if live:
             return SA.start_live_alert_stream(spark, events, os.path.join(docs, "live"), ckpt + "_live", trigger,
-                                              coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
-        return SA.start_alert_stream(spark, events, docs, ckpt, trigger, coupon=A.COUPON_EVENT, click=A.CLICK_EVENT)
+                                              coupon=A.COUPON_EVENT, click=A.CLICK_EVENT, arrival_time=arrival_time)
+        return SA.start_alert_stream(spark, events, docs, ckpt, trigger, coupon=A.COUPON_EVENT, click=A.CLICK_EVENT,
+                                     arrival_time=arrival_time)
     if app == "cdc":
         changes = readers.change_feed_stream(spark, location, max_files_per_trigger=max_per_trigger)
         messages = cdc.change_feed_messages(changes, "order_info", cdc.INSERT)
@@ -114,6 +115,7 @@ def main(argv=None) -> None:
     p.add_argument("--out", default=None, help="cdc: Kafka brokers, or a folder for order messages")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--live", action="store_true", help="alert: update mode, alerts while windows are open")
+    p.add_argument("--arrival-time", action="store_true", help="alert: window by arrival (processing) time")
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="cap per micro-batch: Kafka offsets, or files for file sources")
     a = p.parse_args(argv)
@@ -121,7 +123,7 @@ def main(argv=None) -> None:
     spark = build_session(app_name=f"retail_pulse_{a.app}")
     clock = {"dau": "dau", "orders": "gmv", "alert": "alert", "cdc": "gmv"}[a.app]
     q = start_app(spark, a.app, a.source, a.location, a.work, trigger_kwargs(clock, a.available_now), a.sink, a.out,
-                  live=a.live, max_per_trigger=a.max_per_trigger)
+                  live=a.live, max_per_trigger=a.max_per_trigger, arrival_time=a.arrival_time)
     q.awaitTermination()
 
 

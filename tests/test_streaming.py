@@ -229,3 +229,20 @@ def test_live_alerts_raise_early_and_retract_on_click(spark, tmp_dir):
     assert live_alert_index(spark, docs).count() == 0
     stored = spark.read.parquet(docs).select("mid", "deleted").collect()
     assert sorted((r.mid, r.deleted) for r in stored) == [("m1", False), ("m1", True)]  # no rows for m2
+
+
+def test_live_alerts_on_arrival_time(spark, tmp_dir):
+    """Processing-time windows: records are stamped with the batch clock, so three coupon users
+    arriving together alert at once whatever their own timestamps say."""
+    from retail_pulse.streaming.alert import live_alert_index, start_live_alert_stream
+    src, docs, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "docs", "ckpt"))
+    old = 946684800000  # 2000-01-01: event time far in the past
+    spark.createDataFrame([("m1", f"u{i}", "coupon", "i1", old + i) for i in range(3)],
+                          "mid string, uid string, evid string, itemid string, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms")).drop("ms").write.parquet(src)
+    stream = spark.readStream.schema("mid string, uid string, evid string, itemid string, ts timestamp").parquet(src)
+    q = start_live_alert_stream(spark, stream, docs, ckpt, {"availableNow": True}, "5 minutes", None, "1 minute",
+                                arrival_time=True)
+    assert q.awaitTermination(180)
+    (doc,) = live_alert_index(spark, docs).collect()
+    assert doc.uids == ["u0", "u1", "u2"] and doc.ts > old + 86_400_000 * 365  # window of the arrival clock
