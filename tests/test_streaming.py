@@ -246,3 +246,36 @@ def test_live_alerts_on_arrival_time(spark, tmp_dir):
     assert q.awaitTermination(180)
     (doc,) = live_alert_index(spark, docs).collect()
     assert doc.uids == ["u0", "u1", "u2"] and doc.ts > old + 86_400_000 * 365  # window of the arrival clock
+
+
+def test_alert_stream_crash_after_write_is_exactly_once(spark, tmp_dir):
+    from retail_pulse.streaming import alert as SA
+    src, docs, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "docs", "ckpt"))
+    schema = "mid string, uid string, evid string, itemid string, ms long"
+    t0 = 1704067200000
+    rows = [("m1", f"u{i}", "coupon", "i1", t0 + i * 1000) for i in range(3)] + \
+        [("m9", "u1", "view", "i1", t0 + 3_600_000)]
+    spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_millis("ms")).drop("ms").write.parquet(src)
+    writer = SA.alert_batch_writer(docs)
+    state = {"crashed": False}
+
+    def crashing(df, batch_id):
+        writer(df, batch_id)
+        if not state["crashed"] and not df.isEmpty():
+            state["crashed"] = True
+            raise RuntimeError("simulated crash after the write, before the commit")
+
+    def run(fn):
+        stream = spark.readStream.schema("mid string, uid string, evid string, itemid string, ts timestamp") \
+            .parquet(src)
+        agg = SA.stage_one(stream, "5 minutes", None, "1 minute")
+        return agg.writeStream.outputMode("append").foreachBatch(fn).option("checkpointLocation", ckpt) \
+            .trigger(availableNow=True).start()
+
+    import pytest
+    with pytest.raises(Exception):
+        run(crashing).awaitTermination(180)
+    assert state["crashed"]
+    assert run(writer).awaitTermination(180)
+    stored = spark.read.schema(SA.ALERT_DOC_TABLE).parquet(docs).collect()
+    assert [(d.mid, d.uids) for d in stored] == [("m1", ["u0", "u1", "u2"])]  # one version, not two
