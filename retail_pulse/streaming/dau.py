@@ -5,15 +5,16 @@ Per micro-batch ``n`` (``foreachBatch``):
 1. in-batch dedup: earliest record per (mid, log_date) -- ``row_number`` is
    not allowed on a streaming frame, but the batch frame is static;
 2. cross-batch filter: left-anti join against the detail table's rows of
-   batches ``< n`` for the dates present in this batch (a semi join on
-   ``log_date`` against the batch's few dates prunes the table's
-   ``log_date`` partitions at run time);
+   batches ``< n`` for the dates present in this batch. The batch's distinct
+   dates (a handful of strings) pick the ``log_date`` folders to read, so
+   file listing is proportional to those dates, not to the table's history
+   of batch folders;
 3. idempotent write to ``log_date=<d>/_batch_id=<n>`` with dynamic partition
    overwrite.
 
 A replayed batch reads the same input, sees the same older batches and
 rewrites the same partitions, so the table is exactly-once. The seen set
-never goes through the driver: it is a table scan joined on executors.
+itself never goes through the driver: it is a table scan joined on executors.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from retail_pulse.functions.time import log_date, log_hour, ms_to_timestamp
 from retail_pulse.operators.dedup import dedup_device_day, drop_seen
 from retail_pulse.schemas import DAU_TABLE_COLUMNS, STARTUP_LOG, STARTUP_TYPES
 from retail_pulse.sources.sinks import write_batch_partition
-from retail_pulse.streaming.runner import BatchCounts, read_if_exists
+from retail_pulse.streaming.runner import BatchCounts, read_partitions
 
 
 def startup_from_messages(messages: DataFrame) -> DataFrame:
@@ -48,14 +49,11 @@ def dau_batch_writer(spark: SparkSession, detail_path: str, order_cols: list[str
         if counts:
             first = counts.tap(first, "in_batch")
         schema = T.StructType(list(first.schema.fields) + [T.StructField("_batch_id", T.LongType())])
-        detail = read_if_exists(spark, detail_path, schema)
+        dates = [r[0] for r in batch.select(date_col).distinct().collect()]  # days in this batch: a handful
+        detail = read_partitions(spark, detail_path, date_col, dates, schema)
         if detail is not None:
-            # the dedup feeds the date semi-join and the anti-join; AQE reuses its shuffle stage
-            deduped = first
-            seen = detail.where(F.col("_batch_id") < F.lit(int(batch_id))) \
-                .join(deduped.select(date_col).distinct(), date_col, "left_semi") \
-                .select(mid, date_col)
-            first = drop_seen(deduped, seen, [mid, date_col])
+            seen = detail.where(F.col("_batch_id") < F.lit(int(batch_id))).select(mid, date_col)
+            first = drop_seen(first, seen, [mid, date_col])
         if counts:
             first = counts.tap(first, "new")
         write_batch_partition(first, detail_path, batch_id, [date_col])

@@ -7,7 +7,6 @@ use ``availableNow`` (process what is there, then stop).
 from __future__ import annotations
 
 import contextlib
-import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -71,20 +70,19 @@ def stream_conf(spark: SparkSession, state_partitions: int | None = None):
                 spark.conf.set(k, v)
 
 
-def read_if_exists(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
-    """Batch read of a table folder, or None before its first write.
+def read_partitions(spark: SparkSession, path: str, col: str, values: list[str], schema) -> DataFrame | None:
+    """Read only the ``col=<value>`` folders of a partitioned table, or None if none exists.
 
-    Pass ``schema`` (including partition columns) for tables partitioned by
-    date strings, otherwise partition discovery would type them as DATE.
+    A path glob ``col={v1,v2}`` with ``basePath`` makes file listing touch
+    just those folders, so a long-lived table with many batch folders is not
+    listed in full for every micro-batch. ``schema`` types the partition columns.
     """
-    if "://" not in path and not os.path.exists(path):
+    if not values:
         return None
+    pattern = f"{path.rstrip('/')}/{col}={{{','.join(sorted(values))}}}"
     try:
-        r = spark.read.format(fmt)
-        if schema is not None:
-            r = r.schema(schema)
-        return r.load(path)
-    except AnalysisException:
+        return spark.read.schema(schema).option("basePath", path).parquet(pattern)
+    except AnalysisException:  # no folder for any of the values yet
         return None
 
 

@@ -279,3 +279,18 @@ def test_alert_stream_crash_after_write_is_exactly_once(spark, tmp_dir):
     assert run(writer).awaitTermination(180)
     stored = spark.read.schema(SA.ALERT_DOC_TABLE).parquet(docs).collect()
     assert [(d.mid, d.uids) for d in stored] == [("m1", ["u0", "u1", "u2"])]  # one version, not two
+
+
+def test_read_partitions_lists_only_requested_dates(spark, tmp_dir):
+    from retail_pulse.sources.sinks import write_batch_partition
+    from retail_pulse.streaming.runner import read_partitions
+    path = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([("m1", "2024-01-01"), ("m2", "2024-01-02"), ("m3", "2024-01-03")],
+                               "mid string, log_date string")
+    write_batch_partition(df, path, 0, ["log_date"])
+    schema = T.StructType([T.StructField("mid", T.StringType()), T.StructField("log_date", T.StringType()),
+                           T.StructField("_batch_id", T.LongType())])
+    got = read_partitions(spark, path, "log_date", ["2024-01-03", "2024-01-01", "2024-02-01"], schema)
+    assert sorted((r.mid, r.log_date) for r in got.collect()) == [("m1", "2024-01-01"), ("m3", "2024-01-03")]
+    assert read_partitions(spark, path, "log_date", ["1999-01-01"], schema) is None
+    assert read_partitions(spark, path, "log_date", [], schema) is None
