@@ -63,18 +63,19 @@ def auto_id(doc_cols: list[str]) -> Column:
 
 
 def upsert_documents(docs: DataFrame, path: str, batch_id: int, id_col: str = "id",
-                     order_col: str | None = None) -> None:
+                     order_col: str | None = None, partition_cols: list[str] | None = None) -> None:
     """Bulk upsert of ``(id, fields...)`` rows as one version batch.
 
     NULL ids get a deterministic content id; ``order_col`` orders versions
     of the same id inside the batch (later wins), otherwise row content does.
     An empty input writes an empty partition (a no-op for readers).
+    ``partition_cols`` (derived from the id, e.g. a date) let readers prune.
     """
     fields = [c for c in docs.columns if c != id_col]
     seq = F.col(order_col) if order_col else F.xxhash64(*[F.col(c) for c in fields])
     out = docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"), auto_id(fields))) \
         .withColumn("_seq", seq.cast("bigint"))
-    write_batch_partition(out, path, batch_id)
+    write_batch_partition(out, path, batch_id, partition_cols)
 
 
 def latest_documents(versions: DataFrame, id_col: str = "id") -> DataFrame:

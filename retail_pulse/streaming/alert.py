@@ -19,7 +19,6 @@ the window (sets), never by its number of events.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +26,7 @@ from pyspark.sql import types as T
 from retail_pulse.functions.time import minute_of, to_millis
 from retail_pulse.operators import alert as A
 from retail_pulse.sources.sinks import latest_documents, upsert_documents
+from retail_pulse.streaming.runner import read_partitions
 
 # 1-minute slide for the 5-minute window: documents are keyed per device-minute,
 # so a finer slide would only repeat rows without adding documents.
@@ -116,34 +116,44 @@ LIVE_DOC_TABLE = T.StructType([
     T.StructField("uids", T.ArrayType(T.StringType())), T.StructField("itemIds", T.ArrayType(T.StringType())),
     T.StructField("event_types", T.ArrayType(T.StringType())), T.StructField("n_events", T.LongType()),
     T.StructField("ts", T.LongType()), T.StructField("deleted", T.BooleanType()),
-    T.StructField("_seq", T.LongType()), T.StructField("_batch_id", T.LongType()),
+    T.StructField("_seq", T.LongType()), T.StructField("win_date", T.StringType()),
+    T.StructField("_batch_id", T.LongType()),
 ])
 
 
-def live_alert_index(spark: SparkSession, docs_path: str) -> DataFrame:
-    """Current alerts: latest version per id that is not a tombstone."""
-    return latest_documents(spark.read.schema(LIVE_DOC_TABLE).parquet(docs_path)) \
-        .where(~F.col("deleted")).drop("deleted")
+def live_alert_index(spark: SparkSession, docs_path: str, win_dates: list[str] | None = None) -> DataFrame:
+    """Current alerts: latest version per id that is not a tombstone.
+
+    Documents are partitioned by the date of their window end; ``win_dates``
+    reads only those folders.
+    """
+    if win_dates is not None:
+        versions = read_partitions(spark, docs_path, "win_date", win_dates, LIVE_DOC_TABLE)
+        if versions is None:
+            return spark.createDataFrame([], LIVE_DOC_TABLE).drop("deleted", "_seq", "_batch_id")
+    else:
+        versions = spark.read.schema(LIVE_DOC_TABLE).parquet(docs_path)
+    return latest_documents(versions).where(~F.col("deleted")).drop("deleted")
 
 
 def live_alert_writer(spark: SparkSession, docs_path: str, min_users: int = A.MIN_COUPON_USERS):
     """``foreachBatch`` for update mode: upsert qualifying profiles; tombstone only documents that
-    are live and whose profile stopped qualifying (never one per non-alerting device)."""
+    are live and whose profile stopped qualifying (never one per non-alerting device). The live
+    documents are looked up only in the window-end dates of this batch (a handful of folders)."""
     def process(batch: DataFrame, batch_id: int) -> None:
         end_ms = to_millis(F.col("window.end"))
         docs = batch.select(
             F.concat(F.col("mid").cast("string"), minute_of(end_ms).cast("string")).alias("id"),
             F.col("mid").cast("string").alias("mid"), "uids", "itemIds", "event_types", "n_events",
             end_ms.alias("ts"),
-            (~((F.size("uids") >= F.lit(min_users)) & ~F.coalesce(F.col("clicked"), F.lit(False)))).alias("deleted"))
+            (~((F.size("uids") >= F.lit(min_users)) & ~F.coalesce(F.col("clicked"), F.lit(False)))).alias("deleted"),
+            F.date_format("window.end", "yyyy-MM-dd").alias("win_date"))
         live = docs.where(~F.col("deleted"))
-        try:
-            current = live_alert_index(spark, docs_path).select("id")
-            gone = docs.where(F.col("deleted")).join(current, "id", "left_semi")
-            out = live.unionByName(gone)
-        except AnalysisException:  # no index yet: nothing to retract
-            out = live
-        upsert_documents(out, docs_path, batch_id, "id", order_col="ts")
+        win_dates = [r[0] for r in batch.select(F.date_format("window.end", "yyyy-MM-dd")).distinct().collect()]
+        current = live_alert_index(spark, docs_path, win_dates).select("id")
+        gone = docs.where(F.col("deleted")).join(current, "id", "left_semi")
+        upsert_documents(live.unionByName(gone), docs_path, batch_id, "id", order_col="ts",
+                         partition_cols=["win_date"])
     return process
 
 
