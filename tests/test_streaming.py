@@ -292,5 +292,7 @@ def test_read_partitions_lists_only_requested_dates(spark, tmp_dir):
                            T.StructField("_batch_id", T.LongType())])
     got = read_partitions(spark, path, "log_date", ["2024-01-03", "2024-01-01", "2024-02-01"], schema)
     assert sorted((r.mid, r.log_date) for r in got.collect()) == [("m1", "2024-01-01"), ("m3", "2024-01-03")]
+    files = got.inputFiles()
+    assert files and all("log_date=2024-01-01" in f or "log_date=2024-01-03" in f for f in files)
     assert read_partitions(spark, path, "log_date", ["1999-01-01"], schema) is None
     assert read_partitions(spark, path, "log_date", [], schema) is None
