@@ -108,7 +108,8 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="retail_pulse.streaming.apps")
     p.add_argument("app", choices=APPS)
-    p.add_argument("--source", choices=("kafka", "files"), default="files")
+    p.add_argument("--source", choices=("kafka", "files"), default="files",
+                   help="read a Kafka topic or JSON-lines files (change-feed files for cdc)")
     p.add_argument("--location", required=True, help="Kafka brokers, or the input folder")
     p.add_argument("--work", required=True, help="shared folder for tables and checkpoints")
     p.add_argument("--sink", choices=("kafka", "files"), default="files", help="cdc: where order messages go")
@@ -119,6 +120,8 @@ def main(argv=None) -> None:
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="cap per micro-batch: Kafka offsets, or files for file sources")
     a = p.parse_args(argv)
+    if a.app == "cdc" and a.sink == "kafka" and not a.out:
+        p.error("cdc --sink kafka needs --out <brokers>")
     from retail_pulse.session import build_session
     spark = build_session(app_name=f"retail_pulse_{a.app}")
     clock = {"dau": "dau", "orders": "gmv", "alert": "alert", "cdc": "gmv"}[a.app]
