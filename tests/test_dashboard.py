@@ -51,3 +51,14 @@ def test_detail_report_parts(spark):
     assert [r.order_id for r in rep["detail"].collect()] == [1]
     assert {r.name: r.value for r in rep["stat"]["age"].collect()} == {"20岁以下": 1, "30岁以上": 1}
     assert {r.name: r.percent for r in rep["stat"]["gender"].collect()} == {"M": 50.0, "F": 50.0}
+
+
+def test_metric_cards_json_omits_null_values(spark):
+    import json
+
+    from retail_pulse.operators.dashboard import metric_cards_json
+    one = spark.createDataFrame([(3,)], "v long")
+    none = spark.createDataFrame([(None,)], "v double")
+    out = json.loads(metric_cards_json(metric_cards(one, one, none, keep_order=True)).first().json)
+    assert [c["id"] for c in out] == ["dau", "new_mid", "order_amount"]
+    assert out[0]["value"] == 3.0 and "value" not in out[2]  # no orders that day: the key is absent
