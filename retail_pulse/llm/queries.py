@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import langid, simhash
+from retail_pulse.llm import langid, simhash, substring
 from retail_pulse.llm.common import table, text_crc
 
 
@@ -16,6 +16,31 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document once the 20-word windows that also start earlier are removed."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_OP5_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE text IS NOT NULL)),
+windows AS (
+  SELECT doc_id, pos, w, string_agg(w, ' ') OVER ahead AS win, count(*) OVER ahead AS n
+  FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+judged AS (
+  SELECT doc_id, pos, w, n = 20 AND row_number() OVER (PARTITION BY win, n = 20 ORDER BY doc_id, pos) > 1 AS gone FROM windows),
+covered AS (
+  SELECT doc_id, pos, w, bool_or(gone) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS cut FROM judged),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (cut) AS n_removed, string_agg(w, ' ' ORDER BY pos) FILTER (NOT cut) AS t
+  FROM covered GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned where crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
@@ -26,8 +51,11 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op5_substring": op5_substring,
     "op7_langid": op7_langid,
 }
 
 #: DuckDB SQL of the queries that SQL can express
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_substring": _OP5_SQL,
+}
