@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from retail_pulse.llm import langid, simhash
-from retail_pulse.llm.common import fresh, table, text_crc, written
+from retail_pulse.llm import decontam, langid, simhash, substring
+from retail_pulse.llm.common import NULL_ID, fresh, table, text_crc, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +35,31 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     n = fresh(docs.columns, "nth")
     one = (docs.join(keep, "doc_id", "left_semi")
            .withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter(F.col(n) == 1).drop(n))
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return one.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut the 20-word windows that also start earlier; documents without a word left go.
+
+    A document that loses nothing keeps its text as it is; the others keep their remaining words joined by one
+    space. ``n_chars`` follows the text. Rows with the same id and text are cut alike.
+    """
+    return substring.cut_repeats(docs, window=20)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item, verbatim or paraphrased."""
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    same = (F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == hit["bad_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == hit["bad_hash"])
+    return docs.join(hit, same, "left_anti")
 
 
 STAGES = [
     ("language_id", language_id),
     ("simhash_dedup", simhash_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontaminate", decontaminate),
 ]
 
 #: SQL has no form for these stages; they are tested against brute-force versions.

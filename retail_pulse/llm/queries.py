@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import langid, simhash, substring
+from retail_pulse.llm import decontam, langid, simhash, substring
 from retail_pulse.llm.common import table, text_crc
 
 
@@ -49,10 +49,17 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (text_crc("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds, verbatim or paraphrased."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "cosine", "lcs", "answer")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_substring": op5_substring,
     "op7_langid": op7_langid,
+    "op8_decontam": op8_decontam,
 }
 
 #: DuckDB SQL of the queries that SQL can express

@@ -35,10 +35,12 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retail_pulse.llm.common import NULL_ID, written
+from retail_pulse.llm.common import NULL_ID, fresh, written
 from retail_pulse.llm.words import grams, mix, sliding_min, texts_words
 
 _ROW = "gram long, doc long, sig long, start long, n long, words binary"
@@ -264,39 +266,70 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.groupBy("doc", "sig").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **options) -> DataFrame:
-    """One row per input row: ``id_col``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` (kept words joined by one space)."""
+def _kept(words: list[bytes], spans, window: int) -> list[bytes]:
+    """Words that no removed window covers."""
+    if not spans.is_valid or not len(spans.values):
+        return words
+    s = spans.values.field("start").to_numpy()
+    edge = np.zeros(len(words) + 1, dtype=np.int64)
+    np.add.at(edge, s, 1)
+    np.add.at(edge, s + spans.values.field("n").to_numpy() + window - 1, -1)
+    return list(compress(words, (np.cumsum(edge[:-1]) == 0).tolist()))
+
+
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, options: dict) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and the removed windows of each row in a column of the returned name."""
     removed = written(removed_windows(docs, id_col, text_col, window, **options), "substring-removed")
-    src = _keyed(docs, id_col, text_col)
-    out = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    spans = fresh(docs.columns, "spans")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    same = (F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)) == removed["doc"]) & (F.xxhash64(text) == removed["sig"])
+    return docs.join(removed.withColumnRenamed("spans", spans), same, "left").drop(removed["doc"], removed["sig"]), spans
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **options) -> DataFrame:
+    """One row per input row: ``id_col``, ``n_words``, ``n_removed``, ``kept_sha256`` of the kept words joined by one space."""
+    both, spans = _with_spans(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", window, options)
 
-    def cover(batches):
+    def digest(batches):
         for b in batches:
-            doc = b.column(0).to_numpy()
-            n_words, n_gone, sums, kept_texts = [], [], [], []
+            n_words, n_gone, sums = [], [], []
             for text, spans in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2), strict=True):
-                words = text.split()
-                gone = 0
-                if spans.is_valid and len(spans.values):
-                    s = spans.values.field("start").to_numpy()
-                    e = s + spans.values.field("n").to_numpy() + window - 1
-                    edge = np.zeros(len(words) + 1, dtype=np.int64)
-                    np.add.at(edge, s, 1)
-                    np.add.at(edge, e, -1)
-                    keep = np.cumsum(edge[:-1]) == 0
-                    kept = list(compress(words, keep.tolist()))
-                    gone = len(words) - len(kept)
-                else:
-                    kept = words
+                words = (text or b"").split()
+                kept = _kept(words, spans, window)
                 n_words.append(len(words))
-                n_gone.append(gone)
-                joined = b" ".join(kept)
-                sums.append(sha256(joined).hexdigest())
-                kept_texts.append(joined)
+                n_gone.append(len(words) - len(kept))
+                sums.append(sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, mask=doc == NULL_ID), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(sums, pa.string()),
-                 pa.array(kept_texts, pa.binary()).cast(pa.string())],
-                names=["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(sums, pa.string())],
+                names=["id", "n_words", "n_removed", "kept_sha256"])
 
-    return (src.join(removed, ["doc", "sig"], "left").select("doc", "text", "spans").mapInArrow(cover, out)
-            .withColumnRenamed("id", id_col))
+    return both.select("id", "text", spans).mapInArrow(digest, "id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
+
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 20, **options) -> DataFrame:
+    """The rows of ``docs`` with the repeats cut from their text; rows that lose all their words, or have none, go.
+
+    Texts that lose nothing stay as they are, others keep their words joined by one space; ``length_col`` follows, if it is there.
+    """
+    both, spans = _with_spans(docs, id_col, text_col, window, options)
+    columns = [*docs.columns, spans]
+    at, length = columns.index(text_col), columns.index(length_col) if length_col in columns else None
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+
+    def cut(batches):
+        for b in batches:
+            texts, keep = [], []
+            for text, spans in zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(len(columns) - 1), strict=True):
+                words = (text or b"").split()
+                kept = _kept(words, spans, window)
+                keep.append(bool(kept))
+                texts.append(text if len(kept) == len(words) else b" ".join(kept))
+            cols = b.columns[:-1]
+            cols[at] = pa.array(texts, pa.binary()).cast(pa.string())
+            if length is not None:
+                cols[length] = pc.utf8_length(cols[at]).cast(cols[length].type)
+            yield pa.RecordBatch.from_arrays(cols, names=columns[:-1]).filter(pa.array(keep, pa.bool_()))
+
+    if not isinstance(kinds[text_col], T.StringType):
+        raise TypeError(f"{text_col} must be a string column")
+    return both.select(columns).mapInArrow(cut, docs.schema)
