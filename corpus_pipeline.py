@@ -6,11 +6,12 @@ shared folder and reads them back as the next stage's documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from retail_pulse.llm import decontam, langid, simhash, substring
+from retail_pulse.llm import bpe, decontam, langid, simhash, substring
 from retail_pulse.llm.common import NULL_ID, fresh, table, text_crc, written
 
 
@@ -55,11 +56,19 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(hit, same, "left_anti")
 
 
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add the token ids of each text, and their number."""
+    ids = fresh(docs.columns, "token_ids")
+    out = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids_out=ids)
+    return out.withColumn(fresh(docs.columns, "n_tokens"), F.size(ids).cast("long"))
+
+
 STAGES = [
     ("language_id", language_id),
     ("simhash_dedup", simhash_dedup),
     ("substring_dedup", substring_dedup),
     ("decontaminate", decontaminate),
+    ("bpe_encode", bpe_encode),
 ]
 
 #: SQL has no form for these stages; they are tested against brute-force versions.

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import decontam, langid, simhash, substring
+from retail_pulse.llm import bpe, decontam, langid, simhash, substring, tokencount
 from retail_pulse.llm.common import table, text_crc
 
 
@@ -16,6 +17,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count, digest of the ids and digest of the decoded bytes of every document."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document once the 20-word windows that also start earlier are removed."""
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20).select(
@@ -55,11 +61,18 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "item_id", "cosine", "lcs", "answer")
 
 
+def op9_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 512 tokens."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe,
     "op5_substring": op5_substring,
     "op7_langid": op7_langid,
     "op8_decontam": op8_decontam,
+    "op9_tokencount": op9_tokencount,
 }
 
 #: DuckDB SQL of the queries that SQL can express
