@@ -8,10 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import bpe, decontam, langid, simhash, substring, tokencount
+from retail_pulse.llm import bpe, decontam, langid, simhash, substring, tokencount, topk, toxicity, urlfilter
 from retail_pulse.llm.common import table, text_crc
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learned where crc32(doc_id) mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(text_crc("doc_id", 4) != 2)
+    return toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3).select(
+        "doc_id", (text_crc("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 greatest integer products of every vector whose id is divisible by 100, against all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+_OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, p.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, p.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v p ON q.vec_id <> p.vec_id AND q.vec_id % 100 = 0)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s) WHERE rank <= 10
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document (3-word shingles, 3 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
@@ -66,16 +91,34 @@ def op9_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=512)
 
 
+#: the rules of the contract (fixed values)
+URL_RULES = ["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url.
+
+    The labelled urls are those that a rule decides: the model carries the rules' judgement over to the other urls.
+    """
+    pages, rules = table(spark, sf_dir, "pages"), urlfilter.parse_rules(URL_RULES)
+    labelled = urlfilter.with_parts(pages.select("url")).select("url", urlfilter.ruled(rules, "verdict").alias("verdict")).filter("verdict IS NOT NULL")
+    return urlfilter.judge(pages, rules, urlfilter.train(labelled))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_substring": op5_substring,
     "op7_langid": op7_langid,
     "op8_decontam": op8_decontam,
     "op9_tokencount": op9_tokencount,
+    "op10_urls": op10_urls,
 }
 
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {
+    "op2_topk": _OP2_SQL,
     "op5_substring": _OP5_SQL,
 }
