@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import bpe, decontam, langid, simhash, substring, tokencount, topk, toxicity, urlfilter
+from retail_pulse.llm import bpe, decontam, htmltext, langid, simhash, substring, tokencount, topk, toxicity, urlfilter
 from retail_pulse.llm.common import table, text_crc
 
 
@@ -72,6 +72,11 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+def op6_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned where crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_substring": op5_substring,
+    "op6_htmltext": op6_htmltext,
     "op7_langid": op7_langid,
     "op8_decontam": op8_decontam,
     "op9_tokencount": op9_tokencount,
