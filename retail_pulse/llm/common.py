@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,26 @@ def fresh(taken: Iterable[str], name: str) -> str:
     while name.lower() in low:
         name = "_" + name
     return name
+
+
+def table_of(cells: DataFrame, size: int, chunk: int = 1 << 14) -> np.ndarray:
+    """An array of ``size`` longs from rows (place, value) of distinct places, zero elsewhere.
+
+    The rows are packed into chunks on the executors, so the driver gets 8 bytes for each place and no rows.
+    """
+    def pack(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            place, value = (b.column(i).to_numpy() for i in (0, 1))
+            for c in np.unique(place // chunk):
+                at = place // chunk == c
+                held.setdefault(int(c), np.zeros(chunk, dtype=np.int64))[place[at] % chunk] = value[at]
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "packed"])
+
+    place, value = cells.columns
+    packed = (cells.select(F.col(place).cast("long"), F.col(value).cast("long"))
+              .repartition(max(1, min(64, size // chunk)), F.floor(F.col(place) / chunk)).mapInArrow(pack, "chunk long, packed binary"))
+    out = np.zeros(-(-size // chunk) * chunk, dtype=np.int64)
+    for r in packed.collect():
+        out[r.chunk * chunk:(r.chunk + 1) * chunk] = np.frombuffer(r.packed, dtype=np.int64)
+    return out[:size]

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.llm.common import NULL_ID, fresh, written
+from retail_pulse.llm.common import NULL_ID, fresh, table_of, written
 from retail_pulse.llm.words import grams, mix, sliding_min, texts_words
 
 _ROW = "gram long, doc long, sig long, start long, n long, words binary"
@@ -183,10 +183,9 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = np.array([r.gram for r in counts.filter(F.col("n") > max(group_rows, total // max_hot)).select("gram").collect()], dtype=np.int64)
     bit = F.col("gram").bitwiseAND((1 << filter_bits) - 1)
-    got = (counts.groupBy(F.shiftright(bit, 6).alias("word"))
-           .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(gram & 63 AS int))")).alias("bits")).toPandas())
-    bitmap = np.zeros(1 << (filter_bits - 6), dtype=np.uint64)
-    bitmap[got["word"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    bits = (counts.groupBy(F.shiftright(bit, 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(gram & 63 AS int))")).alias("bits")))
+    bitmap = table_of(bits, max(1, 1 << (filter_bits - 6))).view(np.uint64)
     shared = sc.broadcast((bitmap, np.sort(hot)))
 
     def suffixes(batches):
