@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_pulse.llm.common import table_of, written
+
 UND = "und"
 _MASK_BITS = 63
 
@@ -66,13 +68,12 @@ def _grams(texts: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.nda
     Texts are lower-cased, every run of other characters than letters becomes one boundary, and
     n-grams hold at least one letter and no boundary but at their ends.
     """
-    joined = "\0\0" + "\0\0".join(t.lower().replace("\0", " ") for t in texts) + "\0\0"
-    cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    # a text's own number: two NULs in a row stand between texts
-    ends = np.flatnonzero((cp[:-1] == 0) & (cp[1:] == 0))
-    owner = np.zeros(len(cp), dtype=np.int32)
-    owner[ends[1:]] = 1
-    owner = np.cumsum(owner, dtype=np.int32)
+    lower = [t.lower() for t in texts]
+    # two boundaries stand between texts
+    cp = np.frombuffer(("\0\0" + "\0\0".join(lower) + "\0\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    sizes_with_end = np.fromiter((len(t) + 2 for t in lower), dtype=np.int64, count=len(lower))
+    sizes_with_end[:1] += 2
+    owner = np.repeat(np.arange(len(lower), dtype=np.int32), sizes_with_end)
     letter = _letters()[cp]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
@@ -88,13 +89,14 @@ def _grams(texts: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.nda
         ok = np.ones(m, dtype=bool)
         for i in range(1, n - 1):
             ok &= letter[i:i + m]
-        if n == 2:
-            ok &= letter[:m] | letter[1:1 + m]
+        if n <= 2:
+            ok &= letter[:m] | letter[n - 1:m + n - 1]
         h = np.full(m, n, dtype=np.uint64)
         for i in range(n):
             h = h * np.uint64(0x100000001B3) + cp[i:i + m]
         out.append(_mix(h[ok]))
-        who.append(owner[:m][ok])
+        # the boundary in front of a text's first letter is not its own
+        who.append((owner[1:m + 1] if n > 2 else np.where(letter[:m], owner[:m], owner[n - 1:m + n - 1]))[ok])
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32)
     return np.concatenate(out), np.concatenate(who)
@@ -144,7 +146,6 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
 
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
-    from retail_pulse.llm.common import written
     counts = written(labelled.mapInArrow(count, "lang string, gram long, n long")
                      .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-counts")
     totals = {r.lang: r.total for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
@@ -169,9 +170,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
                                                  names=["slot", "word", "mask"])
 
     filled = usual.mapInArrow(slots, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
-    got = filled.toPandas()
-    table = np.zeros((words, 1 << slot_bits), dtype=np.int64)
-    table[got["word"].to_numpy(), got["slot"].to_numpy()] = got["mask"].to_numpy()
+    table = table_of(filled.select(F.col("word").cast("long") * (1 << slot_bits) + F.col("slot"), "mask"), words << slot_bits).reshape(words, -1)
     fill = np.array([((table[i // _MASK_BITS] >> (i % _MASK_BITS)) & 1).mean() for i in range(len(langs))])
     default = min(langs, key=lambda x: (-totals[x], x))
     return LangFilter(langs, table, fill, sizes, hashes, default)
