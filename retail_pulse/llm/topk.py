@@ -166,7 +166,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     first = numbered.filter("bucket = 1").join(keys, ["key", "dim", "longest"])
     start = written(_search(blocks.join(first, F.col("q_dim") == F.col("dim")).withColumn("floor", F.lit(None).cast("binary")), k, focus, switch), "topk-first")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    kth = start.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+    # several vectors of one id give it one score
+    kth = start.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
 
     ids = blocks.mapInArrow(_block_ids, "block long, at int, query_id long, norm double")
     floors = (ids.join(kth, "query_id", "left").groupBy("block").agg(
