@@ -34,22 +34,23 @@ _END = -1
 class MergeReplay:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, rank_path: str, pattern: str, remember: int = 400_000):
+    def __init__(self, rank_path: str, pattern: str, remember: int = 250_000):
         with open(rank_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}
         self.known: dict[str, tuple[int, ...]] = {}
         self.remember = remember
 
     def _rank(self, a: int, b: int) -> int:
         """Rank of the token that two neighbours make together, or _END."""
-        got = self.pairs.get((a, b))
+        key = a << 32 | b
+        got = self.pairs.get(key)
         if got is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 400_000:
                 self.pairs.clear()
-            got = self.pairs[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], _END)
+            got = self.pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], _END)
         return got
 
     def replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
@@ -122,11 +123,15 @@ class MergeReplay:
             self.known.clear()
         known = self.known
         new = [p for p in set(chain.from_iterable(split)) if p not in known]
-        for s in range(0, len(new), 200_000):
-            part = new[s:s + 200_000]
+        for s in range(0, len(new), 50_000):
+            part = new[s:s + 50_000]
             known.update(zip(part, self.replay([p.encode("utf-8") for p in part]), strict=True))
         return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
 
+    def forget(self) -> None:
+        """Empty the memory at a task's end: workers live on and serve other stages."""
+        self.known, self.pairs = {}, {}
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -136,7 +141,7 @@ def _replay(rank_path: str, pattern: str) -> MergeReplay:
     return MergeReplay(rank_path, pattern)
 
 
-def _blocks(texts: list[str], limit: int = 8_000_000):
+def _blocks(texts: list[str], limit: int = 4_000_000):
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -161,6 +166,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
                 part = b.slice(done, len(texts))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bpe.encode(texts), pa.list_(pa.int32()))], names=[*b.schema.names, ids_out])
+        bpe.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -196,5 +202,6 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
                     text_sums.append(sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sums, pa.string()), pa.array(text_sums, pa.string())],
                                              names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return src.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

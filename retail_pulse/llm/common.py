@@ -26,12 +26,13 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     own. On a cluster a machine-local folder would lose the other executors'
     files, so a missing setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="retail-pulse-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="retail-pulse-llm-"))
+        root = sc.getCheckpointDir()
     return f"{root.rstrip('/')}/retail_pulse_llm/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -108,16 +108,28 @@ def _places(h: np.ndarray, i: int, slot_bits: int) -> np.ndarray:
     return ((h + np.uint64(i) * step) & np.uint64((1 << slot_bits) - 1)).astype(np.int64)
 
 
-def _blocks(texts: list[str], limit: int = 4_000_000):
-    """Ranges of texts of about ``limit`` characters, so that arrays stay small; a longer text is alone in its block."""
-    start, size = 0, 0
+def _blocks(texts: list[str | None], limit: int = 1_000_000):
+    """Blocks of about ``limit`` characters, so that arrays stay small: (pieces, number of the text of each piece).
+
+    A longer text comes in several pieces, cut where no letter is (a run of letters longer than a piece is cut anywhere).
+    """
+    pieces, owner, size = [], [], 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        t, at = t or "", 0
+        while at < len(t):
+            end = min(len(t), at + limit)
+            if end < len(t):
+                cut = next((k for k in range(end, at, -1) if not t[k - 1].isalpha()), end)
+                end = cut
+            pieces.append(t[at:end])
+            owner.append(i)
+            size += end - at
+            at = end
+            if size >= limit:
+                yield pieces, np.array(owner)
+                pieces, owner, size = [], [], 0
+    if pieces:
+        yield pieces, np.array(owner)
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes: tuple[int, ...] = (3, 4),
@@ -134,10 +146,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
     def count(batches):
         for b in batches:
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for s, e in _blocks(texts):
-                h, who = _grams(texts[s:e], sizes)
-                names, codes = np.unique(np.array(langs[s:e], dtype=object), return_inverse=True)
-                lang = codes[who]
+            names, codes = np.unique(np.array(langs, dtype=object), return_inverse=True)
+            for pieces, owner in _blocks(texts):
+                h, who = _grams(pieces, sizes)
+                lang = codes[owner[who]]
                 for k, name in enumerate(names):
                     g, n = np.unique(h[lang == k], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -177,21 +189,23 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
 
 
 def predict(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text of one block."""
+    """Language and score of each text."""
     n_docs, n_langs = len(texts), len(model.langs)
     langs, scores = [UND] * n_docs, np.zeros(n_docs)
     if not n_langs:
         return langs, scores
     slot_bits = int(model.slots.shape[1]).bit_length() - 1
-    h, who = _grams([t or "" for t in texts], model.sizes)
-    total = np.bincount(who, minlength=n_docs)
-    hits = np.zeros((n_langs, n_docs))
-    for w in range(model.slots.shape[0]):
-        mask = model.slots[w][_places(h, 0, slot_bits)]
-        for i in range(1, model.hashes):
-            mask &= model.slots[w][_places(h, i, slot_bits)]
-        for k in range(w * _MASK_BITS, min(n_langs, (w + 1) * _MASK_BITS)):
-            hits[k] = np.bincount(who, weights=(mask >> (k - w * _MASK_BITS)) & 1, minlength=n_docs)
+    hits, total = np.zeros((n_langs, n_docs)), np.zeros(n_docs)
+    for pieces, owner in _blocks(texts):
+        h, who = _grams(pieces, model.sizes)
+        who = owner[who]
+        total += np.bincount(who, minlength=n_docs)
+        for w in range(model.slots.shape[0]):
+            mask = model.slots[w][_places(h, 0, slot_bits)]
+            for i in range(1, model.hashes):
+                mask &= model.slots[w][_places(h, i, slot_bits)]
+            for k in range(w * _MASK_BITS, min(n_langs, (w + 1) * _MASK_BITS)):
+                hits[k] += np.bincount(who[((mask >> (k - w * _MASK_BITS)) & 1).astype(bool)], minlength=n_docs)
     fp = np.minimum(model.fill**model.hashes, 0.999)[:, None]
     true = np.clip((hits - fp * total) / (1 - fp), 0, None)
     best, sums = true.argmax(axis=0), true.sum(axis=0)
@@ -217,14 +231,10 @@ def classify(docs: DataFrame, model: LangFilter, text_col: str = "text", lang_ou
     def run(batches):
         model = shared.value
         for b in batches:
-            texts = b.column(at).cast(pa.string()).to_pylist()
-            langs, scores = [], []
-            for s, e in _blocks([t or "" for t in texts]):
-                x, y = predict(model, texts[s:e])
-                langs += x
-                scores.append(y)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                names=[*b.schema.names, lang_out, score_out])
+            for s in range(0, b.num_rows, 1000):
+                part = b.slice(s, 1000)
+                langs, scores = predict(model, part.column(at).cast(pa.string()).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                                 names=[*b.schema.names, lang_out, score_out])
 
     return docs.mapInArrow(run, schema)
