@@ -7,7 +7,7 @@ DataFrame with the raw value and a reason, and the good rows go on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,15 @@ _CORRUPT = "_corrupt_record"
 
 
 def parse_json_column(df: DataFrame, schema: T.StructType, casts: dict[str, str] | None = None,
-                      value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+                      value_col: str = "value", keep: list[str] | None = None, required: list[str] | None = None,
+                      checks: dict[str, Column] | None = None) -> DataFrame:
     """Parse ``value_col`` with an all-STRING ``schema`` and ``try_cast`` typed fields.
 
     Adds ``_parse_ok`` (JSON object parsed and every declared cast succeeded
     where text was present) and ``_reject_reason``. ``keep`` lists input
-    columns carried through (e.g. a Kafka offset or a batch id).
+    columns carried through (e.g. a Kafka offset or a batch id). ``required``
+    fields must not be NULL (reason ``missing_<field>``); ``checks`` maps further reasons to conditions on
+    the typed fields that must hold (NULL counts as not holding).
 
     The parsed row leaves through ``inline(array(struct(..)))`` (a Generate):
     Catalyst cannot push a filter on generated columns below it, so a later
@@ -46,7 +49,13 @@ def parse_json_column(df: DataFrame, schema: T.StructType, casts: dict[str, str]
     not_json = F.col("_r").isNull() | F.col(f"_r.{_CORRUPT}").isNotNull()
     reason = F.when(not_json, F.lit("malformed_json")).when(bad_cast, F.lit("bad_number"))
     row = F.struct(*[F.col(k) for k in keep], F.col("_raw"), *cols, reason.alias("_reject_reason"))
-    return out.select(F.inline(F.array(row))).withColumn("_parse_ok", F.col("_reject_reason").isNull())
+    out = out.select(F.inline(F.array(row)))
+    more = F.col("_reject_reason")
+    for name in required or []:
+        more = F.coalesce(more, F.when(F.col(name).isNull(), F.lit(f"missing_{name}")))
+    for name, holds in (checks or {}).items():
+        more = F.coalesce(more, F.when(~F.coalesce(holds, F.lit(False)), F.lit(name)))
+    return out.withColumn("_reject_reason", more).withColumn("_parse_ok", F.col("_reject_reason").isNull())
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

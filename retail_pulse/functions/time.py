@@ -17,9 +17,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Epoch milliseconds of 1970-01-01 and of 10000-01-01: four-digit years.
+MIN_MS, MAX_MS = 0, 253402300800000
+
+
+def ms_in_range(ts_ms) -> Column:
+    """Whether epoch milliseconds fall in the years 1970 to 9999."""
+    return (_c(ts_ms) >= F.lit(MIN_MS)) & (_c(ts_ms) < F.lit(MAX_MS))
+
+
 def ms_to_timestamp(ts_ms) -> Column:
-    """Epoch milliseconds (BIGINT) -> TIMESTAMP."""
-    return F.timestamp_millis(_c(ts_ms))
+    """Epoch milliseconds (BIGINT) -> TIMESTAMP; NULL outside the years 1970 to 9999."""
+    return F.when(ms_in_range(ts_ms), F.timestamp_millis(F.when(ms_in_range(ts_ms), _c(ts_ms))))
+
+
+def create_time_ok(create_time) -> Column:
+    """Whether text has the shape ``yyyy-MM-dd HH:...`` that date and hour are cut from."""
+    return _c(create_time).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:")
 
 
 def to_millis(ts) -> Column:
@@ -73,6 +87,11 @@ def on_days(ts_col: str, date: str, days: int = 1, ntz: bool = True) -> Column:
     return (F.col(ts_col) >= lo_l) & (F.col(ts_col) < hi_l)
 
 
+def current_day() -> str:
+    """Today in UTC as ``yyyy-MM-dd`` (the default day of the dashboard)."""
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+
+
 def previous_day(date: str) -> str:
     return (_dt.datetime.strptime(date, "%Y-%m-%d") - _dt.timedelta(days=1)).strftime("%Y-%m-%d")
 

@@ -111,7 +111,35 @@ def alert_documents(alerts: DataFrame, expand: bool = False) -> DataFrame:
     )
 
 
+def alerting_windows(per_type: DataFrame, min_users: int = MIN_COUPON_USERS, coupon: str = COUPON_EVENT,
+                     click: str = CLICK_EVENT) -> DataFrame:
+    """The rule before any list: (window, mid) with enough distinct coupon users and no click.
+
+    ``per_type`` has one row per (window, mid, evid, uid, item) with the number of events ``n``.
+    Users are counted by two aggregates, so no set of users is ever built for a device that does not alert.
+    """
+    users = per_type.where((F.col("evid") == F.lit(coupon)) & F.col("uid").isNotNull()).select("window", "mid", "uid").distinct() \
+        .groupBy("window", "mid").agg(F.count(F.lit(1)).alias("n_users")).where(F.col("n_users") >= F.lit(min_users))
+    clicked = per_type.where(F.col("evid") == F.lit(click)).select("window", "mid").distinct()
+    same = lambda a, b: a["window"].eqNullSafe(b["window"]) & a["mid"].eqNullSafe(b["mid"])
+    return users.join(clicked, same(users, clicked), "left_anti").select("window", "mid")
+
+
 def coupon_alerts(events: DataFrame, duration: str = "5 minutes", slide: str | None = None,
-                  min_users: int = MIN_COUPON_USERS, **cols) -> DataFrame:
-    """Profiles + rule in one call (batch form)."""
-    return alert_rule(coupon_profiles(events, duration, slide, **cols), min_users)
+                  min_users: int = MIN_COUPON_USERS, mid: str = "mid", uid: str = "uid", evid: str = "evid",
+                  item: str = "itemid", ts: str = "ts", coupon: str = COUPON_EVENT, click: str = CLICK_EVENT) -> DataFrame:
+    """Alerting profiles (batch form): the rule first, then the lists of the device-windows that alert.
+
+    Same rows as ``alert_rule(coupon_profiles(...))``. Users and items are kept only for coupon events, so the
+    pre-aggregate has one row per event type and coupon user and item, whatever the number of events.
+    """
+    is_coupon = F.col(evid) == F.lit(coupon)
+    rows = with_window(events, ts, duration, slide).select(
+        "window", F.col(mid).alias("mid"), F.col(evid).alias("evid"), F.when(is_coupon, F.col(uid)).alias("uid"),
+        F.when(is_coupon, F.col(item)).alias("item"))
+    per_type = rows.groupBy("window", "mid", "evid", "uid", "item").agg(F.count(F.lit(1)).alias("n"))
+    hits = alerting_windows(per_type, min_users, coupon, click).select(F.col("window").alias("_w"), F.col("mid").alias("_m"))
+    kept = per_type.join(hits, F.col("window").eqNullSafe(F.col("_w")) & F.col("mid").eqNullSafe(F.col("_m")), "left_semi")
+    by_type = kept.groupBy("window", "mid", "evid").agg(
+        F.sum("n").alias("n"), F.collect_set("uid").alias("_uids"), F.collect_set("item").alias("_items"))
+    return alert_rule(fold_profiles(by_type, coupon, click), min_users)

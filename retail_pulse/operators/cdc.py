@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retail_pulse.schemas import CDC_DATABASE
+
 # Entry and event type names of the change feed.
 ROWDATA = "ROWDATA"
 INSERT = "INSERT"
@@ -26,8 +28,14 @@ def rows_of(changes: DataFrame, table: str = "order_info", event_type: str = INS
 
 
 def rows_to_messages(rows: DataFrame) -> DataFrame:
-    """``cols`` array of (name, value) -> flat JSON object string in ``value``."""
-    return rows.select(F.to_json(F.map_from_entries(F.col("cols"))).alias("value"))
+    """``cols`` array of (name, value) -> flat JSON object string in ``value``.
+
+    Of a column that comes twice the last value stays; columns without a name are left out.
+    """
+    def is_last(c, i):
+        later = F.slice(F.col("cols"), i + F.lit(2), F.greatest(F.size("cols"), F.lit(1)))
+        return c["name"].isNotNull() & ~F.exists(later, lambda x: x["name"].eqNullSafe(c["name"]))
+    return rows.select(F.to_json(F.map_from_entries(F.filter(F.col("cols"), is_last))).alias("value"))
 
 
 def change_feed_messages(changes: DataFrame, table: str = "order_info", event_type: str = INSERT) -> DataFrame:
@@ -36,7 +44,7 @@ def change_feed_messages(changes: DataFrame, table: str = "order_info", event_ty
 
 
 def as_change_entries(df: DataFrame, table: str, event_type, entry_type: str = ROWDATA,
-                      columns: list[str] | None = None, execute_time=None) -> DataFrame:
+                      columns: list[str] | None = None, execute_time=None, database: str = CDC_DATABASE) -> DataFrame:
     """Wrap each row of ``df`` as a one-row change entry (values rendered as text).
 
     ``event_type`` is a literal or a Column (e.g. derived from a status);
@@ -46,5 +54,5 @@ def as_change_entries(df: DataFrame, table: str, event_type, entry_type: str = R
     cols = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
     et = event_type if not isinstance(event_type, str) else F.lit(event_type)
     xt = (execute_time if execute_time is not None else F.lit(None)).cast("timestamp")
-    return df.select(xt.alias("execute_time"), F.lit(table).alias("table"), F.lit(entry_type).alias("entry_type"),
+    return df.select(xt.alias("execute_time"), F.lit(database).alias("database"), F.lit(table).alias("table"), F.lit(entry_type).alias("entry_type"),
                      et.alias("event_type"), F.array(cols).alias("rows"))

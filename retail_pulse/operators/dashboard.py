@@ -57,17 +57,19 @@ def metric_cards(dau_total: DataFrame, new_mid: DataFrame, gmv_total: DataFrame,
                  keep_order: bool = False) -> DataFrame:
     """Three rows (id, name, value as double) from three one-row aggregates.
 
-    ``keep_order`` keeps a ``_pos`` column (card position) for the JSON shape.
+    ``keep_order`` keeps ``_pos`` (card position) and ``_card`` (its JSON object) for the JSON shape.
     """
     parts = []
     for pos, ((mid, name), df) in enumerate(zip(METRIC_CARDS, [dau_total, new_mid, gmv_total])):
         col = df.columns[0]
+        # the JSON form keeps each value's own type: counts are whole numbers there
+        card = F.to_json(F.struct(F.lit(mid).alias("id"), F.lit(name).alias("name"), F.col(col).alias("value")))
         parts.append(df.select(F.lit(mid).alias("id"), F.lit(name).alias("name"),
-                               F.col(col).cast("double").alias("value"), F.lit(pos).alias("_pos")))
+                               F.col(col).cast("double").alias("value"), F.lit(pos).alias("_pos"), card.alias("_card")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.drop("_pos") if not keep_order else out
+    return out.drop("_pos", "_card") if not keep_order else out
 
 
 def check_metric(metric_id: str) -> str:
@@ -77,25 +79,30 @@ def check_metric(metric_id: str) -> str:
     return metric_id
 
 
-def hour_maps_json(per_hour: DataFrame, today_col: str = "today", yesterday_col: str = "yesterday") -> DataFrame:
+def hour_maps_json(per_hour: DataFrame, today_col: str = "today", yesterday_col: str = "yesterday",
+                   zero_is_missing: bool = True) -> DataFrame:
     """(hour, today, yesterday) rows -> one JSON string ``{"today":{HH:v},"yesterday":{HH:v}}``.
 
     Maps are sparse (hours without rows are absent, zero-fill is the
-    client's job) and keys are sorted; NULL values are left out.
+    client's job) and keys are sorted; NULL values are left out. A count of 0 only says
+    that the other day has the hour; for sums pass ``zero_is_missing=False``: NULL
+    says that, and a sum of 0.0 is a value.
     """
     def hour_map(col):
-        entries = F.collect_list(F.when(F.col(col).isNotNull() & (F.col(col) != 0),
-                                        F.struct(F.col("hour").alias("k"), F.col(col).alias("v"))))
+        there = F.col(col).isNotNull()
+        if zero_is_missing:
+            there = there & (F.col(col) != 0)
+        entries = F.collect_list(F.when(there, F.struct(F.col("hour").alias("k"), F.col(col).alias("v"))))
         return F.map_from_entries(F.array_sort(entries))
     return per_hour.agg(F.to_json(F.struct(hour_map(today_col).alias("today"),
                                            hour_map(yesterday_col).alias("yesterday"))).alias("json"))
 
 
 def metric_cards_json(cards: DataFrame) -> DataFrame:
-    """Card rows (with ``_pos``) -> one JSON list ``[{"id","name","value"}]`` in card order.
+    """Card rows (with ``_pos``, ``_card``) -> one JSON list ``[{"id","name","value"}]`` in card order.
 
     The list has exactly one element per card (three rows), so gathering it
     into one value is bounded; a NULL value is left out of its object.
     """
-    entries = F.array_sort(F.collect_list(F.struct("_pos", F.struct("id", "name", "value").alias("card"))))
-    return cards.agg(F.to_json(F.transform(entries, lambda e: e["card"])).alias("json"))
+    entries = F.array_sort(F.collect_list(F.struct("_pos", "_card")))
+    return cards.agg(F.concat(F.lit("["), F.array_join(F.transform(entries, lambda e: e["_card"]), ","), F.lit("]")).alias("json"))

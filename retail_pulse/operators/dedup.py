@@ -43,16 +43,29 @@ def drop_seen(batch: DataFrame, seen: DataFrame, keys: list[str] | None = None)
     return batch.join(seen.select(*keys), on=keys, how="left_anti")
 
 
-def first_seen_dates(logs: DataFrame, mid: str = "mid", date_col: str = "log_date") -> DataFrame:
-    """(mid, first_date): the first day each device appears (partial-aggregated min)."""
+def first_seen_dates(logs: DataFrame, mid: str = "mid", date_col: str = "log_date", ts: str | None = None) -> DataFrame:
+    """(mid, first_date): the first day each device appears (partial-aggregated min).
+
+    With ``ts`` the minimum is taken of the timestamp and formatted afterwards: a fixed-width minimum is a hash
+    aggregate, a minimum of text sorts the whole input.
+    """
+    if ts is not None:
+        return logs.groupBy(mid).agg(F.min(ts).alias("_t")).select(mid, F.date_format("_t", "yyyy-MM-dd").alias("first_date"))
     return logs.groupBy(mid).agg(F.min(date_col).alias("first_date"))
 
 
-def new_devices_count(logs: DataFrame, date: str, mid: str = "mid", date_col: str = "log_date") -> DataFrame:
+def extend_first_seen(known: DataFrame, batch: DataFrame, mid: str = "mid", date_col: str = "log_date") -> DataFrame:
+    """The (mid, first_date) table with a batch of device-days added; a card then reads this table and not the history."""
+    days = batch.select(F.col(mid), F.col(date_col).cast("date").alias("_d"))
+    both = known.select(F.col(mid), F.col("first_date").cast("date").alias("_d")).unionByName(days)
+    return both.groupBy(mid).agg(F.min("_d").alias("_d")).select(mid, F.date_format("_d", "yyyy-MM-dd").alias("first_date"))
+
+
+def new_devices_count(logs: DataFrame, date: str, mid: str = "mid", date_col: str = "log_date", ts: str | None = None) -> DataFrame:
     """One row ``new_mid``: devices whose first active day is ``date``.
 
     Callers should pre-filter ``logs`` to records before ``date + 1 day``:
     later records cannot change the answer and the filter reaches the scan.
     """
-    return first_seen_dates(logs, mid, date_col) \
+    return first_seen_dates(logs, mid, date_col, ts) \
         .agg(F.count_if(F.col("first_date") == F.lit(date)).cast("bigint").alias("new_mid"))

@@ -8,8 +8,8 @@ Scale notes:
 * Regional sums pre-aggregate orders per customer *before* the customer
   join, so the join shuffles one row per customer instead of every order;
   the nation dimension is a fixed 25-row table and is broadcast.
-* Share percentages divide by a scalar-subquery total (no ``over ()``
-  window that would gather rows into one task).
+* Share percentages divide by the sum of the group counts (a few rows), so the input is read once.
+* The detail page writes its filtered rows once and reads total, statistics and page from them.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_pulse.functions.text import analyze, tokens
+from retail_pulse.sources.sinks import materialize
 
 # Age bands and their labels on the sales-detail page.
 AGE_BANDS = [(None, 20, "20岁以下"), (20, 30, "20-30岁"), (30, None, "30岁以上")]
@@ -45,9 +46,12 @@ def detail_page(detail: DataFrame, cond, order_cols: list[str], page: int = 1, s
     """Rows ``(page-1)*size .. page*size`` of ``detail`` under ``cond`` in a total order.
 
     With ``with_total`` each row carries ``total``, the number of matching
-    rows, computed as a scalar subquery over the same filtered input.
+    rows: the filtered rows are written once, total and page read them. Deep pages gather
+    ``page * size`` rows; to walk through many pages use :func:`detail_page_after`.
     """
     matched = detail.where(cond)
+    if with_total:
+        matched = materialize(matched, "detail-page")
     out = matched.orderBy(*order_cols)
     start = max(page - 1, 0) * size
     if start:
@@ -59,6 +63,23 @@ def detail_page(detail: DataFrame, cond, order_cols: list[str], page: int = 1, s
     return out
 
 
+def detail_page_after(detail: DataFrame, cond, order_cols: list[str], after: tuple | None = None, size: int = 20) -> DataFrame:
+    """The ``size`` rows that follow the row whose ``order_cols`` have the values ``after`` (None: the first ones).
+
+    A keyset page costs the same however deep it is; ``order_cols`` must be unique and not NULL.
+    """
+    matched = detail.where(cond)
+    if after is not None:
+        if len(after) != len(order_cols):
+            raise ValueError("after needs one value for each order column")
+        later, same = F.lit(False), F.lit(True)
+        for c, v in zip(order_cols, after):
+            later = later | (same & (F.col(c) > F.lit(v)))
+            same = same & (F.col(c) == F.lit(v))
+        matched = matched.where(later)
+    return matched.orderBy(*order_cols).limit(size)
+
+
 def bucket_by(col: str, bands: list[tuple]):
     """CASE over ``[(lo, hi, label)]`` half-open bands; NULL -> NULL."""
     expr = None
@@ -73,11 +94,16 @@ def bucket_by(col: str, bands: list[tuple]):
 
 
 def shares(df: DataFrame, group_expr, name: str = "name", digits: int = 4) -> DataFrame:
-    """(name, value, percent): group counts and their share of all rows in percent."""
+    """(name, value, percent): group counts and their share of all rows in percent.
+
+    The total is the sum of the group counts, spread over them again with one list of groups
+    (statistics have a few groups by their nature).
+    """
     counts = df.groupBy(group_expr.alias(name)).agg(F.count(F.lit(1)).cast("bigint").alias("value"))
-    total = df.select(F.count(F.lit(1)).cast("double")).scalar()
-    pct = F.round(F.lit(100.0) * F.col("value").cast("double") / total, digits)
-    return counts.withColumn("percent", pct)
+    gathered = counts.agg(F.sum("value").cast("double").alias("_total"), F.collect_list(F.struct(name, "value")).alias("_g"))
+    one = gathered.select("_total", F.inline("_g"))
+    pct = F.round(F.lit(100.0) * F.col("value").cast("double") / F.col("_total"), digits)
+    return one.select(name, "value", pct.alias("percent"))
 
 
 def region_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame,
@@ -93,8 +119,7 @@ def region_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame,
         .agg(F.sum("_amt").alias("_amt"), F.sum("_n").cast("bigint").alias("n_orders"))
     amount = F.round(F.col("_amt"), digits)
     band = F.least(F.floor(F.col("_amt") / F.lit(float(width))), F.lit(bands - 1)).cast("bigint")
-    # nation is a fixed-size dimension (25 rows): safe to broadcast.
-    return per_nation.join(F.broadcast(nation.select("n_nationkey", "n_name")), "n_nationkey") \
+    return per_nation.join(nation.select("n_nationkey", "n_name"), "n_nationkey") \
         .select("n_nationkey", "n_name", amount.alias("order_amount"), "n_orders", band.alias("band"))
 
 
@@ -105,13 +130,18 @@ def detail_report(detail: DataFrame, users: DataFrame, date_col: str = "dt", dat
     """Sales-detail page: ``total``, ``stat`` (one share table per group) and ``detail`` rows.
 
     ``date`` defaults to the page's fixed default; an empty keyword means no
-    keyword filter. All parts read the same filtered rows; ``users`` (the
-    user dimension) is joined only for the statistics.
+    keyword filter. The filtered rows with their user columns are written once; all parts read
+    that table (a row whose user is unknown keeps NULL user columns and counts in the total).
     """
     cond = (F.col(date_col) == F.lit(date or DEFAULT_DETAIL_DATE)) & keyword_match(keyword_col, keyword)
-    matched = detail.where(cond)
-    rows = detail_page(detail, cond, order_cols or [c for c in detail.columns], page, size, with_total=False)
-    total = matched.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
-    enriched = matched.join(users, user_key)
-    stats = {name: shares(enriched, expr) for name, expr in (stat_groups or {}).items()}
+    return report_parts(detail.where(cond), users, page, size, order_cols or [c for c in detail.columns], user_key, stat_groups)
+
+
+def report_parts(matched: DataFrame, users: DataFrame, page: int, size: int, order_cols: list[str], user_key: str,
+                 stat_groups: dict | None = None) -> dict[str, DataFrame]:
+    """The parts of :func:`detail_report` for rows that are filtered already."""
+    both = materialize(matched.join(users, user_key, "left"), "detail-report")
+    rows = detail_page(both, F.lit(True), order_cols, page, size, with_total=False)
+    total = both.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
+    stats = {name: shares(both, expr) for name, expr in (stat_groups or {}).items()}
     return {"total": total, "stat": stats, "detail": rows}

@@ -119,7 +119,7 @@ def scored_matches(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int |
 
 
 def hits_page(docs: DataFrame, q: BoolQuery, id_col: str, fields: list[str],
-              offset: int = 0, size: int = 10) -> DataFrame:
+              offset: int = 0, size: int = 10, digits: int = 6) -> DataFrame:
     """Page of hits ordered by score desc then id: (id, score, source fields).
 
     Non-matches carry a NULL score and sort last, so the page is a plain
@@ -127,12 +127,13 @@ def hits_page(docs: DataFrame, q: BoolQuery, id_col: str, fields: list[str],
     that fill a short last page are dropped after the limit.
     """
     keep = [id_col] + [f for f in fields if f != id_col]
-    s = scored(docs, q, keep)
+    # ordered by the exact score and rounded on output, so near ties keep their order
+    s = scored(docs, q, keep, digits=None)
     page = s.orderBy(F.col("score").desc_nulls_last(), F.col(id_col).asc())
     if offset:
         page = page.offset(offset)
     return page.limit(size).where(F.col("score").isNotNull()) \
-        .select(id_col, "score", *[f for f in fields if f != id_col])
+        .select(id_col, F.round("score", digits).alias("score"), *[f for f in fields if f != id_col])
 
 
 def total_hits(docs: DataFrame, q: BoolQuery) -> DataFrame:

@@ -36,10 +36,10 @@ def _new_devices(d: str) -> str:
   SELECT user_id, min({_D}) AS f FROM events WHERE ts < TIMESTAMP '{_next(d)} 00:00:00' GROUP BY user_id)"""
 
 
-def _alert_base() -> str:
-    return """WITH e AS (
+def _alert_base(windowed: str = "SELECT *, date_trunc('day', ts) AS ws FROM events") -> str:
+    return f"""WITH e AS (
   SELECT json_extract_string(props, '$.k') AS mid, CAST(user_id AS VARCHAR) AS uid, event_type AS evid,
-         CAST(NULL AS VARCHAR) AS itemid, date_trunc('day', ts) AS ws FROM events),
+         CAST(NULL AS VARCHAR) AS itemid, ws FROM ({windowed})),
 t AS (SELECT ws, mid, evid, count(*) AS n FROM e GROUP BY ws, mid, evid),
 h AS (SELECT ws, mid, string_agg(evid || ':' || CAST(n AS VARCHAR), ',' ORDER BY evid) AS hist,
              sum(n)::BIGINT AS n_events, bool_or(evid = 'click') AS clicked FROM t GROUP BY ws, mid),
@@ -120,8 +120,8 @@ UNION ALL SELECT 'new_mid', '新增设备', (SELECT new_mid FROM ({_new_devices(
 UNION ALL SELECT 'order_amount', '新增交易额',
   (SELECT round(sum(value)::DOUBLE, 2) FROM events WHERE {_day('ts', Q.NEW_DEVICE_DATE)} AND event_type = 'purchase')::DOUBLE""",
         "metric_cards_json": f"""WITH v AS (
-  SELECT (SELECT count(*) FROM ({_dedup(_day('ts', Q.NEW_DEVICE_DATE))}))::DOUBLE AS dau,
-         (SELECT new_mid FROM ({_new_devices(Q.NEW_DEVICE_DATE)}))::DOUBLE AS new_mid,
+  SELECT (SELECT count(*) FROM ({_dedup(_day('ts', Q.NEW_DEVICE_DATE))})) AS dau,
+         (SELECT new_mid FROM ({_new_devices(Q.NEW_DEVICE_DATE)})) AS new_mid,
          (SELECT round(sum(value)::DOUBLE, 2) FROM events
           WHERE {_day('ts', Q.NEW_DEVICE_DATE)} AND event_type = 'purchase')::DOUBLE AS gmv)
 SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
@@ -142,8 +142,20 @@ SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
   FROM events) WHERE ts_ms = first_ms""",
         "alert_stream": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
   len(uids)::BIGINT AS n_uids, array_to_string(items, ',') AS item_ids, hist AS events,
-  epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a
-WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+  epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
+        "alert_live": _alert_base() + """SELECT mid || CAST((epoch_us(ws + INTERVAL 1 DAY) // 1000) // 60000 AS VARCHAR) AS id, mid,
+  len(uids)::BIGINT AS n_uids, n_events, epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
+        "dau_table_total": f"SELECT count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))})",
+        "dau_table_hour": f"SELECT log_hour AS hour, count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))}) GROUP BY log_hour",
+        "dau_batch_counts": f"SELECT (SELECT count(*) FROM events)::BIGINT AS raw, (SELECT count(*) FROM ({_dedup()}))::BIGINT AS new",
+        "startup_quarantine": """SELECT CASE event_id % 10 WHEN 1 THEN 'bad_number' WHEN 2 THEN 'bad_time' WHEN 3 THEN 'missing_ts'
+  WHEN 4 THEN 'missing_mid' ELSE 'malformed_json' END AS reason, count(*)::BIGINT AS n
+FROM events WHERE event_id % 10 BETWEEN 1 AND 5 GROUP BY 1""",
+        "order_table_keyed": """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total_amount,
+  strftime(o_orderdate, '%Y-%m-%d') AS create_date FROM orders""",
+        "gmv_table_total": f"SELECT round(sum(o_totalprice)::DOUBLE, 2) AS order_amount FROM orders WHERE {_day('o_orderdate', Q.GMV_DATE)}",
+        "gmv_table_hour": f"""SELECT strftime(o_orderdate, '%H') AS hour, round(sum(o_totalprice)::DOUBLE, 2) AS order_amount
+FROM orders WHERE {_day('o_orderdate', Q.GMV_DATE)} GROUP BY 1""",
         "gmv_stream": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
   o_totalprice AS total_amount,
   CASE WHEN length(t) >= 11 THEN substr(t, 1, 3) || '****' || substr(t, 8, 4) ELSE '****' END AS consignee_tel,
@@ -188,9 +200,25 @@ SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' |
     round(sum(value) FILTER (WHERE {_D} = '{Q.DAU_PREV}')::DOUBLE, 2) AS yesterday
   FROM events WHERE {_day('ts', Q.DAU_PREV, 2)} AND event_type = 'purchase' GROUP BY 1)
 SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || CAST(today AS VARCHAR), ',' ORDER BY hour) || '}}'
-                                 FROM p WHERE today IS NOT NULL AND today <> 0), '{{}}')
+                                 FROM p WHERE today IS NOT NULL), '{{}}')
     || ',"yesterday":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || CAST(yesterday AS VARCHAR), ',' ORDER BY hour) || '}}'
-                                 FROM p WHERE yesterday IS NOT NULL AND yesterday <> 0), '{{}}') || '}}' AS json""",
+                                 FROM p WHERE yesterday IS NOT NULL), '{{}}') || '}}' AS json""",
+        "detail_report": f"""WITH d AS ({_sales_detail()}),
+j AS (SELECT d.*, c.c_name, c.c_mktsegment FROM d LEFT JOIN customer c ON d.user_id = c.c_custkey),
+g AS (SELECT c_mktsegment AS name, count(*)::BIGINT AS value FROM j GROUP BY 1),
+pg AS (SELECT * FROM j ORDER BY order_id, line_no LIMIT {Q.SALES_PAGE_SIZE} OFFSET {(Q.SALES_PAGE - 1) * Q.SALES_PAGE_SIZE})
+SELECT (SELECT count(*) FROM j)::BIGINT AS total,
+  coalesce((SELECT CAST(to_json(list({{'name': name, 'value': value}} ORDER BY name)) AS VARCHAR) FROM g), '[]') AS stat,
+  coalesce((SELECT CAST(to_json(list({{'order_id': order_id, 'line_no': line_no, 'user_id': user_id, 'user_name': c_name,
+                                       'user_level': c_mktsegment, 'sku_id': sku_id, 'sku_name': sku_name}} ORDER BY order_id, line_no)) AS VARCHAR)
+            FROM pg), '[]') AS detail""",
+        "coupon_alert_sliding": _alert_base("""SELECT unnest([s, s - INTERVAL 12 HOUR]) AS ws, * FROM (
+    SELECT *, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '2000-01-01') AS s FROM events)""") + """SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, mid,
+  len(uids)::BIGINT AS n_uids, array_to_string(uids, ',') AS uids, n_events, hist AS events FROM a""",
+        "json_doc_index": """SELECT CAST(p_partkey AS VARCHAR) AS id,
+  CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS p_name, p_brand FROM part""",
+        "first_seen": f"SELECT user_id AS mid, min({_D}) AS first_date FROM events GROUP BY user_id",
+        "view_if_absent": "SELECT o_orderstatus, count(*)::BIGINT AS n FROM orders GROUP BY o_orderstatus",
         "province_sales": f"""WITH c AS (SELECT c_nationkey AS n_nationkey, sum(o_totalprice) AS amt, count(*)::BIGINT AS n_orders
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey)
 SELECT c.n_nationkey, n.n_name, round(amt, 2) AS order_amount, n_orders,

@@ -10,7 +10,6 @@ timestamp so they reach the Parquet scan.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from retail_pulse.functions.jsonparse import parse_records, to_json_messages
 from retail_pulse.functions.mask import mask_phone
-from retail_pulse.functions.time import create_date, create_hour, on_days
+from retail_pulse.functions.time import create_date, create_hour, on_days, previous_day
 from retail_pulse.operators import alert as A
 from retail_pulse.operators import cdc, dashboard, dedup, metrics, sales, search
 from retail_pulse.schemas import ORDER_INFO, ORDER_TYPES
@@ -28,11 +27,12 @@ from retail_pulse.sources import tables as tb
 
 # Query parameters (shared with the oracle SQL).
 DAU_DATE = "2024-01-15"
-DAU_PREV = "2024-01-14"
+DAU_PREV = previous_day(DAU_DATE)
 NEW_DEVICE_DATE = "2024-01-02"
 GMV_DATE = "1998-10-03"
 BATCH_CUTOFF = "2024-01-15 12:00:00"
 ALERT_WINDOW = "1 day"
+ALERT_SLIDE = "12 hours"
 SEARCH_TEXT = "the and"
 SEARCH_LANG = "en"
 SALES_MONTH_START = "1998-10-01"
@@ -70,7 +70,7 @@ def dau_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 def new_devices(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf).where(F.col("ts") < F.lit(f"{_next_day(NEW_DEVICE_DATE)} 00:00:00").cast("timestamp_ntz"))
-    return dedup.new_devices_count(tb.startup_logs(ev), NEW_DEVICE_DATE)
+    return dedup.new_devices_count(tb.startup_logs(ev), NEW_DEVICE_DATE, ts="ts")
 
 
 def seen_anti(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,8 +118,9 @@ def cdc_orders(spark: SparkSession, sf: str) -> DataFrame:
     oi = tb.order_info(tb.balanced(tb.table(spark, sf, "orders")))
     et = F.when(F.col("order_status") == F.lit("F"), F.lit(cdc.INSERT)).otherwise(F.lit(cdc.UPDATE))
     feed = cdc.as_change_entries(oi, "order_info", et).unionByName(
-        cdc.as_change_entries(tb.table(spark, sf, "customer").select("c_custkey", "c_name"), "user_info", cdc.INSERT))
-    msgs = cdc.change_feed_messages(feed, "order_info", cdc.INSERT)
+        cdc.as_change_entries(tb.table(spark, sf, "customer").select("c_custkey", "c_name"), "user_info", cdc.INSERT)) \
+        .unionByName(cdc.as_change_entries(oi, "order_info", cdc.INSERT, database="archive"))
+    msgs = cdc.change_feed_messages(readers.subscribed(feed), "order_info", cdc.INSERT)
     good, _bad = parse_records(msgs, ORDER_INFO, ORDER_TYPES)
     return good.select("id", "user_id", "total_amount", mask_phone("consignee_tel").alias("consignee_tel"),
                        create_date("create_time").alias("create_date"),
@@ -142,7 +143,7 @@ def hour_compare_gmv(spark: SparkSession, sf: str) -> DataFrame:
 def _cards(spark, sf, keep_order=False):
     dau = metrics.count_total(_dau_day(spark, sf, NEW_DEVICE_DATE), "dau")
     ev = _events(spark, sf).where(F.col("ts") < F.lit(f"{_next_day(NEW_DEVICE_DATE)} 00:00:00").cast("timestamp_ntz"))
-    new = dedup.new_devices_count(tb.startup_logs(ev), NEW_DEVICE_DATE)
+    new = dedup.new_devices_count(tb.startup_logs(ev), NEW_DEVICE_DATE, ts="ts")
     gmv = metrics.sum_total(_purchases(spark, sf, NEW_DEVICE_DATE), "value", "order_amount")
     return dashboard.metric_cards(dau, new, gmv, keep_order)
 
@@ -231,7 +232,7 @@ def sql_view(spark: SparkSession, sf: str) -> DataFrame:
 def doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed document index: index every document (batch 0), re-index the labelled ones with
     their labels (batch 1, same ids replace), then scan the latest version per id."""
-    path = os.path.join(shared_dir(spark, "doc-index"), "documents")
+    path = f"{shared_dir(spark, 'doc-index')}/documents"
     docs = tb.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang", "source",
                                                    "n_chars")
     first = docs.select("*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
@@ -243,7 +244,7 @@ def doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Events as JSON messages to the offline message sink, read back with an inferred schema."""
-    path = os.path.join(shared_dir(spark, "json-messages"), "events")
+    path = f"{shared_dir(spark, 'json-messages')}/events"
     sinks.write_messages(to_json_messages(_events(spark, sf)), path)
     back = readers.json_lines(spark, path)
     return back.select("event_id", "user_id", "event_type", "value", "props")
@@ -263,7 +264,7 @@ def gmv_hours_json(spark: SparkSession, sf: str) -> DataFrame:
     p = _purchases(spark, sf, DAU_PREV, days=2)
     per_hour = dashboard.hour_compare(spark, p, DAU_DATE, DAU_PREV, "log_date", "log_hour", amount_col="value",
                                       fill_zero=False)
-    return dashboard.hour_maps_json(per_hour)
+    return dashboard.hour_maps_json(per_hour, zero_is_missing=False)
 
 
 def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,6 +275,55 @@ def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
     return sales.shares(detail.where(cond).join(cust, "user_id"), F.col("c_mktsegment"))
 
 
+def detail_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales-detail page as one row: total, share of each customer segment, and the page's rows with user columns."""
+    detail = tb.sale_detail(tb.table(spark, sf, "lineitem"), tb.table(spark, sf, "orders"), tb.table(spark, sf, "part"))
+    cond = on_days("order_ts", SALES_MONTH_START, SALES_MONTH_DAYS) & sales.keyword_match("sku_name", SALES_KEYWORD)
+    users = tb.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"),
+                                                   F.col("c_mktsegment").alias("user_level"))
+    parts = sales.report_parts(detail.where(cond), users, SALES_PAGE, SALES_PAGE_SIZE, ["order_id", "line_no"], "user_id",
+                               {"segment": F.col("user_level")})
+    # the page has a fixed size and the statistics a few groups: each becomes one JSON list
+    page = parts["detail"].agg(F.array_sort(F.collect_list(F.struct("order_id", "line_no", "user_id", "user_name", "user_level", "sku_id", "sku_name"))).alias("d"))
+    stat = parts["stat"]["segment"].agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("s"))
+    return parts["total"].select("total", stat.select(F.to_json("s")).scalar().alias("stat"), page.select(F.to_json("d")).scalar().alias("detail"))
+
+
+def coupon_alert_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Coupon alerts of one-day windows that start every 12 hours."""
+    a = A.coupon_alerts(tb.event_logs(_events(spark, sf)), ALERT_WINDOW, ALERT_SLIDE, coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK)
+    return a.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "mid",
+                    F.size("uids").cast("bigint").alias("n_uids"), F.array_join("uids", ",").alias("uids"),
+                    "n_events", A.hist_text(F.col("events_hist")).alias("events"))
+
+
+def json_doc_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw JSON documents indexed by the id inside them, some again in a second batch, and scanned."""
+    path = f"{shared_dir(spark, 'json-index')}/parts"
+    raw = to_json_messages(tb.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand"))
+    sinks.index_json(raw, path, 0)
+    again = tb.table(spark, sf, "part").where(F.col("p_partkey") % 2 == 0)
+    sinks.index_json(to_json_messages(again.select(F.col("p_partkey").cast("string").alias("id"), F.upper("p_name").alias("p_name"), "p_brand")), path, 1)
+    doc = F.from_json("doc", "p_name string, p_brand string")
+    return readers.document_index(spark, path).select("id", doc["p_name"].alias("p_name"), doc["p_brand"].alias("p_brand"))
+
+
+def first_seen(spark: SparkSession, sf: str) -> DataFrame:
+    """The (mid, first_date) table: the days before the cutoff, then extended by the rest."""
+    logs = tb.startup_logs(_events(spark, sf))
+    cut = F.lit(BATCH_CUTOFF).cast("timestamp_ntz")
+    known = dedup.first_seen_dates(logs.where(F.col("ts") < cut), ts="ts")
+    return dedup.extend_first_seen(known, logs.where(F.col("ts") >= cut))
+
+
+def view_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """A view that is created only if absent: a second registration of the name leaves it as it is."""
+    spark.catalog.dropTempView("rp_orders_once")
+    view = readers.register_view(tb.table(spark, sf, "orders"), "rp_orders_once", replace=False)
+    readers.register_view(tb.table(spark, sf, "orders").limit(0), view, replace=False)
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {view} GROUP BY o_orderstatus")
+
+
 def _next_day(date: str) -> str:
     from retail_pulse.functions.time import day_bounds
     return day_bounds(date)[1].strftime("%Y-%m-%d")
@@ -309,4 +359,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": json_roundtrip,
     "dau_hours_json": dau_hours_json,
     "gmv_hours_json": gmv_hours_json,
+    "detail_report": detail_report,
+    "coupon_alert_sliding": coupon_alert_sliding,
+    "json_doc_index": json_doc_index,
+    "first_seen": first_seen,
+    "view_if_absent": view_if_absent,
 }

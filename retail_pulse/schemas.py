@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Field names of the messages, in the order of the detail tables' columns.
 STARTUP_FIELDS = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "ts"]
 EVENT_FIELDS = ["mid", "uid", "appid", "area", "os", "type", "evid", "pgid", "npgid", "itemid", "ts"]
 ORDER_FIELDS = [
@@ -46,6 +47,7 @@ CHANGE_COLUMN = T.StructType([
 ])
 CHANGE_EVENT = T.StructType([
     T.StructField("execute_time", T.TimestampType()),
+    T.StructField("database", T.StringType()),
     T.StructField("table", T.StringType()),
     T.StructField("entry_type", T.StringType()),
     T.StructField("event_type", T.StringType()),
@@ -62,6 +64,7 @@ TOPIC_ORDER = "GMALL_ORDER"
 TOPIC_EVENT = "GMALL_EVENT"
 TOPIC_ORDER_DETAIL = "TOPIC_ORDER_DETAIL"
 TOPIC_USER_INFO = "TOPIC_USER_INFO"
+CDC_DATABASE = "gmall"
 ES_ALERT_INDEX = "gmall_coupon_alert"
 ES_SALE_DETAIL_INDEX = "gmall2021_sale_detail"
 ES_SALE_DETAIL_QUERY = "gmall2021_sale_detail-query"
@@ -75,4 +78,6 @@ SOURCES = {
     # reserved, no consumer yet
     "order_detail": (TOPIC_ORDER_DETAIL, None, {}),
     "user": (TOPIC_USER_INFO, None, {}),
+    # the change feed has no fixed topic: the application names it
+    "cdc": (None, CHANGE_EVENT, {}),
 }

@@ -7,7 +7,6 @@ pick our own folder when the session has none (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,9 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached in local tests: the cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="retail-pulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
@@ -73,9 +72,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         "spark.checkpoint.dir", None)
     if not root:
         root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "retail_pulse", f"{purpose}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    # named only: whoever writes there makes it, through Spark's own file systems (the scheme stays)
+    return f"{root.rstrip('/')}/retail_pulse/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -23,23 +23,29 @@ CDC_TABLE_PATTERN = "gmall.*"
 
 
 def kafka_options(brokers: str, topic: str, group: str = CONSUMER_GROUP,
-                  starting_offsets: str = STARTING_OFFSETS, max_offsets_per_trigger: int | None = None) -> dict:
-    """Options for ``format("kafka")``: one topic, string values, offsets kept in the checkpoint."""
+                  starting_offsets: str = STARTING_OFFSETS, max_offsets_per_trigger: int | None = None,
+                  fail_on_data_loss: bool = True) -> dict:
+    """Options for ``format("kafka")``: one topic, string values, offsets kept in the checkpoint.
+
+    Offsets that have expired stop the query; ``fail_on_data_loss=False`` goes on without them
+    (Spark logs a warning for each lost range).
+    """
     opts = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "kafka.group.id": group,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true" if fail_on_data_loss else "false",
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
 
 
-def kafka_stream(spark: SparkSession, brokers: str, source: str, **kw) -> DataFrame:
-    """Streaming DataFrame ``(value STRING, topic, partition, offset, timestamp)`` of one source."""
-    topic = SOURCES[source][0]
+def kafka_stream(spark: SparkSession, brokers: str, source: str, topic: str | None = None, **kw) -> DataFrame:
+    """Streaming DataFrame ``(value STRING, topic, partition, offset, timestamp)`` of one source;
+    ``topic`` overrides the registered one."""
+    topic = topic or SOURCES[source][0]
     return spark.readStream.format("kafka").options(**kafka_options(brokers, topic, **kw)).load() \
         .select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset", "timestamp")
 
@@ -52,21 +58,22 @@ def kafka_batch(spark: SparkSession, brokers: str, topic: str, starting: str = "
     return spark.read.format("kafka").options(**opts).load().select(F.col("value").cast("string").alias("value"))
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = None, password: str | None = None,
-               partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-               num_partitions: int | None = None, driver: str | None = None) -> DataFrame:
-    """JDBC table read; with a partition column the scan is split into parallel ranges."""
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if user is not None:
-        r = r.option("user", user)
-    if password is not None:
-        r = r.option("password", password)
-    if driver:
-        r = r.option("driver", driver)
+def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
+                 partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                 num_partitions: int | None = None, driver: str | None = None) -> dict:
+    """Options for ``format("jdbc")``; a partition column needs its bounds."""
+    opts = {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver}
     if partition_column:
-        r = r.option("partitionColumn", partition_column).option("lowerBound", str(lower)) \
-            .option("upperBound", str(upper)).option("numPartitions", str(num_partitions or 8))
-    return r.load()
+        if lower is None or upper is None:
+            raise ValueError("a partition column needs lower and upper bounds")
+        opts |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper),
+                 "numPartitions": str(num_partitions or 8)}
+    return {k: v for k, v in opts.items() if v is not None}
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
+    """JDBC table read; with a partition column the scan is split into parallel ranges."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, **kw)).load()
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -101,15 +108,24 @@ def change_feed_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
-def subscribed(changes: DataFrame, pattern: str = CDC_TABLE_PATTERN, schema_col: str | None = None) -> DataFrame:
-    """Keep entries of subscribed tables (``db.table`` or bare table name matched by regex)."""
-    name = F.concat_ws(".", F.col(schema_col), F.col("table")) if schema_col else F.col("table")
-    return changes.where(name.rlike(pattern))
+def change_feed_messages(messages: DataFrame) -> DataFrame:
+    """Change entries sent as JSON (``value``) -> ``CHANGE_EVENT`` columns; text that is no entry is left out."""
+    entry = F.from_json(F.col("value"), CHANGE_EVENT)
+    return messages.select(F.inline(F.array(entry))).where(F.col("table").isNotNull())
+
+
+def subscribed(changes: DataFrame, pattern: str = CDC_TABLE_PATTERN, schema_col: str = "database") -> DataFrame:
+    """Keep entries of subscribed tables (``database.table`` matched by regex from its start)."""
+    return changes.where(F.concat_ws(".", F.col(schema_col), F.col("table")).rlike(f"^(?:{pattern})"))
 
 
-def detail_table(spark: SparkSession, path: str, date_col: str, dates: list[str] | None = None) -> DataFrame:
-    """Serving scan of a date-partitioned detail table; ``dates`` prune partitions."""
-    df = spark.read.parquet(path)
+def detail_table(spark: SparkSession, path: str, date_col: str, dates: list[str] | None = None,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Serving scan of a date-partitioned detail table; ``dates`` prune partitions.
+
+    Pass the table's ``schema``: without one Spark guesses the type of the date folders (DATE, not STRING).
+    """
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if dates:
         df = df.where(F.col(date_col).isin(dates))
     return df

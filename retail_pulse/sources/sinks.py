@@ -14,7 +14,7 @@ same read written back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_pulse.operators.dedup import first_per_key
@@ -57,27 +57,46 @@ def upper_case_columns(df: DataFrame, columns: list[str], targets: list[str]) ->
     return df.select(*[F.col(c).alias(t) for c, t in zip(columns, targets)])
 
 
-def auto_id(doc_cols: list[str]) -> Column:
-    """Deterministic id for documents sent without one (stable under replay)."""
-    return F.concat(F.lit("auto-"), F.sha2(F.to_json(F.struct(*[F.col(c) for c in doc_cols])), 256))
+# Batch id of compacted rows: below every live batch, so a replayed batch never overwrites them.
+COMPACTED_BATCH = -1
+
+
+def with_auto_ids(docs: DataFrame, batch_id: int, id_col: str = "id") -> DataFrame:
+    """Give each document without an id one of its own: batch id, content hash and its number among
+    equal documents of the batch. A replay of the batch gives the same ids; equal documents stay
+    apart. Equal documents are counted first, so many of them cost one row in the shuffle."""
+    fields = [c for c in docs.columns if c != id_col]
+    doc = F.struct(*[F.col(c) for c in fields])
+    given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias(id_col), *fields)
+    nameless = docs.where(F.col(id_col).isNull()).groupBy(F.sha2(F.to_json(doc), 256).alias("_content")) \
+        .agg(F.first(doc).alias("_doc"), F.count(F.lit(1)).alias("_n")) \
+        .select("_content", "_doc", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k"))
+    named = F.concat(F.lit(f"auto-{int(batch_id)}-"), F.col("_content"), F.lit("-"), F.col("_k").cast("string"))
+    return given.unionByName(nameless.select(named.alias(id_col), *[F.col(f"_doc.{c}").alias(c) for c in fields]))
 
 
 def upsert_documents(docs: DataFrame, path: str, batch_id: int, id_col: str = "id",
                      order_col: str | None = None, partition_cols: list[str] | None = None) -> None:
     """Bulk upsert of ``(id, fields...)`` rows as one version batch.
 
-    NULL ids get a deterministic content id; ``order_col`` orders versions
+    NULL ids get one of their own (:func:`with_auto_ids`); ``order_col`` orders versions
     of the same id inside the batch (later wins), otherwise row content does.
     An empty input writes an empty partition (a no-op for readers).
     ``partition_cols`` (derived from the id, e.g. a date) let readers prune.
     """
     fields = [c for c in docs.columns if c != id_col]
     seq = F.col(order_col) if order_col else F.xxhash64(*[F.col(c) for c in fields])
-    out = docs.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"), auto_id(fields))) \
-        .withColumn("_seq", seq.cast("bigint"))
+    out = with_auto_ids(docs, batch_id, id_col).withColumn("_seq", seq.cast("bigint"))
     write_batch_partition(out, path, batch_id, partition_cols)
 
 
+def index_json(messages: DataFrame, path: str, batch_id: int, id_field: str = "id", value_col: str = "value") -> None:
+    """Index raw JSON documents as they are (column ``doc``), keyed by the text of ``id_field`` in
+    them; a document without it gets an id of its own."""
+    docs = messages.select(F.get_json_object(value_col, f"$.{id_field}").alias("id"), F.col(value_col).alias("doc"))
+    upsert_documents(docs, path, batch_id)
+
+
 def latest_documents(versions: DataFrame, id_col: str = "id") -> DataFrame:
     """Latest version per id (largest ``(_batch_id, _seq)``), bookkeeping columns dropped."""
     latest = first_per_key(versions, [id_col], [F.col("_batch_id").desc(), F.col("_seq").desc()])
@@ -88,14 +107,12 @@ def compact_documents(spark, path: str, out_path: str, id_col: str = "id") -> No
     """Rewrite a keyed-upsert table as a single version (the latest per id) at ``out_path``.
 
     Readers switch to the compacted folder; the source stays untouched, so a
-    failed compaction never loses versions. Later upserts append to the new
-    folder with batch ids above the compacted one.
+    failed compaction never loses versions. The compacted rows are stored under
+    ``COMPACTED_BATCH``: any live batch, replayed ones too, is above it.
     """
-    versions = spark.read.parquet(path)
-    top = versions.agg(F.max("_batch_id")).first()[0]
-    latest = latest_documents(versions, id_col)
+    latest = latest_documents(spark.read.parquet(path), id_col)
     latest.withColumn("_seq", F.lit(0).cast("bigint")) \
-        .withColumn("_batch_id", F.lit(int(top if top is not None else 0)).cast("bigint")) \
+        .withColumn("_batch_id", F.lit(COMPACTED_BATCH).cast("bigint")) \
         .write.mode("overwrite").partitionBy("_batch_id").parquet(out_path)
 
 
@@ -105,14 +122,14 @@ def compact_batches(spark, path: str, out_path: str, partition_cols: list[str] |
 
     Months of micro-batches leave one small folder per batch and partition;
     the compacted copy holds the same rows, ``REBALANCE``d per partition into
-    few files, under the highest batch id seen (so readers that exclude
-    ``_batch_id >= n`` for later batches keep working). The source stays
-    untouched; pass ``schema`` when partition values are date strings.
+    few files, under ``COMPACTED_BATCH``: readers that exclude ``_batch_id >= n`` still see
+    them, and a batch replayed after a restart rewrites its own folder only. (The DAU writer drops
+    device-days it has stored already, so replaying a compacted batch adds nothing.) The source
+    stays untouched; pass ``schema`` when partition values are date strings.
     """
     r = spark.read.schema(schema) if schema is not None else spark.read
     rows = r.parquet(path)
-    top = rows.agg(F.max("_batch_id")).first()[0]
-    write_batch_partition(rows.drop("_batch_id"), out_path, int(top if top is not None else 0), partition_cols)
+    write_batch_partition(rows.drop("_batch_id"), out_path, COMPACTED_BATCH, partition_cols)
 
 
 def index_name(prefix: str, suffix: str) -> str:

@@ -40,15 +40,10 @@ def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan over the cluster's cores before CPU-heavy per-row work.
 
     A file written as a single row group is read by one task however many
-    cores there are; when the scan has fewer partitions than the default
-    parallelism, a round-robin repartition to that parallelism spreads the
-    rows. On a large input (thousands of splits) this is a no-op, so no
-    shuffle is added where the scan is already parallel.
+    cores there are. The hint only marks the plan (nothing runs and nothing is probed while
+    the query is built); rows are dealt round robin and AQE sizes the partitions.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.hint("repartition", df.sparkSession.sparkContext.defaultParallelism)
 
 
 def startup_logs(events: DataFrame) -> DataFrame:

@@ -24,16 +24,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_pulse.functions.jsonparse import parse_json_column, split_quarantine
-from retail_pulse.functions.time import log_date, log_hour, ms_to_timestamp
+from retail_pulse.functions.time import log_date, log_hour, ms_in_range, ms_to_timestamp
 from retail_pulse.operators import alert as A
 from retail_pulse.operators import cdc
-from retail_pulse.schemas import (ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, EVENT_LOG, EVENT_TYPES, ORDER_INFO,
-                                  ORDER_TYPES, TOPIC_ORDER)
+from retail_pulse.schemas import ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, EVENT_LOG, EVENT_TYPES, TOPIC_ORDER
 from retail_pulse.sources import readers
-from retail_pulse.sources.sinks import index_name, kafka_sink_options
+from retail_pulse.sources.sinks import index_name, kafka_sink_options, write_batch_partition
 from retail_pulse.streaming import alert as SA
-from retail_pulse.streaming.dau import start_dau_stream, startup_from_messages
-from retail_pulse.streaming.gmv import order_batch_writer
+from retail_pulse.streaming.dau import start_dau_stream, startup_parsed
+from retail_pulse.streaming.gmv import order_batch_writer, parsed_orders
 from retail_pulse.streaming.runner import BatchCounts, trigger_kwargs
 
 APPS = ("dau", "orders", "alert", "cdc")
@@ -54,33 +53,50 @@ def message_source(spark: SparkSession, source: str, location: str, stream: str,
 
 def events_from_messages(messages: DataFrame) -> DataFrame:
     """Event-log JSON messages -> (mid, uid, evid, itemid, ts TIMESTAMP, log_date, log_hour)."""
-    good, _bad = split_quarantine(parse_json_column(messages, EVENT_LOG, EVENT_TYPES))
+    good, _bad = split_quarantine(event_parsed(messages))
     t = ms_to_timestamp("ts")
     return good.select("mid", "uid", "evid", "itemid", t.alias("ts"),
                        log_date(t).alias("log_date"), log_hour(t).alias("log_hour"))
 
 
+def event_parsed(messages: DataFrame) -> DataFrame:
+    """Event-log JSON messages parsed; rejects are malformed JSON, a bad number, no ``ts`` or one out of range."""
+    return parse_json_column(messages, EVENT_LOG, EVENT_TYPES, required=["ts"], checks={"bad_time": ms_in_range("ts")})
+
+
+def start_event_quarantine(messages: DataFrame, path: str, checkpoint: str, trigger: dict):
+    """A query of its own for the event messages that the alert job cannot use: the window job itself is
+    one stateful plan without a batch hook before its windows."""
+    bad = split_quarantine(event_parsed(messages))[1]
+    return bad.writeStream.queryName("event_quarantine") \
+        .foreachBatch(lambda batch, n: write_batch_partition(batch, path, n)) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def orders_from_messages(messages: DataFrame) -> DataFrame:
     """Order JSON messages -> parsed rows with ``_parse_ok`` (split per batch by the writer)."""
-    return parse_json_column(messages, ORDER_INFO, ORDER_TYPES)
+    return parsed_orders(messages)
 
 
 def start_app(spark: SparkSession, app: str, source: str, location: str, work: str, trigger: dict,
               sink: str = "files", out: str | None = None, counts: BatchCounts | None = None,
-              live: bool = False, max_per_trigger: int | None = None, arrival_time: bool = False):
+              live: bool = False, max_per_trigger: int | None = None, arrival_time: bool = False,
+              topic: str | None = None, feed_format: str = "parquet", tables: str = readers.CDC_TABLE_PATTERN):
     """Start one application; returns the running ``StreamingQuery``.
 
     ``sink``/``out`` apply to ``cdc``: order messages to a Kafka topic (``out`` = brokers) or
     to text files (``out`` = folder, default under ``work``). ``live`` runs the alert app in
-    update mode (alerts while the window is open, retracted by tombstones).
+    update mode (alerts while the window is open, retracted by tombstones). ``topic``,
+    ``feed_format`` (parquet or json) and ``tables`` (a regex on ``database.table``) apply to ``cdc``.
     """
     ckpt = os.path.join(work, "checkpoints", app)
     if app == "dau":
-        logs = startup_from_messages(message_source(spark, source, location, "startup", max_per_trigger))
+        logs = startup_parsed(message_source(spark, source, location, "startup", max_per_trigger))
         # per-batch counts (raw, after in-batch dedup, new) ride on the batch's own write job
         return start_dau_stream(spark, logs, os.path.join(work, "dau_detail"), ckpt, trigger,
                                 order_cols=["ts", "uid", "appid", "area", "os", "ch", "type", "vs"],
-                                counts=counts or BatchCounts(printer=print), query_name="dau")
+                                counts=counts or BatchCounts(printer=print), query_name="dau",
+                                quarantine_path=os.path.join(work, "startup_quarantine"))
     if app == "orders":
         parsed = orders_from_messages(message_source(spark, source, location, "order", max_per_trigger))
         writer = order_batch_writer(os.path.join(work, "order_info"), os.path.join(work, "order_quarantine"))
@@ -89,14 +105,20 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
     if app == "alert":
         events = events_from_messages(message_source(spark, source, location, "event", max_per_trigger))
         docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
+        start_event_quarantine(message_source(spark, source, location, "event", max_per_trigger),
+                               os.path.join(work, "event_quarantine"), ckpt + "_quarantine", trigger)
         if live:
             return SA.start_live_alert_stream(spark, events, os.path.join(docs, "live"), ckpt + "_live", trigger,
                                               coupon=A.COUPON_EVENT, click=A.CLICK_EVENT, arrival_time=arrival_time)
         return SA.start_alert_stream(spark, events, docs, ckpt, trigger, coupon=A.COUPON_EVENT, click=A.CLICK_EVENT,
                                      arrival_time=arrival_time)
     if app == "cdc":
-        changes = readers.change_feed_stream(spark, location, max_files_per_trigger=max_per_trigger)
-        messages = cdc.change_feed_messages(changes, "order_info", cdc.INSERT)
+        if source == "kafka":
+            changes = readers.change_feed_messages(
+                readers.kafka_stream(spark, location, "cdc", topic=topic, max_offsets_per_trigger=max_per_trigger))
+        else:
+            changes = readers.change_feed_stream(spark, location, feed_format, max_files_per_trigger=max_per_trigger)
+        messages = cdc.change_feed_messages(readers.subscribed(changes, tables), "order_info", cdc.INSERT)
         if sink == "kafka":
             return messages.writeStream.format("kafka").options(**kafka_sink_options(out, TOPIC_ORDER)) \
                 .option("checkpointLocation", ckpt).trigger(**trigger).start()
@@ -119,15 +141,25 @@ def main(argv=None) -> None:
     p.add_argument("--arrival-time", action="store_true", help="alert: window by arrival (processing) time")
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="cap per micro-batch: Kafka offsets, or files for file sources")
+    p.add_argument("--topic", default=None, help="cdc: topic of the change entries (JSON)")
+    p.add_argument("--feed-format", choices=("parquet", "json"), default="parquet", help="cdc: format of change-feed files")
+    p.add_argument("--tables", default=readers.CDC_TABLE_PATTERN, help="cdc: regex of database.table")
     a = p.parse_args(argv)
+    if a.app == "cdc" and a.source == "kafka" and not a.topic:
+        p.error("cdc --source kafka needs --topic <change feed topic>")
     if a.app == "cdc" and a.sink == "kafka" and not a.out:
         p.error("cdc --sink kafka needs --out <brokers>")
     from retail_pulse.session import build_session
     spark = build_session(app_name=f"retail_pulse_{a.app}")
     clock = {"dau": "dau", "orders": "gmv", "alert": "alert", "cdc": "gmv"}[a.app]
     q = start_app(spark, a.app, a.source, a.location, a.work, trigger_kwargs(clock, a.available_now), a.sink, a.out,
-                  live=a.live, max_per_trigger=a.max_per_trigger, arrival_time=a.arrival_time)
-    q.awaitTermination()
+                  live=a.live, max_per_trigger=a.max_per_trigger, arrival_time=a.arrival_time, topic=a.topic,
+                  feed_format=a.feed_format, tables=a.tables)
+    if a.available_now:
+        for s in [q, *spark.streams.active]:
+            s.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

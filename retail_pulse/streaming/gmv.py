@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from retail_pulse.functions.jsonparse import parse_json_column, split_quarantine
 from retail_pulse.functions.mask import mask_phone
-from retail_pulse.functions.time import create_date, create_hour
+from retail_pulse.functions.time import create_date, create_hour, create_time_ok
 from retail_pulse.operators import cdc
+from retail_pulse.operators.dedup import first_per_key
 from retail_pulse.schemas import ORDER_FIELDS, ORDER_INFO, ORDER_TABLE_COLUMNS, ORDER_TYPES
 from retail_pulse.sources.sinks import upper_case_columns, write_batch_partition
 
@@ -37,7 +38,13 @@ def finish_orders(good: DataFrame) -> DataFrame:
 
 def parsed_changes(changes: DataFrame) -> DataFrame:
     """Change entries -> every order message parsed, with ``_parse_ok`` / ``_reject_reason``."""
-    return parse_json_column(cdc.change_feed_messages(changes, "order_info", cdc.INSERT), ORDER_INFO, ORDER_TYPES)
+    return parsed_orders(cdc.change_feed_messages(changes, "order_info", cdc.INSERT))
+
+
+def parsed_orders(messages: DataFrame) -> DataFrame:
+    """Order messages parsed; rejects are malformed JSON, a bad number, no id, a create_time of another shape."""
+    return parse_json_column(messages, ORDER_INFO, ORDER_TYPES, required=["id"],
+                             checks={"bad_time": create_time_ok("create_time")})
 
 
 def order_batch_writer(table_path: str, quarantine_path: str | None = None):
@@ -45,25 +52,33 @@ def order_batch_writer(table_path: str, quarantine_path: str | None = None):
     quarantine table; both idempotent under the batch id."""
     def process(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by both writes
-        good, bad = split_quarantine(parsed)
-        out = upper_case_columns(finish_orders(good), ORDER_FIELDS + ["create_date", "create_hour"],
-                                 ORDER_TABLE_COLUMNS).withColumn("CREATE_MONTH", F.substring("CREATE_DATE", 1, 7))
-        write_batch_partition(out, table_path, batch_id, ["CREATE_MONTH"], sort_cols=["CREATE_DATE"])
-        # checked on the cached batch: no quarantine write job when there are no rejects
-        if quarantine_path and not bad.isEmpty():
-            write_batch_partition(bad, quarantine_path, batch_id)
-        parsed.unpersist()
+        try:
+            good, bad = split_quarantine(parsed)
+            out = upper_case_columns(finish_orders(good), ORDER_FIELDS + ["create_date", "create_hour"],
+                                     ORDER_TABLE_COLUMNS).withColumn("CREATE_MONTH", F.substring("CREATE_DATE", 1, 7))
+            write_batch_partition(out, table_path, batch_id, ["CREATE_MONTH"], sort_cols=["CREATE_DATE"])
+            # checked on the cached batch: no quarantine write job when there are no rejects
+            if quarantine_path and not bad.isEmpty():
+                write_batch_partition(bad, quarantine_path, batch_id)
+        finally:
+            parsed.unpersist()
     return process
 
 
-def order_table(spark: SparkSession, table_path: str, dates: list[str] | None = None) -> DataFrame:
-    """Serving scan of the order table; ``dates`` prune month folders and row groups."""
+def order_table(spark: SparkSession, table_path: str, dates: list[str] | None = None, keyed: bool = True) -> DataFrame:
+    """Serving scan of the order table; ``dates`` prune month folders and row groups.
+
+    The table is keyed by ``ID``: an order delivered again replaces the earlier delivery (the later
+    batch wins, inside a batch the later ``OPERATE_TIME``, then row content). ``keyed=False`` reads every delivery.
+    """
     schema = T.StructType([T.StructField(c, T.DoubleType() if c == "TOTAL_AMOUNT" else T.StringType())
                            for c in ORDER_TABLE_COLUMNS]
                           + [T.StructField("CREATE_MONTH", T.StringType()), T.StructField("_batch_id", T.LongType())])
     t = spark.read.schema(schema).parquet(table_path)
     if dates:
         t = t.where(F.col("CREATE_MONTH").isin(sorted({d[:7] for d in dates})) & F.col("CREATE_DATE").isin(dates))
+    if keyed:
+        t = first_per_key(t, ["ID"], [F.col("_batch_id").desc(), F.col("OPERATE_TIME").desc(), F.xxhash64(*ORDER_TABLE_COLUMNS)])
     return t
 
 

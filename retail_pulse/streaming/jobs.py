@@ -14,10 +14,15 @@ the checkpoint.
   anti join, idempotent write).
 * ``startup_stream``: the same through JSON text messages and the string
   schema parse.
-* ``alert_stream``: the watermarked window job; only windows closed by the
-  watermark are emitted (append mode).
+* ``alert_stream``: the watermarked window job in append mode; a last row far in the future
+  closes every window, so the result is the whole batch answer.
+* ``alert_live``: the same windows in update mode (alerts while a window is open).
 * ``gmv_stream``: a change feed built from orders and customers, in commit
-  order -> order table (+ quarantine).
+  order -> order table (+ quarantine); entries of other databases are not subscribed.
+* ``order_table_keyed``: every order message delivered twice.
+* ``startup_quarantine``: messages broken in each way that the job rejects, counted by reason.
+* ``dau_table_*``, ``gmv_table_*``: the dashboard's numbers read from the tables that the jobs wrote.
+* ``dau_batch_counts``: the per-batch counts that ride on the write job.
 * ``sale_detail_stream``: order and line change streams -> interval join ->
   SKU enrichment.
 """
@@ -31,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_pulse.operators import alert as A
-from retail_pulse.operators import cdc
+from retail_pulse.operators import cdc, metrics
+from retail_pulse.plans import queries as Q
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
 from retail_pulse.sources import tables as tb
@@ -41,10 +47,10 @@ from retail_pulse.sources.sinks import index_name, materialize
 from retail_pulse.streaming import alert as SA
 from retail_pulse.functions.jsonparse import to_json_messages
 from retail_pulse.functions.time import to_millis
-from retail_pulse.streaming.dau import start_dau_stream, startup_from_messages
-from retail_pulse.streaming.gmv import order_table, start_gmv_stream
+from retail_pulse.streaming.dau import dau_table_view, start_dau_stream, startup_from_messages, startup_parsed
+from retail_pulse.streaming.gmv import order_batch_writer, order_table, parsed_orders, start_gmv_stream
 from retail_pulse.streaming.sales import start_sale_detail_stream
-from retail_pulse.streaming.runner import replay_chunks, stream_conf
+from retail_pulse.streaming.runner import BatchCounts, replay_chunks, stream_conf
 
 REPLAY_SLICES = 4
 ALERT_WINDOW = "1 day"
@@ -68,21 +74,63 @@ def _await(q, job: str):
             BATCH_MS.setdefault(job, []).append(int(p.durationMs.get("triggerExecution", 0)))
 
 
-def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
-    BATCH_MS["dau_stream"] = []
-    work = shared_dir(spark, "dau-stream")
+def _replay_dau(spark: SparkSession, sf: str, job: str, counts: BatchCounts | None = None) -> tuple[str, T.StructType]:
+    """Replay the startup logs through the DAU job; path and schema of the table it wrote."""
+    BATCH_MS[job] = []
+    work = shared_dir(spark, job.replace("_", "-"))
     src, detail, ckpt = (os.path.join(work, p) for p in ("source", "detail", "checkpoint"))
     logs = tb.startup_logs(tb.table(spark, sf, "events")) \
         .select("mid", "uid", "event_id", "ts", "ts_ms", "log_date", "log_hour")
     for _ in replay_chunks(spark, logs, "ts", REPLAY_SLICES, src):
         stream = spark.readStream.schema(logs.schema).parquet(src)
-        _await(start_dau_stream(spark, stream, detail, ckpt, AVAILABLE_NOW, order_cols=["ts", "event_id"]),
-               "dau_stream")
-    out_schema = T.StructType(logs.schema.fields + [T.StructField("_batch_id", T.LongType())])
-    return spark.read.schema(out_schema).parquet(detail) \
+        _await(start_dau_stream(spark, stream, detail, ckpt, AVAILABLE_NOW, order_cols=["ts", "event_id"], counts=counts), job)
+    return detail, T.StructType(logs.schema.fields + [T.StructField("_batch_id", T.LongType())])
+
+
+def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
+    detail, schema = _replay_dau(spark, sf, "dau_stream")
+    return readers.detail_table(spark, detail, "log_date", schema=schema) \
         .select("mid", "log_date", "log_hour", "event_id", "ts_ms")
 
 
+def _dau_table_day(spark: SparkSession, sf: str, job: str) -> DataFrame:
+    detail, schema = _replay_dau(spark, sf, job)
+    return dau_table_view(readers.detail_table(spark, detail, "log_date", [Q.DAU_DATE], schema))
+
+
+def dau_table_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The day's active devices, read from the table that the DAU job wrote (upper-case columns)."""
+    return metrics.count_total(_dau_table_day(spark, sf, "dau_table_total"), "dau")
+
+
+def dau_table_hour(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.count_by_hour(_dau_table_day(spark, sf, "dau_table_hour"), "LOGHOUR", "dau")
+
+
+def dau_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the DAU batches read, kept after the in-batch dedup, and stored, over all batches."""
+    counts = BatchCounts()
+    _replay_dau(spark, sf, "dau_batch_counts", counts)
+    # a few numbers per batch, kept by the job itself
+    rows = [(b, c["raw"], c["new"]) for b, c in sorted(counts.by_batch.items())]
+    return spark.createDataFrame(rows, "batch bigint, raw bigint, new bigint").agg(F.sum("raw").alias("raw"), F.sum("new").alias("new"))
+
+
+def startup_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Startup messages of which some are broken on purpose: rejected messages per reason."""
+    work = shared_dir(spark, "startup-quarantine")
+    src, detail, bad, ckpt = (os.path.join(work, p) for p in ("messages", "detail", "quarantine", "checkpoint"))
+    ev = tb.table(spark, sf, "events")
+    kind = F.col("event_id") % 10
+    ts = F.when(kind == 1, F.lit("soon")).when(kind == 2, F.lit(str(2**63 - 1))).when(kind == 3, F.lit(None)).otherwise(to_millis("ts").cast("string"))
+    mid = F.when(kind != 4, F.col("user_id").cast("string"))
+    message = F.to_json(F.struct(mid.alias("mid"), F.col("user_id").cast("string").alias("uid"), ts.alias("ts")))
+    ev.select(F.when(kind == 5, F.lit("{not json")).otherwise(message).alias("value")).write.text(src)
+    logs = startup_parsed(readers.message_stream(spark, src, max_files_per_trigger=None))
+    _await(start_dau_stream(spark, logs, detail, ckpt, AVAILABLE_NOW, order_cols=["ts", "uid"], quarantine_path=bad), "startup_quarantine")
+    return spark.read.parquet(bad).groupBy(F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def startup_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Startup logs as JSON messages (epoch-ms ``ts``) in text files -> text stream -> parse with
     the string schema + try_cast -> log_date/log_hour from epoch ms -> DAU foreachBatch."""
@@ -114,16 +162,68 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
     src, ckpt = os.path.join(work, "source"), os.path.join(work, "checkpoint")
     docs = os.path.join(work, index_name(ES_ALERT_INDEX, ALERT_INDEX_SUFFIX))
     ev = tb.event_logs(tb.table(spark, sf, "events")).select("mid", "uid", "evid", "itemid", "ts")
-    for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src):
+    def run():
         stream = spark.readStream.schema(ev.schema).parquet(src)
         _await(SA.start_alert_stream(spark, stream, docs, ckpt, AVAILABLE_NOW, ALERT_WINDOW, None, ALERT_DELAY,
                                      coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_stream")
+    for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src):
+        run()
+    # append mode holds a window until the watermark has passed it: one row far ahead closes them all
+    flush = ev.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).where("ts IS NOT NULL") \
+        .select(F.lit(None).cast("string").alias("mid"), F.lit(None).cast("string").alias("uid"), F.lit("flush").alias("evid"),
+                F.lit(None).cast("string").alias("itemid"), "ts")
+    flush.write.mode("append").parquet(src)
+    run()
     latest = SA.alert_index(spark, docs)
     return latest.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
                          F.array_join("itemIds", ",").alias("item_ids"),
                          A.hist_text(F.col("events")).alias("events"), "ts")
 
 
+def alert_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The update-mode alert job over the same windows: what is live once all events are in."""
+    BATCH_MS["alert_live"] = []
+    work = shared_dir(spark, "alert-live")
+    src, docs, ckpt = (os.path.join(work, p) for p in ("source", "docs", "checkpoint"))
+    ev = tb.event_logs(tb.table(spark, sf, "events")).select("mid", "uid", "evid", "itemid", "ts")
+    for _ in replay_chunks(spark, ev, "ts", 2, src):
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        _await(SA.start_live_alert_stream(spark, stream, docs, ckpt, AVAILABLE_NOW, ALERT_WINDOW, None, ALERT_DELAY,
+                                          coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_live")
+    return SA.live_alert_index(spark, docs).select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"), "n_events", "ts")
+
+
+def _order_messages(spark: SparkSession, sf: str, job: str) -> str:
+    """All orders delivered twice as messages (two slices, each a batch) through the order job; the table it wrote."""
+    BATCH_MS[job] = []
+    work = shared_dir(spark, job.replace("_", "-"))
+    src, table, bad, ckpt = (os.path.join(work, p) for p in ("messages", "orders", "quarantine", "checkpoint"))
+    messages = to_json_messages(tb.order_info(tb.table(spark, sf, "orders")))
+    for _ in range(2):
+        messages.write.mode("append").text(src)
+        parsed = parsed_orders(readers.message_stream(spark, src, max_files_per_trigger=None))
+        _await(parsed.writeStream.foreachBatch(order_batch_writer(table, bad)).option("checkpointLocation", ckpt)
+               .trigger(**AVAILABLE_NOW).start(), job)
+    return table
+
+
+def order_table_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders delivered twice are one order of the table."""
+    t = order_table(spark, _order_messages(spark, sf, "order_table_keyed"))
+    return t.select(F.col("ID").alias("id"), F.col("TOTAL_AMOUNT").alias("total_amount"), F.col("CREATE_DATE").alias("create_date"))
+
+
+def gmv_table_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The day's order value, read from the table that the order job wrote."""
+    t = order_table(spark, _order_messages(spark, sf, "gmv_table_total"), [Q.GMV_DATE])
+    return metrics.sum_total(t, "TOTAL_AMOUNT", "order_amount")
+
+
+def gmv_table_hour(spark: SparkSession, sf: str) -> DataFrame:
+    t = order_table(spark, _order_messages(spark, sf, "gmv_table_hour"), [Q.GMV_DATE])
+    return metrics.sum_by_hour(t, "CREATE_HOUR", "TOTAL_AMOUNT", "order_amount")
+
+
 def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     BATCH_MS["gmv_stream"] = []
     work = shared_dir(spark, "gmv-stream")
@@ -134,9 +234,11 @@ def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
     feed = cdc.as_change_entries(oi, "order_info", et, columns=oi.columns, execute_time=xt).unionByName(
         cdc.as_change_entries(tb.table(spark, sf, "customer").select("c_custkey", "c_name"), "user_info",
                               cdc.INSERT, execute_time=F.lit("1995-01-01 00:00:00")))
+    # the same orders in a database that is not subscribed
+    feed = feed.unionByName(cdc.as_change_entries(oi, "order_info", cdc.INSERT, columns=oi.columns, execute_time=xt, database="archive"))
     # entries arrive in commit order: replay the feed in execute_time slices, one batch each
     for _ in replay_chunks(spark, feed, "execute_time", REPLAY_SLICES, src):
-        changes = readers.change_feed_stream(spark, src, max_files_per_trigger=None)
+        changes = readers.subscribed(readers.change_feed_stream(spark, src, max_files_per_trigger=None))
         _await(start_gmv_stream(spark, changes, table, ckpt, AVAILABLE_NOW, quarantine_path=bad), "gmv_stream")
     t = order_table(spark, table)
     return t.select(F.col("ID").alias("id"), F.col("USER_ID").alias("user_id"),
@@ -184,4 +286,12 @@ STREAM_QUERIES = {name: _with_stream_conf(fn) for name, fn in {
     "alert_stream": alert_stream,
     "gmv_stream": gmv_stream,
     "sale_detail_stream": sale_detail_stream,
+    "dau_table_total": dau_table_total,
+    "dau_table_hour": dau_table_hour,
+    "dau_batch_counts": dau_batch_counts,
+    "startup_quarantine": startup_quarantine,
+    "order_table_keyed": order_table_keyed,
+    "gmv_table_total": gmv_table_total,
+    "gmv_table_hour": gmv_table_hour,
+    "alert_live": alert_live,
 }.items()}

@@ -77,6 +77,7 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: list[str],
     just those folders, so a long-lived table with many batch folders is not
     listed in full for every micro-batch. ``schema`` types the partition columns.
     """
+    values = [v for v in values if v is not None]
     if not values:
         return None
     pattern = f"{path.rstrip('/')}/{col}={{{','.join(sorted(values))}}}"

@@ -23,10 +23,11 @@ def test_cdc_then_orders_app(spark, tmp_dir):
     def row(**kv):
         return [{"name": k, "value": v} for k, v in kv.items()]
     spark.createDataFrame([
-        (None, "order_info", "ROWDATA", "INSERT",
+        (None, "gmall", "order_info", "ROWDATA", "INSERT",
          [row(id="1", total_amount="10.5", create_time="2024-01-01 09:05:06", consignee_tel="13812345678")]),
-        (None, "order_info", "ROWDATA", "UPDATE", [row(id="1", total_amount="99")]),
-        (None, "user_info", "ROWDATA", "INSERT", [row(id="7")]),
+        (None, "gmall", "order_info", "ROWDATA", "UPDATE", [row(id="1", total_amount="99")]),
+        (None, "gmall", "user_info", "ROWDATA", "INSERT", [row(id="7")]),
+        (None, "archive", "order_info", "ROWDATA", "INSERT", [row(id="8", total_amount="1", create_time="2024-01-01 09:05:06")]),
     ], CHANGE_EVENT).write.parquet(feed)
     assert start_app(spark, "cdc", "files", feed, work, AVAILABLE_NOW, out=msgs).awaitTermination(120)
     assert start_app(spark, "orders", "files", msgs, work, AVAILABLE_NOW).awaitTermination(120)

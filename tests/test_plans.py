@@ -56,6 +56,9 @@ def test_tokenizer_runs_after_the_spreading_exchange(spark):
         assert tok < rr[0]
 
 
+Q_SCHEMA = "mid string, log_date string, _batch_id long"
+
+
 def test_alert_profile_is_partially_aggregated(spark):
     p = plan(Q.coupon_alert(spark, SF))
     assert "partial_collect_set" in p and "partial_count" in p
@@ -71,7 +74,12 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
 
 
 def test_sales_filters_reach_their_scans(spark):
-    p = plan(Q.sale_detail_page(spark, SF))
+    from retail_pulse.functions.time import on_days
+    from retail_pulse.operators import sales
+    detail = Q.tb.sale_detail(*(Q.tb.table(spark, SF, t) for t in ("lineitem", "orders", "part")))
+    cond = on_days("order_ts", Q.SALES_MONTH_START, Q.SALES_MONTH_DAYS) & sales.keyword_match("sku_name", Q.SALES_KEYWORD)
+    p = plan(sales.detail_page(detail, cond, ["order_id", "line_no"], with_total=False))
+    assert p.count("l_orderkey") and sum("FileScan parquet" in line and "l_orderkey" in line for line in p.splitlines()) == 1
     orders_scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "o_orderdate" in line)
     assert "GreaterThanOrEqual(o_orderdate" in orders_scan  # month range pushed into the orders scan
     part_scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "p_name" in line)
@@ -79,6 +87,30 @@ def test_sales_filters_reach_their_scans(spark):
     assert "TakeOrderedAndProject" in p  # the page is a top-k, not a full sort
 
 
+def test_totals_do_not_read_the_input_again(spark):
+    def scans(p, col):
+        return sum("FileScan parquet" in line and col in line for line in p.splitlines())
+    assert scans(plan(Q.stat_segment_shares(spark, SF)), "c_mktsegment") == 1
+    assert scans(plan(Q.sale_detail_page(spark, SF)), "l_extendedprice") == 0  # page and total read the written rows
+    assert "SortAggregate" not in plan(Q.new_devices(spark, SF))
+
+
+def test_alert_rule_comes_before_the_lists(spark):
+    p = plan(Q.coupon_alert(spark, SF))
+    first_join = min(i for i, line in enumerate(p.splitlines()) if "LeftSemi" in line)
+    lists = [i for i, line in enumerate(p.splitlines()) if "collect_set" in line]
+    assert lists and max(lists) < first_join or all("collect_set" not in line for line in p.splitlines()[first_join:])
+
+
+def test_served_days_prune_folders(spark, tmp_dir):
+    from retail_pulse.sources.readers import detail_table
+    from retail_pulse.sources.sinks import write_batch_partition
+    df = spark.createDataFrame([("m", f"2024-01-0{d}") for d in range(1, 5)], "mid string, log_date string")
+    write_batch_partition(df, f"{tmp_dir}/d", 0, ["log_date"])
+    t = detail_table(spark, f"{tmp_dir}/d", "log_date", ["2024-01-02"], Q_SCHEMA)
+    assert "log_date" in plan(t).split("PartitionFilters")[1][:120] and dict(t.dtypes)["log_date"] == "string" and t.count() == 1
+
+
 def test_search_page_is_top_k(spark):
     p = plan(Q.search_hits(spark, SF))
     assert "TakeOrderedAndProject" in p

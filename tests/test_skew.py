@@ -60,8 +60,14 @@ def test_alert_profile_with_hot_device(spark):
     assert hot_alerts == 3  # one per day: many coupon users, never a click
 
 
-def test_balanced_is_noop_on_parallel_input(spark):
-    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert balanced(wide) is wide
+def test_balanced_only_marks_the_plan(spark):
+    from retail_pulse.operators import search
     narrow = spark.range(100).coalesce(1)
     assert balanced(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("balanced-probe", "")
+    docs = spark.range(50).selectExpr("cast(id as string) AS doc_id", "'the ' || id AS text", "'en' AS lang").repartition(3, "doc_id")
+    search.total_hits(docs, search.BoolQuery("text", "the", {"lang": "en"}))
+    jobs = tracker.getJobIdsForGroup("balanced-probe")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []  # building the query runs nothing

@@ -107,7 +107,7 @@ def test_order_stream_quarantines_bad_rows(spark, tmp_dir):
 
     def row(**kv):
         return [{"name": k, "value": v} for k, v in kv.items()]
-    entries = [(None, "order_info", "ROWDATA", "INSERT",
+    entries = [(None, "gmall", "order_info", "ROWDATA", "INSERT",
                 [row(id="1", total_amount="10.5", create_time="2024-01-01 09:05:06", consignee_tel="13812345678"),
                  row(id="2", total_amount="abc", create_time="2024-01-01 10:00:00")])]
     spark.createDataFrame(entries, CHANGE_EVENT).write.parquet(src)
