@@ -165,6 +165,8 @@ FROM (SELECT *, '1' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS t FROM order
   l.l_partkey AS sku_id, p.p_name AS sku_name, l.l_quantity AS sku_num, l.l_extendedprice AS sku_price,
   strftime(o.o_orderdate, '%Y-%m-%d') AS dt
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""",
+        "sale_unmatched": """SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'no_order' ELSE 'no_sku' END AS reason, count(*)::BIGINT AS n
+FROM lineitem WHERE l_orderkey % 7 = 0 OR l_partkey % 5 = 0 GROUP BY 1""",
         "search_hits": _search_base() + """, st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS avgdl,
   count(*) FILTER (WHERE tf0 > 0)::DOUBLE AS df0, count(*) FILTER (WHERE tf1 > 0)::DOUBLE AS df1 FROM s)
 SELECT doc_id, round(

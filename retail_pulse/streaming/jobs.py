@@ -268,10 +268,32 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
         ls_ = spark.readStream.schema(lines.schema).parquet(l_src)
         _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW), "sale_detail_stream")
     # the query alias is a view over the index table (view names take no "-")
-    alias = readers.register_view(spark.read.parquet(table).drop("_batch_id"), ES_SALE_DETAIL_QUERY.replace("-", "_"))
+    alias = readers.register_view(spark.read.parquet(table).drop("_batch_id", "dt_month"), ES_SALE_DETAIL_QUERY.replace("-", "_"))
     return spark.table(alias)
 
 
+def sale_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines that no sale row is made of, per reason: every seventh order never comes, every fifth SKU is unknown."""
+    BATCH_MS["sale_unmatched"] = []
+    work = shared_dir(spark, "sale-unmatched")
+    o_src, l_src, table, lost, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "sales", "unmatched", "checkpoint"))
+    all_orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
+    lines = tb.table(spark, sf, "lineitem").join(all_orders.select("o_orderkey", "ts"), F.col("l_orderkey") == F.col("o_orderkey")) \
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "ts")
+    part = tb.table(spark, sf, "part").where(F.col("p_partkey") % 5 != 0)
+    all_orders.where(F.col("o_orderkey") % 7 != 0).write.parquet(o_src)
+    lines.write.parquet(l_src)
+    for step in range(2):
+        if step:  # one order and one line far ahead rule out every open match
+            ahead = all_orders.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).where("ts IS NOT NULL")
+            ahead.select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit(None).cast("long").alias("o_custkey"), "ts").write.mode("append").parquet(o_src)
+            ahead.select(F.lit(-2).cast("long").alias("l_orderkey"), *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in lines.columns[1:-1]],
+                         "ts").write.mode("append").parquet(l_src)
+        streams = [spark.readStream.schema(d.schema).parquet(p) for d, p in ((all_orders, o_src), (lines, l_src))]
+        _await(start_sale_detail_stream(spark, *streams, part, table, ckpt, AVAILABLE_NOW, unmatched_path=lost), "sale_unmatched")
+    return spark.read.parquet(lost).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _with_stream_conf(fn):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         with stream_conf(spark):
@@ -294,4 +316,5 @@ STREAM_QUERIES = {name: _with_stream_conf(fn) for name, fn in {
     "gmv_table_total": gmv_table_total,
     "gmv_table_hour": gmv_table_hour,
     "alert_live": alert_live,
+    "sale_unmatched": sale_unmatched,
 }.items()}

@@ -16,11 +16,17 @@ the micro-batch's joined lines with the SKU table: there AQE plans it
 (broadcast only when the SKU side is measured small, otherwise a
 sort-merge join with hot SKUs split), which a stream-static join inside
 the streaming plan would not get. Each micro-batch appends its rows under
-``_batch_id`` (idempotent on replay).
+``_batch_id`` (idempotent on replay), in folders by month and sorted by day inside, so that a
+day's page reads one folder and few row groups.
+
+With an ``unmatched_path`` the join is a left outer one: a line whose order did not come in time, or
+whose SKU is not in the table, goes to that table with a reason. Rows that arrive behind the
+watermark are dropped by Spark before the join; :func:`late_rows` counts them.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,16 +34,18 @@ from retail_pulse.sources.sinks import write_batch_partition
 
 
 def order_line_stream(orders: DataFrame, lines: DataFrame, max_delay: str = "1 hour",
-                      watermark: str = "10 minutes") -> DataFrame:
+                      watermark: str = "10 minutes", keep_unmatched: bool = False) -> DataFrame:
     """Streaming interval join of (o_orderkey, o_custkey, ts) and
-    (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts)."""
+    (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts).
+
+    ``keep_unmatched`` emits a line without its order once the watermark rules a match out."""
     o = orders.select("o_orderkey", "o_custkey", F.col("ts").cast("timestamp").alias("o_ts")) \
         .withWatermark("o_ts", watermark)
     li = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
                       F.col("ts").cast("timestamp").alias("l_ts")).withWatermark("l_ts", watermark)
     cond = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_ts") >= F.col("o_ts")) & \
         (F.col("l_ts") <= F.col("o_ts") + F.expr(f"INTERVAL {max_delay}"))
-    return li.join(o, cond, "inner")
+    return li.join(o, cond, "leftOuter" if keep_unmatched else "inner")
 
 
 def enrich_with_sku(order_lines: DataFrame, part: DataFrame) -> DataFrame:
@@ -50,9 +58,31 @@ def enrich_with_sku(order_lines: DataFrame, part: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("sku_price"), F.date_format("o_ts", "yyyy-MM-dd").alias("dt"))
 
 
+def unmatched_lines(order_lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Lines that no sale row is made of, with the reason ``no_order`` or ``no_sku``."""
+    columns = [F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"), F.col("l_partkey").alias("sku_id")]
+    lost = order_lines.where(F.col("o_orderkey").isNull()).select(*columns, F.lit("no_order").alias("reason"))
+    known = part.select(F.col("p_partkey").alias("l_partkey"))
+    return lost.unionByName(order_lines.where(F.col("o_orderkey").isNotNull()).join(known, "l_partkey", "left_anti")
+                            .select(*columns, F.lit("no_sku").alias("reason")))
+
+
+def late_rows(query) -> int:
+    """Rows that a running or finished query dropped because they came behind the watermark (of its kept progress reports)."""
+    return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
+
+
 def start_sale_detail_stream(spark: SparkSession, orders: DataFrame, lines: DataFrame, part: DataFrame,
-                             table_path: str, checkpoint: str, trigger: dict, **kw):
+                             table_path: str, checkpoint: str, trigger: dict, unmatched_path: str | None = None, **kw):
     def process(batch: DataFrame, batch_id: int) -> None:
-        write_batch_partition(enrich_with_sku(batch, part), table_path, batch_id)
-    return order_line_stream(orders, lines, **kw).writeStream.outputMode("append") \
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK) if unmatched_path else batch
+        try:
+            rows = enrich_with_sku(batch.where(F.col("o_orderkey").isNotNull()), part)
+            write_batch_partition(rows.withColumn("dt_month", F.substring("dt", 1, 7)), table_path, batch_id, ["dt_month"], sort_cols=["dt"])
+            if unmatched_path:
+                write_batch_partition(unmatched_lines(batch, part), unmatched_path, batch_id)
+        finally:
+            if unmatched_path:
+                batch.unpersist()
+    return order_line_stream(orders, lines, keep_unmatched=unmatched_path is not None, **kw).writeStream.outputMode("append") \
         .foreachBatch(process).option("checkpointLocation", checkpoint).trigger(**trigger).start()

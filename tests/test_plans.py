@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from retail_pulse.streaming.jobs import STREAM_QUERIES
 from retail_pulse.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -66,7 +67,7 @@ def test_alert_profile_is_partially_aggregated(spark):
     assert "array_repeat" not in plan(Q.alert_doc(spark, SF))  # documents keep the bounded histogram
 
 
-@pytest.mark.parametrize("name", [n for n in E.oracle_sql() if not n.endswith("_stream")])
+@pytest.mark.parametrize("name", [n for n in E.oracle_sql() if n not in STREAM_QUERIES])
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
