@@ -39,6 +39,9 @@ class MergeReplay:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.split = regex.compile(pattern).findall
+        self.single = [self.ranks[bytes([x])] for x in range(256)]
+        #: rank of every pair of bytes
+        self.first = [self.ranks.get(bytes([a, b]), _END) for a in range(256) for b in range(256)]
         self.pairs: dict[int, int] = {}
         self.known: dict[str, tuple[int, ...]] = {}
         self.remember = remember
@@ -56,28 +59,31 @@ class MergeReplay:
     def replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece; all pieces are merged together, in rank order."""
         out: list[tuple[int, ...] | None] = [(self.ranks[p],) if p in self.ranks else None for p in pieces]
-        token, begins = [_END], []
+        token, pair, begins = [_END], [_END], []
+        single, first = self.single, self.first
         for i, p in enumerate(pieces):
             if out[i] is None:
                 begins.append((i, len(token), len(token) + len(p)))
-                token += [self.ranks[p[k:k + 1]] for k in range(len(p))]
+                token += map(single.__getitem__, p)
+                pair += [first[a << 8 | b] for a, b in zip(p, p[1:])]
                 token.append(_END)
+                pair += (_END, _END)
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [_END] * n
         index: dict[int, list[int]] = {}
-        rank = self._rank
-        for at in range(1, n - 1):
-            if token[at] != _END and token[at + 1] != _END:
-                r = rank(token[at], token[at + 1])
-                if r != _END:
-                    pair[at] = r
-                    index.setdefault(r, []).append(at)
+        for at, r in enumerate(pair):
+            if r != _END:
+                if r in index:
+                    index[r].append(at)
+                else:
+                    index[r] = [at]
         heap = list(index)
         heapq.heapify(heap)
+        met, rank = self.pairs.get, self._rank
         while heap:
             r = heapq.heappop(heap)
             places = index.pop(r, ())
+            # places of one pair are found left to right, unless merges of several others have led to it
             for at in sorted(places):
                 if pair[at] != r:
                     continue
@@ -88,8 +94,11 @@ class MergeReplay:
                 token[at] = r
                 pair[gone] = _END
                 prev = before[at]
-                if token[prev] != _END:
-                    x = rank(token[prev], r)
+                left = token[prev]
+                if left != _END:
+                    x = met(left << 32 | r)
+                    if x is None:
+                        x = rank(left, r)
                     pair[prev] = x
                     if x != _END:
                         if x in index:
@@ -97,8 +106,11 @@ class MergeReplay:
                         else:
                             index[x] = [prev]
                             heapq.heappush(heap, x)
-                if token[nxt] != _END:
-                    x = rank(r, token[nxt])
+                right = token[nxt]
+                if right != _END:
+                    x = met(r << 32 | right)
+                    if x is None:
+                        x = rank(r, right)
                     pair[at] = x
                     if x != _END:
                         if x in index:
@@ -130,7 +142,8 @@ class MergeReplay:
 
     def forget(self) -> None:
         """Empty the memory at a task's end: workers live on and serve other stages."""
-        self.known, self.pairs = {}, {}
+        self.known.clear()
+        self.pairs.clear()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
