@@ -165,7 +165,7 @@ def _resolve(rows: list[tuple], window: int):
 
 
 def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, anchor: int = 8,
-                    filter_bits: int = 26, group_rows: int = 1000, max_hot: int = 1_000_000, block_words: int = 1_000_000) -> DataFrame:
+                    filter_bits: int = 26, group_rows: int = 1000, max_hot: int = 200_000, block_words: int = 1_000_000) -> DataFrame:
     """(doc, sig, spans): for each document with removed windows, the (start, n) runs of removed window starts."""
     if not 1 <= anchor < window:
         raise ValueError("anchor must be shorter than the window")
