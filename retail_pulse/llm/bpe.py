@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retail_pulse.llm.common import small
+
 _END = -1
 
 
@@ -154,7 +156,7 @@ def _replay(rank_path: str, pattern: str) -> MergeReplay:
     return MergeReplay(rank_path, pattern)
 
 
-def _blocks(texts: list[str], limit: int = 4_000_000):
+def _blocks(texts: list[str], limit: int = 1_000_000):
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -173,7 +175,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
 
     def run(batches):
         bpe = _replay(rank_path, pattern)
-        for b in batches:
+        for b in small(batches):
             done = 0
             for texts in _blocks([t or "" for t in b.column(at).cast(pa.string()).to_pylist()]):
                 part = b.slice(done, len(texts))
@@ -206,7 +208,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     def run(batches):
         bpe = _replay(rank_path, pattern)
         name = {i: str(i) for i in bpe.bytes_of}
-        for b in batches:
+        for b in small(batches):
             n, ids_sums, text_sums = [], [], []
             for texts in _blocks([t or "" for t in b.column(1).to_pylist()]):
                 for ids in bpe.encode(texts):

@@ -57,6 +57,13 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def small(batches, rows: int = 1000):
+    """Arrow batches in slices of at most ``rows`` rows: what a worker makes of a batch of long texts stays small."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+
+
 def table_of(cells: DataFrame, size: int, chunk: int = 1 << 14) -> np.ndarray:
     """An array of ``size`` longs from rows (place, value) of distinct places, zero elsewhere.
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.llm.common import NULL_ID, fresh, table_of, written
+from retail_pulse.llm.common import NULL_ID, fresh, small, table_of, written
 from retail_pulse.llm.words import grams, mix, sliding_min, texts_words
 
 _ROW = "gram long, doc long, sig long, start long, n long, words binary"
@@ -58,7 +58,7 @@ def _blocks(batches, window: int, limit: int):
     A document of more words comes in pieces that overlap by ``window - 1`` words, so every window start is in one piece.
     """
     docs, pieces, bases, size = [], [], [], 0
-    for b in batches:
+    for b in small(batches):
         key, sig = b.column(0).to_numpy(), b.column(1).to_numpy()
         texts = b.column(2).cast(pa.binary()).to_pylist()
         at = 0
