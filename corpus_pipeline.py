@@ -16,14 +16,21 @@ from retail_pulse.llm.common import NULL_ID, fresh, table, text_crc, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language is undetermined (no text, or no letter in it).
+    """Drop the documents that are in none of the learned languages: no letter in them, or too few n-grams of the predicted one.
 
-    The filter is trained on the labelled documents of the stage's own input whose
-    crc32(doc_id) mod 5 is not 0 (NULL ids are not learned from).
+    The filter is trained on the labelled documents of the stage's own input whose crc32(doc_id) mod 5 is not 0 (NULL ids
+    are not learned from). The least share of hits comes from the labelled documents that are left over. A text with too few
+    n-grams to judge stays.
     """
-    model = langid.train(docs.filter(text_crc("doc_id", 5) != 0))
-    lang, score = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "lang_score")
-    return langid.classify(docs, model, lang_out=lang, score_out=score).filter(F.col(lang) != langid.UND).drop(lang, score)
+    learned = text_crc("doc_id", 5) != 0
+    model = langid.train(docs.filter(learned))
+    least = langid.least_shares(docs.filter(~learned), model)
+    lang, score, share = (fresh(docs.columns, c) for c in ("lang_pred", "lang_score", "lang_share"))
+    found = langid.classify(docs, model, lang_out=lang, score_out=score, share_out=share).filter(F.col(lang) != langid.UND)
+    if least:
+        needed = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col(lang)]
+        found = found.filter(F.col(share).isNull() | (F.col(share) > needed))
+    return found.drop(lang, score, share)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,12 +188,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
     return LangFilter(langs, table, fill, sizes, hashes, default)
 
 
-def predict(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+def _hits(model: LangFilter, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Corrected hits of each language (rows) in each text, and the n-grams of each text."""
     n_docs, n_langs = len(texts), len(model.langs)
-    langs, scores = [UND] * n_docs, np.zeros(n_docs)
-    if not n_langs:
-        return langs, scores
     slot_bits = int(model.slots.shape[1]).bit_length() - 1
     hits, total = np.zeros((n_langs, n_docs)), np.zeros(n_docs)
     for pieces, owner in _blocks(texts):
@@ -207,7 +204,21 @@ def predict(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.n
             for k in range(w * _MASK_BITS, min(n_langs, (w + 1) * _MASK_BITS)):
                 hits[k] += np.bincount(who[((mask >> (k - w * _MASK_BITS)) & 1).astype(bool)], minlength=n_docs)
     fp = np.minimum(model.fill**model.hashes, 0.999)[:, None]
-    true = np.clip((hits - fp * total) / (1 - fp), 0, None)
+    return np.clip((hits - fp * total) / (1 - fp), 0, None), total
+
+
+def predict(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    langs, scores, _, _ = measure(model, texts)
+    return langs, scores
+
+
+def measure(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language and score of each text, the share of its n-grams that hit that language (corrected), and their number."""
+    langs, scores = [UND] * len(texts), np.zeros(len(texts))
+    if not model.langs:
+        return langs, scores, np.zeros(len(texts)), np.zeros(len(texts))
+    true, total = _hits(model, texts)
     best, sums = true.argmax(axis=0), true.sum(axis=0)
     top = true.max(axis=0)
     for d in np.flatnonzero(total > 0):
@@ -217,15 +228,22 @@ def predict(model: LangFilter, texts: list[str | None]) -> tuple[list[str], np.n
     for d in np.flatnonzero(total == 0):
         if texts[d] and any(map(str.isalpha, texts[d])):
             langs[d] = model.default
-    return langs, scores
+    return langs, scores, np.divide(top, total, out=np.zeros(len(texts)), where=total > 0), total
 
 
 def classify(docs: DataFrame, model: LangFilter, text_col: str = "text", lang_out: str = "lang_pred",
-             score_out: str = "score") -> DataFrame:
-    """Add the predicted language and its score (0 to 1) to every row; all other columns pass through."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in (lang_out.lower(), score_out.lower())])
+             score_out: str = "score", share_out: str | None = None, min_grams: int = 30) -> DataFrame:
+    """Add the predicted language and its score (0 to 1) to every row; all other columns pass through.
+
+    ``share_out`` adds the share of the text's n-grams that hit the predicted language (corrected); it is NULL for a text of fewer
+    than ``min_grams`` n-grams, which says too little.
+    """
+    added = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())]
+    if share_out:
+        added.append(T.StructField(share_out, T.DoubleType()))
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {f.name.lower() for f in added}])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, *added])
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -233,8 +251,22 @@ def classify(docs: DataFrame, model: LangFilter, text_col: str = "text", lang_ou
         for b in batches:
             for s in range(0, b.num_rows, 1000):
                 part = b.slice(s, 1000)
-                langs, scores = predict(model, part.column(at).cast(pa.string()).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                                 names=[*b.schema.names, lang_out, score_out])
+                langs, scores, share, total = measure(model, part.column(at).cast(pa.string()).to_pylist())
+                found = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+                if share_out:
+                    found.append(pa.array(share, pa.float64(), mask=total < min_grams))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=[*b.schema.names, *(f.name for f in added)])
 
     return docs.mapInArrow(run, schema)
+
+
+def least_shares(held: DataFrame, model: LangFilter, text_col: str = "text", lang_col: str = "lang", part: float = 0.5) -> dict[str, float]:
+    """For each language of the model the share of hits that a text of it must exceed: ``part`` of the lower quartile of
+    the labelled texts ``held``, which must not be those that the model has learned from.
+
+    A language without such texts takes the least value of the others; without any, only texts without a hit fall short.
+    """
+    labelled = held.filter(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"))
+    found = {r.lang_pred: part * r.low for r in classify(labelled, model, share_out="share").filter("share IS NOT NULL")
+             .groupBy("lang_pred").agg(F.percentile_approx("share", 0.25).alias("low")).collect()}
+    return {k: found.get(k, min(found.values(), default=0.0)) for k in model.langs}

@@ -93,3 +93,18 @@ def test_every_stage_keeps_columns_that_clash_and_takes_an_empty_table(spark, pl
         assert out.columns[:len(docs.columns)] == docs.columns and (k == 4 or out.columns == docs.columns)
         assert all(r.nth == r.fp == "mine" for r in out.collect())
         assert stage(spark, docs.limit(0), d).count() == 0
+
+
+def test_language_stage_rejects_unlearned_languages_and_letter_noise(spark, planted):
+    d, _ = planted
+    rng = random.Random(5)
+    pick = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(rng.randint(2, 5))) for _ in range(n))
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    strange = [(1000, pick(["zwo", "iq", "vhy", "jux", "ofd"], 40)), (1001, pick(["съе", "шь", "же", "мяг"], 40)),
+               (1002, pick("abcdefghijklmnopqrstuvwxyz", 80)), (1003, "qxzv" * 30), (None, pick(["zwo", "iq", "vhy", "jux", "ofd"], 40))]
+    kept = [(2000, "zwoiq"), (2001, pick(["ba", "lo", "mi", "tu", "ke", "ra"], 30) + " zwo iq vhy"), (None, pick(["schr", "ng", "ei", "tz"], 30))]
+    rows = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in strange + kept], docs.schema)
+    out = {(r.doc_id, r.text) for r in corpus_pipeline.language_id(spark, docs.union(rows), d).collect()}
+    assert out.isdisjoint(strange) and out.issuperset(kept)
+    clean = {(r.doc_id, r.text) for r in docs.collect() if r.text and any(map(str.isalpha, r.text))}
+    assert out == clean | set(kept)
