@@ -102,7 +102,8 @@ def _retrieve(q_ids, q_norms, q, floor, p_ids, p_norms, p, k: int, focus: int, s
             upto = int(np.searchsorted(-p_norms, -max(0.0, need[i]), side="right"))
             own = q[i] / q_norms[i] if q_norms[i] > 0 else np.zeros(q.shape[1])
             keep = np.ones(upto, dtype=bool)
-            for f in np.argsort(-np.abs(own))[:focus]:
+            # without a positive threshold any direction may score
+            for f in np.argsort(-np.abs(own))[:focus] if local[i] > 0 else ():
                 spread = np.sqrt(max(0.0, (1 - local[i] ** 2) * (1 - own[f] ** 2))) + 1e-9
                 keep &= (unit[:upto, f] >= own[f] * local[i] - spread) | (own[f] < 0)
                 keep &= (unit[:upto, f] <= own[f] * local[i] + spread) | (own[f] > 0)

@@ -46,6 +46,17 @@ def test_top_k_against_all_products(spark, spread, options):
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == simple_top(rows, 10)
 
 
+def test_queries_without_a_positive_floor(spark):
+    rng = random.Random(11)
+    # a zero vector, and a sparse query whose products are all negative or zero
+    rows = [(0, [0.0] * 12), (100, [-1.0] + [0.0] * 11), (200, [rng.random() for _ in range(12)])]
+    rows += [(1000 - i * 3 + 1, [1 + rng.random() + (i < 20)] + [rng.random() for _ in range(11)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for switch in (0.0, -math.inf):
+        got = topk.top_k(df, F.col("vec_id") % 100 == 0, k=10, bucket_rows=16, query_block=2, switch=switch)
+        assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == simple_top(rows, 10)
+
+
 def test_top_k_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 100 == 0).count() == 0
