@@ -284,6 +284,27 @@ def test_contamination_verbatim_paraphrased_and_clean(spark, none):
     assert decontam.contaminated(none, bench).count() == 0 and decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_contamination_by_items_of_all_lengths(spark):
+    rng = random.Random(16)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 8))) for _ in range(4000)]
+    usual = vocab[:150]  # words of every document
+    filler = lambda n: [rng.choice(usual) for _ in range(n)]
+    rare = lambda n: ["x" + rng.choice(vocab) for _ in range(n)]
+    items = [rare(1), rare(2), rare(2) * 3, rare(5), rare(200), rare(500), filler(200), filler(500), rare(30), rare(1200)]
+    # rare words spread over a long item of usual ones
+    items += [[w if k % 25 else "y" + rng.choice(vocab) for k, w in enumerate(filler(300))]]
+    docs = [(i, filler(300)) for i in range(40)]
+    for i, item in enumerate(items):
+        w, at = filler(260), rng.randrange(260)
+        docs.append((100 + i, w[:at] + item + w[at:]))
+    docs += [(200, items[1]), (201, items[0]), (202, [x for k in range(60) for x in items[8][k % 30:k % 30 + 1] * (k < 30)] + items[3] + rare(40))]
+    want = {(100 + i, i) for i in range(len(items))} | {(200, 1), (201, 0), (202, 8), (202, 3)}
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3)
+    for options in ({}, {"item_block": 16}):
+        assert {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench, **options).collect()} == want
+
+
 def test_lcs_against_the_table():
     import numpy as np
     rng = random.Random(8)
