@@ -3,8 +3,8 @@
 1. Pages are parsed; elements that are never part of an article by their tag, role, or class (menus, footers, forms, scripts,
    adverts, comments and the like) are left out, and if the page marks its article or main part, so is all outside of it.
 2. Every remaining element subtree is hashed (tag, class and text), and Spark counts for each host and hash on how many different
-   pages it stands. Pages of the same title count once, so copies of an article do not make its text a template.
-3. Subtrees that stand on ``min_pages`` pages and ``min_share`` of the host's titles are a template of that host; pages lose the blocks
+   pages it stands. Pages with the same remaining text count once, so copies of an article do not make its text a template.
+3. Subtrees that stand on ``min_pages`` pages and ``min_share`` of the host's different pages are a template of that host; pages lose the blocks
    inside them. Within a marked article only boxes (not headings, paragraphs, list items or quotes) can be templates: a sentence that
    many articles share is text.
 
@@ -188,10 +188,10 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
     def run(batches):
         for b in batches:
             for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                title, found = blocks(html)
+                _, found = blocks(html)
                 if not found:
                     continue
-                page = xxhash.xxh64_intdigest((title or found[0][0]).encode("utf-8", "surrogatepass")) - 2**63
+                page = xxhash.xxh64_intdigest("\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")) - 2**63
                 hashes = sorted({h for _, own in found for h in own})
                 # one row without a hash counts the page itself
                 yield pa.RecordBatch.from_arrays([pa.array([host] * (len(hashes) + 1)), pa.array([page] * (len(hashes) + 1)), pa.array([None, *hashes], pa.int64())],

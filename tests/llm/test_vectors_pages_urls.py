@@ -112,6 +112,19 @@ def test_site_templates_go_and_articles_stay(spark):
     assert htmltext.main_text(df.limit(0)).count() == 0
 
 
+def test_templates_of_hosts_with_one_title_or_none(spark):
+    rows, want = [], {}
+    for i in range(40):
+        rows.append((i, f"http://one.example.org/{i}", f"<title>Our site</title><div>Join our list</div><p>Text {i}.</p>"))
+        rows.append((100 + i, f"http://none.example.org/{i}", f"<div>The site</div><p>Text {i}.</p><div>All rights reserved</div>"))
+        want |= {i: f"Text {i}.", 100 + i: f"Text {i}."}
+        # copies of one article count as one page
+        rows.append((200 + i, f"http://copy.example.org/{i}", "<title>c</title><div>Join our list</div><p>The same.</p>"))
+        want[200 + i] = "Join our list\nThe same."
+    got = htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert {r.page_id: r.text for r in got.collect()} == want
+
+
 # ---- urls ----
 
 RULES = urlfilter.parse_rules(["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"])
