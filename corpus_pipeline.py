@@ -34,16 +34,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate class: the one with the smallest id.
+    """Keep one document of each near-duplicate class: the one with the smallest id (NULL ids last), then the smallest text hash.
 
-    Of several rows with that id one stays. Rows without an id cannot be told apart by it; they stay.
+    A row is known by its id and text, so different texts under one id, or without an id, are judged on their own. Of rows
+    that are equal in both one stays.
     """
-    found = simhash.near_duplicates(docs, shingle=3, max_distance=3)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    n = fresh(docs.columns, "nth")
-    one = (docs.join(keep, "doc_id", "left_semi")
-           .withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter(F.col(n) == 1).drop(n))
-    return one.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    keep = simhash.representatives(docs, shingle=3, max_distance=3)
+    sig, n = fresh(docs.columns, "text_sig"), fresh(docs.columns, "nth")
+    keyed = docs.withColumn(sig, F.xxhash64(F.coalesce("text", F.lit(""))))
+    one = keyed.join(keep, keyed["doc_id"].cast("long").eqNullSafe(keep["id"]) & (keyed[sig] == keep["sig"]), "left_semi")
+    others = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    return (one.withColumn(n, F.row_number().over(Window.partitionBy("doc_id", sig).orderBy(others)))
+            .filter(F.col(n) == 1).select(docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

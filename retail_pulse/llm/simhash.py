@@ -56,15 +56,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row per input row: the id, and the fingerprint as a signed long ``fp``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, with_sig: bool = False) -> DataFrame:
+    """One row per input row: the id, the xxhash64 ``sig`` of the text if asked for, and the fingerprint as a signed long ``fp``."""
+    sig = ["sig"] if with_sig else []
+
     def run(batches):
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(fps.view(np.int64))], names=["id", *sig, "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *(F.xxhash64(text).alias(c) for c in sig))
+    return src.mapInArrow(run, ", ".join(f"{c} long" for c in ("id", *sig, "fp")))
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -140,14 +143,27 @@ def components(edges: DataFrame, purpose: str = "simhash-cc") -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _classes(distinct: DataFrame, max_distance: int) -> DataFrame:
+    """The rows (fp, least) of distinct fingerprints with the ``root`` of their class."""
+    roots = components(links(distinct, max_distance))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """(id, sig): one row for each near-duplicate class, its least id (NULL ids last) and, of that id, the least xxhash64 of the text."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = written(fingerprints(docs.withColumn(text_col, text), id_col, text_col, shingle, with_sig=True), "simhash-keys")
+    key = F.struct(F.col("id").isNull().alias("none"), "id", "sig")
+    distinct = written(rows.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
+    return _classes(distinct, max_distance).groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.sig")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_distance: int = 3) -> DataFrame:
     """One row per input row: ``id_col``, ``fingerprint`` (16 hex digits), ``component_id`` (the smallest id of its class)."""
     rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct, max_distance))
-    linked = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    linked = _classes(distinct, max_distance)
     first = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = linked.join(first, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select(

@@ -108,3 +108,18 @@ def test_language_stage_rejects_unlearned_languages_and_letter_noise(spark, plan
     assert out.isdisjoint(strange) and out.issuperset(kept)
     clean = {(r.doc_id, r.text) for r in docs.collect() if r.text and any(map(str.isalpha, r.text))}
     assert out == clean | set(kept)
+
+
+def test_dedup_stage_keeps_one_row_of_each_class_whatever_its_id(spark, planted):
+    d, _ = planted
+    rng = random.Random(12)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300))
+    a, b, c, e, f, g = (text() for _ in range(6))
+    rows = [(None, a), (None, a), (None, a.upper()),  # copies without an id
+            (None, b), (3, b), (2, b),  # the least id stays
+            (5, c), (5, e), (6, e), (4, c),  # two texts under one id, each with a copy of its own
+            (7, f), (7, f), (7, g)]
+    docs = spark.createDataFrame([(i, t, "xx", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.simhash_dedup(spark, docs.repartition(3), d)
+    got = sorted(((r.doc_id, r.text.lower()) for r in out.collect()), key=repr)
+    assert got == sorted([(None, a), (2, b), (4, c), (5, e), (7, f), (7, g)], key=repr)
