@@ -305,6 +305,30 @@ def test_contamination_by_items_of_all_lengths(spark):
         assert {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench, **options).collect()} == want
 
 
+def test_contamination_by_items_cut_at_either_end(spark):
+    rng = random.Random(18)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 8))) for _ in range(4000)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [text(n) for n in (16, 24, 40, 60, 200)]
+    docs, want = [], set()
+    for k, item in enumerate(items):
+        for j, share in enumerate((0.75, 0.85)):
+            n = -(-int(len(item) * share * 100) // 100) + 1
+            for at, part in enumerate((item[:n], item[-n:])):
+                w = text(120)
+                w[50:50] = part
+                docs.append((100 * k + 10 * j + at, w))
+                want.add((100 * k + 10 * j + at, k))
+        loose = [x if i % 3 else rng.choice(vocab) for i, x in enumerate(item[:-len(item) // 4])]
+        docs.append((100 * k + 50, text(50) + loose + text(50)))  # a loose likeness without the answer
+    # 65 % of a long item, word for word
+    docs.append((900, text(50) + items[4][:130] + text(50)))
+    want.add((900, 4))
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()} == want
+
+
 def test_lcs_against_the_table():
     import numpy as np
     rng = random.Random(8)
