@@ -43,7 +43,17 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form menu
 _NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side nav navbar navigation menu
     breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
     share sharing social related recommended recommendations comment comments commentlist disqus respond reply replies widget toolbar pagination pager""".split())
+#: compound names of the same meaning, which count as a whole
+_COMPOUNDS = frozenset("""ad-box ad-banner ad-slot ad-unit ad-container ad-wrapper advert-box cookie-notice cookie-banner cookie-bar cookie-consent side-bar
+    nav-bar nav-menu nav-links post-navigation site-footer page-footer article-footer entry-footer post-footer share-buttons share-bar share-links share-tools
+    social-share social-sharing social-links social-buttons social-media related-posts related-articles related-links related-stories related-content
+    comment-list comments-list comment-section comments-section comments-area comment-form newsletter-signup newsletter-box newsletter-form signup-form
+    subscribe-box subscribe-form login-form""".split())
+#: names that a heading's anchor may also have: as the id of a part of an article they say nothing
+_ANCHORS = frozenset("""ad side notice notices alert share sharing social related recommended recommendations promotion consent subscription subscribe menu
+    advertising advertisement sponsor sponsored login signup reply replies respond navigation newsletter cookie cookies banner overlay toolbar comment""".split())
 _WORD = re.compile(r"[a-z]+")
+_JOINT = re.compile(r"[_-]+")
 _SPACE = re.compile(r"\s+")
 
 
@@ -54,6 +64,22 @@ class _Node:
         self.tag, self.name, self.skip, self.parts = tag, name, skip, []
 
 
+def _named(tag: str, classes: str, ident: str, inside: bool) -> bool:
+    """Whether class or id mark what is no article.
+
+    Names count as a whole; single words of a class count only outside of a marked part, and not for headings and prose, which no id marks.
+    """
+    tokens = {_JOINT.sub("-", c).strip("-") for c in classes.split()}
+    if not (tokens.isdisjoint(_NAMES) and tokens.isdisjoint(_COMPOUNDS)):
+        return True
+    if tag in _PROSE:
+        return False
+    ident = _JOINT.sub("-", ident.strip()).strip("-")
+    if ident in _COMPOUNDS or ident in _NAMES and not (inside and ident in _ANCHORS):
+        return True
+    return not inside and not _NAMES.isdisjoint(_WORD.findall(classes))
+
+
 class _Tree(HTMLParser):
     """Element tree of a page as browsers would mend it, as far as text blocks need it."""
 
@@ -82,12 +108,12 @@ class _Tree(HTMLParser):
                 self.open[-1].parts.append(_Node(tag, "", False))
             return
         own = {k: v or "" for k, v in attrs}
-        name = f"{own.get('class', '')} {own.get('id', '')}".strip().lower()
         inside = any(n.tag in ("article", "main") for n in self.open)
+        named = _named(tag, own.get("class", "").lower(), own.get("id", "").lower(), inside)
         skip = (tag in _NEVER or tag == "header" and not inside or own.get("role", "").lower() in _ROLES or "hidden" in own
                 or own.get("aria-hidden", "").lower() == "true"
-                or tag not in ("html", "body", "article", "main") and not _NAMES.isdisjoint(_WORD.findall(name))
-                or tag == "article" and not _NAMES.isdisjoint(_WORD.findall(name)) and inside)
+                or tag not in ("html", "body", "article", "main") and named
+                or tag == "article" and named and inside)
         node = _Node(tag, own.get("class", "").lower(), skip)
         self.open[-1].parts.append(node)
         self.open.append(node)

@@ -87,6 +87,15 @@ def test_blocks_of_a_page(html, want):
     assert [t for t, _ in htmltext.blocks(html)[1]] == want
 
 
+def test_slugs_of_ids_and_classes_take_nothing_from_an_article():
+    html = ('<article><h2 id="market-share">a</h2><section id="side-effects"><p class="notice-period">b</p></section><div id="social-history">c</div>'
+            '<h3 id="comments">d</h3><section id="recommendations">e</section><div class="ad">x</div><div id="comments">x</div><div class="lead share_buttons">x</div>'
+            '<p class="advert">x</p></article>')
+    assert [t for t, _ in htmltext.blocks(html)[1]] == ["a", "b", "c", "d", "e"]
+    html = '<body><h2 id="market-share">a</h2><div id="social-history"><p class="notice-period">b</p></div><div class="left-sidebar">x</div><div id="cookie_notice">x</div></body>'
+    assert [t for t, _ in htmltext.blocks(html)[1]] == ["a", "b"]
+
+
 def test_site_templates_go_and_articles_stay(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
