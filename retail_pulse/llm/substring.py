@@ -121,6 +121,12 @@ def _removed_rows(doc, sig, start, n, gram):
         names=["gram", "doc", "sig", "start", "n", "words"])
 
 
+def _dealt(doc: np.ndarray, sig: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Group numbers of rows that need no group: spread, so that copies of one text do not meet in one task."""
+    d, s, at = (x.astype(np.int64).view(np.uint64) for x in (doc, sig, start))
+    return mix(mix(mix(d) ^ s) + at).view(np.int64)
+
+
 def _subtrees(words: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
     """Node at depth ``window`` of the suffix that starts at each of ``starts``: equal numbers, equal words."""
     nodes = {1: np.unique(words, return_inverse=True)[1]}
@@ -221,7 +227,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             s, n = _runs(flag, owner)
             p = owner[s]
             if len(s):
-                yield _removed_rows(doc[p], sig[p], bases[p] + s - off[p], n, sig[p])
+                yield _removed_rows(doc[p], sig[p], bases[p] + s - off[p], n, _dealt(doc[p], sig[p], bases[p] + s - off[p]))
             flag[:] = False
             flag[at[stays]] = True
             key = least.copy()

@@ -142,6 +142,23 @@ def test_repeats_against_brute_force(odd, odd_rows, window, options):
     assert sorted(map(tuple, substring.remove_repeats(odd, window=window, **options).collect()), key=repr) == want
 
 
+def test_removals_within_a_task_are_dealt_over_many_groups(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    rng = random.Random(13)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(60))
+    df = spark.createDataFrame([(i, text) for i in range(200)], "doc_id long, text string").coalesce(1)
+    dealt, plain = [], DataFrame.repartition
+
+    def spy(self, *by):
+        dealt.extend([self] if by == ("gram",) else [])
+        return plain(self, *by)
+
+    monkeypatch.setattr(DataFrame, "repartition", spy)
+    assert sorted(r.n_removed for r in substring.remove_repeats(df, window=20).collect()) == [0] + [60] * 199
+    rows = dealt[0].filter("words IS NULL").agg(F.count("*").alias("n"), F.count_distinct("gram").alias("groups")).first()
+    assert rows.n >= 199 and rows.groups > 100
+
+
 def test_cut_repeats_keeps_untouched_texts_and_all_columns(spark, none):
     a = " ".join(f"w{i}" for i in range(30))
     rows = [(1, "p  q\n" + a, 5), (2, "x y " + a + " z", 0), (3, a, 1), (4, None, 2), (5, "short  text", None)]
