@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_pulse.llm import bpe, decontam, htmltext, langid, simhash, substring, tokencount, topk, toxicity, urlfilter
+from retail_pulse.llm import bpe, decontam, htmltext, langid, pqcodes, rabitq, simhash, substring, tokencount, topk, toxicity, urlfilter, whiten
 from retail_pulse.llm.common import table, text_crc
 
 
@@ -110,6 +110,66 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, rules, urlfilter.train(labelled))
 
 
+def op11_pqcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code, squared error and label's error of every vector: 4 parts, 256 entries, 4 rounds."""
+    return pqcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql(rounds: int = 4) -> str:
+    """The rounds unrolled: a{i} assigns the parts to the codebooks b{i} (distance * 256 + index, so ties go to the lower index)."""
+    steps = ["""
+v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, p, list_slice(e, p * len(e) // 4 + 1, (p + 1) * len(e) // 4) AS s FROM v, (SELECT unnest([0, 1, 2, 3]) AS p)),
+b0 AS MATERIALIZED (
+  SELECT p, i, s AS c FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM v QUALIFY i < 256) USING (vec_id))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, label, p, s, min(256 * CAST(list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) + i) AS best
+  FROM parts JOIN b{i} USING (p) GROUP BY vec_id, label, p, s)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS MATERIALIZED (
+  SELECT p, i, list(mean ORDER BY place) AS c FROM (
+    SELECT p, best % 256 AS i, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+    FROM (SELECT p, best, unnest(s) AS x, generate_subscripts(s, 1) AS place FROM a{i}) GROUP BY p, best % 256, place) GROUP BY p, i),
+b{i + 1} AS MATERIALIZED (SELECT b{i}.p, b{i}.i, coalesce(m{i}.c, b{i}.c) AS c FROM b{i} LEFT JOIN m{i} ON b{i}.p = m{i}.p AND b{i}.i = m{i}.i)""")
+    return "WITH" + ",".join(steps) + f""",
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', best % 256), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, digest
+"""
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the 4 leading components."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256)
+
+
+def op13_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every vector at a cosine of 0.9."""
+    return rabitq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+_OP13_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+classes AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN classes c ON vec_id = c.a LEFT JOIN degrees d ON vec_id = d.a
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_topk": op2_topk,
@@ -121,10 +181,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontam": op8_decontam,
     "op9_tokencount": op9_tokencount,
     "op10_urls": op10_urls,
+    "op11_pqcodes": op11_pqcodes,
+    "op12_whiten": op12_whiten,
+    "op13_rabitq": op13_rabitq,
 }
 
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {
     "op2_topk": _OP2_SQL,
     "op5_substring": _OP5_SQL,
+    "op11_pqcodes": _op11_sql(),
+    "op13_rabitq": _OP13_SQL,
 }

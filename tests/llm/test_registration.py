@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_decontam": ["doc_id", "item_id"],
     "op9_tokencount": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_urls": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_pqcodes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op12_whiten": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_rabitq": ["vec_id", "n_links", "component_id", "kept"],
 }
 
 
@@ -29,6 +32,6 @@ def test_all_operators_are_registered():
 def test_query_columns_and_rows(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.columns[:len(COLUMNS[name])] == COLUMNS[name]
-    table = "pages" if name in ("op6_htmltext", "op10_urls") else "documents"
+    table = "pages" if name in ("op6_htmltext", "op10_urls") else "embeddings" if name in ("op11_pqcodes", "op12_whiten", "op13_rabitq") else "documents"
     if name not in ("op2_topk", "op8_decontam"):
-        assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+        assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count() * (4 if name == "op12_whiten" else 1)
