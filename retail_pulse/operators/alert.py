@@ -138,6 +138,12 @@ def coupon_alerts(events: DataFrame, duration: str = "5 minutes", slide: str | N
         "window", F.col(mid).alias("mid"), F.col(evid).alias("evid"), F.when(is_coupon, F.col(uid)).alias("uid"),
         F.when(is_coupon, F.col(item)).alias("item"))
     per_type = rows.groupBy("window", "mid", "evid", "uid", "item").agg(F.count(F.lit(1)).alias("n"))
+    return alerts_of_counts(per_type, min_users, coupon, click)
+
+
+def alerts_of_counts(per_type: DataFrame, min_users: int = MIN_COUPON_USERS, coupon: str = COUPON_EVENT,
+                     click: str = CLICK_EVENT) -> DataFrame:
+    """Alerting profiles from counts per (window, mid, evid, uid, item): lists are built for the device-windows that alert only."""
     hits = alerting_windows(per_type, min_users, coupon, click).select(F.col("window").alias("_w"), F.col("mid").alias("_m"))
     kept = per_type.join(hits, F.col("window").eqNullSafe(F.col("_w")) & F.col("mid").eqNullSafe(F.col("_m")), "left_semi")
     by_type = kept.groupBy("window", "mid", "evid").agg(

@@ -8,13 +8,14 @@ Scale notes:
 * Regional sums pre-aggregate orders per customer *before* the customer
   join, so the join shuffles one row per customer instead of every order;
   the nation dimension is a fixed 25-row table and is broadcast.
-* Share percentages divide by the sum of the group counts (a few rows), so the input is read once.
+* All statistics of a page and its total are one aggregate with grouping sets, so the input is read once and
+  no list of groups is gathered.
 * The detail page writes its filtered rows once and reads total, statistics and page from them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_pulse.functions.text import analyze, tokens
@@ -22,6 +23,7 @@ from retail_pulse.sources.sinks import materialize
 
 # Age bands and their labels on the sales-detail page.
 AGE_BANDS = [(None, 20, "20岁以下"), (20, 30, "20-30岁"), (30, None, "30岁以上")]
+AGE_LABELS = [label for *_, label in AGE_BANDS]
 # Fixed value: the sales-detail page's date when the request has none.
 DEFAULT_DETAIL_DATE = "2019-03-04"
 # The map legend's bands (width 100, six bands 0-100 ... 500-600).
@@ -93,17 +95,50 @@ def bucket_by(col: str, bands: list[tuple]):
     return expr
 
 
+def statistics(df: DataFrame, groups: dict, digits: int = 4) -> DataFrame:
+    """(stat, name, value, percent): for each of ``groups`` (name -> expression) the count of each of its values and their
+    share of all rows, and one row with ``stat`` NULL: the number of all rows. One aggregate with a grouping set for each group;
+    without any row there is nothing in it.
+    """
+    cols = [f"_g{i}" for i in range(len(groups))]
+    keyed = df.select(*[e.alias(c) for c, e in zip(cols, groups.values())])
+    counts = keyed.groupingSets([[], *[[c] for c in cols]], *cols).agg(
+        F.count(F.lit(1)).cast("bigint").alias("value"), *[F.grouping(c).alias(f"_off{c}") for c in cols])
+    stat, name = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for c, label in zip(cols, groups):
+        on = F.col(f"_off{c}") == 0
+        stat, name = F.when(on, F.lit(label)).otherwise(stat), F.when(on, F.col(c).cast("string")).otherwise(name)
+    rows = counts.select(stat.alias("stat"), name.alias("name"), "value")
+    # a few rows by now: the values of each group, and the total
+    total = F.max(F.when(F.col("stat").isNull(), F.col("value"))).over(Window.partitionBy())
+    pct = F.round(F.lit(100.0) * F.col("value").cast("double") / total.cast("double"), digits)
+    return rows.select("stat", "name", "value", pct.alias("percent"))
+
+
 def shares(df: DataFrame, group_expr, name: str = "name", digits: int = 4) -> DataFrame:
-    """(name, value, percent): group counts and their share of all rows in percent.
+    """(name, value, percent): group counts and their share of all rows in percent."""
+    return statistics(df, {"share": group_expr}, digits).where("stat IS NOT NULL") \
+        .select(F.col("name").alias(name), "value", "percent")
+
+
+def _total():
+    """The number of all rows in the rows of :func:`statistics`."""
+    return F.coalesce(F.max(F.when(F.col("stat").isNull(), F.col("value"))), F.lit(0).cast("bigint"))
+
+
+def statistics_row(stats: DataFrame, options: dict) -> DataFrame:
+    """:func:`statistics` as one row: ``total``, and ``stat``, a JSON list ``[{"group", "options": [{"name", "value"}]}]``.
 
-    The total is the sum of the group counts, spread over them again with one list of groups
-    (statistics have a few groups by their nature).
+    ``options`` gives each group's values (the bands and codes of the page); values without rows are left out.
     """
-    counts = df.groupBy(group_expr.alias(name)).agg(F.count(F.lit(1)).cast("bigint").alias("value"))
-    gathered = counts.agg(F.sum("value").cast("double").alias("_total"), F.collect_list(F.struct(name, "value")).alias("_g"))
-    one = gathered.select("_total", F.inline("_g"))
-    pct = F.round(F.lit(100.0) * F.col("value").cast("double") / F.col("_total"), digits)
-    return one.select(name, "value", pct.alias("percent"))
+    at = {(g, o): F.max(F.when((F.col("stat") == F.lit(g)) & (F.col("name") == F.lit(o)), F.col("value"))) for g, os in options.items() for o in os}
+    one = stats.agg(_total().alias("total"),
+                    *[v.alias(f"_v{i}") for i, v in enumerate(at.values())])
+    place = {k: f"_v{i}" for i, k in enumerate(at)}
+    lists = [F.struct(F.lit(g).alias("group"), F.filter(
+        F.array(*[F.struct(F.lit(o).alias("name"), F.col(place[g, o]).alias("value")) for o in os]), lambda x: x["value"].isNotNull()).alias("options"))
+        for g, os in options.items()]
+    return one.select("total", F.to_json(F.array(*lists)).alias("stat"))
 
 
 def region_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame,
@@ -127,7 +162,7 @@ def detail_report(detail: DataFrame, users: DataFrame, date_col: str = "dt", dat
                   keyword: str | None = None, keyword_col: str = "sku_name", page: int = 1, size: int = 20,
                   order_cols: list[str] | None = None, user_key: str = "user_id",
                   stat_groups: dict | None = None) -> dict[str, DataFrame]:
-    """Sales-detail page: ``total``, ``stat`` (one share table per group) and ``detail`` rows.
+    """Sales-detail page: ``total``, ``stat`` (:func:`statistics` of all groups, from one aggregate) and ``detail`` rows.
 
     ``date`` defaults to the page's fixed default; an empty keyword means no
     keyword filter. The filtered rows with their user columns are written once; all parts read
@@ -142,6 +177,5 @@ def report_parts(matched: DataFrame, users: DataFrame, page: int, size: int, ord
     """The parts of :func:`detail_report` for rows that are filtered already."""
     both = materialize(matched.join(users, user_key, "left"), "detail-report")
     rows = detail_page(both, F.lit(True), order_cols, page, size, with_total=False)
-    total = both.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
-    stats = {name: shares(both, expr) for name, expr in (stat_groups or {}).items()}
-    return {"total": total, "stat": stats, "detail": rows}
+    stats = statistics(both, stat_groups or {})
+    return {"total": stats.agg(_total().alias("total")), "stat": stats, "detail": rows}

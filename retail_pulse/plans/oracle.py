@@ -6,6 +6,7 @@ documents ...``. Timestamps are naive (UTC wall clock) on both sides.
 
 from __future__ import annotations
 
+from retail_pulse.operators import sales
 from retail_pulse.plans import queries as Q
 
 _D = "strftime(ts, '%Y-%m-%d')"
@@ -69,6 +70,17 @@ WHERE {_day('o.o_orderdate', Q.SALES_MONTH_START, Q.SALES_MONTH_DAYS)}
   AND list_contains(list_filter(regexp_split_to_array(lower(p.p_name), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''), '{Q.SALES_KEYWORD}')"""
 
 
+def _report() -> str:
+    young, middle, old = sales.AGE_LABELS
+    return f"""d AS ({_sales_detail()}),
+j AS (SELECT d.*, c_name AS user_name, c_mktsegment AS user_level, CASE WHEN c_custkey % 2 = 0 THEN 'F' WHEN c_custkey % 2 = 1 THEN 'M' END AS user_gender,
+             CAST(16 + c_custkey % 30 AS INTEGER) AS user_age FROM d LEFT JOIN customer c ON d.user_id = c.c_custkey),
+g AS (SELECT 'age' AS stat, name, min(pos) AS pos, count(*)::BIGINT AS value FROM (
+        SELECT CASE WHEN user_age < 20 THEN '{young}' WHEN user_age < 30 THEN '{middle}' WHEN user_age >= 30 THEN '{old}' END AS name,
+               CASE WHEN user_age < 20 THEN '0' WHEN user_age < 30 THEN '1' ELSE '2' END AS pos FROM j) GROUP BY name
+      UNION ALL SELECT 'gender', user_gender, any_value(user_gender), count(*)::BIGINT FROM j GROUP BY user_gender)"""
+
+
 def _shares(group_sql: str) -> str:
     return f"""WITH g AS (SELECT {group_sql} AS name, count(*)::BIGINT AS value FROM customer GROUP BY 1)
 SELECT name, value, round(100.0::DOUBLE * value::DOUBLE / (SELECT count(*) FROM customer)::DOUBLE, 4) AS percent FROM g"""
@@ -77,7 +89,7 @@ SELECT name, value, round(100.0::DOUBLE * value::DOUBLE / (SELECT count(*) FROM
 def oracle_sql() -> dict[str, str]:
     bal_case = ("CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal >= 0 AND c_acctbal < 5000 THEN '0-5000' "
                 "WHEN c_acctbal >= 5000 THEN '5000+' END")
-    return {
+    out = {
         "dau_first_of_day": f"SELECT mid, log_date, log_hour, event_id, ts_ms FROM ({_dedup()})",
         "dau_total": f"SELECT count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))})",
         "dau_hour": f"SELECT log_hour AS hour, count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))}) GROUP BY log_hour",
@@ -161,10 +173,13 @@ FROM orders WHERE {_day('o_orderdate', Q.GMV_DATE)} GROUP BY 1""",
   CASE WHEN length(t) >= 11 THEN substr(t, 1, 3) || '****' || substr(t, 8, 4) ELSE '****' END AS consignee_tel,
   strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour
 FROM (SELECT *, '1' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS t FROM orders) WHERE o_orderstatus = 'F'""",
-        "sale_detail_stream": """SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS user_id,
+        "sale_detail_stream": f"""SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS user_id,
   l.l_partkey AS sku_id, p.p_name AS sku_name, l.l_quantity AS sku_num, l.l_extendedprice AS sku_price,
-  strftime(o.o_orderdate, '%Y-%m-%d') AS dt
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""",
+  strftime(o.o_orderdate, '%Y-%m-%d') AS dt, c_name AS user_name,
+  CASE WHEN c_custkey % 3 = 0 AND o_orderdate >= TIMESTAMP '{Q.USER_CHANGE}' THEN lower(c_mktsegment) ELSE c_mktsegment END AS user_level,
+  CASE WHEN c_custkey % 2 = 0 THEN 'F' WHEN c_custkey % 2 = 1 THEN 'M' END AS user_gender, CAST(16 + c_custkey % 30 AS INTEGER) AS user_age
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+LEFT JOIN customer ON o_custkey = c_custkey""",
         "sale_unmatched": """SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'no_order' ELSE 'no_sku' END AS reason, count(*)::BIGINT AS n
 FROM lineitem WHERE l_orderkey % 7 = 0 OR l_partkey % 5 = 0 GROUP BY 1""",
         "search_hits": _search_base() + """, st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS avgdl,
@@ -205,15 +220,19 @@ SELECT '{{"today":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' |
                                  FROM p WHERE today IS NOT NULL), '{{}}')
     || ',"yesterday":' || coalesce((SELECT '{{' || string_agg('"' || hour || '":' || CAST(yesterday AS VARCHAR), ',' ORDER BY hour) || '}}'
                                  FROM p WHERE yesterday IS NOT NULL), '{{}}') || '}}' AS json""",
-        "detail_report": f"""WITH d AS ({_sales_detail()}),
-j AS (SELECT d.*, c.c_name, c.c_mktsegment FROM d LEFT JOIN customer c ON d.user_id = c.c_custkey),
-g AS (SELECT c_mktsegment AS name, count(*)::BIGINT AS value FROM j GROUP BY 1),
+        "detail_report": f"""WITH {_report()},
 pg AS (SELECT * FROM j ORDER BY order_id, line_no LIMIT {Q.SALES_PAGE_SIZE} OFFSET {(Q.SALES_PAGE - 1) * Q.SALES_PAGE_SIZE})
 SELECT (SELECT count(*) FROM j)::BIGINT AS total,
-  coalesce((SELECT CAST(to_json(list({{'name': name, 'value': value}} ORDER BY name)) AS VARCHAR) FROM g), '[]') AS stat,
-  coalesce((SELECT CAST(to_json(list({{'order_id': order_id, 'line_no': line_no, 'user_id': user_id, 'user_name': c_name,
-                                       'user_level': c_mktsegment, 'sku_id': sku_id, 'sku_name': sku_name}} ORDER BY order_id, line_no)) AS VARCHAR)
+  (SELECT CAST(to_json(list({{'group': stat, 'options': options}} ORDER BY stat)) AS VARCHAR) FROM (
+     SELECT s.stat, coalesce(list({{'name': name, 'value': value}} ORDER BY pos) FILTER (WHERE value IS NOT NULL), []) AS options
+     FROM (VALUES ('age'), ('gender')) s(stat) LEFT JOIN g ON g.stat = s.stat AND g.name IS NOT NULL GROUP BY s.stat)) AS stat,
+  coalesce((SELECT CAST(to_json(list({{'order_id': order_id, 'line_no': line_no, 'user_id': user_id, 'user_name': user_name,
+                                       'user_gender': user_gender, 'user_age': user_age,
+                                       'user_level': user_level, 'sku_id': sku_id, 'sku_name': sku_name}} ORDER BY order_id, line_no)) AS VARCHAR)
             FROM pg), '[]') AS detail""",
+        "detail_stats": f"""WITH {_report()}
+SELECT stat, name, value, round(100.0::DOUBLE * value::DOUBLE / (SELECT count(*) FROM j)::DOUBLE, 4) AS percent FROM g
+UNION ALL SELECT NULL, NULL, count(*)::BIGINT, 100.0::DOUBLE FROM j HAVING count(*) > 0""",
         "coupon_alert_sliding": _alert_base("""SELECT unnest([s, s - INTERVAL 12 HOUR]) AS ws, * FROM (
     SELECT *, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '2000-01-01') AS s FROM events)""") + """SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, mid,
   len(uids)::BIGINT AS n_uids, array_to_string(uids, ',') AS uids, n_events, hist AS events FROM a""",
@@ -227,3 +246,8 @@ SELECT c.n_nationkey, n.n_name, round(amt, 2) AS order_amount, n_orders,
   least(floor(amt / {Q.REGION_BAND_WIDTH}), 5)::BIGINT AS band
 FROM c JOIN nation n ON c.n_nationkey = n.n_nationkey""",
     }
+    # the same answers, kept up by streaming jobs
+    for job, batch in {"dau_state_stream": "dau_first_of_day", "first_seen_stream": "first_seen", "metric_cards_table": "metric_cards",
+                       "alert_sliding_stream": "coupon_alert_sliding", "sale_recovered": "sale_detail_stream"}.items():
+        out[job] = out[batch]
+    return out

@@ -41,6 +41,7 @@ SALES_KEYWORD = "ring"
 SALES_PAGE, SALES_PAGE_SIZE = 2, 5
 BALANCE_BANDS = [(None, 0, "negative"), (0, 5000, "0-5000"), (5000, None, "5000+")]
 REGION_BAND_WIDTH = 4.0e7
+USER_CHANGE = "1995-06-01 00:00:00"
 
 
 def _events(spark, sf):
@@ -276,17 +277,25 @@ def sale_detail_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detail_report(spark: SparkSession, sf: str) -> DataFrame:
-    """The sales-detail page as one row: total, share of each customer segment, and the page's rows with user columns."""
+    """The sales-detail page as one row: total, the age and gender statistics, and the page's rows with user columns."""
+    parts = _report(spark, sf)
+    # the page has a fixed size: it becomes one JSON list
+    page = parts["detail"].agg(F.array_sort(F.collect_list(F.struct("order_id", "line_no", "user_id", "user_name", "user_gender", "user_age", "user_level", "sku_id", "sku_name"))).alias("d"))
+    row = sales.statistics_row(parts["stat"], {"age": sales.AGE_LABELS, "gender": ["F", "M"]})
+    return row.select("total", "stat", page.select(F.to_json("d")).scalar().alias("detail"))
+
+
+def detail_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """All statistics of the sales-detail page with their percentages, and the total, from one aggregate."""
+    return _report(spark, sf)["stat"]
+
+
+def _report(spark, sf):
     detail = tb.sale_detail(tb.table(spark, sf, "lineitem"), tb.table(spark, sf, "orders"), tb.table(spark, sf, "part"))
     cond = on_days("order_ts", SALES_MONTH_START, SALES_MONTH_DAYS) & sales.keyword_match("sku_name", SALES_KEYWORD)
-    users = tb.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"),
-                                                   F.col("c_mktsegment").alias("user_level"))
-    parts = sales.report_parts(detail.where(cond), users, SALES_PAGE, SALES_PAGE_SIZE, ["order_id", "line_no"], "user_id",
-                               {"segment": F.col("user_level")})
-    # the page has a fixed size and the statistics a few groups: each becomes one JSON list
-    page = parts["detail"].agg(F.array_sort(F.collect_list(F.struct("order_id", "line_no", "user_id", "user_name", "user_level", "sku_id", "sku_name"))).alias("d"))
-    stat = parts["stat"]["segment"].agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("s"))
-    return parts["total"].select("total", stat.select(F.to_json("s")).scalar().alias("stat"), page.select(F.to_json("d")).scalar().alias("detail"))
+    groups = {"age": sales.bucket_by("user_age", sales.AGE_BANDS), "gender": F.col("user_gender")}
+    return sales.report_parts(detail.where(cond), tb.users(tb.table(spark, sf, "customer")), SALES_PAGE, SALES_PAGE_SIZE,
+                              ["order_id", "line_no"], "user_id", groups)
 
 
 def coupon_alert_sliding(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,6 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_hours_json": dau_hours_json,
     "gmv_hours_json": gmv_hours_json,
     "detail_report": detail_report,
+    "detail_stats": detail_stats,
     "coupon_alert_sliding": coupon_alert_sliding,
     "json_doc_index": json_doc_index,
     "first_seen": first_seen,

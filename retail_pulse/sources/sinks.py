@@ -14,6 +14,7 @@ same read written back.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,8 +87,15 @@ def upsert_documents(docs: DataFrame, path: str, batch_id: int, id_col: str = "i
     """
     fields = [c for c in docs.columns if c != id_col]
     seq = F.col(order_col) if order_col else F.xxhash64(*[F.col(c) for c in fields])
-    out = with_auto_ids(docs, batch_id, id_col).withColumn("_seq", seq.cast("bigint"))
-    write_batch_partition(out, path, batch_id, partition_cols)
+    docs = docs.persist(StorageLevel.MEMORY_AND_DISK)  # the input is computed once
+    try:
+        if docs.where(F.col(id_col).isNull()).isEmpty():
+            named = docs.withColumn(id_col, F.col(id_col).cast("string"))
+        else:
+            named = with_auto_ids(docs, batch_id, id_col)
+        write_batch_partition(named.withColumn("_seq", seq.cast("bigint")), path, batch_id, partition_cols)
+    finally:
+        docs.unpersist()
 
 
 def index_json(messages: DataFrame, path: str, batch_id: int, id_field: str = "id", value_col: str = "value") -> None:

@@ -12,6 +12,7 @@ Column mapping used by the registered queries:
                coupon = ``purchase``, click = ``click``
 * order info:  ``orders`` with ``create_time`` rendered from ``o_orderdate`` and a
                synthetic 11-digit phone ``'1' || lpad(o_custkey, 10, '0')``
+* user:        ``customer`` with a gender (even key F, odd M) and an age (16 + key mod 30) made from the key
 """
 
 from __future__ import annotations
@@ -74,6 +75,14 @@ def order_info(orders: DataFrame) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
 
 
+def users(customer: DataFrame) -> DataFrame:
+    """customer -> user columns of a sale row. The table has neither gender nor age: both are made from the key."""
+    return customer.select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), F.col("c_mktsegment").alias("user_level"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("user_gender"),
+        (F.lit(16) + F.col("c_custkey") % 30).cast("int").alias("user_age"))
+
+
 def sale_detail(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Wide sale row: order line x order x SKU (inner joins on keys)."""
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")

@@ -4,21 +4,22 @@ The reference windows by processing time; here windows are on event time
 (``window(ts, duration, slide)``) with a watermark, so replays and late data
 give the same documents.
 
-* Streaming part (stateful, RocksDB-compatible state): stage-1 profile
-  aggregate per ``(window, mid, evid)`` in **append** mode -- a window's rows
+* Streaming part (stateful, RocksDB-compatible state): counts per
+  ``(window, mid, evid, coupon user, coupon item)`` in **append** mode -- a window's rows
   are emitted once, when the watermark passes its end, all in the same
-  micro-batch.
-* ``foreachBatch`` part (static frame): fold the event-type rows into one
-  profile per device-window, apply the rule, build documents keyed by
-  ``mid || minute(window end)`` and upsert them under the batch id
-  (last write wins per id).
-
-State per key is bounded by distinct coupon users/items of the device in
-the window (sets), never by its number of events.
+  micro-batch. A state row is a key and a number, whatever the device does; no
+  list or set is ever kept or rewritten.
+* Sliding windows are put together from panes: a first aggregate counts per pane (as long as
+  the slide), a second one, chained to it, adds the panes of each window. An event is
+  counted once, and only the pane's counts are copied into the windows that hold it.
+* ``foreachBatch`` part (static frame): the rule first, then the lists of the
+  device-windows that alert; documents keyed by ``mid || minute(window end)`` are upserted under
+  the batch id (last write wins per id), in folders by the day of the window's end.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,14 +44,19 @@ def _timed(events: DataFrame, ts: str, delay: str, arrival_time: bool) -> DataFr
 def stage_one(events: DataFrame, duration: str = DEFAULT_WINDOW, slide: str | None = DEFAULT_SLIDE,
               delay: str = "1 minute", coupon: str = A.COUPON_EVENT, ts: str = "ts",
               arrival_time: bool = False) -> DataFrame:
-    """Streaming: watermark + window + per (window, mid, evid) partial profile."""
-    ev = _timed(events, ts, delay, arrival_time)
-    w = F.window(F.col(ts), duration, slide) if slide else F.window(F.col(ts), duration)
+    """Streaming: watermark + window + counts per (window, mid, evid, uid, item); users and items of coupon events only.
+
+    With a ``slide`` (which must divide ``duration``) the windows are added up from panes of that length.
+    """
     is_coupon = F.col("evid") == F.lit(coupon)
-    return ev.groupBy(w.alias("window"), "mid", "evid").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.collect_set(F.when(is_coupon, F.col("uid"))).alias("_uids"),
-        F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("_items"))
+    ev = _timed(events, ts, delay, arrival_time).withColumn("uid", F.when(is_coupon, F.col("uid"))) \
+        .withColumn("item", F.when(is_coupon, F.col("itemid")))
+    key = ["mid", "evid", "uid", "item"]
+    first = ev.groupBy(F.window(F.col(ts), slide or duration).alias("window"), *key).agg(F.count(F.lit(1)).alias("n"))
+    if not slide or slide == duration:
+        return first
+    panes = first.select(F.window_time("window").alias("pane_time"), *key, "n")
+    return panes.groupBy(F.window("pane_time", duration, slide).alias("window"), *key).agg(F.sum("n").alias("n"))
 
 
 # Stored alert document versions (as written by ``upsert_documents``).
@@ -60,21 +66,30 @@ ALERT_DOC_TABLE = T.StructType([
     T.StructField("events", T.ArrayType(T.StructType([T.StructField("evid", T.StringType()),
                                                       T.StructField("n", T.LongType())]))),
     T.StructField("n_events", T.LongType()),
-    T.StructField("ts", T.LongType()), T.StructField("_seq", T.LongType()), T.StructField("_batch_id", T.LongType()),
+    T.StructField("ts", T.LongType()), T.StructField("_seq", T.LongType()), T.StructField("win_date", T.StringType()),
+    T.StructField("_batch_id", T.LongType()),
 ])
 
 
-def alert_index(spark: SparkSession, docs_path: str) -> DataFrame:
-    """Latest alert document per id (empty, not an error, before the first alert)."""
-    return latest_documents(spark.read.schema(ALERT_DOC_TABLE).parquet(docs_path))
+def alert_index(spark: SparkSession, docs_path: str, win_dates: list[str] | None = None) -> DataFrame:
+    """Latest alert document per id (empty, not an error, before the first alert); ``win_dates`` reads the folders of these days."""
+    t = spark.read.schema(ALERT_DOC_TABLE).parquet(docs_path)
+    if win_dates is not None:
+        t = t.where(F.col("win_date").isin(win_dates))
+    return latest_documents(t)
 
 
 def alert_batch_writer(docs_path: str, coupon: str = A.COUPON_EVENT, click: str = A.CLICK_EVENT,
                        min_users: int = A.MIN_COUPON_USERS):
     def process(batch: DataFrame, batch_id: int) -> None:
-        prof = A.fold_profiles(batch, coupon, click)
-        docs = A.alert_documents(A.alert_rule(prof, min_users))  # events kept as the bounded histogram
-        upsert_documents(docs, docs_path, batch_id, "id", order_col="ts")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # the rule and the lists read it
+        try:
+            alerts = A.alerts_of_counts(batch, min_users, coupon, click)
+            docs = A.alert_documents(alerts)  # events kept as the bounded histogram
+            docs = docs.withColumn("win_date", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
+            upsert_documents(docs, docs_path, batch_id, "id", order_col="ts", partition_cols=["win_date"])
+        finally:
+            batch.unpersist()
     return process
 
 
@@ -141,6 +156,13 @@ def live_alert_writer(spark: SparkSession, docs_path: str, min_users: int = A.MI
     are live and whose profile stopped qualifying (never one per non-alerting device). The live
     documents are looked up only in the window-end dates of this batch (a handful of folders)."""
     def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            store(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def store(batch: DataFrame, batch_id: int) -> None:
         end_ms = to_millis(F.col("window.end"))
         docs = batch.select(
             F.concat(F.col("mid").cast("string"), minute_of(end_ms).cast("string")).alias("id"),

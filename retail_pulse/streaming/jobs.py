@@ -17,6 +17,10 @@ the checkpoint.
 * ``alert_stream``: the watermarked window job in append mode; a last row far in the future
   closes every window, so the result is the whole batch answer.
 * ``alert_live``: the same windows in update mode (alerts while a window is open).
+* ``alert_sliding_stream``: sliding windows put together from panes, both in the state.
+* ``dau_state_stream``: the DAU job with its seen keys in keyed state.
+* ``first_seen_stream``: the first day of each device as a maintained table; ``metric_cards_table``: the
+  dashboard's cards from one day's folders of these tables.
 * ``gmv_stream``: a change feed built from orders and customers, in commit
   order -> order table (+ quarantine); entries of other databases are not subscribed.
 * ``order_table_keyed``: every order message delivered twice.
@@ -24,7 +28,7 @@ the checkpoint.
 * ``dau_table_*``, ``gmv_table_*``: the dashboard's numbers read from the tables that the jobs wrote.
 * ``dau_batch_counts``: the per-batch counts that ride on the write job.
 * ``sale_detail_stream``: order and line change streams -> interval join ->
-  SKU enrichment.
+  SKU and user enrichment; ``sale_unmatched``: the lines parked; ``sale_recovered``: the sales after their re-injection.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_pulse.operators import alert as A
-from retail_pulse.operators import cdc, metrics
+from retail_pulse.operators import cdc, dashboard, metrics
 from retail_pulse.plans import queries as Q
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers
@@ -45,11 +49,12 @@ from retail_pulse.schemas import (ALERT_INDEX_SUFFIX, ES_ALERT_INDEX, ES_SALE_DE
                                   STARTUP_LOG)
 from retail_pulse.sources.sinks import index_name, materialize
 from retail_pulse.streaming import alert as SA
+from retail_pulse.streaming import keyed as K
 from retail_pulse.functions.jsonparse import to_json_messages
 from retail_pulse.functions.time import to_millis
 from retail_pulse.streaming.dau import dau_table_view, start_dau_stream, startup_from_messages, startup_parsed
 from retail_pulse.streaming.gmv import order_batch_writer, order_table, parsed_orders, start_gmv_stream
-from retail_pulse.streaming.sales import start_sale_detail_stream
+from retail_pulse.streaming.sales import PARKED_LINES, parked_beside, recover_parked, start_sale_detail_stream, start_user_stream
 from retail_pulse.streaming.runner import BatchCounts, replay_chunks, stream_conf
 
 REPLAY_SLICES = 4
@@ -57,6 +62,8 @@ ALERT_WINDOW = "1 day"
 ALERT_DELAY = "1 hour"
 AVAILABLE_NOW = {"availableNow": True}
 TIMEOUT_S = 600
+# every third user has another level from this time on (shared with the oracle SQL)
+USER_CHANGE = Q.USER_CHANGE
 
 
 # Micro-batch wall times (ms, ``triggerExecution``) of the last replay per job.
@@ -93,6 +100,63 @@ def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
         .select("mid", "log_date", "log_hour", "event_id", "ts_ms")
 
 
+def _replay_logs(spark: SparkSession, sf: str, job: str, starts) -> None:
+    """Replay the startup logs in time slices; after each one run the queries that ``starts`` makes of the stream."""
+    BATCH_MS[job] = []
+    src = os.path.join(shared_dir(spark, job.replace("_", "-")), "source")
+    logs = tb.startup_logs(tb.table(spark, sf, "events")).select("mid", "uid", "event_id", "ts", "ts_ms", "log_date", "log_hour")
+    for _ in replay_chunks(spark, logs, "ts", REPLAY_SLICES, src):
+        stream = spark.readStream.schema(logs.schema).parquet(src).withColumn("ts_event", F.col("ts").cast("timestamp")).drop("ts")
+        for q in [start(stream) for start in starts]:  # beside each other, as they are deployed
+            _await(q, job)
+
+
+_DAU_STATE_TABLE = T.StructType([T.StructField("mid", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("event_id", T.LongType()),
+                                 T.StructField("ts_ms", T.LongType()), T.StructField("log_hour", T.StringType()),
+                                 T.StructField("log_date", T.StringType()), T.StructField("_batch_id", T.LongType())])
+
+
+def dau_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily active devices with the seen keys in keyed state: nothing of the table is read while the job runs."""
+    work = shared_dir(spark, "dau-state")
+    detail, ckpt = os.path.join(work, "detail"), os.path.join(work, "checkpoint")
+    _replay_logs(spark, sf, "dau_state_stream", [
+        lambda stream: K.start_dau_state_stream(stream, detail, ckpt, AVAILABLE_NOW, ["ts_ms", "ts_event", "event_id"])])
+    return K.dau_state_table(spark, detail, _DAU_STATE_TABLE).select("mid", "log_date", "log_hour", "event_id", "ts_ms")
+
+
+def first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The first day of each device, kept up by a job of its own."""
+    work = shared_dir(spark, "first-seen")
+    path, ckpt = os.path.join(work, "first_seen"), os.path.join(work, "checkpoint")
+    _replay_logs(spark, sf, "first_seen_stream", [lambda stream: K.start_first_seen_stream(spark, stream, path, ckpt, AVAILABLE_NOW)])
+    return K.first_seen_table(spark, path).select(F.col("mid").cast("bigint").alias("mid"), "first_date")
+
+
+def metric_cards_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric cards of a day from the tables that the jobs keep: one day folder of devices, one of first days, one month of orders."""
+    work = shared_dir(spark, "metric-cards")
+    detail, seen, orders, bad, msgs = (os.path.join(work, p) for p in ("detail", "first_seen", "orders", "quarantine", "messages"))
+    ckpt = [os.path.join(work, f"checkpoint-{n}") for n in range(3)]
+    _replay_logs(spark, sf, "metric_cards_table", [
+        lambda stream: K.start_dau_state_stream(stream, detail, ckpt[0], AVAILABLE_NOW, ["ts_ms", "ts_event", "event_id"]),
+        lambda stream: K.start_first_seen_stream(spark, stream, seen, ckpt[1], AVAILABLE_NOW)])
+    # purchases are the orders whose time has an hour
+    bought = tb.table(spark, sf, "events").where(F.col("event_type") == F.lit(tb.EVENTS_COUPON))
+    to_json_messages(bought.select(F.col("event_id").cast("string").alias("id"), F.col("value").cast("string").alias("total_amount"),
+                                   F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"))).write.text(msgs)
+    parsed = parsed_orders(readers.message_stream(spark, msgs, max_files_per_trigger=None))
+    _await(parsed.writeStream.foreachBatch(order_batch_writer(orders, bad)).option("checkpointLocation", ckpt[2])
+           .trigger(**AVAILABLE_NOW).start(), "metric_cards_table")
+    return table_cards(spark, detail, seen, orders, Q.NEW_DEVICE_DATE)
+
+
+def table_cards(spark: SparkSession, detail: str, seen: str, orders: str, date: str) -> DataFrame:
+    day = K.dau_state_table(spark, detail, _DAU_STATE_TABLE, [date])
+    return dashboard.metric_cards(metrics.count_total(day, "dau"), K.new_devices_of_day(spark, seen, date),
+                                  metrics.sum_total(order_table(spark, orders, [date]), "TOTAL_AMOUNT", "order_amount"))
+
+
 def _dau_table_day(spark: SparkSession, sf: str, job: str) -> DataFrame:
     detail, schema = _replay_dau(spark, sf, job)
     return dau_table_view(readers.detail_table(spark, detail, "log_date", [Q.DAU_DATE], schema))
@@ -168,11 +232,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
                                      coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_stream")
     for _ in replay_chunks(spark, ev, "ts", REPLAY_SLICES, src):
         run()
-    # append mode holds a window until the watermark has passed it: one row far ahead closes them all
-    flush = ev.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).where("ts IS NOT NULL") \
-        .select(F.lit(None).cast("string").alias("mid"), F.lit(None).cast("string").alias("uid"), F.lit("flush").alias("evid"),
-                F.lit(None).cast("string").alias("itemid"), "ts")
-    flush.write.mode("append").parquet(src)
+    _flush(ev).write.mode("append").parquet(src)
     run()
     latest = SA.alert_index(spark, docs)
     return latest.select("id", "mid", F.size("uids").cast("bigint").alias("n_uids"),
@@ -180,6 +240,34 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
                          A.hist_text(F.col("events")).alias("events"), "ts")
 
 
+def alert_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """One-day windows every 12 hours, streamed: 12-hour panes, and the windows added up from them."""
+    BATCH_MS["alert_sliding_stream"] = []
+    work = shared_dir(spark, "alert-sliding")
+    src, docs, ckpt = (os.path.join(work, p) for p in ("source", "docs", "checkpoint"))
+    ev = tb.event_logs(tb.table(spark, sf, "events")).select("mid", "uid", "evid", "itemid", "ts")
+
+    def run():
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        _await(SA.start_alert_stream(spark, stream, docs, ckpt, AVAILABLE_NOW, ALERT_WINDOW, Q.ALERT_SLIDE, ALERT_DELAY,
+                                     coupon=tb.EVENTS_COUPON, click=tb.EVENTS_CLICK), "alert_sliding_stream")
+    for _ in replay_chunks(spark, ev, "ts", 2, src):
+        run()
+    _flush(ev).write.mode("append").parquet(src)
+    run()
+    start = F.timestamp_millis("ts") - F.expr(f"INTERVAL {ALERT_WINDOW}")
+    return SA.alert_index(spark, docs).select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "mid",
+                                              F.size("uids").cast("bigint").alias("n_uids"), F.array_join("uids", ",").alias("uids"),
+                                              "n_events", A.hist_text(F.col("events")).alias("events"))
+
+
+def _flush(ev: DataFrame) -> DataFrame:
+    """One row far ahead: append mode holds a window until the watermark has passed it, and this row closes them all."""
+    return ev.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).where("ts IS NOT NULL") \
+        .select(F.lit(None).cast("string").alias("mid"), F.lit(None).cast("string").alias("uid"), F.lit("flush").alias("evid"),
+                F.lit(None).cast("string").alias("itemid"), "ts")
+
+
 def alert_live(spark: SparkSession, sf: str) -> DataFrame:
     """The update-mode alert job over the same windows: what is live once all events are in."""
     BATCH_MS["alert_live"] = []
@@ -246,13 +334,32 @@ def gmv_stream(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("CREATE_DATE").alias("create_date"), F.col("CREATE_HOUR").alias("create_hour"))
 
 
+def _user_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A change stream of users: all of them from the start, and a new level of every third one from ``USER_CHANGE`` on."""
+    users = tb.users(tb.table(spark, sf, "customer"))
+    first = users.withColumn("valid_from", F.lit("1990-01-01 00:00:00").cast("timestamp"))
+    later = users.where(F.col("user_id") % 3 == 0).withColumn("user_level", F.lower("user_level")) \
+        .withColumn("valid_from", F.lit(USER_CHANGE).cast("timestamp"))
+    return first.unionByName(later)
+
+
+def _replay_users(spark: SparkSession, sf: str, work: str, job: str) -> str:
+    src, path, ckpt = (os.path.join(work, p) for p in ("user-changes", "users", "user-checkpoint"))
+    changes = _user_changes(spark, sf)
+    changes.write.parquet(src)
+    _await(start_user_stream(spark.readStream.schema(changes.schema).parquet(src), path, ckpt, AVAILABLE_NOW), job)
+    return path
+
+
 def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and order lines replayed as two change streams (a line is committed with its order,
-    ``ts`` = order time + line number seconds), interval-joined, enriched with the SKU table."""
+    ``ts`` = order time + line number seconds), interval-joined, enriched with the SKU table and with
+    the user as of the order's time."""
     BATCH_MS["sale_detail_stream"] = []
     work = shared_dir(spark, "sale-stream")
     o_src, l_src, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "checkpoint"))
     table = os.path.join(work, ES_SALE_DETAIL_INDEX)
+    users = _replay_users(spark, sf, work, "sale_detail_stream")
     orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
     # the line feed (each line stamped with its order's commit time) is built once, then sliced
     lines = materialize(tb.table(spark, sf, "lineitem").join(orders.select("o_orderkey", "ts"),
@@ -266,17 +373,18 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     for _ in slices:
         os_ = spark.readStream.schema(orders.schema).parquet(o_src)
         ls_ = spark.readStream.schema(lines.schema).parquet(l_src)
-        _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW), "sale_detail_stream")
+        _await(start_sale_detail_stream(spark, os_, ls_, part, table, ckpt, AVAILABLE_NOW, users_path=users), "sale_detail_stream")
     # the query alias is a view over the index table (view names take no "-")
     alias = readers.register_view(spark.read.parquet(table).drop("_batch_id", "dt_month"), ES_SALE_DETAIL_QUERY.replace("-", "_"))
     return spark.table(alias)
 
 
-def sale_unmatched(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines that no sale row is made of, per reason: every seventh order never comes, every fifth SKU is unknown."""
-    BATCH_MS["sale_unmatched"] = []
-    work = shared_dir(spark, "sale-unmatched")
-    o_src, l_src, table, lost, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "sales", "unmatched", "checkpoint"))
+def _replay_gaps(spark: SparkSession, sf: str, job: str, users: bool = False) -> tuple[str, str, str | None]:
+    """The sale job where every seventh order never comes in time and every fifth SKU is unknown: (table, parked lines, users)."""
+    BATCH_MS[job] = []
+    work = shared_dir(spark, job.replace("_", "-"))
+    o_src, l_src, table, ckpt = (os.path.join(work, p) for p in ("orders", "lines", "sales", "checkpoint"))
+    users_path = _replay_users(spark, sf, work, job) if users else None
     all_orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
     lines = tb.table(spark, sf, "lineitem").join(all_orders.select("o_orderkey", "ts"), F.col("l_orderkey") == F.col("o_orderkey")) \
         .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "ts")
@@ -290,8 +398,25 @@ def sale_unmatched(spark: SparkSession, sf: str) -> DataFrame:
             ahead.select(F.lit(-2).cast("long").alias("l_orderkey"), *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in lines.columns[1:-1]],
                          "ts").write.mode("append").parquet(l_src)
         streams = [spark.readStream.schema(d.schema).parquet(p) for d, p in ((all_orders, o_src), (lines, l_src))]
-        _await(start_sale_detail_stream(spark, *streams, part, table, ckpt, AVAILABLE_NOW, unmatched_path=lost), "sale_unmatched")
-    return spark.read.parquet(lost).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+        _await(start_sale_detail_stream(spark, *streams, part, table, ckpt, AVAILABLE_NOW, users_path=users_path), job)
+    return table, parked_beside(table), users_path
+
+
+def sale_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines that no sale row is made of, per reason: every seventh order never comes, every fifth SKU is unknown."""
+    _, parked, _ = _replay_gaps(spark, sf, "sale_unmatched")
+    return spark.read.schema(PARKED_LINES).parquet(parked).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sale_recovered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, after the missing orders and then the missing SKUs have come: the sale rows are complete, with their users."""
+    table, parked, users = _replay_gaps(spark, sf, "sale_recovered", users=True)
+    orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("ts"))
+    part = tb.table(spark, sf, "part")
+    recover_parked(spark, orders, part.where(F.col("p_partkey") % 5 != 0), table, 0, users_path=users)
+    for _ in range(2):  # the second round is run twice, as after a crash
+        recover_parked(spark, orders, part, table, 1, users_path=users)
+    return spark.read.parquet(table).drop("_batch_id", "dt_month")
 
 
 def _with_stream_conf(fn):
@@ -317,4 +442,9 @@ STREAM_QUERIES = {name: _with_stream_conf(fn) for name, fn in {
     "gmv_table_hour": gmv_table_hour,
     "alert_live": alert_live,
     "sale_unmatched": sale_unmatched,
+    "sale_recovered": sale_recovered,
+    "dau_state_stream": dau_state_stream,
+    "first_seen_stream": first_seen_stream,
+    "metric_cards_table": metric_cards_table,
+    "alert_sliding_stream": alert_sliding_stream,
 }.items()}

@@ -83,8 +83,10 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: list[str],
     pattern = f"{path.rstrip('/')}/{col}={{{','.join(sorted(values))}}}"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(pattern)
-    except AnalysisException:  # no folder for any of the values yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no folder for any of the values yet
+            return None
+        raise
 
 
 class BatchCounts:

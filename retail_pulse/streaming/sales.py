@@ -19,16 +19,22 @@ the streaming plan would not get. Each micro-batch appends its rows under
 ``_batch_id`` (idempotent on replay), in folders by month and sorted by day inside, so that a
 day's page reads one folder and few row groups.
 
-With an ``unmatched_path`` the join is a left outer one: a line whose order did not come in time, or
-whose SKU is not in the table, goes to that table with a reason. Rows that arrive behind the
+The join is a left outer one: a line whose order did not come in time, or
+whose SKU is not in the table, is parked in a table beside the sales, whole and with a reason, and
+:func:`recover_parked` re-injects it once order and SKU are there. Rows that arrive behind the
 watermark are dropped by Spark before the join; :func:`late_rows` counts them.
+
+User columns come from a table of user versions that a change stream extends
+(:func:`start_user_stream`): a sale row has the version that was valid when the order was made.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_pulse.sources.sinks import write_batch_partition
 
@@ -55,12 +61,13 @@ def enrich_with_sku(order_lines: DataFrame, part: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("sku_id"),
         F.col("p_name").alias("sku_name"), F.col("l_quantity").alias("sku_num"),
-        F.col("l_extendedprice").alias("sku_price"), F.date_format("o_ts", "yyyy-MM-dd").alias("dt"))
+        F.col("l_extendedprice").alias("sku_price"), F.date_format("o_ts", "yyyy-MM-dd").alias("dt"), F.col("o_ts").alias("order_ts"))
 
 
 def unmatched_lines(order_lines: DataFrame, part: DataFrame) -> DataFrame:
     """Lines that no sale row is made of, with the reason ``no_order`` or ``no_sku``."""
-    columns = [F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"), F.col("l_partkey").alias("sku_id")]
+    columns = [F.col("l_orderkey").cast("long").alias("order_id"), F.col("l_linenumber").cast("int").alias("line_no"), F.col("l_partkey").cast("long").alias("sku_id"),
+               F.col("l_quantity").cast("double").alias("sku_num"), F.col("l_extendedprice").cast("double").alias("sku_price"), F.col("l_ts").alias("line_ts")]
     lost = order_lines.where(F.col("o_orderkey").isNull()).select(*columns, F.lit("no_order").alias("reason"))
     known = part.select(F.col("p_partkey").alias("l_partkey"))
     return lost.unionByName(order_lines.where(F.col("o_orderkey").isNotNull()).join(known, "l_partkey", "left_anti")
@@ -71,18 +78,124 @@ def late_rows(query) -> int:
     """Rows that a running or finished query dropped because they came behind the watermark (of its kept progress reports)."""
     return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
 
+# --- users: a dimension with versions -------------------------------------------
 
-def start_sale_detail_stream(spark: SparkSession, orders: DataFrame, lines: DataFrame, part: DataFrame,
-                             table_path: str, checkpoint: str, trigger: dict, unmatched_path: str | None = None, **kw):
+USER_COLUMNS = ["user_name", "user_level", "user_gender", "user_age"]
+USER_VERSIONS = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("valid_from", T.TimestampType()), T.StructField("user_name", T.StringType()),
+    T.StructField("user_level", T.StringType()), T.StructField("user_gender", T.StringType()), T.StructField("user_age", T.IntegerType()),
+    T.StructField("_batch_id", T.LongType())])
+
+
+def user_version_writer(path: str):
+    """``foreachBatch`` on a change stream of users: every change is a version, valid from its commit time on."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        good = batch.where(F.col("user_id").isNotNull() & F.col("valid_from").isNotNull())
+        write_batch_partition(good.select("user_id", "valid_from", *USER_COLUMNS), path, batch_id)
+    return process
+
+
+def start_user_stream(users: DataFrame, path: str, checkpoint: str, trigger: dict):
+    return users.writeStream.foreachBatch(user_version_writer(path)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def user_versions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(USER_VERSIONS).parquet(path)
+
+
+def with_user(rows: DataFrame, versions: DataFrame, user_id: str = "user_id", at: str = "order_ts") -> DataFrame:
+    """``rows`` with the user columns of the version that was valid at the time ``at`` (NULL where there is none).
+
+    An as-of join: the distinct (user, time) pairs of the rows meet the user's versions up to that time, and the last one wins by a
+    partial aggregate; a user with many rows costs one row per time.
+    """
+    keys = rows.select(F.col(user_id).alias("_u"), F.col(at).alias("_t")).distinct()
+    seen = keys.join(versions, (F.col("_u") == versions["user_id"]) & (versions["valid_from"] <= F.col("_t")))
+    last = seen.groupBy("_u", "_t").agg(F.max_by(F.struct(*USER_COLUMNS), F.struct("valid_from", "_batch_id")).alias("_v"))
+    found = last.select("_u", "_t", *[F.col(f"_v.{c}").alias(c) for c in USER_COLUMNS])
+    return rows.join(found, (F.col(user_id) == F.col("_u")) & (F.col(at) == F.col("_t")), "left").drop("_u", "_t")
+
+
+# --- the job ----------------------------------------------------------------------
+
+def sale_writer(spark: SparkSession, part: DataFrame, table_path: str, parked_path: str, users_path: str | None = None):
+    """``foreachBatch`` of the joined lines: sale rows to the table, lines without an order or SKU to ``parked_path``."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK) if unmatched_path else batch
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = enrich_with_sku(batch.where(F.col("o_orderkey").isNotNull()), part)
-            write_batch_partition(rows.withColumn("dt_month", F.substring("dt", 1, 7)), table_path, batch_id, ["dt_month"], sort_cols=["dt"])
-            if unmatched_path:
-                write_batch_partition(unmatched_lines(batch, part), unmatched_path, batch_id)
+            write_sales(spark, batch.where(F.col("o_orderkey").isNotNull()), part, table_path, batch_id, users_path)
+            write_batch_partition(unmatched_lines(batch, part), parked_path, batch_id)
         finally:
-            if unmatched_path:
-                batch.unpersist()
-    return order_line_stream(orders, lines, keep_unmatched=unmatched_path is not None, **kw).writeStream.outputMode("append") \
-        .foreachBatch(process).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+            batch.unpersist()
+    return process
+
+
+def write_sales(spark: SparkSession, order_lines: DataFrame, part: DataFrame, table_path: str, batch_id: int, users_path: str | None) -> None:
+    rows = enrich_with_sku(order_lines, part)
+    if users_path:
+        rows = with_user(rows, user_versions(spark, users_path))
+    out = rows.drop("order_ts").withColumn("dt_month", F.substring("dt", 1, 7))
+    write_batch_partition(out, table_path, batch_id, ["dt_month"], sort_cols=["dt"])
+
+
+def start_sale_detail_stream(spark: SparkSession, orders: DataFrame, lines: DataFrame, part: DataFrame,
+                             table_path: str, checkpoint: str, trigger: dict, unmatched_path: str | None = None,
+                             users_path: str | None = None, **kw):
+    """Lines that make no sale row are parked beside the table (``<table>_parked``) unless a path is given: none is dropped."""
+    writer = sale_writer(spark, part, table_path, unmatched_path or parked_beside(table_path), users_path)
+    return order_line_stream(orders, lines, keep_unmatched=True, **kw).writeStream.outputMode("append") \
+        .foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def parked_beside(table_path: str) -> str:
+    return table_path.rstrip("/") + "_parked"
+
+
+# --- parked lines -------------------------------------------------------------------
+
+#: recovered rows lie above every batch of the stream, so neither overwrites the other's folders
+RECOVERED_BATCH = 1 << 40
+
+PARKED_LINES = T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("line_no", T.IntegerType()), T.StructField("sku_id", T.LongType()),
+    T.StructField("sku_num", T.DoubleType()), T.StructField("sku_price", T.DoubleType()), T.StructField("line_ts", T.TimestampType()),
+    T.StructField("reason", T.StringType()), T.StructField("_batch_id", T.LongType())])
+
+
+def recover_parked(spark: SparkSession, orders: DataFrame, part: DataFrame, table_path: str, round_id: int,
+                   unmatched_path: str | None = None, users_path: str | None = None) -> None:
+    """Re-inject parked lines whose order and SKU are there by now (a scheduled job; ``round_id`` counts its runs).
+
+    The lines recovered in earlier rounds are listed in ``<parked>_recovered`` and left out; a round that is run again rewrites its own
+    folders. ``orders`` (o_orderkey, o_custkey, ts) holds late orders too. The sale row is the one the stream would have written.
+    """
+    parked_path = unmatched_path or parked_beside(table_path)
+    done_path = parked_path.rstrip("/") + "_recovered"
+    batch_id = RECOVERED_BATCH + round_id
+    open_ = open_lines(spark, parked_path, before=batch_id)
+    o = orders.select(F.col("o_orderkey").alias("_o"), F.col("o_custkey"), F.col("ts").cast("timestamp").alias("o_ts"))
+    p = part.select(F.col("p_partkey").alias("_p"))
+    ready = open_.join(o, F.col("order_id") == F.col("_o")).join(p, F.col("sku_id") == F.col("_p"), "left_semi").select("line_key",
+        F.col("order_id").alias("l_orderkey"), F.col("line_no").alias("l_linenumber"), F.col("sku_id").alias("l_partkey"),
+        F.col("sku_num").alias("l_quantity"), F.col("sku_price").alias("l_extendedprice"), F.col("order_id").alias("o_orderkey"), "o_custkey", "o_ts") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_sales(spark, ready, part, table_path, batch_id, users_path)
+        write_batch_partition(ready.select(F.col("l_orderkey").alias("order_id"), "line_key"), done_path, batch_id)
+    finally:
+        ready.unpersist()
+
+
+def open_lines(spark: SparkSession, parked_path: str, before: int = 1 << 62) -> DataFrame:
+    """The parked lines that no round below ``before`` has recovered."""
+    # line numbers need not be unique in an order: a line is known by all that it holds
+    held = [c for c in PARKED_LINES.fieldNames() if c not in ("reason", "_batch_id")]
+    parked = spark.read.schema(PARKED_LINES).parquet(parked_path).withColumn("line_key", F.xxhash64(*held))
+    schema = T.StructType([PARKED_LINES["order_id"], T.StructField("line_key", T.LongType()), PARKED_LINES["_batch_id"]])
+    try:
+        done = spark.read.schema(schema).parquet(parked_path.rstrip("/") + "_recovered").where(F.col("_batch_id") < F.lit(before))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return parked  # no round yet
+    return parked.join(done.select("order_id", "line_key"), ["order_id", "line_key"], "left_anti")

@@ -49,8 +49,31 @@ def test_detail_report_parts(spark):
                         stat_groups={"gender": F.col("gender"), "age": bucket_by("age", age)})
     assert rep["total"].first().total == 2
     assert [r.order_id for r in rep["detail"].collect()] == [1]
-    assert {r.name: r.value for r in rep["stat"]["age"].collect()} == {"20岁以下": 1, "30岁以上": 1}
-    assert {r.name: r.percent for r in rep["stat"]["gender"].collect()} == {"M": 50.0, "F": 50.0}
+    stat = {(r.stat, r.name): (r.value, r.percent) for r in rep["stat"].collect()}
+    assert stat == {(None, None): (2, 100.0), ("age", "20岁以下"): (1, 50.0), ("age", "30岁以上"): (1, 50.0), ("gender", "M"): (1, 50.0), ("gender", "F"): (1, 50.0)}
+
+
+def test_statistics_come_from_one_aggregate(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from retail_pulse.operators.sales import AGE_BANDS, AGE_LABELS, bucket_by, statistics, statistics_row
+    rows = spark.createDataFrame([("M", 19), ("M", 19), ("F", 33), (None, 25), ("F", None)], "gender string, age int")
+    groups = {"age": bucket_by("age", AGE_BANDS), "gender": F.col("gender")}
+    stats = statistics(rows, groups)
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate ") == 1 and plan.count("Expand ") == 1 and "collect_list" not in plan
+    got = {(r.stat, r.name): (r.value, r.percent) for r in stats.collect()}
+    # a NULL value of a group is a row of that group, not the total
+    assert got == {(None, None): (5, 100.0), ("age", AGE_LABELS[0]): (2, 40.0), ("age", AGE_LABELS[1]): (1, 20.0), ("age", AGE_LABELS[2]): (1, 20.0),
+                   ("age", None): (1, 20.0), ("gender", "M"): (2, 40.0), ("gender", "F"): (2, 40.0), ("gender", None): (1, 20.0)}
+    row = statistics_row(stats, {"age": AGE_LABELS, "gender": ["F", "M", "X"]}).first()
+    assert row.total == 5 and json.loads(row.stat) == [
+        {"group": "age", "options": [{"name": n, "value": v} for n, v in zip(AGE_LABELS, (2, 1, 1))]},
+        {"group": "gender", "options": [{"name": "F", "value": 2}, {"name": "M", "value": 2}]}]
+    none = statistics(rows.limit(0), groups)
+    assert none.collect() == [] and statistics_row(none, {"gender": ["F"]}).first().total == 0
 
 
 def test_metric_cards_json_omits_null_values(spark):
