@@ -268,7 +268,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield _removed_rows(*out, out[1])
 
     found = (src.mapInArrow(suffixes, _ROW).repartition("gram").sortWithinPartitions("gram").mapInArrow(resolve, _ROW))
-    return found.groupBy("doc", "sig").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return found.groupBy("doc", "sig").agg(F.collect_set(F.struct("start", "n")).alias("spans"))  # equal rows find the same spans
 
 
 def _kept(words: list[bytes], spans, window: int) -> list[bytes]:
