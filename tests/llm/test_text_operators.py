@@ -159,6 +159,15 @@ def test_removals_within_a_task_are_dealt_over_many_groups(spark, monkeypatch):
     assert rows.n >= 199 and rows.groups > 100
 
 
+def test_equal_rows_find_their_spans_once(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, words)] + [(2, words)] * 1500 + [(None, words)] * 50, "doc_id long, text string").repartition(8)
+    spans = {r.doc: len(r.spans) for r in substring.removed_windows(df, "doc_id", "text", 20).collect()}
+    assert max(spans.values()) < 100  # not one for each row
+    got = {(r.doc_id, r.n_removed) for r in substring.remove_repeats(df, window=20).collect()}
+    assert got == {(1, 0), (2, 40), (None, 40)}
+
+
 def test_cut_repeats_keeps_untouched_texts_and_all_columns(spark, none):
     a = " ".join(f"w{i}" for i in range(30))
     rows = [(1, "p  q\n" + a, 5), (2, "x y " + a + " z", 0), (3, a, 1), (4, None, 2), (5, "short  text", None)]
@@ -346,6 +355,74 @@ def test_contamination_by_items_cut_at_either_end(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()} == want
 
 
+def _simple_contamination(docs, items, min_lcs=0.6, dense_lcs=0.75, min_answer=0.5, exact_run=13):
+    """Every item against every stretch of an item's length and a third of every document, without any candidate search."""
+    import numpy as np
+    words = lambda t: decontam._clean(t).split()
+    found = set()
+    for i, it in items:
+        own = words(it)
+        number = {w: k for k, w in enumerate(dict.fromkeys(own))}
+        a = np.array([number[w] for w in own])
+        answer = {number[w] for w in own[-max(3, len(own) // 4):]}
+        width = len(own) + len(own) // 3 + 2
+        for d, t in docs:
+            place, b = [], []
+            for p, w in enumerate(words(t)):
+                if w in number:
+                    place.append(p)
+                    b.append(number[w])
+            place, b = np.array(place), np.array(b)
+            for s in range(len(b)):
+                e = int(np.searchsorted(place, place[s] + width))
+                if e - s < min_lcs * len(a):
+                    continue
+                share = decontam.lcs(a, b[s:e]) / len(a)
+                if share >= min_lcs and (share >= dense_lcs or len(answer & set(b[s:e].tolist())) / len(answer) >= min_answer
+                                         or decontam.longest_run(a, b[s:e], place[s:e]) >= exact_run):
+                    found.add((d, i))
+                    break
+    return found
+
+
+def test_candidates_against_all_pairs_of_documents_and_items(spark):
+    """Recall of the latent search over whole tables, with paraphrases planted: nothing but what all pairs give, and nearly all of that."""
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    rng = random.Random(5)
+    pool = [w for _, t in docs[:50] for w in (t or "").split()]
+    for n, (_, t) in enumerate(items * 2):  # words dropped, replaced and put in
+        kept = [w if rng.random() > 0.12 else rng.choice(pool) for w in t.split() if rng.random() > 0.08]
+        at = rng.randrange(len(kept))
+        docs.append((100_000 + n, " ".join([*rng.choices(pool, k=60), *kept[:at], rng.choice(pool), *kept[at:], *rng.choices(pool, k=60)])))
+    want = _simple_contamination(docs, items)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got <= want and len(want) > len(items)
+    assert len(got) >= 0.95 * len(want)
+
+
+def test_latent_space_is_smaller_than_the_items_and_joins_words_that_occur_together(spark):
+    """Two words that always stand among the same others are near each other in the latent space; in plain TF-IDF they share nothing."""
+    import numpy as np
+    rng = random.Random(2)
+    topics = [[f"t{k}w{i}" for i in range(14)] for k in range(24)]
+    items = [(k, " ".join(rng.sample(t, 10))) for k, t in enumerate(topics)] + [(100 + k, " ".join(rng.sample(t, 10))) for k, t in enumerate(topics)]
+    docs = spark.createDataFrame([(n, " ".join(rng.sample(topics[n % 24], 9) + rng.sample(topics[n % 24], 9))) for n in range(600)], "doc_id long, text string").repartition(4)
+    block = decontam._items([(i, t, None) for i, t in items], 24)
+    hits = decontam.written(decontam._hits(docs, block, "doc_id", "text", 200, 3), "test-hits")
+    df, total = decontam._statistics(hits, len(block.vocabulary), 24)
+    idf = decontam._idf(block, df, total, 1.0, 8, 24)
+    basis = decontam.latent_basis(hits, block, block.pieces, idf, 24, 3)
+    assert basis.shape[1] < len(items)  # the items cannot all have a direction of their own
+    plain = decontam._item_matrix(block, block.pieces, idf)
+    latent = decontam._unit(plain @ basis)
+    a, b = plain @ plain.T, latent @ latent.T
+    own, other = np.arange(24), np.arange(24) + 24  # two items of one topic, in different words
+    assert (b[own, other] > a[own, other] + 0.05).mean() > 0.9 and b[own, other].mean() > 0.8
+
+
 def test_lcs_against_the_table():
     import numpy as np
     rng = random.Random(8)
