@@ -12,7 +12,8 @@ Templates of a host are few: each takes up ``min_share`` of its pages. They are
 if their table is small.
 
 Defined cases: NULL and empty html give an empty text; a NULL url has an empty host and shares templates with such pages; a page without
-any markup is one block; white space alone is no block; repeated rows are extracted alike and count as one page; extra columns are ignored.
+any markup is one block; white space alone is no block; elements nested deeper than 200 belong to the one above; a broken declaration is a comment up
+to the next ``>``; repeated rows are extracted alike and count as one page; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,6 +58,10 @@ _JOINT = re.compile(r"[_-]+")
 _SPACE = re.compile(r"\s+")
 
 
+#: elements nested deeper count as text of the one above, as browsers do from some depth on
+_DEPTH = 200
+
+
 class _Node:
     __slots__ = ("tag", "name", "skip", "parts")
 
@@ -88,6 +93,8 @@ class _Tree(HTMLParser):
         self.root = _Node("#root", "", False)
         self.open = [self.root]
         self.title: list[str] = []
+        #: tags opened below the greatest depth, whose text belongs to the element above
+        self.flat: dict[str, int] = {}
 
     def _pop_to(self, tag: str, stop=frozenset()) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -114,6 +121,9 @@ class _Tree(HTMLParser):
                 or own.get("aria-hidden", "").lower() == "true"
                 or tag not in ("html", "body", "article", "main") and named
                 or tag == "article" and named and inside)
+        if len(self.open) >= _DEPTH and not skip:
+            self.flat[tag] = self.flat.get(tag, 0) + 1
+            return
         node = _Node(tag, own.get("class", "").lower(), skip)
         self.open[-1].parts.append(node)
         self.open.append(node)
@@ -126,9 +136,18 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.open[-1].parts.append(" ")
+        elif self.flat.get(tag):
+            self.flat[tag] -= 1
         elif tag not in _VOID:
             self._pop_to(tag)
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no known section: a comment up to the next >
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_data(self, data):
         if self.open[-1].tag == "title":
             self.title.append(data)

@@ -79,6 +79,10 @@ PAGES = [
      "<section class='comments'><article>c</article></section><div class='ad-box'>ad</div></article></main><aside>s</aside>tail", ["H", "x"]),
     ("<body><div class='shadow'>kept</div><div class='sidebar'>gone</div><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></body>", ["kept", "a", "b", "1", "2"]),
     ("<p>unclosed <b>bold <p>next</i></p></p>end", ["unclosed bold", "next", "end"]),
+    ("<div>" * 600 + "deep" + "</div>" * 600 + "<p>after", ["deep", "after"]),
+    ("<b>" * 5000 + "bold" + "</b>" * 5000 + "<p>after", ["bold", "after"]),
+    ("<div>" * 100_000 + "<script>x</script>deepest", ["deepest"]),
+    ("<p>a</p><![foo[ x ]]> b", ["a", "b"]), ("<p>a</p><![foo[ x", ["a"]), ("a<![CDATA[ b ]]> c", ["a c"]), ("<![", ["<!["]),
 ]
 
 
