@@ -151,6 +151,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
                     total = sums.setdefault(r["block"], np.zeros(_BLOCK_ROWS, dtype=np.int64))
                     total[np.frombuffer(r["docs"], dtype=np.uint16)] += np.frombuffer(r["times"], dtype=np.int64)
         for block, found in heads.items():
+            if block not in sums and any(any(b) for _, b in found):
+                raise RuntimeError("the counts of a block are missing: a task that was run again read its rows in another order")
             for ids, n_bytes in found:
                 # blocks of equal rows have added to the same sums
                 n = sums[block][:len(ids)] // len(found) if block in sums else np.zeros(len(ids), dtype=np.int64)
