@@ -204,6 +204,9 @@ SELECT name, value, round(100.0::DOUBLE * value::DOUBLE / (SELECT count(*) FROM
         "sql_view": "SELECT event_type, count(*)::BIGINT AS n, round(sum(value), 2) AS value FROM events GROUP BY event_type",
         "doc_upsert": """SELECT CAST(d.doc_id AS VARCHAR) AS id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+        "bulk_outcome": """SELECT CAST(p_partkey AS VARCHAR) AS id,
+  CASE WHEN p_partkey % 11 = 0 OR p_partkey % 7 = 0 THEN 'rejected' WHEN p_partkey % 2 = 0 THEN 'replaced' ELSE 'created' END AS status,
+  CASE WHEN p_partkey % 11 = 0 THEN 'id_too_long' WHEN p_partkey % 7 = 0 THEN 'missing_p_name' END AS reason FROM part""",
         "json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
         "dau_hours_json": f"""WITH d AS ({_dedup(_day('ts', Q.DAU_PREV, 2))}),
 p AS (SELECT log_hour AS hour, count(*) FILTER (WHERE log_date = '{Q.DAU_DATE}') AS today,
@@ -248,6 +251,6 @@ FROM c JOIN nation n ON c.n_nationkey = n.n_nationkey""",
     }
     # the same answers, kept up by streaming jobs
     for job, batch in {"dau_state_stream": "dau_first_of_day", "first_seen_stream": "first_seen", "metric_cards_table": "metric_cards",
-                       "alert_sliding_stream": "coupon_alert_sliding", "sale_recovered": "sale_detail_stream"}.items():
+                       "alert_sliding_stream": "coupon_alert_sliding", "sale_recovered": "sale_detail_stream", "doc_buckets": "doc_upsert"}.items():
         out[job] = out[batch]
     return out

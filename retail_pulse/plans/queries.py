@@ -41,6 +41,7 @@ SALES_KEYWORD = "ring"
 SALES_PAGE, SALES_PAGE_SIZE = 2, 5
 BALANCE_BANDS = [(None, 0, "negative"), (0, 5000, "0-5000"), (5000, None, "5000+")]
 REGION_BAND_WIDTH = 4.0e7
+DOC_BUCKETS = 16
 USER_CHANGE = "1995-06-01 00:00:00"
 
 
@@ -243,6 +244,31 @@ def doc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return readers.document_index(spark, path).select("id", "lang", "source", "n_chars", "quality", "toxic")
 
 
+def doc_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The document index in hash buckets of the id: indexed, compacted, then the labelled documents replaced in the compacted table."""
+    path = f"{shared_dir(spark, 'doc-buckets')}/documents"
+    docs = tb.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang", "source", "n_chars")
+    labels = tb.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), "quality", "toxic")
+    for n in range(2):  # every document is indexed twice
+        sinks.upsert_documents(docs.select("*", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic")),
+                               path, n, order_col="n_chars", buckets=DOC_BUCKETS)
+    sinks.compact_documents(spark, path, f"{path}-compact", buckets=DOC_BUCKETS)
+    sinks.upsert_documents(docs.join(labels, "id"), f"{path}-compact", 2, order_col="n_chars", buckets=DOC_BUCKETS)
+    return readers.document_index(spark, f"{path}-compact").select("id", "lang", "source", "n_chars", "quality", "toxic")
+
+
+def bulk_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of each item of the second of two bulk writes: parts with an even key were there, and some are broken on purpose."""
+    path = f"{shared_dir(spark, 'bulk-outcome')}/parts"
+    key = F.col("p_partkey")
+    parts = tb.table(spark, sf, "part").select(
+        F.when(key % 11 == 0, F.concat(key.cast("string"), F.repeat(F.lit("x"), 512))).otherwise(key.cast("string")).alias("id"),
+        F.when(key % 7 != 0, F.col("p_name")).alias("p_name"), "p_brand", "p_partkey")
+    sinks.upsert_with_outcome(parts.where(key % 2 == 0).drop("p_partkey"), path, 0, required=["p_name"], buckets=DOC_BUCKETS)
+    out = sinks.upsert_with_outcome(parts.drop("p_partkey"), path, 1, required=["p_name"], buckets=DOC_BUCKETS)
+    return out.select(F.regexp_replace("id", "x+$", "").alias("id"), "status", "reason")
+
+
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Events as JSON messages to the offline message sink, read back with an inferred schema."""
     path = f"{shared_dir(spark, 'json-messages')}/events"
@@ -365,6 +391,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_detail_stats": sale_detail_stats,
     "sql_view": sql_view,
     "doc_upsert": doc_upsert,
+    "doc_buckets": doc_buckets,
+    "bulk_outcome": bulk_outcome,
     "json_roundtrip": json_roundtrip,
     "dau_hours_json": dau_hours_json,
     "gmv_hours_json": gmv_hours_json,

@@ -15,7 +15,8 @@ same read written back.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_pulse.operators.dedup import first_per_key
@@ -76,26 +77,105 @@ def with_auto_ids(docs: DataFrame, batch_id: int, id_col: str = "id") -> DataFra
     return given.unionByName(nameless.select(named.alias(id_col), *[F.col(f"_doc.{c}").alias(c) for c in fields]))
 
 
+def bucket_of(id_col, buckets: int):
+    """The hash bucket of a document id (0 .. buckets - 1)."""
+    return F.pmod(F.xxhash64(F.col(id_col) if isinstance(id_col, str) else id_col), F.lit(buckets)).cast("int")
+
+
 def upsert_documents(docs: DataFrame, path: str, batch_id: int, id_col: str = "id",
-                     order_col: str | None = None, partition_cols: list[str] | None = None) -> None:
+                     order_col: str | None = None, partition_cols: list[str] | None = None, buckets: int | None = None) -> None:
     """Bulk upsert of ``(id, fields...)`` rows as one version batch.
 
     NULL ids get one of their own (:func:`with_auto_ids`); ``order_col`` orders versions
     of the same id inside the batch (later wins), otherwise row content does.
     An empty input writes an empty partition (a no-op for readers).
-    ``partition_cols`` (derived from the id, e.g. a date) let readers prune.
+    ``partition_cols`` (derived from the id, e.g. a date) let readers prune; ``buckets`` adds the hash bucket of the id as
+    a partition, so that :func:`documents_by_id` reads one folder per id (the number belongs to the table and must stay the same).
     """
-    fields = [c for c in docs.columns if c != id_col]
-    seq = F.col(order_col) if order_col else F.xxhash64(*[F.col(c) for c in fields])
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)  # the input is computed once
     try:
         if docs.where(F.col(id_col).isNull()).isEmpty():
             named = docs.withColumn(id_col, F.col(id_col).cast("string"))
         else:
             named = with_auto_ids(docs, batch_id, id_col)
-        write_batch_partition(named.withColumn("_seq", seq.cast("bigint")), path, batch_id, partition_cols)
+        _write_versions(named, path, batch_id, id_col, order_col, partition_cols, buckets)
+    finally:
+        docs.unpersist()
+
+
+def _write_versions(named: DataFrame, path: str, batch_id: int, id_col: str, order_col: str | None, partition_cols: list[str] | None, buckets: int | None) -> None:
+    out = named.withColumn("_seq", _version_order(named, id_col, order_col))
+    parts = list(partition_cols or [])
+    if buckets:
+        out, parts = out.withColumn("_bucket", bucket_of(id_col, buckets)), [*parts, "_bucket"]
+    write_batch_partition(out, path, batch_id, parts)
+
+
+def _version_order(docs: DataFrame, id_col: str, order_col: str | None):
+    fields = [c for c in docs.columns if c != id_col]
+    return (F.col(order_col) if order_col else F.xxhash64(*[F.col(c) for c in fields])).cast("bigint")
+
+
+def documents_by_id(spark, path: str, ids: list[str], buckets: int, id_col: str = "id") -> DataFrame:
+    """Latest versions of a few ids of a bucketed table: a filter on constant buckets, so only their folders are read."""
+    t = spark.read.parquet(path)
+    where = F.lit(False)
+    for i in ids:
+        where = where | ((F.col("_bucket") == bucket_of(F.lit(str(i)), buckets)) & (F.col(id_col) == F.lit(str(i))))
+    return latest_documents(t.where(where), id_col)
+
+
+# Longest document id in bytes (a limit of the document store whose interface this follows).
+MAX_ID_BYTES = 512
+
+OUTCOME = "id string, status string, reason string"
+
+
+def upsert_with_outcome(docs: DataFrame, path: str, batch_id: int, id_col: str = "id", order_col: str | None = None,
+                        required: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """:func:`upsert_documents` that says what became of each item: rows (id, status, reason), written beside the table.
+
+    ``created``: the id was not there; ``replaced``: it was, or an earlier version of this batch created it; ``rejected``: nothing is written, and
+    ``reason`` says why (``id_too_long``, ``missing_<field>``). Existing ids are looked up in the versions below ``batch_id`` by an
+    executor-side join, so a replayed batch gives the same outcomes.
+    """
+    spark, out_path = docs.sparkSession, path.rstrip("/") + "_outcome"
+    docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        named = with_auto_ids(docs, batch_id, id_col)
+        reason = F.when(F.octet_length(F.col(id_col)) > MAX_ID_BYTES, F.lit("id_too_long"))
+        for c in required or []:
+            reason = reason.when(F.col(c).isNull(), F.lit(f"missing_{c}"))
+        judged = named.withColumn("_reason", reason).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = judged.where("_reason IS NULL").drop("_reason")
+            known = _ids_below(spark, path, batch_id, id_col)
+            nth = F.row_number().over(Window.partitionBy("id").orderBy("_seq"))
+            mine = good.select(F.col(id_col).alias("id"), _version_order(good, id_col, order_col).alias("_seq")).withColumn("_n", nth)
+            if known is None:
+                there = mine.withColumn("_there", F.lit(False))
+            else:
+                there = mine.join(known.withColumn("_there", F.lit(True)), "id", "left")
+            status = F.when(F.coalesce("_there", F.lit(False)) | (F.col("_n") > 1), F.lit("replaced")).otherwise(F.lit("created"))
+            outcome = there.select("id", status.alias("status"), F.lit(None).cast("string").alias("reason")).unionByName(
+                judged.where("_reason IS NOT NULL").select(F.col(id_col).alias("id"), F.lit("rejected").alias("status"), F.col("_reason").alias("reason")))
+            write_batch_partition(outcome, out_path, batch_id)
+            _write_versions(good, path, batch_id, id_col, order_col, None, buckets)
+        finally:
+            judged.unpersist()
     finally:
         docs.unpersist()
+    return spark.read.schema(OUTCOME + ", _batch_id long").parquet(out_path).where(F.col("_batch_id") == F.lit(int(batch_id))).drop("_batch_id")
+
+
+def _ids_below(spark, path: str, batch_id: int, id_col: str) -> DataFrame | None:
+    try:
+        t = spark.read.schema(f"`{id_col}` string, _batch_id long").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return t.where(F.col("_batch_id") < F.lit(int(batch_id))).select(F.col(id_col).alias("id")).distinct()
 
 
 def index_json(messages: DataFrame, path: str, batch_id: int, id_field: str = "id", value_col: str = "value") -> None:
@@ -108,20 +188,22 @@ def index_json(messages: DataFrame, path: str, batch_id: int, id_field: str = "i
 def latest_documents(versions: DataFrame, id_col: str = "id") -> DataFrame:
     """Latest version per id (largest ``(_batch_id, _seq)``), bookkeeping columns dropped."""
     latest = first_per_key(versions, [id_col], [F.col("_batch_id").desc(), F.col("_seq").desc()])
-    return latest.drop("_batch_id", "_seq")
+    return latest.drop("_batch_id", "_seq", "_bucket")
 
 
-def compact_documents(spark, path: str, out_path: str, id_col: str = "id") -> None:
+def compact_documents(spark, path: str, out_path: str, id_col: str = "id", buckets: int | None = None) -> None:
     """Rewrite a keyed-upsert table as a single version (the latest per id) at ``out_path``.
 
     Readers switch to the compacted folder; the source stays untouched, so a
     failed compaction never loses versions. The compacted rows are stored under
-    ``COMPACTED_BATCH``: any live batch, replayed ones too, is above it.
+    ``COMPACTED_BATCH``: any live batch, replayed ones too, is above it. A bucketed table keeps its buckets.
     """
-    latest = latest_documents(spark.read.parquet(path), id_col)
-    latest.withColumn("_seq", F.lit(0).cast("bigint")) \
-        .withColumn("_batch_id", F.lit(COMPACTED_BATCH).cast("bigint")) \
-        .write.mode("overwrite").partitionBy("_batch_id").parquet(out_path)
+    latest = latest_documents(spark.read.parquet(path), id_col).withColumn("_seq", F.lit(0).cast("bigint")) \
+        .withColumn("_batch_id", F.lit(COMPACTED_BATCH).cast("bigint"))
+    parts = ["_batch_id"]
+    if buckets:
+        latest, parts = latest.withColumn("_bucket", bucket_of(id_col, buckets)).hint("rebalance", "_bucket"), ["_bucket", "_batch_id"]
+    latest.write.mode("overwrite").partitionBy(*parts).parquet(out_path)
 
 
 def compact_batches(spark, path: str, out_path: str, partition_cols: list[str] | None = None,
