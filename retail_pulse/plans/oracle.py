@@ -159,7 +159,13 @@ SELECT '[{{"id":"dau","name":"新增日活","value":' || CAST(dau AS VARCHAR)
   len(uids)::BIGINT AS n_uids, n_events, epoch_us(ws + INTERVAL 1 DAY) // 1000 AS ts FROM a""",
         "dau_table_total": f"SELECT count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))})",
         "dau_table_hour": f"SELECT log_hour AS hour, count(*)::BIGINT AS dau FROM ({_dedup(_day('ts', Q.DAU_DATE))}) GROUP BY log_hour",
-        "dau_batch_counts": f"SELECT (SELECT count(*) FROM events)::BIGINT AS raw, (SELECT count(*) FROM ({_dedup()}))::BIGINT AS new",
+        # the replay's batches are four time slices of equal width
+        "dau_batch_counts": f"""WITH e AS (SELECT user_id, {_D} AS d, epoch_us(ts) AS us FROM events),
+b AS (SELECT min(us) AS lo, (max(us) - min(us)) / 4.0::DOUBLE AS step FROM e),
+s AS (SELECT user_id, d, (us >= CAST(floor(lo + step) AS BIGINT))::INT + (us >= CAST(floor(lo + 2 * step) AS BIGINT))::INT
+             + (us >= CAST(floor(lo + 3 * step) AS BIGINT))::INT AS slice FROM e, b)
+SELECT (SELECT count(*) FROM events)::BIGINT AS raw, (SELECT count(*) FROM (SELECT DISTINCT slice, user_id, d FROM s))::BIGINT AS in_batch,
+  (SELECT count(*) FROM ({_dedup()}))::BIGINT AS new""",
         "startup_quarantine": """SELECT CASE event_id % 10 WHEN 1 THEN 'bad_number' WHEN 2 THEN 'bad_time' WHEN 3 THEN 'missing_ts'
   WHEN 4 THEN 'missing_mid' ELSE 'malformed_json' END AS reason, count(*)::BIGINT AS n
 FROM events WHERE event_id % 10 BETWEEN 1 AND 5 GROUP BY 1""",

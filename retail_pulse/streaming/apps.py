@@ -95,7 +95,7 @@ def start_app(spark: SparkSession, app: str, source: str, location: str, work: s
         # per-batch counts (raw, after in-batch dedup, new) ride on the batch's own write job
         return start_dau_stream(spark, logs, os.path.join(work, "dau_detail"), ckpt, trigger,
                                 order_cols=["ts", "uid", "appid", "area", "os", "ch", "type", "vs"],
-                                counts=counts or BatchCounts(printer=print), query_name="dau",
+                                counts=counts or BatchCounts(printer=print, table=os.path.join(work, "dau_counts")), query_name="dau",
                                 quarantine_path=os.path.join(work, "startup_quarantine"))
     if app == "orders":
         parsed = orders_from_messages(message_source(spark, source, location, "order", max_per_trigger))

@@ -172,12 +172,11 @@ def dau_table_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dau_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows that the DAU batches read, kept after the in-batch dedup, and stored, over all batches."""
-    counts = BatchCounts()
-    _replay_dau(spark, sf, "dau_batch_counts", counts)
-    # a few numbers per batch, kept by the job itself
-    rows = [(b, c["raw"], c["new"]) for b, c in sorted(counts.by_batch.items())]
-    return spark.createDataFrame(rows, "batch bigint, raw bigint, new bigint").agg(F.sum("raw").alias("raw"), F.sum("new").alias("new"))
+    """Rows that the DAU batches read, kept after the in-batch dedup, and stored, over all batches: from the table of counts that the job writes."""
+    path = os.path.join(shared_dir(spark, "dau-batch-counts"), "counts")
+    _replay_dau(spark, sf, "dau_batch_counts", BatchCounts(table=path))
+    rows = spark.read.schema("point string, n bigint, _batch_id bigint").parquet(path)
+    return rows.agg(*[F.sum(F.when(F.col("point") == p, F.col("n"))).alias(p) for p in ("raw", "in_batch", "new")])
 
 
 def startup_quarantine(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from retail_pulse.sources.sinks import write_batch_partition
+
 # Micro-batch intervals of the jobs.
 TRIGGERS = {
     "dau": "3 seconds",
@@ -92,12 +94,14 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: list[str],
 class BatchCounts:
     """Row counts at named points of a micro-batch plan via ``DataFrame.observe``.
 
-    The counts are computed by the batch's own write job (no extra action)
-    and kept per batch id on the driver (one small dict per batch).
+    The counts are computed by the batch's own write job (no extra action). With a ``table``
+    they go to it as rows (point, n) under the batch id, so a replayed batch replaces its own;
+    the driver keeps those of the last ``keep`` batches.
     """
 
-    def __init__(self, printer=None):
+    def __init__(self, printer=None, table: str | None = None, keep: int = 100):
         self.by_batch: dict[int, dict[str, int]] = {}
+        self._table, self._keep = table, keep
         self._pending: dict[str, Observation] = {}
         self._printer = printer  # e.g. print or a logger method: one line per batch
 
@@ -110,6 +114,12 @@ class BatchCounts:
         out = {p: int(o.get.get("n", 0)) for p, o in self._pending.items()}
         self._pending = {}
         self.by_batch[int(batch_id)] = out
+        for old in sorted(self.by_batch)[:-self._keep]:
+            del self.by_batch[old]
+        if self._table:
+            spark = SparkSession.getActiveSession()
+            rows = spark.createDataFrame([(p, n) for p, n in out.items()], "point string, n bigint").coalesce(1)
+            write_batch_partition(rows, self._table, batch_id)
         if self._printer:
             self._printer(f"batch {batch_id}: " + ", ".join(f"{k}={v}" for k, v in out.items()))
         return out

@@ -29,6 +29,17 @@ def test_foreach_batch_dedup_cross_batch_and_replay(spark, tmp_dir):
     assert again == snapshot
 
 
+def test_batch_counts_go_to_a_table_once(spark, tmp_dir):
+    counts = BatchCounts(table=os.path.join(tmp_dir, "counts"), keep=1)
+    fn = dau_batch_writer(spark, os.path.join(tmp_dir, "dau"), ["ts", "event_id"], counts)
+    fn(_batch(spark, [("m1", "d", 5, 1), ("m2", "d", 7, 2), ("m2", "d", 6, 3)]), 0)
+    for _ in range(2):  # batch 1 is replayed
+        fn(_batch(spark, [("m1", "d", 3, 4), ("m3", "d", 1, 5)]), 1)
+    rows = {(r._batch_id, r.point): r.n for r in spark.read.parquet(os.path.join(tmp_dir, "counts")).collect()}
+    assert rows == {(0, "raw"): 3, (0, "in_batch"): 2, (0, "new"): 2, (1, "raw"): 2, (1, "in_batch"): 2, (1, "new"): 1}
+    assert list(counts.by_batch) == [1]
+
+
 def test_dau_stream_restart_from_checkpoint(spark, tmp_dir):
     src, path, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "dau", "ckpt"))
     _batch(spark, [("m1", "d1", 5, 1), ("m1", "d1", 4, 2)]).write.parquet(os.path.join(src, "a"))
