@@ -51,6 +51,26 @@ def test_dau_app(spark, tmp_dir):
     assert [(m, str(d), t) for m, d, t in got] == [("m1", "2024-01-01", T0 + 1000), ("m2", "2024-01-02", T0 + 86_400_000)]
 
 
+def test_dau_app_on_keyed_state_beside_first_seen(spark, tmp_dir):
+    from retail_pulse.streaming.keyed import dau_state_table, new_devices_of_day
+    src, work = os.path.join(tmp_dir, "startup"), os.path.join(tmp_dir, "work")
+    schema = "mid string, ts long, log_date string, _batch_id long"
+
+    def run():
+        queries = [start_app(spark, "dau", "files", src, work, AVAILABLE_NOW, keyed_state=True), start_app(spark, "first_seen", "files", src, work, AVAILABLE_NOW)]
+        for q in [*queries, *spark.streams.active]:
+            assert q.awaitTermination(180)
+        return (sorted((r.mid, r.log_date, r.ts) for r in dau_state_table(spark, os.path.join(work, "dau_detail"), schema).collect()),
+                [new_devices_of_day(spark, os.path.join(work, "first_seen"), d).first().new_mid for d in ("2024-01-01", "2024-01-02")])
+    _lines(src, "a.json", [{"mid": "m1", "uid": "u1", "ts": T0 + 5000}, {"mid": "m1", "uid": "u1", "ts": T0 + 1000}, {"mid": "m2", "ts": T0 + 86_400_000}, {"ts": T0}])
+    assert run() == ([("m1", "2024-01-01", T0 + 1000), ("m2", "2024-01-02", T0 + 86_400_000)], [1, 1])
+    _lines(src, "b.json", [{"mid": "m1", "uid": "u1", "ts": T0 + 500}, {"mid": "m2", "ts": T0 + 86_399_000}, {"mid": "m1", "ts": T0 + 86_400_000}])
+    assert run() == ([("m1", "2024-01-01", T0 + 500), ("m1", "2024-01-02", T0 + 86_400_000), ("m2", "2024-01-01", T0 + 86_399_000),
+                      ("m2", "2024-01-02", T0 + 86_400_000)], [2, 0])
+    bad = spark.read.parquet(os.path.join(work, "startup_quarantine")).collect()
+    assert [r._reject_reason for r in bad] == ["missing_mid"]
+
+
 def test_alert_app(spark, tmp_dir):
     src, work = os.path.join(tmp_dir, "events"), os.path.join(tmp_dir, "work")
     coupons = [{"mid": "m1", "uid": f"u{i}", "evid": "coupon", "itemid": "i1", "ts": T0 + i * 1000} for i in range(3)]
