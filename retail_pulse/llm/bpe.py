@@ -36,7 +36,7 @@ _END = -1
 class MergeReplay:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, rank_path: str, pattern: str, remember: int = 250_000):
+    def __init__(self, rank_path: str, pattern: str, remember: int = 250_000, keep=None):
         with open(rank_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
@@ -45,8 +45,10 @@ class MergeReplay:
         #: rank of every pair of bytes
         self.first = [self.ranks.get(bytes([a, b]), _END) for a in range(256) for b in range(256)]
         self.pairs: dict[int, int] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple] = {}
         self.remember = remember
+        #: what is remembered of a pre-token's ids
+        self.keep = keep or (lambda ids: ids)
 
     def _rank(self, a: int, b: int) -> int:
         """Rank of the token that two neighbours make together, or _END."""
@@ -130,8 +132,8 @@ class MergeReplay:
             out[i] = tuple(ids)
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text of one block."""
+    def pieces(self, texts: list[str]) -> list[list[str]]:
+        """Pre-tokens of each text of one block; afterwards all of them are known."""
         split = [self.split(t) for t in texts]
         if len(self.known) > self.remember:
             self.known.clear()
@@ -139,8 +141,13 @@ class MergeReplay:
         new = [p for p in set(chain.from_iterable(split)) if p not in known]
         for s in range(0, len(new), 50_000):
             part = new[s:s + 50_000]
-            known.update(zip(part, self.replay([p.encode("utf-8") for p in part]), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+            known.update(zip(part, map(self.keep, self.replay([p.encode("utf-8") for p in part])), strict=True))
+        return split
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text of one block."""
+        known = self.known
+        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in self.pieces(texts)]
 
     def forget(self) -> None:
         """Empty the memory at a task's end: workers live on and serve other stages."""
@@ -156,6 +163,14 @@ def _replay(rank_path: str, pattern: str) -> MergeReplay:
     return MergeReplay(rank_path, pattern)
 
 
+@lru_cache(maxsize=1)
+def _round_trips(rank_path: str, pattern: str) -> MergeReplay:
+    """Remembers of each pre-token the number of its ids, the ids as text, and the bytes that they decode to."""
+    bpe = MergeReplay(rank_path, pattern, remember=750_000)
+    bpe.keep = lambda ids: (len(ids), " ".join(map(str, ids)), bpe.decode(ids))
+    return bpe
+
+
 def _blocks(texts: list[str], limit: int = 1_000_000):
     start, size = 0, 0
     for i, t in enumerate(texts):
@@ -206,15 +221,16 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        bpe = _replay(rank_path, pattern)
-        name = {i: str(i) for i in bpe.bytes_of}
+        bpe = _round_trips(rank_path, pattern)
+        known = bpe.known
         for b in small(batches):
             n, ids_sums, text_sums = [], [], []
             for texts in _blocks([t or "" for t in b.column(1).to_pylist()]):
-                for ids in bpe.encode(texts):
-                    n.append(len(ids))
-                    ids_sums.append(sha256(" ".join(map(name.__getitem__, ids)).encode()).hexdigest())
-                    text_sums.append(sha256(bpe.decode(ids)).hexdigest())
+                for pieces in bpe.pieces(texts):
+                    counts, ids, raw = zip(*map(known.__getitem__, pieces), strict=True) if pieces else ((), (), ())
+                    n.append(sum(counts))
+                    ids_sums.append(sha256(" ".join(ids).encode()).hexdigest())
+                    text_sums.append(sha256(b"".join(raw)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sums, pa.string()), pa.array(text_sums, pa.string())],
                                              names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
         bpe.forget()
