@@ -100,13 +100,17 @@ def scored(docs: DataFrame, q: BoolQuery, keep: list[str], digits: int | None =
     cols = list(dict.fromkeys(keep + list(q.term_filters)))
     narrow = materialize(analyzed(docs, q.text_col, terms, cols, q.operator), "search-terms")
     st = _stats_of(narrow, terms).first()
+    return _with_score(narrow, q, keep, st["n_docs"], st["avgdl"], [st[f"_df{i}"] for i in range(len(terms))], digits)
+
+
+def _with_score(narrow: DataFrame, q: BoolQuery, keep: list[str], n: float | None, mean: float | None, dfs: list, digits: int | None) -> DataFrame:
     base = narrow.where(q.filter_condition())
-    if st is None or not st["n_docs"]:
+    if not n:
         return base.select(*keep, F.lit(None).cast("double").alias("score"))
-    n_docs, avgdl = F.lit(float(st["n_docs"])), F.lit(float(st["avgdl"]))
+    n_docs, avgdl = F.lit(float(n)), F.lit(float(mean))
     score = F.lit(0.0)
-    for i, c in enumerate(_tf_cols(terms)):
-        idf = bm25_idf(n_docs, F.lit(float(st[f"_df{i}"])))
+    for c, df in zip(_tf_cols(q.terms()), dfs):
+        idf = bm25_idf(n_docs, F.lit(float(df)))
         score = score + bm25_term(F.col(c).cast("double"), F.col("_dl").cast("double"), avgdl, idf)
     if digits is not None:
         score = F.round(score, digits)
@@ -128,7 +132,10 @@ def hits_page(docs: DataFrame, q: BoolQuery, id_col: str, fields: list[str],
     """
     keep = [id_col] + [f for f in fields if f != id_col]
     # ordered by the exact score and rounded on output, so near ties keep their order
-    s = scored(docs, q, keep, digits=None)
+    return _page(scored(docs, q, keep, digits=None), id_col, fields, offset, size, digits)
+
+
+def _page(s: DataFrame, id_col: str, fields: list[str], offset: int, size: int, digits: int) -> DataFrame:
     page = s.orderBy(F.col("score").desc_nulls_last(), F.col(id_col).asc())
     if offset:
         page = page.offset(offset)

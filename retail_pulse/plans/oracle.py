@@ -257,6 +257,7 @@ FROM c JOIN nation n ON c.n_nationkey = n.n_nationkey""",
     }
     # the same answers, kept up by streaming jobs
     for job, batch in {"dau_state_stream": "dau_first_of_day", "first_seen_stream": "first_seen", "metric_cards_table": "metric_cards",
-                       "alert_sliding_stream": "coupon_alert_sliding", "sale_recovered": "sale_detail_stream", "doc_buckets": "doc_upsert"}.items():
+                       "alert_sliding_stream": "coupon_alert_sliding", "sale_recovered": "sale_detail_stream", "doc_buckets": "doc_upsert",
+                       "search_hits_indexed": "search_hits"}.items():
         out[job] = out[batch]
     return out

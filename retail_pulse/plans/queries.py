@@ -19,7 +19,7 @@ from retail_pulse.functions.jsonparse import parse_records, to_json_messages
 from retail_pulse.functions.mask import mask_phone
 from retail_pulse.functions.time import create_date, create_hour, on_days, previous_day
 from retail_pulse.operators import alert as A
-from retail_pulse.operators import cdc, dashboard, dedup, metrics, sales, search
+from retail_pulse.operators import cdc, dashboard, dedup, metrics, sales, search, search_index
 from retail_pulse.schemas import ORDER_INFO, ORDER_TYPES
 from retail_pulse.session import shared_dir
 from retail_pulse.sources import readers, sinks
@@ -191,6 +191,17 @@ def search_hits(spark: SparkSession, sf: str) -> DataFrame:
     return search.hits_page(docs, _query(), "doc_id", ["lang", "source", "n_chars"], 0, 10)
 
 
+def search_hits_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The hits page from a stored index: every document is indexed with another text first, then with its own."""
+    path = shared_dir(spark, "search-index")
+    docs = tb.table(spark, sf, "documents")
+    fields = ["lang", "source", "n_chars"]
+    before = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat_ws(" ", "text", F.lit("and the and"))).otherwise(F.lit("the and")))
+    search_index.index_documents(before, path, 0, "doc_id", "text", fields)
+    search_index.index_documents(docs, path, 1, "doc_id", "text", fields)
+    return search_index.indexed_hits(spark, path, _query(), "doc_id", fields)
+
+
 def search_terms_max(spark: SparkSession, sf: str) -> DataFrame:
     return search.terms_buckets(tb.table(spark, sf, "documents"), _query(), "source", "n_chars", 10)
 
@@ -382,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coupon_alert": coupon_alert,
     "alert_doc": alert_doc,
     "search_hits": search_hits,
+    "search_hits_indexed": search_hits_indexed,
     "search_terms_max": search_terms_max,
     "search_total": search_total,
     "sale_detail_page": sale_detail_page,
