@@ -10,7 +10,8 @@ matches. Its text are the words of toxic documents whose opening is met after fa
 than in ordinary documents (counting contexts, not documents, keeps copies of one text from looking like a habit).
 
 Fitting takes a bounded sample: ``max_per_class`` labelled documents of each class, chosen by a hash of the id, of at most
-``max_chars`` characters. Only their ids are broadcast, only their texts reach the driver. Scoring reads every text whole, in one pass without
+``max_chars`` characters; the ordinary dictionary is trained on at most ``max_windows`` of their windows (chosen by a hash), and a telling opening counts at most
+``max_repeat`` times in the training of the toxic one. Only their ids are broadcast, only their texts reach the driver. Scoring reads every text whole, in one pass without
 any shuffle; what is broadcast is two dictionaries and a few weights.
 
 Defined cases: NULL and empty texts score as texts without any gain; without labels of both classes every score is the share of toxic
@@ -112,7 +113,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
-def _dictionaries(rows: list[tuple], window: int, size: int, toxic_size: int) -> tuple[bytes, bytes]:
+def _dictionaries(rows: list[tuple], window: int, size: int, toxic_size: int, max_windows: int, max_repeat: int) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary of (hash, text, label) rows."""
     toxic, plain = ([_words(t) for _, t, k in rows if k == want] for want in (1, 0))
     (in_toxic, n_toxic), (in_plain, n_plain) = _contexts(toxic), _contexts(plain)
@@ -125,14 +126,15 @@ def _dictionaries(rows: list[tuple], window: int, size: int, toxic_size: int) ->
             telling[g] = z
     found = Counter(max(own, key=lambda g: (telling[g], len(g))) for words in toxic for w in words if (own := [g for g in _openings(w) if g in telling]))
     often = sorted(found.items(), key=lambda x: (x[1], x[0]))
-    samples = sorted((g for g, n in often for _ in range(min(n, 50))), key=xxhash.xxh64_intdigest)
+    samples = sorted((g for g, n in often for _ in range(min(n, max_repeat))), key=xxhash.xxh64_intdigest)
     whole = b"".join(g for g, _ in often)[-toxic_size:]
-    parts = sorted((p[len(_HEAD):] for words in plain for p in _windows(words, window, window)), key=xxhash.xxh64_intdigest)[:60_000]
+    parts = sorted((p[len(_HEAD):] for words in plain for p in _windows(words, window, window)), key=xxhash.xxh64_intdigest)[:max_windows]
     return _train(size, parts, 64), _train(toxic_size, samples, 100) + whole
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_per_class: int = 3000,
-        max_chars: int = 20_000, window: int = 24, stride: int = 12, dictionary: int = 32_768, toxic_dictionary: int = 8_192) -> ToxicityModel:
+        max_chars: int = 20_000, window: int = 24, stride: int = 12, dictionary: int = 32_768, toxic_dictionary: int = 8_192,
+        max_windows: int = 60_000, max_repeat: int = 50) -> ToxicityModel:
     """Train on a bounded sample of the labelled documents (labels: ``id_col``, ``label_col`` 0 or 1)."""
     own = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
            .groupBy(F.col(id_col).alias("label_id")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
@@ -148,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return ToxicityModel(b"", b"", np.zeros(0), np.ones(0), None, share, window, stride)
 
     def build(part) -> ToxicityModel:
-        return ToxicityModel(*_dictionaries(part, window, dictionary, toxic_dictionary), np.zeros(0), np.ones(0), None, share, window, stride)
+        return ToxicityModel(*_dictionaries(part, window, dictionary, toxic_dictionary, max_windows, max_repeat), np.zeros(0), np.ones(0), None, share, window, stride)
 
     # each half is scored by the dictionaries of the other one
     x, y = [], []
