@@ -37,7 +37,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keep one document of each near-duplicate class: the one with the smallest id (NULL ids last), then the smallest text hash.
 
     A row is known by its id and text, so different texts under one id, or without an id, are judged on their own. Of rows
-    that are equal in both one stays.
+    that are equal in both one stays. NULL and empty texts are one class, linked like any other fingerprint.
     """
     keep = simhash.representatives(docs, shingle=3, max_distance=3)
     sig, n = fresh(docs.columns, "text_sig"), fresh(docs.columns, "nth")
@@ -58,7 +58,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a benchmark item, verbatim or paraphrased."""
+    """Drop the documents that hold a benchmark item, verbatim or paraphrased.
+
+    A row is known by its id and text: rows that are equal in both are judged alike, different texts under one id, or without an
+    id, on their own. NULL and empty texts hold nothing and stay; very long texts are searched whole; an empty table, or a benchmark
+    without a text, drops nothing.
+    """
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
     hit = found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
     same = (F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == hit["bad_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == hit["bad_hash"])
@@ -66,7 +71,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the token ids of each text, and their number."""
+    """Add the token ids of each text (``token_ids``), and their number (``n_tokens``); a column of such a name stays, the new one gets underscores.
+
+    Every row stays, repeated ones too; NULL and empty texts have no ids; texts of any length are encoded whole.
+    """
     ids = fresh(docs.columns, "token_ids")
     out = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids_out=ids)
     return out.withColumn(fresh(docs.columns, "n_tokens"), F.size(ids).cast("long"))
