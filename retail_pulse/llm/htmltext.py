@@ -1,15 +1,17 @@
 """Main text of web pages, with site templates removed.
 
-1. Pages are parsed; elements that are never part of an article by their tag, role, or class (menus, footers, forms, scripts,
-   adverts, comments and the like) are left out, and if the page marks its article or main part, so is all outside of it.
-2. Every remaining element subtree is hashed (tag, class and text), and Spark counts for each host and hash on how many different
-   pages it stands. Pages with the same remaining text count once, so copies of an article do not make its text a template.
+1. Every page is parsed once. All of its element subtrees that hold text, menus, footers and adverts included, are hashed (tag, class and
+   text). What is never shown as text (scripts, styles, media and the like) is left out.
+2. Spark counts for each host and hash on how many different pages the subtree stands. Pages with the same remaining text count once, so
+   copies of an article do not make its text a template.
 3. Subtrees that stand on ``min_pages`` pages and ``min_share`` of the host's different pages are a template of that host; pages lose the blocks
-   inside them. Within a marked article only boxes (not headings, paragraphs, list items or quotes) can be templates: a sentence that
-   many articles share is text.
+   inside them, wherever they are. Within a marked article only boxes (not headings, paragraphs, list items or quotes) can be templates: a sentence
+   that many articles share is text.
+4. What recurs too seldom to be a template (a menu or an advert that changes from page to page, a host with few pages) goes by marks: the
+   tag, role, class or id of menus, footers, forms, adverts, comments and the like, and all outside of a marked article or main part.
 
-Templates of a host are few: each takes up ``min_share`` of its pages. They are joined to the pages by host, and Spark broadcasts them only
-if their table is small.
+Parsed pages are a written table of texts and hashes, so neither html nor the parser is met twice. Templates of a host are few: each takes up
+``min_share`` of its pages. They are joined to the pages by host, and Spark broadcasts them only if their table is small.
 
 Defined cases: NULL and empty html give an empty text; a NULL url has an empty host and shares templates with such pages; a page without
 any markup is one block; white space alone is no block; elements nested deeper than 200 belong to the one above; a broken declaration is a comment up
@@ -19,6 +21,7 @@ to the next ``>``; repeated rows are extracted alike and count as one page; extr
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -26,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_pulse.llm.common import written
+from retail_pulse.llm.common import small, written
 
 # --- fixed values of HTML ---
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,6 +38,8 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 _PROSE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd blockquote pre".split())
 _NEVER = frozenset("""script style noscript template head title nav footer aside form button select option textarea input label dialog menu iframe
     object embed canvas svg math audio video""".split())
+#: elements whose content is never shown as text
+_SILENT = frozenset("script style noscript template head title select option textarea iframe object embed canvas svg math audio video".split())
 #: an end of these is implied by the start of the elements listed
 _CLOSED_BY = {"p": _BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"},
               "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -63,10 +68,11 @@ _DEPTH = 200
 
 
 class _Node:
-    __slots__ = ("tag", "name", "skip", "parts")
+    __slots__ = ("tag", "name", "skip", "left", "parts")
 
-    def __init__(self, tag: str, name: str, skip: bool):
-        self.tag, self.name, self.skip, self.parts = tag, name, skip, []
+    def __init__(self, tag: str, name: str, skip: bool, left: bool = False):
+        #: ``skip``: marked as no article; ``left``: that, or inside such an element
+        self.tag, self.name, self.skip, self.left, self.parts = tag, name, skip, skip or left, []
 
 
 def _named(tag: str, classes: str, ident: str, inside: bool) -> bool:
@@ -121,10 +127,11 @@ class _Tree(HTMLParser):
                 or own.get("aria-hidden", "").lower() == "true"
                 or tag not in ("html", "body", "article", "main") and named
                 or tag == "article" and named and inside)
-        if len(self.open) >= _DEPTH and not skip:
+        above = self.open[-1].left
+        if len(self.open) >= _DEPTH and (above or not skip):
             self.flat[tag] = self.flat.get(tag, 0) + 1
             return
-        node = _Node(tag, own.get("class", "").lower(), skip)
+        node = _Node(tag, own.get("class", "").lower(), skip, above)
         self.open[-1].parts.append(node)
         self.open.append(node)
 
@@ -171,19 +178,51 @@ def _main_parts(root: _Node) -> tuple[list[_Node], bool]:
     return [root], False
 
 
-def blocks(html: str | None) -> tuple[str, list[tuple[str, list[int]]]]:
-    """Title of a page and its blocks: text, and hashes of the subtrees that hold it and could be templates."""
+@dataclass(frozen=True)
+class Page:
+    """Blocks and element subtrees of a page, in page order; an element comes before those inside it."""
+
+    title: str
+    #: text of each block; None for those that a mark leaves out
+    texts: list[str | None]
+    #: number of the innermost element of each block
+    at: list[int]
+    #: number of the element around each element, -1 for the outermost
+    up: list[int]
+    #: hash of each element's subtree, None for those that cannot be a template
+    hashes: list[int | None]
+
+    def identity(self) -> int:
+        """Hash of the text that the marks leave."""
+        return _hash("\n".join(t for t in self.texts if t is not None))
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+
+
+def parse(html: str | None) -> Page:
+    """The blocks of a page and the hashes of all its subtrees that hold text."""
     if not html:
-        return "", []
+        return Page("", [], [], [], [])
     tree = _Tree()
     tree.feed(html)
     tree.close()
     parts, marked = _main_parts(tree.root)
-    out: list[list] = []
-
-    def walk(node: _Node, top: bool) -> tuple[str, list[int]]:
-        """Text of a subtree, and the numbers of its blocks."""
-        mine: list[int] = []
+    mains = {id(n) for n in parts}
+    texts: list[str | None] = []
+    at: list[int] = []
+    up: list[int] = []
+    hashes: list[int | None] = []
+
+    def walk(node: _Node, above: int, out: bool, inside: bool) -> str:
+        """Number a block element and all in it; its subtree as text ("" if there is none). ``out``: a mark leaves it out; ``inside``: in a main part."""
+        me = len(up)
+        up.append(above)
+        hashes.append(None)
+        main = id(node) in mains
+        if main:
+            out, inside = False, True
         seen: list[str] = []
         text: list[str] = []
 
@@ -191,8 +230,8 @@ def blocks(html: str | None) -> tuple[str, list[tuple[str, list[int]]]]:
             t = _SPACE.sub(" ", "".join(text)).strip()
             text.clear()
             if t:
-                mine.append(len(out))
-                out.append([t, []])
+                texts.append(None if out else t)
+                at.append(me)
                 seen.append(t)
 
         def run(n: _Node):
@@ -202,68 +241,106 @@ def blocks(html: str | None) -> tuple[str, list[tuple[str, list[int]]]]:
                 elif p.skip:
                     if p.tag in _BLOCK:
                         flush()
-                elif p.tag in _BLOCK:
+                    if p.tag not in _SILENT:
+                        whole = walk(p, me, True, inside)
+                        if node.left:
+                            seen.append(whole)
+                elif p.tag in _BLOCK or id(p) in mains:
                     flush()
-                    inner, numbers = walk(p, False)
-                    mine.extend(numbers)
-                    seen.append(inner)
+                    seen.append(walk(p, me, out, inside))
                 else:
                     run(p)
 
         run(node)
         flush()
+        seen = [x for x in seen if x]
+        if not seen:
+            return ""
         whole = f"{node.tag}.{node.name}({'|'.join(seen)})"
-        if mine and not top and not (marked and node.tag in _PROSE):
-            h = xxhash.xxh64_intdigest(whole.encode("utf-8", "surrogatepass")) - 2**63
-            for i in mine:
-                out[i][1].append(h)
-        return whole, mine
+        if above >= 0 and not main and not (marked and inside and not out and node.tag in _PROSE):
+            hashes[me] = _hash(whole)
+        return whole
 
-    for part in parts:
-        walk(part, True)
-    return _SPACE.sub(" ", "".join(tree.title)).strip(), [(t, h) for t, h in out]
+    walk(tree.root, -1, marked, False)
+    return Page(_SPACE.sub(" ", "".join(tree.title)).strip(), texts, at, up, hashes)
+
+
+def blocks(html: str | None) -> tuple[str, list[tuple[str, list[int]]]]:
+    """Title of a page and the blocks that marks leave: text, and hashes of the subtrees that hold it and could be templates."""
+    page = parse(html)
+
+    def around(k: int):
+        while k >= 0:
+            if page.hashes[k] is not None:
+                yield page.hashes[k]
+            k = page.up[k]
+
+    return page.title, [(t, list(around(k))) for t, k in zip(page.texts, page.at, strict=True) if t is not None]
 
 
 def _host(url_col: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[^:/?#]*://([^/?#]*)", 1))
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
-    """(host, hashes): the subtrees of each host that stand on many of its pages."""
+def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per page: ``id``, ``url``, ``host``, ``page`` (hash of the text that marks leave), and the arrays of ``Page``."""
+    src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), _host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
+    ints = pa.list_(pa.int32())
+
     def run(batches):
-        for b in batches:
-            for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                _, found = blocks(html)
-                if not found:
-                    continue
-                page = xxhash.xxh64_intdigest("\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")) - 2**63
-                hashes = sorted({h for _, own in found for h in own})
-                # one row without a hash counts the page itself
-                yield pa.RecordBatch.from_arrays([pa.array([host] * (len(hashes) + 1)), pa.array([page] * (len(hashes) + 1)), pa.array([None, *hashes], pa.int64())],
-                                                 names=["host", "page", "hash"])
-
-    seen = (pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-            .mapInArrow(run, "host string, page long, hash long").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")))
+        for b in small(batches):
+            found = [parse(html) for html in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), b.column(2), pa.array([p.identity() for p in found], pa.int64()), pa.array([p.texts for p in found], pa.list_(pa.string())),
+                 pa.array([p.at for p in found], ints), pa.array([p.up for p in found], ints), pa.array([p.hashes for p in found], pa.list_(pa.int64()))],
+                names=["id", "url", "host", "page", "texts", "at", "up", "hashes"])
+
+    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, url string, host string, page long, texts array<string>, at array<int>, up array<int>, hashes array<long>")
+
+
+def templates(found: DataFrame, min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
+    """(host, template): the subtree hashes of each host that stand on many of its different pages; ``found``: rows of ``parsed``."""
+    has_text = F.size("texts") > 0
+    # one row without a hash counts the page itself
+    each = F.explode(F.array_distinct(F.concat("hashes", F.array(F.lit(None).cast("long"))))).alias("hash")
+    seen = found.filter(has_text).select("host", "page", each).distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
     seen = written(seen, "html-subtrees")
     total = seen.filter("hash IS NULL").select("host", F.col("n").alias("total"))
     return (seen.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(total, "host").filter(F.col("n") >= min_share * F.col("total"))
-            .groupBy("host").agg(F.collect_list("hash").alias("hashes")))
+            .groupBy("host").agg(F.collect_list("hash").alias("template")))
+
+
+def _kept(texts: list[str | None], at: list[int], up: list[int], hashes: list[int | None], gone: set[int]) -> tuple[list[str], int, int]:
+    """Blocks that stay, and the numbers of blocks that templates and that marks alone take."""
+    if not gone:
+        kept = [t for t in texts if t is not None]
+        return kept, 0, len(texts) - len(kept)
+    cut: list[bool] = []
+    for k, h in enumerate(hashes):
+        cut.append(h in gone or up[k] >= 0 and cut[up[k]])
+    rest = [t for t, k in zip(texts, at, strict=True) if not cut[k]]
+    kept = [t for t in rest if t is not None]
+    return kept, len(texts) - len(rest), len(rest) - len(kept)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
-    """One row per input row: ``id_col``, ``url``, ``text`` (blocks joined by a line feed) and ``n_chars`` (code points)."""
-    drop = written(templates(pages, url_col, html_col, min_pages, min_share), "html-templates")
-    src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), _host(url_col).alias("host"))
+    """One row per input row: ``id_col``, ``url``, ``text`` (blocks joined by a line feed), ``n_chars`` (code points), and the numbers of
+    blocks that went as part of a template (``n_template``) and by marks alone (``n_marked``)."""
+    found = written(parsed(pages, id_col, url_col, html_col), "html-parsed")
+    drop = written(templates(found, min_pages, min_share), "html-templates")
 
     def run(batches):
-        for b in batches:
-            texts = []
-            for html, drop in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                gone = set(drop or ())
-                texts.append("\n".join(t for t, own in blocks(html)[1] if gone.isdisjoint(own)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
-                                             names=["id", "url", "text", "n_chars"])
-
-    kind = dict(src.dtypes)["id"]
-    return (src.join(drop, "host", "left").select("id", "url", "html", "hashes").mapInArrow(run, f"id {kind}, url string, text string, n_chars long")
-            .withColumnRenamed("id", id_col))
+        for b in small(batches):
+            texts, by_template, by_mark = [], [], []
+            for *page, gone in zip(*(b.column(i).to_pylist() for i in range(2, 7)), strict=True):
+                kept, cut, left = _kept(*page, set(gone or ()))
+                texts.append("\n".join(kept))
+                by_template.append(cut)
+                by_mark.append(left)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()),
+                                              pa.array(by_template, pa.int32()), pa.array(by_mark, pa.int32())],
+                                             names=["id", "url", "text", "n_chars", "n_template", "n_marked"])
+
+    kind = dict(found.dtypes)["id"]
+    return (found.join(drop, "host", "left").select("id", "url", "texts", "at", "up", "hashes", "template")
+            .mapInArrow(run, f"id {kind}, url string, text string, n_chars long, n_template int, n_marked int").withColumnRenamed("id", id_col))

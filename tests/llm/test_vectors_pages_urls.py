@@ -82,6 +82,9 @@ PAGES = [
     ("<div>" * 600 + "deep" + "</div>" * 600 + "<p>after", ["deep", "after"]),
     ("<b>" * 5000 + "bold" + "</b>" * 5000 + "<p>after", ["bold", "after"]),
     ("<div>" * 100_000 + "<script>x</script>deepest", ["deepest"]),
+    ("<nav>" * 20_000 + "menu" + "</nav>" * 20_000 + "<p>after", ["after"]),
+    ("<div>" * 300 + "<nav>" * 500 + "menu" + "</nav>" * 500 + "<p>in</p>" + "</div>" * 300 + "<p>after", ["in", "after"]),
+    ("<p>a <button>press</button> b <span class='ad'>buy</span>c</p><select><option>x</select><nav><div>m</div></nav>d", ["a b c", "d"]),
     ("<p>a</p><![foo[ x ]]> b", ["a", "b"]), ("<p>a</p><![foo[ x", ["a"]), ("a<![CDATA[ b ]]> c", ["a c"]), ("<![", ["<!["]),
 ]
 
@@ -138,6 +141,50 @@ def test_templates_of_hosts_with_one_title_or_none(spark):
     assert {r.page_id: r.text for r in got.collect()} == want
 
 
+def simple_templates(rows, min_pages=5, min_share=0.1):
+    """Counts in memory: (host, hash) of the subtrees that recur, by each page's identity."""
+    seen, pages = {}, {}
+    for host, html in rows:
+        page = htmltext.parse(html)
+        if page.texts:
+            pages.setdefault(host, set()).add(page.identity())
+            for h in page.hashes:
+                if h is not None:
+                    seen.setdefault((host, h), set()).add(page.identity())
+    return {k for k, own in seen.items() if len(own) >= min_pages and len(own) >= min_share * len(pages[k[0]])}
+
+
+def test_recurring_subtrees_of_whole_pages_are_counted_first(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        own = " ".join(f"w{rng.randrange(1000)}" for _ in range(8))
+        menu = "".join(f"<li>Part {k}</li>" for k in ([1, 2, 3] if i % 2 else [rng.randrange(100) for _ in range(3)]))
+        box = "<div class='x1'><p>Read this too</p><p>More</p></div>" if i % 3 else ""
+        rows.append((i, "http://a.example.org/x", f"<body><nav><ul>{menu}</ul></nav><div class='ad'>{own[::-1]}</div><article><h1>{own[:9]}</h1><p>Shared sentence.</p>"
+                     f"{box}<p>{own}</p></article><footer><div>Site</div> {i % 4}</footer></body>"))
+        rows.append((100 + i, "http://b.example.org/x", f"<div class='q'>Welcome</div><div>{own}</div>" if i % 2 else f"<p>{own}</p>"))
+    # a host of few pages has no templates: marks alone
+    rows += [(200 + i, "http://few.example.org/", f"<nav>menu</nav><p>few {i}</p>") for i in range(3)]
+    hosted = [(u.split("/")[2], h) for _, u, h in rows]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = htmltext.parsed(df)
+    got = {(r.host, h) for r in htmltext.templates(found).collect() for h in r.template}
+    assert got == simple_templates(hosted) and {h for h, _ in got} == {"a.example.org", "b.example.org"}
+    for r in htmltext.main_text(df).collect():
+        html = dict((i, h) for i, _, h in rows)[r.page_id]
+        if r.page_id >= 200:
+            assert (r.text, r.n_template, r.n_marked) == (f"few {r.page_id - 200}", 0, 1)
+        elif r.page_id >= 100:
+            own = re.findall(r">(w[^<]*)<", html)[0]
+            assert (r.text, r.n_template, r.n_marked) == (own, "Welcome" in html, 0)
+        else:  # the recurring menu, the box in the article and the footers go by count, the advert by its mark
+            own = re.findall(r"<p>(w[^<]*)</p>", html)[0]
+            assert r.text == f"{own[:9].strip()}\nShared sentence.\n{own}"
+            assert r.n_template >= 2 + 2 * ("x1" in html) + 3 * (r.page_id % 2) and r.n_marked >= 1
+            assert r.n_template + r.n_marked == 3 + 1 + 2 * ("x1" in html) + 2
+
+
 # ---- urls ----
 
 RULES = urlfilter.parse_rules(["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"])
