@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.llm.common import small
+from retail_pulse.llm.common import lean, small
 
 _END = -1
 
@@ -188,6 +188,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_out, T.ArrayType(T.IntegerType(), False))])
 
+    @lean
     def run(batches):
         bpe = _replay(rank_path, pattern)
         for b in small(batches):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.llm.common import table_of, written
+from retail_pulse.llm.common import lean, table_of, written
 
 UND = "und"
 _MASK_BITS = 63
@@ -143,6 +143,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
     """
     spark = docs.sparkSession
 
+    @lean
     def count(batches):
         for b in batches:
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -174,6 +175,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sizes
              .filter((F.col("p.rate") >= min_rate) & (F.col("p.rate") >= min_ratio * F.col("best")))
              .groupBy("gram", F.col("p.word").alias("word")).agg(F.bit_or("p.bit").alias("mask")))
 
+    @lean
     def slots(batches):
         for b in batches:
             h = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -246,6 +248,7 @@ def classify(docs: DataFrame, model: LangFilter, text_col: str = "text", lang_ou
     schema = T.StructType([*docs.schema.fields, *added])
     at = docs.columns.index(text_col)
 
+    @lean
     def run(batches):
         model = shared.value
         for b in batches:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_pulse.llm.common import written
+from retail_pulse.llm.common import lean, written
 
 SEED = 42
 SEGMENTS = 4
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: the id, the xxhash64 ``sig`` of the text if asked for, and the fingerprint as a signed long ``fp``."""
     sig = ["sig"] if with_sig else []
 
+    @lean
     def run(batches):
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)

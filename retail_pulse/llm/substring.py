@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_pulse.llm.common import NULL_ID, fresh, small, table_of, written
+from retail_pulse.llm.common import NULL_ID, fresh, lean, small, table_of, written
 from retail_pulse.llm.words import grams, mix, sliding_min, texts_words
 
 _ROW = "gram long, doc long, sig long, start long, n long, words binary"
@@ -178,6 +178,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sc, src = docs.sparkSession.sparkContext, _keyed(docs, id_col, text_col)
     width = window - anchor + 1
 
+    @lean
     def count(batches):
         for _, ids, off, _ in _blocks(batches, window, block_words):
             ok, least = _anchored(ids, off, window, anchor, {})
@@ -194,6 +195,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bitmap = table_of(bits, max(1, 1 << (filter_bits - 6))).view(np.uint64)
     shared = sc.broadcast((bitmap, np.sort(hot)))
 
+    @lean
     def suffixes(batches):
         bitmap, hot = shared.value
         low = np.uint64((1 << filter_bits) - 1)
@@ -244,6 +246,7 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      pa.array(n[j]), pa.array([ids[x:x + k + window - 1].tobytes() for x, k in zip(s[j], n[j], strict=True)], pa.binary())],
                     names=["gram", "doc", "sig", "start", "n", "words"])
 
+    @lean
     def resolve(batches):
         rows, grams_seen, size = [], None, 0
         for b in batches:
@@ -295,6 +298,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: ``id_col``, ``n_words``, ``n_removed``, ``kept_sha256`` of the kept words joined by one space."""
     both, spans = _with_spans(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", window, options)
 
+    @lean
     def digest(batches):
         for b in batches:
             n_words, n_gone, sums = [], [], []
@@ -321,6 +325,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at, length = columns.index(text_col), columns.index(length_col) if length_col in columns else None
     kinds = {f.name: f.dataType for f in docs.schema.fields}
 
+    @lean
     def cut(batches):
         for b in batches:
             texts, keep = [], []
