@@ -305,7 +305,8 @@ def templates(found: DataFrame, min_pages: int = 5, min_share: float = 0.1) -> D
     each = F.explode(F.array_distinct(F.concat("hashes", F.array(F.lit(None).cast("long"))))).alias("hash")
     seen = found.filter(has_text).select("host", "page", each).distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
     seen = written(seen, "html-subtrees")
-    total = seen.filter("hash IS NULL").select("host", F.col("n").alias("total"))
+    # a table of its own: Spark knows its size, and broadcasts it as long as it is small, so that no host's hashes are dealt to one task
+    total = written(seen.filter("hash IS NULL").select("host", F.col("n").alias("total")), "html-hosts")
     return (seen.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(total, "host").filter(F.col("n") >= min_share * F.col("total"))
             .groupBy("host").agg(F.collect_list("hash").alias("template")))
 
