@@ -6,9 +6,9 @@ is reduced once to its *hits* (place and term of those words), written as Parque
 
 1. Term statistics over the passages' cells of all documents give the inverse frequencies. Terms in more than
    ``max_df`` of the cells carry no weight, but the ``always`` rarest terms of each item do, and half as many of each ``cell`` of its words.
-2. A randomised SVD of the TF-IDF passages, fitted on about ``fit_rows`` documents chosen by a hash over all of them: each pass multiplies their
-   passages by the current basis and adds up A'(A B) per term in Spark; the driver orthonormalises a (terms x rank) matrix. The items are rows
-   too, each as heavy as ``item_weight`` passages. The rank is ``rank_share`` of the number of pieces, so the space cannot hold every item by itself: what
+2. A randomised SVD of the TF-IDF passages of all documents: Spark adds up A'A once, as products of pairs of terms of the same passage; each pass multiplies
+   that table by the current basis in Spark, and the driver orthonormalises a (terms x rank) matrix. The items are rows
+   too, each as heavy as ``item_weight`` passages beside ``weight_rows`` documents. The rank is ``rank_share`` of the number of pieces, so the space cannot hold every item by itself: what
    it keeps are the directions that items share with each other and with the passages.
 3. Cosine search in the latent space, where items and passages are both projected and scaled to unit length: every passage of every document against all items of the
    block; an item of more than ``3 * cell`` words is cut into overlapping pieces of a passage's length, and a hit of any piece is verified for the
@@ -42,6 +42,7 @@ _TO_SPACE = bytes.maketrans(_PUNCT, b" " * len(_PUNCT))
 _HITS = "doc long, sig long, base long, pos binary, term binary"
 _CHUNK_HITS = 50_000
 _PASSAGES = 2048
+_HELD_PAIRS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -232,31 +233,98 @@ def _item_matrix(items: Items, pieces: list[tuple[int, int, int]], idf: np.ndarr
     return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
 
 
-def _gram_times(hits: DataFrame, basis: np.ndarray, idf: np.ndarray, cell: int, min_terms: int) -> np.ndarray:
-    """A'(A B) for the TF-IDF passages A of all hits: summed per term in Spark."""
-    sc, (n_terms, rank) = hits.sparkSession.sparkContext, basis.shape
-    shared = sc.broadcast((basis, idf))
+def _pairs(starts, n, t, value, n_terms):
+    """Products of the entries of each passage, summed by pair of terms (the lesser one first): pair numbers, sums."""
+    keys, products = [], []
+    for k in np.unique(n):
+        at = starts[n == k][:, None] + np.arange(k)
+        i, j = np.triu_indices(k)
+        terms, values = t[at], value[at].astype(np.float64)
+        keys.append((terms[:, i] * n_terms + terms[:, j]).ravel())
+        products.append((values[:, i] * values[:, j]).ravel())
+    return _summed(keys, products)
+
+
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and the sum of the values of each."""
+    if not keys:
+        return np.zeros(0, dtype=np.int64), np.zeros(0)
+    key, value = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(value[order], first) if len(first) else value[:0]
+
+
+def gram(hits: DataFrame, idf: np.ndarray, cell: int, min_terms: int) -> DataFrame:
+    """A'A for the TF-IDF passages A of all hits: a row for each term with its products with the terms that are not below it.
+
+    A passage has few weighted terms, so its pairs are fewer than its entries times a basis. A worker adds them up and lets go of what it
+    holds at ``_HELD_PAIRS``; there is one partial sum a core, not one a task, and the table has at most (terms x terms) / 2 entries.
+    """
+    n_terms = len(idf)
+    shared = hits.sparkSession.sparkContext.broadcast(idf)
+
+    def rows(key, value):
+        term, other = key // n_terms, (key % n_terms).astype(np.int32)
+        first = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1]))) if len(key) else np.zeros(0, np.int64)
+        end = np.append(first, len(key))[1:]
+        value = value.astype(np.float32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(term[first], pa.int64()), *(pa.array([x[s:e].tobytes() for s, e in zip(first, end, strict=True)], pa.binary()) for x in (other, value))],
+            names=["term", "other", "v"])
 
     @lean
     def multiply(batches):
-        basis, idf = shared.value
-        total = np.zeros(basis.shape, dtype=np.float32)
+        idf, keys, values, held, sums = shared.value, [], [], 0, 0
         for _, pos, term, row, off in _chunks(batches):
             c, _ = _cells(pos, row, off, cell)
             _, starts, n, t, value = _matrix(c, term, idf, n_terms, min_terms)
-            if not len(n):
-                continue
-            # a few thousand passages at a time: what is dense stays small
-            for s in range(0, len(n), _PASSAGES):
-                e = min(len(n), s + _PASSAGES)
-                lo, hi = starts[s], starts[e - 1] + n[e - 1]
-                some, part = t[lo:hi], value[lo:hi]
-                y = np.add.reduceat(basis[some] * part[:, None], starts[s:e] - lo, axis=0)
-                order = np.argsort(some, kind="stable")
-                by = some[order]
-                first = np.flatnonzero(np.concatenate(([True], by[1:] != by[:-1])))
-                owner = np.repeat(np.arange(e - s), n[s:e])[order]
-                total[by[first]] += np.add.reduceat(y[owner] * part[order][:, None], first, axis=0)
+            key, product = _pairs(starts, n, t, value, n_terms)
+            keys.append(key)
+            values.append(product)
+            held += len(key)
+            # the sums are put together when as much has come to them again
+            if held >= max(2 * sums, _HELD_PAIRS // 4):
+                key, product = _summed(keys, values)
+                keys, values, held = [key], [product], len(key)
+                sums = held
+                if held >= _HELD_PAIRS:
+                    yield rows(key, product)
+                    keys, values, held, sums = [], [], 0, 0
+        yield rows(*_summed(keys, values))
+
+    @lean
+    def add(batches):
+        held: dict[int, tuple[list, list]] = {}
+        for b in batches:
+            for t, other, v in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                keys, values = held.setdefault(t, ([], []))
+                keys.append(t * n_terms + np.frombuffer(other, dtype=np.int32).astype(np.int64))
+                values.append(np.frombuffer(v, dtype=np.float32).astype(np.float64))
+        for some in held.values():
+            yield rows(*_summed(*some))
+
+    schema = "term long, other binary, v binary"
+    few = hits.coalesce(hits.sparkSession.sparkContext.defaultParallelism)
+    return written(few.mapInArrow(multiply, schema).repartition("term").mapInArrow(add, schema), "decontam-gram")
+
+
+def _gram_times(products: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """A'A B from the table of A'A, summed per term in Spark."""
+    n_terms, rank = basis.shape
+    shared = products.sparkSession.sparkContext.broadcast(basis)
+
+    @lean
+    def multiply(batches):
+        basis = shared.value
+        total = np.zeros(basis.shape)
+        for b in batches:
+            for t, other, v in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                other, v = np.frombuffer(other, dtype=np.int32), np.frombuffer(v, dtype=np.float32)
+                total[t] += v @ basis[other]
+                above = other > t
+                total[other[above]] += v[above][:, None] * basis[t]
         at = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([total[i].tobytes() for i in at], pa.binary())], names=["term", "v"])
 
@@ -265,30 +333,32 @@ def _gram_times(hits: DataFrame, basis: np.ndarray, idf: np.ndarray, cell: int,
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for t, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[t] = sums.get(t, 0.0) + np.frombuffer(v, dtype=np.float32).astype(np.float64)
+                sums[t] = sums.get(t, 0.0) + np.frombuffer(v, dtype=np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["term", "v"])
 
     out = np.zeros((n_terms, rank))
-    for r in hits.mapInArrow(multiply, "term long, v binary").repartition("term").mapInArrow(add, "term long, v binary").collect():
+    few = products.coalesce(products.sparkSession.sparkContext.defaultParallelism)
+    for r in few.mapInArrow(multiply, "term long, v binary").repartition("term").mapInArrow(add, "term long, v binary").collect():
         out[r.term] = np.frombuffer(r.v, dtype=np.float64)
     return out
 
 
-def fit_sample(hits: DataFrame, fit_rows: int) -> DataFrame:
-    """About ``fit_rows`` rows of the hits (all, if there are no more), chosen by a hash of document and text."""
-    every = max(1, hits.count() // fit_rows)
-    return hits.filter(F.pmod(F.xxhash64("doc", "sig", F.lit(17)), F.lit(every)) == 0)
-
+def latent_basis(hits: DataFrame, items: Items, pieces: list[tuple[int, int, int]], idf: np.ndarray, cell: int, min_terms: int, rank_share: float = 0.64,
+                 item_weight: float = 30.0, passes: int = 2, seed: int = 7, weight_rows: int = 2000, products: DataFrame | None = None) -> np.ndarray:
+    """(terms x rank) orthonormal basis: randomised SVD of all passages and the pieces of items by subspace iteration.
 
-def latent_basis(sample: DataFrame, items: Items, pieces: list[tuple[int, int, int]], idf: np.ndarray, cell: int, min_terms: int, rank_share: float = 0.64,
-                 item_weight: float = 30.0, passes: int = 2, seed: int = 7) -> np.ndarray:
-    """(terms x rank) orthonormal basis: randomised SVD of the sample's passages and the pieces of items by subspace iteration."""
+    ``products`` is the :func:`gram` of the hits, if it is there already. All passages count alike; together they weigh as those of at most ``weight_rows``
+    documents, so that an item weighs as much beside many documents as beside few.
+    """
+    if products is None:
+        products = gram(hits, idf, cell, min_terms)
+    scale = weight_rows / max(weight_rows, hits.count())
     own = _item_matrix(items, pieces, idf).astype(np.float64)
     n_terms = len(idf)
     rank = min(n_terms, max(8, int(np.ceil(rank_share * len(pieces)))))
     b = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, rank)))[0]
     for _ in range(passes):
-        z = _gram_times(sample, b.astype(np.float32), idf, cell, min_terms)
+        z = scale * _gram_times(products, b.astype(np.float32))
         b = np.linalg.qr(z + item_weight * (own.T @ (own @ b)))[0]
     return b.astype(np.float32)
 
@@ -411,7 +481,7 @@ def _search(hits: DataFrame, items: Items, pieces: list[tuple[int, int, int]], d
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                  item_text_col: str = "text", answer_col: str | None = None, cell: int = 24, min_terms: int = 3, max_df: float = 0.002,
                  always: int = 8, min_cosine: float = 0.5, min_lcs: float = 0.6, dense_lcs: float = 0.75, exact_run: int = 13, min_answer: float = 0.5,
-                 item_block: int = 256, fit_rows: int = 2000, rank_share: float = 0.64, item_weight: float = 30.0) -> DataFrame:
+                 item_block: int = 256, rank_share: float = 0.64, item_weight: float = 30.0, weight_rows: int = 2000) -> DataFrame:
     """Document and item pairs: ``id_col``, ``text_hash`` (xxhash64 of the text), ``item_id``, ``cosine``, ``lcs``, ``answer``."""
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     asked = benchmark.select(F.col(item_id_col).cast("long").alias("i"), F.col(item_text_col).cast("string").alias("t"), answer.alias("a")).filter("t IS NOT NULL")
@@ -432,11 +502,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits = written(_hits(docs, items, id_col, text_col, overlap=2 * (longest + 2 * cell), least=least), "decontam-hits")
         df, total = _statistics(hits, n_terms, cell)
         idf = _idf(items, df, total, max_df, always, cell)
-        sample = written(fit_sample(hits, fit_rows), "decontam-sample")
+        products = gram(hits, idf, cell, min_terms)
         # the pieces of long items may be many more than a block holds on average
         for at in range(0, len(items.pieces), 2 * item_block):
             pieces = items.pieces[at:at + 2 * item_block]
-            basis = latent_basis(sample, items, pieces, idf, cell, min_terms, rank_share, item_weight)
+            basis = latent_basis(hits, items, pieces, idf, cell, min_terms, rank_share, item_weight, weight_rows=weight_rows, products=products)
             part = written(_search(hits, items, pieces, [] if at else direct, basis, idf, cell, min_terms, min_cosine, min_lcs, dense_lcs, exact_run, min_answer), "decontam-found")
             out = part if out is None else out.union(part)
     if out is None:

@@ -435,3 +435,35 @@ def test_lcs_against_the_table():
                 new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
             row = new
         assert decontam.lcs(np.array(a, dtype=int), np.array(b, dtype=int)) == row[-1]
+
+
+def test_decontam_learns_from_every_passage(spark, monkeypatch):
+    """The latent space is fitted on all documents, however many there are, and the table of products is A'A over all of them."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 12))) for i in range(4100)], "doc_id long, text string").repartition(3)
+    items = [(i, " ".join(rng.choice(words, 20)), None) for i in range(6)]
+    seen = []
+    fit = decontam.latent_basis
+    monkeypatch.setattr(decontam, "latent_basis", lambda rows, *args, **kw: seen.append(rows.count()) or fit(rows, *args, **kw))
+    decontam.contaminated(docs, spark.createDataFrame([r[:2] for r in items], "item_id long, text string")).count()
+    block = decontam._items(items, 24)
+    hits = decontam.written(decontam._hits(docs, block, "doc_id", "text", 200, 3), "test-hits")
+    assert seen == [hits.count()] and seen[0] > 4000
+
+    monkeypatch.setattr(decontam, "_HELD_PAIRS", 500)  # several partial sums
+    n_terms = len(block.vocabulary)
+    idf = np.linspace(1, 2, n_terms)
+    want = np.zeros((n_terms, n_terms))
+    for r in hits.collect():
+        pos, term = np.frombuffer(r.pos, dtype=np.int32), np.frombuffer(r.term, dtype=np.int32)
+        cells = pos // 24
+        for p in range(-1, int(cells[-1]) + 1):
+            own, tf = np.unique(term[(cells == p) | (cells == p + 1)], return_counts=True)
+            if len(own) >= 3:
+                a = (1 + np.log(tf)) * idf[own]
+                a /= np.linalg.norm(a)
+                want[np.ix_(own, own)] += np.outer(a, a)
+    got = decontam._gram_times(decontam.gram(hits, idf, 24, 3), np.eye(n_terms, dtype=np.float32))
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-4)
