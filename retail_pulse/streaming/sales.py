@@ -6,12 +6,12 @@ line is committed within ``max_delay`` after the order:
 
     line.orderkey = order.orderkey AND line.ts BETWEEN order.ts AND order.ts + max_delay
 
-With watermarks on both sides, Spark keeps each side's join state only
-until the other side's watermark makes a match impossible, so state is
-bounded by ``max_delay + watermark delay`` worth of orders and lines, not
-by the history.
+Each micro-batch is joined as a batch (``foreachBatch`` on both streams as one feed): its rows meet each other and the
+rows that earlier batches left open. A row stays open only until the other side's watermark makes a match
+impossible, so what is kept between batches is bounded by ``max_delay + watermark delay`` worth of orders and lines, not
+by the history, and a row that is matched in its own batch and closed by its watermark never enters a state store.
 
-The SKU enrichment runs in ``foreachBatch`` as an ordinary batch join of
+The SKU enrichment is an ordinary batch join of
 the micro-batch's joined lines with the SKU table: there AQE plans it
 (broadcast only when the SKU side is measured small, otherwise a
 sort-merge join with hot SKUs split), which a stream-static join inside
@@ -22,7 +22,7 @@ day's page reads one folder and few row groups.
 The join is a left outer one: a line whose order did not come in time, or
 whose SKU is not in the table, is parked in a table beside the sales, whole and with a reason, and
 :func:`recover_parked` re-injects it once order and SKU are there. Rows that arrive behind the
-watermark are dropped by Spark before the join; :func:`late_rows` counts them.
+watermark are dropped before the join; :func:`late_rows` counts them.
 
 User columns come from a table of user versions that a change stream extends
 (:func:`start_user_stream`): a sale row has the version that was valid when the order was made.
@@ -39,19 +39,84 @@ from pyspark.sql import types as T
 from retail_pulse.sources.sinks import write_batch_partition
 
 
-def order_line_stream(orders: DataFrame, lines: DataFrame, max_delay: str = "1 hour",
-                      watermark: str = "10 minutes", keep_unmatched: bool = False) -> DataFrame:
-    """Streaming interval join of (o_orderkey, o_custkey, ts) and
-    (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts).
+_ORDER = ["o_orderkey", "o_custkey", "o_ts"]
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_ts"]
 
-    ``keep_unmatched`` emits a line without its order once the watermark rules a match out."""
-    o = orders.select("o_orderkey", "o_custkey", F.col("ts").cast("timestamp").alias("o_ts")) \
-        .withWatermark("o_ts", watermark)
-    li = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-                      F.col("ts").cast("timestamp").alias("l_ts")).withWatermark("l_ts", watermark)
-    cond = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_ts") >= F.col("o_ts")) & \
-        (F.col("l_ts") <= F.col("o_ts") + F.expr(f"INTERVAL {max_delay}"))
-    return li.join(o, cond, "leftOuter" if keep_unmatched else "inner")
+
+def order_line_feed(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """The two change streams (o_orderkey, o_custkey, ts) and (l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, ts)
+    as one, so that a micro-batch holds what is new of both."""
+    o = orders.select("o_orderkey", "o_custkey", F.col("ts").cast("timestamp").alias("o_ts"), F.lit(False).alias("is_line"))
+    li = lines.select(*_LINE[:-1], F.col("ts").cast("timestamp").alias("l_ts"), F.lit(True).alias("is_line"))
+    return li.unionByName(o, allowMissingColumns=True)
+
+
+def order_line_writer(write, state_path: str, max_delay: str = "1 hour", watermark: str = "10 minutes"):
+    """``foreachBatch`` on :func:`order_line_feed`: an interval left join, handed to ``write(joined, batch_id)``.
+
+    The pairs of a batch are those of which the line or the order is new. A line without an order goes out, with NULL order columns,
+    in the batch whose watermark rules a match out. Rows behind the watermark of the batch before are dropped and counted.
+    What may still meet a later row is kept for the next batch, in one of two folders in turn: a batch that is run again finds the rows it had.
+    """
+    delay = F.expr(f"INTERVAL {max_delay}")
+    cond = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_ts") >= F.col("o_ts")) & (F.col("l_ts") <= F.col("o_ts") + delay)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            before = _marks(spark, state_path, batch_id - 1) if batch_id else None
+            late = F.lit(False)
+            if before and before.mark is not None:
+                late = F.coalesce(F.coalesce("l_ts", "o_ts") <= F.timestamp_micros(F.lit(before.mark)), F.lit(False))
+            top = batch.agg(F.max("o_ts").alias("o"), F.max("l_ts").alias("l"), F.count_if(late).alias("late"))
+            if before:
+                top = top.select(F.greatest("o", F.timestamp_micros(F.lit(before.o).cast("long"))).alias("o"),
+                                 F.greatest("l", F.timestamp_micros(F.lit(before.l).cast("long"))).alias("l"), (F.col("late") + before.late).alias("late"))
+            # the watermark of both streams: there is none until both have a row
+            mark = F.when(F.col("o").isNotNull() & F.col("l").isNotNull(), F.least("o", "l") - F.expr(f"INTERVAL {watermark}"))
+            now = top.select(*[F.unix_micros(c).alias(n) for n, c in (("o", F.col("o")), ("l", F.col("l")), ("mark", mark))], "late").first()
+            rows = batch.where(~late).withColumn("is_new", F.lit(True)).withColumn("matched", F.lit(False))
+            if before:
+                rows = rows.unionByName(spark.read.schema(rows.schema).parquet(_slot(state_path, "rows", batch_id - 1)).withColumn("is_new", F.lit(False)))
+            li = rows.where("is_line").select(*_LINE, "matched", F.col("is_new").alias("l_new"))
+            o = rows.where("NOT is_line AND o_orderkey IS NOT NULL AND o_ts IS NOT NULL").select(*_ORDER, F.col("is_new").alias("o_new"))
+            if now.mark is None:
+                closed = order_closed = F.lit(False)
+            else:
+                passed = F.timestamp_micros(F.lit(now.mark))
+                closed, order_closed = F.coalesce(F.col("l_ts") <= passed, F.lit(False)), F.col("o_ts") + delay <= passed
+            pair = F.col("o_orderkey").isNotNull()
+            joined = li.join(o, cond, "left").where((pair & (F.col("l_new") | F.col("o_new"))) | (~pair & ~F.col("matched") & closed))
+            write(joined.select(*_LINE, *_ORDER), batch_id)
+            waiting = li.where(~closed)
+            once = waiting.where(~F.col("matched"))
+            kept = waiting.where("matched").select(*_LINE, "matched") \
+                .unionByName(once.join(o, cond, "left_semi").select(*_LINE, F.lit(True).alias("matched"))) \
+                .unionByName(once.join(o, cond, "left_anti").select(*_LINE, "matched")).withColumn("is_line", F.lit(True)) \
+                .unionByName(o.where(~order_closed).select(*_ORDER, F.lit(False).alias("matched"), F.lit(False).alias("is_line")), allowMissingColumns=True)
+            kept.write.mode("overwrite").parquet(_slot(state_path, "rows", batch_id))
+            spark.createDataFrame([now], _MARKS).coalesce(1).write.mode("overwrite").parquet(_slot(state_path, "marks", batch_id))
+        finally:
+            batch.unpersist()
+    return process
+
+
+#: per batch: the latest times seen of both streams, their watermark (microseconds), and all rows that came behind it
+_MARKS = "o long, l long, mark long, late long"
+
+
+def _slot(state_path: str, what: str, batch_id: int) -> str:
+    return f"{state_path}/{what}-{batch_id % 2}"
+
+
+def _marks(spark: SparkSession, state_path: str, batch_id: int):
+    return spark.read.schema(_MARKS).parquet(_slot(state_path, "marks", batch_id)).first()
+
+
+def open_beside(checkpoint: str) -> str:
+    """Where the rows are kept that later ones may meet."""
+    return checkpoint.rstrip("/") + "_open"
 
 
 def enrich_with_sku(order_lines: DataFrame, part: DataFrame) -> DataFrame:
@@ -74,9 +139,17 @@ def unmatched_lines(order_lines: DataFrame, part: DataFrame) -> DataFrame:
                             .select(*columns, F.lit("no_sku").alias("reason")))
 
 
-def late_rows(query) -> int:
-    """Rows that a running or finished query dropped because they came behind the watermark (of its kept progress reports)."""
-    return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
+def late_rows(spark: SparkSession, checkpoint: str) -> int:
+    """Rows that the job with this checkpoint dropped because they came behind the watermark."""
+    found = []
+    for batch_id in range(2):  # the folders are written in turn; the count only grows
+        try:
+            found.append(_marks(spark, open_beside(checkpoint), batch_id).late)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return max(found, default=0)
+
 
 # --- users: a dimension with versions -------------------------------------------
 
@@ -143,8 +216,8 @@ def start_sale_detail_stream(spark: SparkSession, orders: DataFrame, lines: Data
                              users_path: str | None = None, **kw):
     """Lines that make no sale row are parked beside the table (``<table>_parked``) unless a path is given: none is dropped."""
     writer = sale_writer(spark, part, table_path, unmatched_path or parked_beside(table_path), users_path)
-    return order_line_stream(orders, lines, keep_unmatched=True, **kw).writeStream.outputMode("append") \
-        .foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return order_line_feed(orders, lines).writeStream.outputMode("append") \
+        .foreachBatch(order_line_writer(writer, open_beside(checkpoint), **kw)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def parked_beside(table_path: str) -> str:

@@ -307,3 +307,61 @@ def test_read_partitions_lists_only_requested_dates(spark, tmp_dir):
     assert files and all("log_date=2024-01-01" in f or "log_date=2024-01-03" in f for f in files)
     assert read_partitions(spark, path, "log_date", ["1999-01-01"], schema) is None
     assert read_partitions(spark, path, "log_date", [], schema) is None
+
+
+def test_interval_join_keeps_only_open_rows_between_batches(spark, tmp_dir):
+    """Pairs over several batches, also of repeated keys and a batch that is run again; closed rows are not kept, late ones are counted."""
+    from retail_pulse.streaming.sales import order_line_feed, order_line_writer
+    t0 = 1704067200
+    o_schema, l_schema = "o_orderkey long, o_custkey long, s long", "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, s long"
+
+    def feed(orders, lines):
+        o, li = (spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds(F.col("s") + t0)).drop("s")
+                 for rows, schema in ((orders, o_schema), ([(k, n, 7, 1.0, 2.0, s) for k, n, s in lines], l_schema)))
+        return order_line_feed(o, li)
+    out = {}
+
+    def write(joined, batch_id):
+        out[batch_id] = sorted((r.l_linenumber, r.o_custkey) for r in joined.collect())
+    state = os.path.join(tmp_dir, "open")
+    process = order_line_writer(write, state, "1 hour", "10 minutes")
+    batches = [feed([(1, 10, 0), (1, 11, 30), (2, 20, 0), (None, 5, 0), (9, 90, None)],
+                    [(1, 1, 60), (1, 2, 10), (2, 3, 4000), (3, 4, 5), (None, 5, 5), (3, 6, 3900), (4, 13, None)]),
+               feed([(3, 30, 3800), (2, 21, 3500), (3, 31, 100), (5, 50, 9000)], [(2, 7, 3600), (3, 8, 3900), (1, 9, 20), (4, 10, 9000)]),
+               feed([(5, 51, 90_000)], [(5, 11, 9001), (8, 12, 90_000)])]
+    process(batches[0], 0)
+    # the order stream has got to second 30, so nothing is closed yet
+    assert out[0] == [(1, 10), (1, 11), (2, 10)]
+    process(batches[1], 1)
+    # line 3 meets the later order of its key; line 6 two late orders that are in its hour; closed lines go out alone
+    want = [(3, 21), (4, None), (5, None), (6, 30), (7, 20), (7, 21), (8, 30), (9, 10)]
+    assert sorted(out[1], key=str) == sorted(want, key=str), out[1]
+    again = out.pop(1)
+    process(batches[1], 1)
+    assert out[1] == again
+    process(batches[2], 2)
+    assert sorted(out[2], key=str) == sorted([(10, None), (11, 50)], key=str)
+    kept = spark.read.parquet(f"{state}/rows-0")
+    assert sorted(r.l_linenumber for r in kept.where("is_line").collect()) == [12, 13]  # 13 has no time: nothing rules it out
+    marks = spark.read.parquet(f"{state}/marks-0").first()
+    assert marks.late == 0 and marks.mark == (t0 + 90_000 - 600) * 1_000_000
+    process(feed([(6, 60, 100)], [(6, 14, 90_100)]), 3)
+    assert spark.read.parquet(f"{state}/marks-1").first().late == 1 and out[3] == []
+
+
+def test_sale_job_holds_no_history_in_a_state_store(spark, tmp_dir):
+    """Rows that are matched and closed in their own batch leave nothing behind: neither state nor an open row."""
+    from retail_pulse.streaming.sales import late_rows, open_beside, start_sale_detail_stream
+    o_src, l_src, table, ckpt = (os.path.join(tmp_dir, p) for p in ("o", "l", "t", "c"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60)
+    orders = spark.range(2000).select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), at.alias("ts"))
+    lines = spark.range(2000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(100).cast("long").alias("l_partkey"),
+                                     F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"), at.alias("ts"))
+    orders.write.parquet(o_src)
+    lines.write.parquet(l_src)
+    q = start_sale_detail_stream(spark, spark.readStream.schema(orders.schema).parquet(o_src), spark.readStream.schema(lines.schema).parquet(l_src),
+                                 spark.createDataFrame([(100, "ring")], "p_partkey long, p_name string"), table, ckpt, {"availableNow": True})
+    assert q.awaitTermination(180) and q.exception() is None
+    assert spark.read.parquet(table).count() == 2000
+    assert not os.path.exists(os.path.join(ckpt, "state")) and not any(p.stateOperators for p in q.recentProgress)
+    assert spark.read.parquet(f"{open_beside(ckpt)}/rows-0").count() < 100 and late_rows(spark, ckpt) == 0
