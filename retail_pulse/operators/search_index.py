@@ -13,16 +13,15 @@ Both are written under the batch id: a replayed batch rewrites its own rows and
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_pulse.functions.text import tokens
 from retail_pulse.operators.dedup import first_per_key
 from retail_pulse.operators.search import BoolQuery, _matched, _page, _tf_cols, _with_score
 from retail_pulse.sources.sinks import bucket_of, latest_documents, write_batch_partition
-from retail_pulse.sources.tables import balanced
 
 TERM_BUCKETS = 64
 _CHANGES = ("df", "docs", "texts", "length")
@@ -31,11 +30,13 @@ _STATS = "term string, df bigint, docs bigint, texts bigint, length bigint, _buc
 
 def term_counts(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """``keep``, ``_dl`` (token count) and ``_terms`` (term -> count) of each document, both NULL without a text."""
-    tok = balanced(docs.select(*keep, text_col)).select(*keep, F.array_sort(tokens(text_col)).alias("_tok"))
-    changes = F.filter(F.transform("_tok", lambda x, i: F.when((i == 0) | (x != F.get("_tok", i - 1)), F.struct(x.alias("t"), i.alias("i")))), lambda s: s.isNotNull())
-    runs = tok.select(*keep, F.size("_tok").alias("_dl"), changes.alias("_runs"))
-    counts = F.transform("_runs", lambda s, i: F.struct(s["t"], (F.coalesce(F.get("_runs", i + 1)["i"], F.col("_dl")) - s["i"]).alias("n")))
-    return runs.select(*keep, "_dl", F.map_from_entries(counts).alias("_terms"))
+    tok = docs.select(*keep, F.sort_array(tokens(text_col)).alias("_tok")).withColumn("_dl", F.size("_tok"))
+    # the places where a term differs from the one before it
+    new_term = F.filter(F.sequence(F.lit(0), F.col("_dl")), lambda i: (i < F.col("_dl")) & ((i == 0) | (F.get("_tok", i) != F.get("_tok", i - 1))))
+    runs = tok.withColumn("_runs", new_term)
+    terms = F.transform("_runs", lambda i: F.get("_tok", i))
+    counts = F.transform("_runs", lambda i, k: F.coalesce(F.get("_runs", k + 1), F.col("_dl")) - i)
+    return runs.select(*keep, "_dl", F.map_from_arrays(terms, counts).alias("_terms"))
 
 
 def index_documents(docs: DataFrame, path: str, batch_id: int, id_col: str, text_col: str, fields: list[str], order_col: str | None = None) -> None:
@@ -45,19 +46,18 @@ def index_documents(docs: DataFrame, path: str, batch_id: int, id_col: str, text
     keep = [id_col] + [f for f in fields if f != id_col]
     seq = (F.col(order_col) if order_col else F.xxhash64(text_col, *keep)).cast("bigint")
     one = first_per_key(docs.where(F.col(id_col).isNotNull()).withColumn("_seq", seq), [id_col], [F.col("_seq").desc()])
-    new = term_counts(one, text_col, [*keep, "_seq"]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        changes = _changes(new, 1)
-        old = _versions(spark, path, new.schema, batch_id)
-        if old is not None:
-            replaced = latest_documents(old.join(new.select(id_col), id_col, "left_semi").select(id_col, "_dl", "_terms", "_batch_id", "_seq"), id_col)
-            changes = changes.unionByName(_changes(replaced, -1))
-        stats = changes.groupBy("term").agg(*[F.sum(c).alias(c) for c in _CHANGES]).where("df <> 0 OR docs <> 0 OR texts <> 0 OR length <> 0") \
-            .withColumn("_bucket", _term_bucket(F.col("term")))
-        write_batch_partition(stats, f"{path}/statistics", batch_id, ["_bucket"])
-        write_batch_partition(new, f"{path}/documents", batch_id)
-    finally:
-        new.unpersist()
+    new = term_counts(one, text_col, [*keep, "_seq"])
+    # written once and read back: no cache of all maps beside the shuffles
+    write_batch_partition(new, f"{path}/documents", batch_id)
+    new = spark.read.schema(T.StructType(new.schema.fields + [T.StructField("_batch_id", T.LongType())])).parquet(f"{path}/documents").where(F.col("_batch_id") == F.lit(int(batch_id)))
+    changes = _changes(new.select("_dl", F.map_keys("_terms").alias("_words")), 1)
+    old = _versions(spark, path, batch_id)
+    if old is not None:
+        replaced = latest_documents(old.join(new.select(id_col), id_col, "left_semi").select(id_col, "_dl", F.map_keys("_terms").alias("_words"), "_batch_id", "_seq"), id_col)
+        changes = changes.unionByName(_changes(replaced, -1))
+    stats = changes.groupBy("term").agg(*[F.sum(c).alias(c) for c in _CHANGES]).where("df <> 0 OR docs <> 0 OR texts <> 0 OR length <> 0") \
+        .withColumn("_bucket", _term_bucket(F.col("term")))
+    write_batch_partition(stats, f"{path}/statistics", batch_id, ["_bucket"])
 
 
 def _term_bucket(term):
@@ -66,15 +66,16 @@ def _term_bucket(term):
 
 
 def _changes(docs: DataFrame, sign: int) -> DataFrame:
+    """What documents (``_dl``, ``_words``) add to the statistics, or take off."""
     s = F.lit(sign).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    terms = docs.select(F.explode(F.map_keys("_terms")).alias("term"), s.alias("df"), zero.alias("docs"), zero.alias("texts"), zero.alias("length"))
+    terms = docs.select(F.explode("_words").alias("term"), s.alias("df"), zero.alias("docs"), zero.alias("texts"), zero.alias("length"))
     texts = F.when(F.col("_dl").isNotNull(), s).otherwise(zero)
     return terms.unionByName(docs.select(F.lit(None).cast("string").alias("term"), zero.alias("df"), s.alias("docs"), texts.alias("texts"),
                                          F.coalesce(s * F.col("_dl"), zero).alias("length")))
 
 
-def _versions(spark: SparkSession, path: str, schema, below: int | None = None) -> DataFrame | None:
+def _versions(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
     try:
         t = spark.read.parquet(f"{path}/documents")
     except AnalysisException as e:
