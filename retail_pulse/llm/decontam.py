@@ -4,9 +4,9 @@ Passages are ``2 * cell`` words of a document, one from every ``cell`` words on.
 that the benchmark items hold matter to a cosine with an item and to a common subsequence, so each document
 is reduced once to its *hits* (place and term of those words), written as Parquet; all later passes read the hits.
 
-1. Term statistics over the passages' cells of all documents give the inverse frequencies. Terms in more than
+1. Term statistics over the passages' cells of all documents, those with a single hit included, give the inverse frequencies. Terms in more than
    ``max_df`` of the cells carry no weight, but the ``always`` rarest terms of each item do, and half as many of each ``cell`` of its words.
-2. A randomised SVD of the TF-IDF passages of all documents: Spark adds up A'A once, as products of pairs of terms of the same passage; each pass multiplies
+2. A randomised SVD of the TF-IDF passages, of all documents, that have ``min_terms`` weighted terms: Spark adds up A'A once, as products of pairs of terms of the same passage; each pass multiplies
    that table by the current basis in Spark, and the driver orthonormalises a (terms x rank) matrix. The items are rows
    too, each as heavy as ``item_weight`` passages beside ``weight_rows`` documents. The rank is ``rank_share`` of the number of pieces, so the space cannot hold every item by itself: what
    it keeps are the directions that items share with each other and with the passages.
@@ -498,8 +498,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             continue
         n_terms = len(items.vocabulary)
         direct = [i for i, t in enumerate(items.terms) if len(t) and len(np.unique(t)) < few]
-        least = min(min_terms, *(int(np.ceil(min_lcs * len(t))) for t in items.terms if len(t)))
-        hits = written(_hits(docs, items, id_col, text_col, overlap=2 * (longest + 2 * cell), least=least), "decontam-hits")
+        # one word is enough: documents with too few to be searched count in the term statistics too
+        hits = written(_hits(docs, items, id_col, text_col, overlap=2 * (longest + 2 * cell), least=1), "decontam-hits")
         df, total = _statistics(hits, n_terms, cell)
         idf = _idf(items, df, total, max_df, always, cell)
         products = gram(hits, idf, cell, min_terms)

@@ -138,3 +138,20 @@ def test_decontamination_stage_learns_from_all_its_documents(spark, tmp_path, mo
     monkeypatch.setattr(corpus_pipeline.decontam, "latent_basis", lambda hits, *args, **kw: seen.append(hits.count()) or fit(hits, *args, **kw))
     kept = {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()}
     assert len(seen) == 1 and seen[0] > 4000 and 9000 not in kept and len(kept) >= 4000
+
+
+def test_decontamination_stage_counts_the_words_of_documents_that_hold_few_of_them(spark, tmp_path, monkeypatch):
+    """A word's frequency comes from every document that has it, also from those with too few words of the benchmark to be searched."""
+    item = [f"q{i}" for i in range(30)]
+    rows = [(i, " ".join(["other"] * 3 + item[:1 + i % 4])) for i in range(200)] + [(None, "other q0"), (201, "other"), (202, None), (203, " ".join(item))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    seen = []
+    weigh = corpus_pipeline.decontam._idf
+    monkeypatch.setattr(corpus_pipeline.decontam, "_idf", lambda items, df, total, *args: seen.append((items, df, total)) or weigh(items, df, total, *args))
+    kept = {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()}
+    assert kept == {r[0] for r in rows} - {203}
+    (block, df, total), = seen
+    of_place = [int(df[t]) for t in block.terms[0][:5]]
+    # the item's own 30 words are two cells, the first of which holds these
+    assert of_place == [202, 151, 101, 51, 1] and total == 203
