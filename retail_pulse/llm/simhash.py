@@ -104,7 +104,8 @@ def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
         return F.transform(flips, lambda m: key(i, _segment(F.col("fp"), i + 1).bitwiseXOR(m)))
 
     stored = fps.select(F.col("fp").alias("b"), F.explode(F.flatten(F.array(*map(variants, range(SEGMENTS))))).alias("key"))
-    pairs = probe.join(stored, "key").filter(F.col("a") < F.col("b"))
+    # Spark sizes a side as the file it comes from, without the explode: left to it, tens of copies of each fingerprint would be broadcast
+    pairs = probe.join(stored.hint("merge"), "key").filter(F.col("a") < F.col("b"))
     start = F.shiftrightunsigned(F.col("key"), 2 * _WIDTH)
     x = F.col("a").bitwiseXOR(F.col("b"))
     chains = F.lit(False)
@@ -147,7 +148,7 @@ def components(edges: DataFrame, purpose: str = "simhash-cc") -> DataFrame:
 def _classes(distinct: DataFrame, max_distance: int) -> DataFrame:
     """The rows (fp, least) of distinct fingerprints with the ``root`` of their class."""
     roots = components(links(distinct, max_distance))
-    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(roots.hint("merge"), distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3) -> DataFrame:

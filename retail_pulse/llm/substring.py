@@ -291,7 +291,8 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, option
     spans = fresh(docs.columns, "spans")
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)) == removed["doc"]) & (F.xxhash64(text) == removed["sig"])
-    return docs.join(removed.withColumnRenamed("spans", spans), same, "left").drop(removed["doc"], removed["sig"]), spans
+    # the file holds lists packed far below their size in memory: by its size Spark would broadcast ten times as much
+    return docs.join(removed.withColumnRenamed("spans", spans).hint("merge"), same, "left").drop(removed["doc"], removed["sig"]), spans
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **options) -> DataFrame:

@@ -102,6 +102,20 @@ def test_simhash_links_of_close_fingerprints(spark):
     assert {tuple(r) for r in got.collect()} == want and len(want) > 50
 
 
+def joins(df):
+    """The joins of the plan, before anything runs."""
+    return re.findall(r"\w+Join\w*", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_links_are_not_broadcast_by_the_size_of_the_file_they_come_from(spark, tmp_path):
+    """Each fingerprint is stored under 68 keys: a file below the limit of a broadcast holds far more than the driver takes."""
+    spark.range(1000).selectExpr("xxhash64(id) AS fp", "struct(id IS NULL AS none, id, id AS sig) AS least").write.parquet(str(tmp_path / "d"))
+    distinct = spark.read.parquet(str(tmp_path / "d"))
+    assert joins(simhash.links(distinct)) == ["SortMergeJoin"]
+    found = joins(simhash._classes(distinct, 3))
+    assert found and set(found) == {"SortMergeJoin"}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = dict(map(tuple, simhash.components(edges).collect()))
@@ -142,6 +156,15 @@ def test_repeats_against_brute_force(odd, odd_rows, window, options):
     assert sorted(map(tuple, substring.remove_repeats(odd, window=window, **options).collect()), key=repr) == want
 
 
+def test_removed_spans_are_not_broadcast_by_the_size_of_their_file(spark):
+    """The lists of spans are packed in the file; in memory they take many times that."""
+    text = " ".join(map(str, range(60)))
+    docs = spark.createDataFrame([(i, text) for i in range(5)] + [(None, text), (9, None)], "doc_id long, text string")
+    out = substring.cut_repeats(docs)
+    assert joins(out) == ["SortMergeJoin"]
+    assert {(r.doc_id, r.text) for r in out.collect()} == {(0, text)}
+
+
 def test_removals_within_a_task_are_dealt_over_many_groups(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
     rng = random.Random(13)
