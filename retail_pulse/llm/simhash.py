@@ -168,5 +168,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = _classes(distinct, max_distance)
     first = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = linked.join(first, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    return rows.join(classes.hint("merge"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -116,6 +116,15 @@ def test_links_are_not_broadcast_by_the_size_of_the_file_they_come_from(spark, t
     assert found and set(found) == {"SortMergeJoin"}
 
 
+def test_near_duplicates_broadcast_no_table_of_all_rows(spark):
+    """Rows are never sent through the driver because their file of ids and fingerprints is small."""
+    text = " ".join(map(str, range(60)))
+    docs = spark.createDataFrame([(i, text + " x" * (i % 7)) for i in range(300)] + [(None, text), (9, None)], "doc_id long, text string")
+    out = simhash.near_duplicates(docs)
+    assert joins(out)[0] == "SortMergeJoin"  # the last one, of all rows with their classes
+    assert sorted(map(tuple, out.collect()), key=repr) == simple_classes([(r.doc_id, r.text) for r in docs.collect()])
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = dict(map(tuple, simhash.components(edges).collect()))
