@@ -55,7 +55,7 @@ from retail_pulse.functions.time import to_millis
 from retail_pulse.streaming.dau import dau_table_view, start_dau_stream, startup_from_messages, startup_parsed
 from retail_pulse.streaming.gmv import order_batch_writer, order_table, parsed_orders, start_gmv_stream
 from retail_pulse.streaming.sales import PARKED_LINES, parked_beside, recover_parked, start_sale_detail_stream, start_user_stream
-from retail_pulse.streaming.runner import BatchCounts, replay_chunks, stream_conf
+from retail_pulse.streaming.runner import BatchCounts, measured_broadcasts, replay_chunks, stream_conf
 
 REPLAY_SLICES = 4
 ALERT_WINDOW = "1 day"
@@ -389,7 +389,8 @@ def _replay_gaps(spark: SparkSession, sf: str, job: str, users: bool = False) ->
         .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "ts")
     part = tb.table(spark, sf, "part").where(F.col("p_partkey") % 5 != 0)
     all_orders.where(F.col("o_orderkey") % 7 != 0).write.parquet(o_src)
-    lines.write.parquet(l_src)
+    with measured_broadcasts(spark):
+        lines.write.parquet(l_src)
     for step in range(2):
         if step:  # one order and one line far ahead rule out every open match
             ahead = all_orders.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).where("ts IS NOT NULL")

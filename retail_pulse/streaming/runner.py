@@ -22,6 +22,9 @@ TRIGGERS = {
     "alert_slow": "5 seconds",
 }
 
+#: the greatest side that is broadcast: by Spark's estimate, and as measured while the query runs (by default the same)
+_ESTIMATED, _MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
 
 def trigger_kwargs(job: str | None = None, available_now: bool = False) -> dict:
     """``writeStream.trigger(**kwargs)`` for a job's clock, or availableNow."""
@@ -59,6 +62,31 @@ def stream_conf(spark: SparkSession, state_partitions: int | None = None):
         # the exact state row count is only a metric; tracking it costs a read before every write
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     }
+    with _held(spark, wanted):
+        yield
+
+
+@contextlib.contextmanager
+def measured_broadcasts(spark: SparkSession):
+    """Within, a side of a join is broadcast only after Spark has measured its rows, up to the size that the session allows.
+
+    Before it runs, Spark sizes a side by its files: millions of keys that take a few MB there would be hundreds in the driver.
+    """
+    limit = spark.conf.get(_MEASURED, None) or spark.conf.get(_ESTIMATED)
+    with _held(spark, {_ESTIMATED: "-1", _MEASURED: limit}):
+        yield
+
+
+def measured(process):
+    """A ``foreachBatch`` function under :func:`measured_broadcasts`."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with measured_broadcasts(batch.sparkSession):
+            process(batch, batch_id)
+    return run
+
+
+@contextlib.contextmanager
+def _held(spark: SparkSession, wanted: dict[str, str]):
     old = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)

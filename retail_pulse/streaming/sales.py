@@ -13,7 +13,7 @@ by the history, and a row that is matched in its own batch and closed by its wat
 
 The SKU enrichment is an ordinary batch join of
 the micro-batch's joined lines with the SKU table: there AQE plans it
-(broadcast only when the SKU side is measured small, otherwise a
+(broadcast only when the SKU side is measured small, never by the size of its files, otherwise a
 sort-merge join with hot SKUs split), which a stream-static join inside
 the streaming plan would not get. Each micro-batch appends its rows under
 ``_batch_id`` (idempotent on replay), in folders by month and sorted by day inside, so that a
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_pulse.sources.sinks import write_batch_partition
+from retail_pulse.streaming.runner import measured, measured_broadcasts
 
 
 _ORDER = ["o_orderkey", "o_custkey", "o_ts"]
@@ -61,6 +62,7 @@ def order_line_writer(write, state_path: str, max_delay: str = "1 hour", waterma
     delay = F.expr(f"INTERVAL {max_delay}")
     cond = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_ts") >= F.col("o_ts")) & (F.col("l_ts") <= F.col("o_ts") + delay)
 
+    @measured
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -193,6 +195,7 @@ def with_user(rows: DataFrame, versions: DataFrame, user_id: str = "user_id", at
 
 def sale_writer(spark: SparkSession, part: DataFrame, table_path: str, parked_path: str, users_path: str | None = None):
     """``foreachBatch`` of the joined lines: sale rows to the table, lines without an order or SKU to ``parked_path``."""
+    @measured
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -245,18 +248,19 @@ def recover_parked(spark: SparkSession, orders: DataFrame, part: DataFrame, tabl
     parked_path = unmatched_path or parked_beside(table_path)
     done_path = parked_path.rstrip("/") + "_recovered"
     batch_id = RECOVERED_BATCH + round_id
-    open_ = open_lines(spark, parked_path, before=batch_id)
-    o = orders.select(F.col("o_orderkey").alias("_o"), F.col("o_custkey"), F.col("ts").cast("timestamp").alias("o_ts"))
-    p = part.select(F.col("p_partkey").alias("_p"))
-    ready = open_.join(o, F.col("order_id") == F.col("_o")).join(p, F.col("sku_id") == F.col("_p"), "left_semi").select("line_key",
-        F.col("order_id").alias("l_orderkey"), F.col("line_no").alias("l_linenumber"), F.col("sku_id").alias("l_partkey"),
-        F.col("sku_num").alias("l_quantity"), F.col("sku_price").alias("l_extendedprice"), F.col("order_id").alias("o_orderkey"), "o_custkey", "o_ts") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_sales(spark, ready, part, table_path, batch_id, users_path)
-        write_batch_partition(ready.select(F.col("l_orderkey").alias("order_id"), "line_key"), done_path, batch_id)
-    finally:
-        ready.unpersist()
+    with measured_broadcasts(spark):
+        open_ = open_lines(spark, parked_path, before=batch_id)
+        o = orders.select(F.col("o_orderkey").alias("_o"), F.col("o_custkey"), F.col("ts").cast("timestamp").alias("o_ts"))
+        p = part.select(F.col("p_partkey").alias("_p"))
+        ready = open_.join(o, F.col("order_id") == F.col("_o")).join(p, F.col("sku_id") == F.col("_p"), "left_semi").select("line_key",
+            F.col("order_id").alias("l_orderkey"), F.col("line_no").alias("l_linenumber"), F.col("sku_id").alias("l_partkey"),
+            F.col("sku_num").alias("l_quantity"), F.col("sku_price").alias("l_extendedprice"), F.col("order_id").alias("o_orderkey"), "o_custkey", "o_ts") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_sales(spark, ready, part, table_path, batch_id, users_path)
+            write_batch_partition(ready.select(F.col("l_orderkey").alias("order_id"), "line_key"), done_path, batch_id)
+        finally:
+            ready.unpersist()
 
 
 def open_lines(spark: SparkSession, parked_path: str, before: int = 1 << 62) -> DataFrame:

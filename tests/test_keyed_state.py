@@ -1,6 +1,7 @@
 """Streams with one state row per key: seen keys, first days, windows from panes."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import DataFrameReader
@@ -214,6 +215,35 @@ def test_sliding_windows_from_panes_equal_the_batch_form(spark, tmp_dir):
         assert not [f for f in state.schema["key"].dataType if isinstance(f.dataType, (T.ArrayType, T.MapType))]
 
 
+def test_sale_job_broadcasts_only_what_was_measured(spark, tmp_dir, monkeypatch):
+    """The SKU keys are few bytes in their file and many in the driver: no join may be planned as a broadcast before it runs."""
+    from retail_pulse.streaming import runner, sales
+    joins = lambda df: re.findall(r"\w+Join\w*", df._jdf.queryExecution().executedPlan().toString())
+    table, parked, skus, seen = f"{tmp_dir}/sales", f"{tmp_dir}/parked", f"{tmp_dir}/part", []
+    write = sales.write_batch_partition
+    monkeypatch.setattr(sales, "write_batch_partition", lambda df, path, *args, **kw: seen.append((path, joins(df))) or write(df, path, *args, **kw))
+    spark.range(100, 200).selectExpr("id AS p_partkey", "'ring' AS p_name").write.parquet(skus)
+    part = spark.read.parquet(skus)
+    at = F.timestamp_seconds(F.lit(1704067200)).alias
+    batch = spark.range(300).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.lit(1.0).alias("l_quantity"),
+                                    F.lit(2.0).alias("l_extendedprice"), at("l_ts"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("o_orderkey"),
+                                    F.col("id").alias("o_custkey"), at("o_ts"))
+    limits = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    sales.sale_writer(spark, part, table, parked)(batch, 0)
+    orders = batch.select(F.col("l_orderkey").alias("o_orderkey"), "o_custkey", F.col("o_ts").alias("ts"))
+    sales.recover_parked(spark, orders, part, table, 0, parked)
+    assert [path for path, _ in seen] == [table, parked, table, f"{parked}_recovered"]
+    for _, kinds in seen[:3]:  # the fourth shows what the third has run
+        assert kinds and set(kinds) == {"SortMergeJoin"}
+    assert sorted(r.order_id for r in spark.read.parquet(table).collect()) == list(range(100, 200))
+    assert sales.open_lines(spark, parked).count() == 200
+
+    small = batch.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    with runner.measured_broadcasts(spark):
+        assert len(small.collect()) == 100 and joins(small)[0] == "BroadcastHashJoin"  # it was measured to be small
+    assert {k: spark.conf.get(k, None) for k in limits} == limits  # the session's own
+
+
 def test_window_plan_keeps_no_sets_and_counts_an_event_once(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "s"))
     stream = spark.readStream.schema("mid string, uid string, evid string, itemid string, ts timestamp").parquet(os.path.join(tmp_dir, "s"))
